@@ -80,3 +80,304 @@ select hour, count(*) as rides, cast(hour in (7,8,9,17,18,19,20) as integer) as
 from feat group by hour"""))
 def q_hourly_demand(spark, sf):
     return E.hourly_demand(_feat(spark, sf))
+
+
+@register("hourly_by_city", on_feat("""
+select hour, city, count(*) as rides from feat
+where city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad') group by hour, city"""))
+def q_hourly_by_city(spark, sf):
+    return E.hourly_by_city(_feat(spark, sf))
+
+
+@register("peak_dead_share", on_feat("""
+select round_even(count(*) filter (where hour in (7,8,9,17,18,19,20)) * 100.0 / count(*), 4) as peak_pct,
+       round_even(count(*) filter (where hour in (1,2,3,4)) * 100.0 / count(*), 4) as dead_pct,
+       count(*) filter (where hour = 18) as rides_at_18
+from feat"""))
+def q_peak_dead(spark, sf):
+    return E.peak_dead_share(_feat(spark, sf))
+
+
+@register("busiest_hour", on_feat("""
+select hour as busiest_hour, rides,
+       (select max(n) from (select count(*) as n from feat group by hour, city)) as max_city_hour_rides
+from (select hour, count(*) as rides from feat group by hour)
+order by rides desc, hour limit 1"""))
+def q_busiest_hour(spark, sf):
+    return E.busiest_hour(_feat(spark, sf))
+
+
+@register("city_metric_median_wait", on_feat("""
+select city, round_even(quantile_cont(wait_time_min, 0.5), 4) as value from feat group by city"""))
+def q_city_metric_wait(spark, sf):
+    return E.city_metric(_feat(spark, sf), "Median wait time")
+
+
+@register("city_metric_completion", on_feat("""
+select city, round_even(avg(cast(is_completed as double)), 4) as value from feat group by city"""))
+def q_city_metric_completion(spark, sf):
+    return E.city_metric(_feat(spark, sf), "Completion rate")
+
+
+@register("city_share", on_feat("""
+select city, count(*) as rides, round_even(count(*) * 100.0 / sum(count(*)) over (), 2) as share_pct
+from feat group by city"""))
+def q_city_share(spark, sf):
+    return E.city_share(_feat(spark, sf))
+
+
+@register("weather_stats", on_feat("""
+select weather, count(*) as rides,
+       round_even(quantile_cont(wait_time_min, 0.5), 2) as median_wait,
+       round_even(avg(surge_multiplier), 2) as mean_surge,
+       round_even((1 - avg(cast(is_completed as double))) * 100, 1) as cancel_rate
+from feat group by weather"""))
+def q_weather_stats(spark, sf):
+    return E.weather_stats(_feat(spark, sf))
+
+
+@register("weather_metric_cancel", on_feat("""
+select weather, round_even((1 - avg(cast(is_completed as double))) * 100, 4) as value,
+       cast(case weather when 'clear' then 0 when 'fog' then 1 when 'light_rain' then 2
+            when 'heavy_rain' then 3 else 4 end as integer) as weather_order
+from feat group by weather"""))
+def q_weather_metric(spark, sf):
+    return E.weather_metric(_feat(spark, sf), "Cancellation rate")
+
+
+_WEATHER_LONG = """
+o_wl as (
+  select weather, round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
+         round_even(avg(surge_multiplier), 4) as mean_surge,
+         round_even((1 - avg(cast(is_completed as double))) * 100, 4) as cancel_rate
+  from feat group by weather),
+o_wlong as (
+  select weather, 'median_wait' as metric, median_wait as value from o_wl
+  union all select weather, 'mean_surge', mean_surge from o_wl
+  union all select weather, 'cancel_rate', cancel_rate from o_wl)"""
+
+
+@register("weather_lift", on_feat("""
+select metric, base_value, other_value,
+       round_even(other_value / nullif(base_value, 0) * 100 - 100, 2) as lift_pct
+from (select metric, max(case when weather = 'clear' then value end) as base_value,
+             max(case when weather = 'heavy_rain' then value end) as other_value
+      from o_wlong group by metric)""", _WEATHER_LONG))
+def q_weather_lift(spark, sf):
+    return E.weather_lift(_feat(spark, sf))
+
+
+@register("weather_wait_sorted", on_raw("""
+select weather, quantile_cont(wait_time_min, 0.5) as median_wait
+from rides where weather is not null group by weather"""))
+def q_weather_wait_sorted(spark, sf):
+    return E.weather_wait_sorted(S.raw(spark, sf))
+
+
+@register("monthly_trend", on_feat("""
+select strftime(ts, '%Y-%m') as year_month, count(*) as rides,
+       round_even(avg(surge_multiplier), 4) as mean_surge, round_even(avg(wait_time_min), 4) as mean_wait
+from feat group by 1"""))
+def q_monthly_trend(spark, sf):
+    return E.monthly_trend(_feat(spark, sf))
+
+
+@register("season_stats", on_feat("""
+select season, count(*) as rides, round_even(avg(surge_multiplier), 3) as mean_surge,
+       round_even(avg(wait_time_min), 3) as mean_wait,
+       round_even(round_even(avg(cast(is_raining as double)), 3) * 100, 1) as rain_pct
+from feat group by season"""))
+def q_season_stats(spark, sf):
+    return E.season_stats(_feat(spark, sf))
+
+
+@register("festival_effect", on_raw("""
+select is_festival, round_even(avg(wait_time_min), 2) as avg_wait, round_even(avg(surge_multiplier), 2) as avg_surge,
+       round_even(avg(fare_inr), 2) as avg_fare, count(ride_id) as ride_count,
+       case when is_festival then 'Festival day' else 'Normal day' end as day_type
+from rides group by is_festival"""))
+def q_festival_effect(spark, sf):
+    return E.festival_effect(S.raw(spark, sf))
+
+
+_EVENT = ("case when is_festival then 'Festival day' when is_ipl_day then 'IPL match day' "
+          "else 'Normal day' end")
+
+
+@register("event_impact", on_feat(f"""
+select event_type, round_even(avg(wait_time_min), 4) as mean_value,
+       cast(case event_type when 'Normal day' then 0 when 'IPL match day' then 1
+            when 'Festival day' then 2 else 3 end as integer) as event_order
+from (select {_EVENT} as event_type, wait_time_min from feat) group by event_type"""))
+def q_event_impact(spark, sf):
+    return E.event_impact(_feat(spark, sf))
+
+
+@register("event_lift", on_feat(f"""
+select metric, round_even(n, 4) as normal_value, round_even(f, 4) as festival_value,
+       round_even((f / nullif(n, 0) - 1) * 100, 2) as lift_pct
+from (
+  select 'wait_time_min' as metric, avg(wait_time_min) filter (where et = 'Normal day') as n,
+         avg(wait_time_min) filter (where et = 'Festival day') as f from (select *, {_EVENT} as et from feat)
+  union all
+  select 'surge_multiplier', avg(surge_multiplier) filter (where et = 'Normal day'),
+         avg(surge_multiplier) filter (where et = 'Festival day') from (select *, {_EVENT} as et from feat)
+  union all
+  select 'fare_inr', avg(fare_inr) filter (where et = 'Normal day'),
+         avg(fare_inr) filter (where et = 'Festival day') from (select *, {_EVENT} as et from feat))"""))
+def q_event_lift(spark, sf):
+    return E.event_lift(_feat(spark, sf))
+
+
+@register("vehicle_metric", on_feat("""
+select vehicle_type, round_even(quantile_cont(fare_per_km, 0.5), 4) as median_fare_per_km,
+       round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
+       round_even(quantile_cont(fare_inr, 0.5), 4) as median_fare,
+       round_even(quantile_cont(distance_km, 0.5), 4) as median_distance
+from feat group by vehicle_type"""))
+def q_vehicle_metric(spark, sf):
+    return E.vehicle_metric(_feat(spark, sf))
+
+
+_BAND_ORDER = ("cast(case surge_band when 'no_surge' then 0 when 'low' then 1 when 'medium' then 2 "
+               "when 'high' then 3 when 'extreme' then 4 else 5 end as integer)")
+
+
+@register("surge_band_by_city", on_feat(f"""
+select city, surge_band, count(*) as rides, {_BAND_ORDER} as band_order
+from feat group by city, surge_band"""))
+def q_surge_band_by_city(spark, sf):
+    return E.surge_band_by_city(_feat(spark, sf))
+
+
+@register("surge_band_pct", on_feat("""
+select city, surge_band, count(*) as rides,
+       round_even(count(*) * 100.0 / sum(count(*)) over (partition by city), 2) as pct
+from feat group by city, surge_band"""))
+def q_surge_band_pct(spark, sf):
+    return E.surge_band_pct(_feat(spark, sf))
+
+
+_HCOLS = ", ".join(f"count(*) filter (where hour = {h}) as h{h:02d}" for h in range(24))
+_HLIST = ", ".join(f"h{h:02d}" for h in range(24))
+
+
+@register("city_hour_heatmap", on_feat(f"""
+select *, min(least({_HLIST})) over () as cell_min, max(greatest({_HLIST})) over () as cell_max
+from (select city, {_HCOLS} from feat group by city)"""))
+def q_city_hour_heatmap(spark, sf):
+    return E.city_hour_heatmap(_feat(spark, sf))
+
+
+@register("hour_dow_heatmap", on_feat(f"""
+select day_of_week, {_HCOLS} from feat group by day_of_week"""))
+def q_hour_dow_heatmap(spark, sf):
+    return E.hour_dow_heatmap(_feat(spark, sf))
+
+
+def _corr_sql(cols, digits, keep=None):
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    sel = ", ".join(f"corr(cast({a} as double), cast({b} as double)) as \"{a}|{b}\"" for a, b in pairs)
+    unions = []
+    for a, b in pairs:
+        for x, y in ((a, b), (b, a)):
+            if keep is None or x in keep:
+                unions.append(f"select '{x}' as col_a, '{y}' as col_b, round_even(\"{a}|{b}\", {digits}) as r from o_c")
+    return sel, " union all ".join(unions)
+
+
+_C12_SEL, _C12_UNION = _corr_sql(E.CORR_12, 2)
+_C12_DIAG = " union all ".join(f"select '{c}', '{c}', 1.0::double" for c in E.CORR_12)
+
+
+@register("corr_matrix_12", on_feat(f"""
+{_C12_UNION} union all {_C12_DIAG}""", f"o_c as (select {_C12_SEL} from feat)"))
+def q_corr_matrix(spark, sf):
+    return E.corr_matrix_12(_feat(spark, sf))
+
+
+_C9_SEL, _C9_UNION = _corr_sql(E.CORR_TARGET_9, 3, keep=("fare_inr", "wait_time_min"))
+
+
+@register("corr_with_target", on_feat(f"""
+select col_a as target, col_b as feature, r from ({_C9_UNION})""", f"o_c as (select {_C9_SEL} from feat)"))
+def q_corr_with_target(spark, sf):
+    return E.corr_with_target(_feat(spark, sf))
+
+
+@register("zone_hotspots", on_feat("""
+select *, case when mean_surge >= 1.6 then 'red' when mean_surge >= 1.55 then 'amber' else 'green' end as badge
+from (select pickup_zone, city, round_even(avg(wait_time_min), 4) as avg_wait,
+             round_even(avg(surge_multiplier), 4) as mean_surge, count(*) as rides
+      from feat group by pickup_zone, city)
+order by avg_wait desc, pickup_zone, city limit 10"""))
+def q_zone_hotspots(spark, sf):
+    return E.zone_hotspots(_feat(spark, sf))
+
+
+@register("kpi_cards", on_feat("""
+select city, count(*) as rides, round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
+       round_even(avg(surge_multiplier), 4) as mean_surge,
+       round_even((1 - avg(cast(is_completed as double))) * 100, 4) as cancel_pct,
+       round_even(quantile_cont(fare_inr, 0.5), 4) as median_fare,
+       cast(grouping(city) as integer) as is_total
+from feat group by rollup(city)"""))
+def q_kpi_cards(spark, sf):
+    return E.kpi_cards(_feat(spark, sf))
+
+
+@register("kpi_by_weather", on_feat("""
+select weather, round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
+       round_even(avg(surge_multiplier), 4) as mean_surge, cast(grouping(weather) as integer) as is_total
+from feat group by rollup(weather)"""))
+def q_kpi_by_weather(spark, sf):
+    return E.kpi_by_weather(_feat(spark, sf))
+
+
+@register("surge_histogram", on_raw("""
+select g.bin, round_even(b.lo + (g.bin - 1) * (b.hi - b.lo) / 30.0, 6) as bin_lo,
+       round_even(b.lo + g.bin * (b.hi - b.lo) / 30.0, 6) as bin_hi, coalesce(c.rides, 0) as rides
+from (select cast(range as integer) as bin from range(1, 31)) g
+cross join (select min(surge_multiplier) as lo, max(surge_multiplier) as hi from rides) b
+left join (
+  select case when b2.hi = b2.lo then 1
+              else least(cast(floor((surge_multiplier - b2.lo) / ((b2.hi - b2.lo) / 30.0)) as integer) + 1, 30) end as bin,
+         count(*) as rides
+  from rides, (select min(surge_multiplier) as lo, max(surge_multiplier) as hi from rides) b2
+  where surge_multiplier is not null group by 1) c on g.bin = c.bin"""))
+def q_surge_histogram(spark, sf):
+    return E.surge_histogram(S.raw(spark, sf))
+
+
+@register("high_surge_share", on_feat("""
+select count(*) filter (where surge_multiplier >= 2.0) as high_surge_rides,
+       round_even(avg(cast(surge_multiplier >= 2.0 as double)) * 100, 4) as high_surge_pct
+from feat"""))
+def q_high_surge_share(spark, sf):
+    return E.high_surge_share(_feat(spark, sf))
+
+
+@register("head_sample", on_feat("select * from feat order by ts, ride_id limit 3"))
+def q_head_sample(spark, sf):
+    return E.head_sample(_feat(spark, sf))
+
+
+@register("city_rides_ratio", on_feat("""
+select city, rides, round_even(rides / max(rides) over (), 4) as ratio_to_max
+from (select city, count(*) as rides from feat group by city)"""))
+def q_city_rides_ratio(spark, sf):
+    return E.city_rides_ratio(_feat(spark, sf))
+
+
+@register("surge_breakdown_leftclosed", on_raw("""
+select * from (values (0, 'No surge (1×)'), (1, 'Low (1–1.5×)'), (2, 'Med (1.5–2×)'),
+                      (3, 'High (2–2.5×)'), (4, 'Extreme (>2.5×)')) t(band_order, band)
+join (
+  select 0 as k, round_even(avg(cast(surge_multiplier >= 1.0 and surge_multiplier < 1.01 as double)) * 100, 1) as pct from rides
+  union all select 1, round_even(avg(cast(surge_multiplier >= 1.01 and surge_multiplier < 1.5 as double)) * 100, 1) from rides
+  union all select 2, round_even(avg(cast(surge_multiplier >= 1.5 and surge_multiplier < 2.0 as double)) * 100, 1) from rides
+  union all select 3, round_even(avg(cast(surge_multiplier >= 2.0 and surge_multiplier < 2.5 as double)) * 100, 1) from rides
+  union all select 4, round_even(avg(cast(surge_multiplier >= 2.5 and surge_multiplier < 4.1 as double)) * 100, 1) from rides
+) p on p.k = t.band_order""".replace("select * from", "select band_order::integer as band_order, band, pct from")))
+def q_surge_breakdown(spark, sf):
+    return D.surge_breakdown_leftclosed(S.raw(spark, sf))
