@@ -154,40 +154,41 @@ def remaining_nulls(df: DataFrame) -> DataFrame:
 
 
 def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """The cleaning counters as (metric, value) rows.
+    """The cleaning counters as one row.
 
-    Three aggregates — raw rows, rows after dedup, and one conditional-sum
-    pass over the imputed table that carries the pre-imputation null flags —
-    unioned, so no intermediate result is counted more than once.
+    One conditional-sum pass over the imputed table (which carries the
+    pre-imputation null flags) gives every per-row counter; the row counts
+    before and after dedup and the remaining-null total are scalar
+    subqueries over the same lazy plan.
     """
     deduped = dedup_rides(raw)
     valid = filter_valid_categories(deduped)
     marked = valid.withColumns({
-        "_w0": F.col("wait_time_min").isNull().cast("long"),
-        "_r0": F.col("driver_rating").isNull().cast("long"),
-        "_z0": F.col("pickup_zone").isNull().cast("long"),
+        "_w0": F.col("wait_time_min").isNull(),
+        "_r0": F.col("driver_rating").isNull(),
+        "_z0": F.col("pickup_zone").isNull(),
     })
     imputed = _impute(marked, zones)
-    final = _clip_all(imputed)
+    final = _clip_all(imputed).select(*RAW_COLUMNS)
     fare, dist, wait = F.col("fare_inr"), F.col("distance_km"), F.col("wait_time_min")
-    outs = imputed.agg(
+    rows_before = raw.agg(F.count(F.lit(1))).scalar()
+    rows_dedup = deduped.agg(F.count(F.lit(1))).scalar()
+    nulls = final.agg(F.sum(null_cells(final, RAW_COLUMNS))).scalar()
+    return imputed.agg(
         F.count(F.lit(1)).alias("rows_after"),
-        F.sum("_w0").alias("wait_time_imputed"),
-        F.sum("_r0").alias("driver_rating_imputed"),
-        F.sum("_z0").alias("pickup_zone_imputed"),
-        F.count(F.when((fare < C.FARE_MIN) | (fare > C.FARE_MAX), 1)).alias("fare_outliers_capped"),
-        F.count(F.when((dist < C.DISTANCE_MIN) | (dist > C.DISTANCE_MAX), 1)).alias("distance_outliers_capped"),
-        F.count(F.when(wait > C.WAIT_MAX, 1)).alias("wait_outliers_capped"),
+        F.count_if("_w0").alias("wait_time_imputed"),
+        F.count_if("_r0").alias("driver_rating_imputed"),
+        F.count_if("_z0").alias("pickup_zone_imputed"),
+        F.count_if((fare < C.FARE_MIN) | (fare > C.FARE_MAX)).alias("fare_outliers_capped"),
+        F.count_if((dist < C.DISTANCE_MIN) | (dist > C.DISTANCE_MAX)).alias("distance_outliers_capped"),
+        F.count_if(wait > C.WAIT_MAX).alias("wait_outliers_capped"),
+    ).select(
+        rows_before.alias("rows_before"),
+        (rows_before - rows_dedup).alias("duplicates_removed"),
+        (rows_dedup - F.col("rows_after")).alias("invalid_categoricals_removed"),
+        "wait_time_imputed", "driver_rating_imputed", "pickup_zone_imputed",
+        "fare_outliers_capped", "distance_outliers_capped", "wait_outliers_capped",
+        F.coalesce(nulls, F.lit(0)).cast("long").alias("remaining_nulls"),
+        "rows_after",
+        (rows_before - F.col("rows_after")).alias("rows_removed"),
     )
-    nulls = final.agg(F.sum(null_cells(final, RAW_COLUMNS)).alias("remaining_nulls"))
-    n_raw = raw.agg(F.count(F.lit(1)).alias("rows_before"))
-    n_dedup = deduped.agg(F.count(F.lit(1)).alias("rows_after_dedup"))
-
-    def long_form(a: DataFrame) -> DataFrame:
-        return a.unpivot([], [F.col(c).cast("long").alias(c) for c in a.columns], "metric", "value")
-
-    parts = [long_form(a) for a in (n_raw, n_dedup, outs, nulls)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -381,3 +381,186 @@ join (
 ) p on p.k = t.band_order""".replace("select * from", "select band_order::integer as band_order, band, pct from")))
 def q_surge_breakdown(spark, sf):
     return D.surge_breakdown_leftclosed(S.raw(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# A / B / C: sources, validation, cleaning counters
+# ---------------------------------------------------------------------------
+
+from ridewise.operators import quality as Q  # noqa: E402
+from ridewise.sources import readers as RD  # noqa: E402
+
+
+@register("load_summary", on_raw("""
+select count(*) as rows, 14 as columns, cast(min(ts) as date) as first_date, cast(max(ts) as date) as last_date
+from rides""".replace("14 as columns", "cast(14 as integer) as columns")))
+def q_load_summary(spark, sf):
+    return RD.load_summary(S.raw(spark, sf))
+
+
+@register("invalid_categories", on_raw("""
+select distinct 'city' as "column", city as value from rides
+  where not coalesce(city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad'), false)
+union all
+select distinct 'vehicle_type', vehicle_type from rides
+  where not coalesce(vehicle_type in ('bike_taxi','auto','economy','premium','shared'), false)
+union all
+select distinct 'weather', weather from rides
+  where not coalesce(weather in ('clear','light_rain','heavy_rain','fog'), false)"""))
+def q_invalid_categories(spark, sf):
+    return Q.invalid_categories(S.raw(spark, sf))
+
+
+_RAW_COLS = ["ride_id", "ts", "city", "pickup_zone", "vehicle_type", "wait_time_min", "surge_multiplier",
+             "distance_km", "fare_inr", "driver_rating", "is_completed", "weather", "is_festival", "is_ipl_day"]
+_NULL_UNION = " union all ".join(
+    f"select '{c}' as \"column\", count(*) filter (where {c} is null) as null_count, count(*) as n from rides"
+    for c in _RAW_COLS)
+
+
+@register("null_profile", on_raw(f"""
+select "column", null_count, round_even(null_count * 100.0 / n, 4) as null_pct
+from ({_NULL_UNION}) where null_count > 0"""))
+def q_null_profile(spark, sf):
+    return Q.null_profile(S.raw(spark, sf))
+
+
+_PROFILE_UNION = " union all ".join(
+    f"select '{c}' as \"column\", '{t}' as dtype, count(*) filter (where {c} is null) as null_count, "
+    f"count(*) as n, count(distinct {c}) as distinct_count from rides"
+    for c, t in zip(_RAW_COLS, ["string", "timestamp_ntz", "string", "string", "string", "double", "double",
+                                "double", "double", "double", "boolean", "string", "boolean", "boolean"]))
+
+
+@register("column_profile", on_raw(f"""
+select "column", dtype, null_count, round_even(null_count * 100.0 / n, 4) as null_pct, distinct_count
+from ({_PROFILE_UNION})"""))
+def q_column_profile(spark, sf):
+    return Q.column_profile(S.raw(spark, sf))
+
+
+@register("outlier_counts", on_raw("""
+select count(*) filter (where fare_inr < 10 or fare_inr > 5000) as fare_inr,
+       count(*) filter (where distance_km < 0.5 or distance_km > 80) as distance_km,
+       count(*) filter (where wait_time_min > 120) as wait_time_min
+from rides"""))
+def q_outlier_counts(spark, sf):
+    return Q.outlier_counts(S.raw(spark, sf))
+
+
+@register("fare_outliers", on_raw("""
+select count(*) filter (where fare_inr <= 0 or fare_inr > 5000) as fare_outliers from rides"""))
+def q_fare_outliers(spark, sf):
+    return Q.fare_outliers(S.raw(spark, sf))
+
+
+@register("duplicate_count", on_raw("""
+select cast(coalesce(sum(c - 1), 0) as bigint) as duplicates
+from (select count(*) as c from rides group by city, ts, vehicle_type, distance_km)"""))
+def q_duplicate_count(spark, sf):
+    return Q.duplicate_count_df(S.raw(spark, sf))
+
+
+_CHECKS_SQL = """
+o_m as (
+  select count(*) as n,
+    count(*) filter (where not coalesce(city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad'), false))
+      + (5 - count(distinct city) filter (where city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad'))) as city_set,
+    cast(strftime(min(cast(ts as date)), '%Y%m%d') as double) as min_date,
+    cast(strftime(max(cast(ts as date)), '%Y%m%d') as double) as max_date,
+    quantile_cont(wait_time_min, 0.5) as med_wait, avg(surge_multiplier) as mean_surge,
+    quantile_cont(fare_inr, 0.5) as med_fare, avg(cast(is_completed as double)) * 100 as completion,
+    quantile_cont(driver_rating, 0.5) as med_rating,
+    count(*) filter (where not coalesce(vehicle_type in ('bike_taxi','auto','economy','premium','shared'), false))
+      + (5 - count(distinct vehicle_type) filter (where vehicle_type in ('bike_taxi','auto','economy','premium','shared'))) as vehicle_set,
+    count(*) filter (where not coalesce(weather in ('clear','light_rain','heavy_rain','fog'), false)) as weather_subset,
+    avg(cast(coalesce(weather = 'clear', false) as double)) * 100 as clear_pct,
+    count(*) filter (where wait_time_min is null) as null_wait,
+    count(*) filter (where driver_rating is null) as null_rating,
+    count(*) filter (where pickup_zone is null) as null_zone,
+    count(*) filter (where fare_inr <= 0 or fare_inr > 5000) as fare_outliers,
+    avg(cast(hour(ts) in (7,8,9,17,18,19) as double)) * 100 as peak_pct,
+    count(*) filter (where is_festival) as festival_rides,
+    count(*) filter (where is_ipl_day) as ipl_rides,
+    (select coalesce(sum(c - 1), 0) from (select count(*) as c from rides group by city, ts, vehicle_type, distance_km)) as dupes
+  from rides),
+o_checks as (
+  select * from (values
+    (1, 'all_columns_present', 'FAIL'), (2, 'row_count', 'FAIL'), (3, 'city_set', 'FAIL'),
+    (4, 'first_date', 'FAIL'), (5, 'last_date', 'FAIL'), (6, 'median_wait', 'FAIL'),
+    (7, 'mean_surge', 'FAIL'), (8, 'median_fare', 'FAIL'), (9, 'completion_pct', 'FAIL'),
+    (10, 'median_rating', 'FAIL'), (11, 'vehicle_set', 'FAIL'), (12, 'weather_subset', 'FAIL'),
+    (13, 'clear_share_pct', 'WARN'), (14, 'null_wait_present', 'WARN'), (15, 'null_rating_present', 'WARN'),
+    (16, 'null_zone_present', 'WARN'), (17, 'fare_outliers_present', 'WARN'), (18, 'duplicates_present', 'WARN'),
+    (19, 'peak_share_pct', 'FAIL'), (20, 'festival_rides_present', 'WARN'), (21, 'ipl_rides_present', 'WARN')
+  ) t(check_id, check_name, severity)),
+o_obs as (
+  select c.check_id, c.check_name, c.severity,
+    case c.check_id when 1 then 0.0 when 2 then n when 3 then city_set when 4 then min_date when 5 then max_date
+      when 6 then med_wait when 7 then mean_surge when 8 then med_fare when 9 then completion
+      when 10 then med_rating when 11 then vehicle_set when 12 then weather_subset when 13 then clear_pct
+      when 14 then null_wait when 15 then null_rating when 16 then null_zone when 17 then fare_outliers
+      when 18 then dupes when 19 then peak_pct when 20 then festival_rides else ipl_rides end as obs,
+    case c.check_id when 1 then true when 2 then n >= @MINROWS@ when 3 then city_set = 0
+      when 4 then min_date <= 20230131 when 5 then max_date >= 20240601
+      when 6 then med_wait between 4 and 12 when 7 then mean_surge between 1 and 2
+      when 8 then med_fare between 80 and 400 when 9 then completion between 80 and 97
+      when 10 then med_rating between 3.5 and 4.8 when 11 then vehicle_set = 0 when 12 then weather_subset = 0
+      when 13 then clear_pct between 50 and 85 when 14 then null_wait > 0 when 15 then null_rating > 0
+      when 16 then null_zone > 0 when 17 then fare_outliers > 0 when 18 then dupes > 0
+      when 19 then peak_pct between 15 and 70 when 20 then festival_rides > 0 else ipl_rides > 0 end as ok
+  from o_checks c, o_m)"""
+
+_CHECKS_SELECT = """
+select cast(check_id as integer) as check_id, check_name, round_even(cast(obs as double), 4) as observed, severity,
+       case when coalesce(ok, false) then 'PASS' else severity end as status
+from o_obs"""
+
+
+@register("quality_checks", on_raw(_CHECKS_SELECT, _CHECKS_SQL.replace("@MINROWS@", "490000")))
+def q_quality_checks(spark, sf):
+    return Q.quality_checks(S.raw(spark, sf))
+
+
+@register("quality_verdict", on_raw("""
+select count(*) filter (where status = 'FAIL') as failures, count(*) filter (where status = 'WARN') as warnings,
+       count(*) filter (where status = 'PASS') as passed,
+       cast(case when count(*) filter (where status = 'FAIL') > 0 then 1 else 0 end as integer) as exit_code
+from (""" + _CHECKS_SELECT + ")", _CHECKS_SQL.replace("@MINROWS@", "490000")))
+def q_quality_verdict(spark, sf):
+    return Q.quality_verdict(Q.quality_checks(S.raw(spark, sf)))
+
+
+@register("cleaning_report", on_clean("""
+select (select count(*) from rides) as rows_before,
+       (select count(*) from rides) - (select count(*) from o_dedup) as duplicates_removed,
+       (select count(*) from o_dedup) - (select count(*) from o_valid) as invalid_categoricals_removed,
+       (select count(*) filter (where wait_time_min is null) from o_valid) as wait_time_imputed,
+       (select count(*) filter (where driver_rating is null) from o_valid) as driver_rating_imputed,
+       (select count(*) filter (where pickup_zone is null) from o_valid) as pickup_zone_imputed,
+       (select count(*) filter (where fare_inr < 10 or fare_inr > 5000) from o_z1) as fare_outliers_capped,
+       (select count(*) filter (where distance_km < 0.5 or distance_km > 80) from o_z1) as distance_outliers_capped,
+       (select count(*) filter (where wait_time_min > 120) from o_z1) as wait_outliers_capped,
+       (select count(*) filter (where ride_id is null) + count(*) filter (where ts is null)
+             + count(*) filter (where city is null) + count(*) filter (where pickup_zone is null)
+             + count(*) filter (where vehicle_type is null) + count(*) filter (where wait_time_min is null)
+             + count(*) filter (where surge_multiplier is null) + count(*) filter (where distance_km is null)
+             + count(*) filter (where fare_inr is null) + count(*) filter (where driver_rating is null)
+             + count(*) filter (where is_completed is null) + count(*) filter (where weather is null)
+             + count(*) filter (where is_festival is null) + count(*) filter (where is_ipl_day is null) from clean)
+         as remaining_nulls,
+       (select count(*) from clean) as rows_after,
+       (select count(*) from rides) - (select count(*) from clean) as rows_removed"""))
+def q_cleaning_report(spark, sf):
+    from ridewise import config as C
+    return CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones())
+
+
+@register("remaining_nulls", on_clean("""
+select cast(sum((ride_id is null)::int + (ts is null)::int + (city is null)::int + (pickup_zone is null)::int
+  + (vehicle_type is null)::int + (wait_time_min is null)::int + (surge_multiplier is null)::int
+  + (distance_km is null)::int + (fare_inr is null)::int + (driver_rating is null)::int
+  + (is_completed is null)::int + (weather is null)::int + (is_festival is null)::int
+  + (is_ipl_day is null)::int) as bigint) as remaining_nulls from clean"""))
+def q_remaining_nulls(spark, sf):
+    return CL.remaining_nulls(S.clean(spark, sf))
