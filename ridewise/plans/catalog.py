@@ -564,3 +564,156 @@ select cast(sum((ride_id is null)::int + (ts is null)::int + (city is null)::int
   + (is_ipl_day is null)::int) as bigint) as remaining_nulls from clean"""))
 def q_remaining_nulls(spark, sf):
     return CL.remaining_nulls(S.clean(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# D extras and E: reports
+# ---------------------------------------------------------------------------
+
+from ridewise.operators import reports as R  # noqa: E402
+from ridewise.functions.columns import round_np as _rn  # noqa: E402
+
+_STAT_UNION = " union all ".join(
+    f"select '{c}' as \"column\", round_even(avg({c}), 3) as mean, round_even(quantile_cont({c}, 0.5), 3) as median, "
+    f"round_even(stddev_samp({c}), 3) as std, round_even(min({c}), 3) as min, round_even(max({c}), 3) as max "
+    f"from (select cast({c} as double) as {c} from feat)" for c in R.STAT_COLUMNS)
+
+
+@register("final_stats", on_feat(_STAT_UNION))
+def q_final_stats(spark, sf):
+    return R.final_stats(_feat(spark, sf))
+
+
+_DESC_UNION = " union all ".join(
+    f"select '{c}' as \"column\", cast(count({c}) as double) as count, round_even(avg({c}), 4) as mean, "
+    f"round_even(stddev_samp({c}), 4) as std, min({c}) as min, round_even(quantile_cont({c}, 0.25), 4) as p25, "
+    f"round_even(quantile_cont({c}, 0.5), 4) as p50, round_even(quantile_cont({c}, 0.75), 4) as p75, "
+    f"max({c}) as max from feat" for c in R.DESCRIBE_COLUMNS)
+
+
+@register("describe_numeric", on_feat(_DESC_UNION))
+def q_describe_numeric(spark, sf):
+    return R.describe_numeric(_feat(spark, sf))
+
+
+_DIST_UNION = " union all ".join(
+    f"select '{c}' as feature, cast({c} as varchar) as value, count(*) as count from feat "
+    f"where {c} is not null group by {c}" for c in R.DIST_COLUMNS)
+
+
+@register("feature_distributions", on_feat(_DIST_UNION))
+def q_feature_distributions(spark, sf):
+    return R.feature_distributions(_feat(spark, sf))
+
+
+@register("value_counts_share", on_feat("""
+select feature, value, count, round_even(count * 100.0 / sum(count) over (partition by feature), 4) as pct
+from (select 'city' as feature, city as value, count(*) as count from feat group by city
+      union all select 'vehicle_type', vehicle_type, count(*) from feat group by vehicle_type)"""))
+def q_value_counts_share(spark, sf):
+    return R.value_counts_share(_feat(spark, sf))
+
+
+_FLAG_UNION = " union all ".join(
+    f"select '{f}' as flag, round_even(avg(cast({f} as double)), 4) as rate from feat" for f in R.FLAG_COLUMNS)
+
+
+@register("flag_rates", on_feat(_FLAG_UNION))
+def q_flag_rates(spark, sf):
+    return R.flag_rates(_feat(spark, sf))
+
+
+@register("dataset_summary", on_raw("""
+select count(*) as rows, min(cast(ts as date)) as first_date, max(cast(ts as date)) as last_date,
+       round_even(quantile_cont(fare_inr, 0.5), 4) as median_fare,
+       round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
+       round_even(avg(surge_multiplier), 4) as mean_surge,
+       round_even(avg(cast(is_completed as double)) * 100, 4) as completion_pct,
+       count(*) filter (where is_festival) as festival_rides,
+       round_even(avg(cast(is_festival as double)) * 100, 4) as festival_pct,
+       count(*) filter (where is_ipl_day) as ipl_rides,
+       round_even(avg(cast(is_ipl_day as double)) * 100, 4) as ipl_pct,
+       count(*) filter (where fare_inr <= 0 or fare_inr > 5000) as outlier_fares
+from rides"""))
+def q_dataset_summary(spark, sf):
+    return R.dataset_summary(S.raw(spark, sf))
+
+
+@register("quality_report")
+def q_quality_report(spark, sf):
+    from ridewise import config as C
+    enr = _feat(spark, sf)
+    return R.quality_report(enr, validation=Q.validation_issues(S.raw(spark, sf)),
+                            cleaning=CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones()),
+                            encodings=D.encoding_maps(enr))
+
+
+@register("cyclical_encode", on_feat("""
+select ride_id, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * hour / 24.0), 6) as hour_cos,
+       round_even(sin(2 * pi() * day_of_week / 7.0), 6) as dow_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos
+from feat"""))
+def q_cyclical(spark, sf):
+    cyc = D.cyclical()
+    return _feat(spark, sf).select("ride_id", *[_rn(v, 6).alias(k) for k, v in cyc.items()])
+
+
+@register("label_codes", on_feat("""
+select distinct 'city' as "column", city as value, city_code as code from feat
+union all select distinct 'vehicle_type', vehicle_type, vehicle_code from feat
+union all select distinct 'weather', weather, weather_code from feat
+union all select * from (values ('season', 'winter', 0), ('season', 'summer', 1), ('season', 'monsoon', 2),
+                                 ('season', 'post_monsoon', 3)) t(c, v, k)""".replace(
+    "t(c, v, k)", "t(c, v, k)").replace("union all select * from (values", "union all select c, v, cast(k as integer) from (values")))
+def q_label_codes(spark, sf):
+    enr = _feat(spark, sf)
+    return D.encoding_maps(enr).select("column", F.explode("codes").alias("value", "code"))
+
+
+@register("calendar_enrich", on_clean("""
+select ride_id, is_festival, is_ipl_day from clean"""))
+def q_calendar_enrich(spark, sf):
+    """Recompute both calendar flags from the calendars and the timestamps alone."""
+    c = S.clean(spark, sf).select("ride_id", "ts", "city")
+    return D.calendar_enrich(c).select("ride_id", "is_festival", "is_ipl_day")
+
+
+_HOUR_DEMAND = ", ".join(f"({h}, {v})" for h, v in __import__("ridewise.config", fromlist=["x"]).HOUR_DEMAND.items())
+
+
+@register("demand_multiplier", on_feat(f"""
+select f.ride_id, round_even(cast(hd.m as double) * case when f.day_of_week >= 5 and f.hour between 18 and 23
+                                    then 0.85::double * 1.25::double
+                                    when f.day_of_week >= 5 then 0.85::double else 1.0::double end
+        * case f.weather when 'clear' then 1.0::double when 'light_rain' then 1.35::double
+                         when 'heavy_rain' then 1.75::double when 'fog' then 1.2::double end, 6) as demand_multiplier
+from feat f join (select * from (values {_HOUR_DEMAND}) t(h, m)) hd on f.hour = hd.h"""))
+def q_demand_multiplier(spark, sf):
+    return _feat(spark, sf).select("ride_id", _rn(D.demand_multiplier(), 6).alias("demand_multiplier"))
+
+
+@register("expected_fare", on_feat("""
+select ride_id, round_even(e, 4) as expected_fare, round_even(fare_inr / e, 4) as fare_ratio
+from (select ride_id, fare_inr, (case vehicle_type when 'bike_taxi' then 25.0 when 'auto' then 30.0
+        when 'economy' then 50.0 when 'premium' then 100.0 when 'shared' then 20.0 end
+      + case vehicle_type when 'bike_taxi' then 8.0 when 'auto' then 11.0 when 'economy' then 14.0
+        when 'premium' then 22.0 when 'shared' then 6.0 end * distance_km) * surge_multiplier as e from feat)"""))
+def q_expected_fare(spark, sf):
+    e = D.expected_fare()
+    return _feat(spark, sf).select("ride_id", _rn(e, 4).alias("expected_fare"),
+                                   _rn(F.col("fare_inr") / e, 4).alias("fare_ratio"))
+
+
+@register("snap_to_step", on_feat("""
+select ride_id, round_even(surge_multiplier / 0.25, 0) * 0.25 as surge_snapped,
+       round_even(driver_rating / 0.5, 0) * 0.5 as rating_snapped from feat"""))
+def q_snap(spark, sf):
+    return _feat(spark, sf).select("ride_id", D.snap_to_step("surge_multiplier", 0.25).alias("surge_snapped"),
+                                   D.snap_to_step("driver_rating", 0.5).alias("rating_snapped"))
+
+
+@register("event_flags", on_feat(f"""
+select ride_id, {_EVENT} as event_type, cast(not is_completed as integer) as is_cancelled,
+       strftime(ts, '%Y-%m') as year_month from feat"""))
+def q_event_flags(spark, sf):
+    return _feat(spark, sf).select("ride_id", D.event_type().alias("event_type"),
+                                   D.is_cancelled().alias("is_cancelled"), D.year_month().alias("year_month"))

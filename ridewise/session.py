@@ -28,6 +28,8 @@ def get_spark(app: str = "ridewise", master: str | None = None,
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if master and master.startswith("local"):
+        b = b.config("spark.driver.memory", "8g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
