@@ -717,3 +717,116 @@ select ride_id, {_EVENT} as event_type, cast(not is_completed as integer) as is_
 def q_event_flags(spark, sf):
     return _feat(spark, sf).select("ride_id", D.event_type().alias("event_type"),
                                    D.is_cancelled().alias("is_cancelled"), D.year_month().alias("year_month"))
+
+
+# ---------------------------------------------------------------------------
+# G: time series
+# ---------------------------------------------------------------------------
+
+from ridewise.operators import timeseries as G  # noqa: E402
+
+_HOURLY_CTE = """
+o_h as (
+  select city, date, hour, count(*) as rides, max(is_peak_hour) as is_peak_hour, max(is_weekend) as is_weekend,
+         max(season_code) as season_code, max(city_code) as city_code, max(month) as month,
+         max(day_of_week) as day_of_week, max(quarter) as quarter, max(is_raining) as is_raining,
+         max(is_heavy_rain) as is_heavy_rain, max(is_fog) as is_fog,
+         max(cast(is_festival as integer)) as is_festival, max(cast(is_ipl_day as integer)) as is_ipl_day
+  from feat group by city, date, hour),
+o_lag as (
+  select *, cast(lag(rides, 1) over w as double) as rides_lag_1d, cast(lag(rides, 7) over w as double) as rides_lag_7d,
+         avg(rides) over (w rows between 3 preceding and 1 preceding) as rides_roll_3d,
+         avg(rides) over (w rows between 7 preceding and 1 preceding) as rides_roll_7d
+  from o_h window w as (partition by city, hour order by date)),
+o_ds as (select * from o_lag where rides_lag_1d is not null and rides_lag_7d is not null),
+o_split as (
+  select *, case when row_number() over (partition by city order by date, hour)
+                      <= floor(count(*) over (partition by city) * 0.8) then 'train' else 'test' end as role,
+         row_number() over (partition by city order by date, hour) - 1 as row_index
+  from o_ds)"""
+
+
+def _demand_ds(spark, sf):
+    return G.city_dataset(G.hourly_dataset(_feat(spark, sf)))
+
+
+@register("hourly_dataset", on_feat("select * from o_h", _HOURLY_CTE))
+def q_hourly_dataset(spark, sf):
+    return G.hourly_dataset(_feat(spark, sf))
+
+
+@register("lag_features", on_feat("""
+select city, date, hour, rides, rides_lag_1d, rides_lag_7d, round_even(rides_roll_3d, 6) as rides_roll_3d,
+       round_even(rides_roll_7d, 6) as rides_roll_7d from o_ds""", _HOURLY_CTE))
+def q_lag_features(spark, sf):
+    ds = G.lag_features(G.hourly_dataset(_feat(spark, sf)))
+    return ds.select("city", "date", "hour", "rides", "rides_lag_1d", "rides_lag_7d",
+                     _rn("rides_roll_3d", 6).alias("rides_roll_3d"), _rn("rides_roll_7d", 6).alias("rides_roll_7d"))
+
+
+@register("city_dataset_rows", on_feat("""
+select city, count(*) as rows, min(date) as first_date, max(date) as last_date,
+       round_even(sum(rides_roll_7d), 4) as sum_roll_7d from o_ds group by city""", _HOURLY_CTE))
+def q_city_dataset_rows(spark, sf):
+    ds = _demand_ds(spark, sf)
+    return ds.groupBy("city").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"),
+                                  F.max("date").alias("last_date"),
+                                  _rn(F.sum("rides_roll_7d"), 4).alias("sum_roll_7d"))
+
+
+@register("hourly_split", on_feat("select city, date, hour, role, row_index from o_split", _HOURLY_CTE))
+def q_hourly_split(spark, sf):
+    return G.hourly_split(_demand_ds(spark, sf)).select(
+        "city", "date", "hour", "role", F.col("row_index").cast("long").alias("row_index"))
+
+
+@register("split_periods", on_feat("""
+select city, role, min(date) as first_date, max(date) as last_date, count(*) as rows
+from o_split group by city, role""", _HOURLY_CTE))
+def q_split_periods(spark, sf):
+    return G.split_periods(G.hourly_split(_demand_ds(spark, sf)))
+
+
+@register("fold_sizes", on_feat("""
+select city, fold, sum(case when segment < fold then 1 else 0 end) as train_size,
+       sum(case when segment = fold then 1 else 0 end) as val_size
+from (select city, cast(case when pos < n - 5 * (n // 6) then 0
+                             else floor((pos - (n - 5 * (n // 6))) / (n // 6)) + 1 end as integer) as segment
+      from (select city, row_number() over (partition by city order by date, hour) - 1 as pos,
+                   count(*) over (partition by city) as n from o_split where role = 'train')),
+     (select cast(range as integer) as fold from range(1, 6))
+group by city, fold""".replace("sum(case when segment < fold then 1 else 0 end)",
+                               "cast(sum(case when segment < fold then 1 else 0 end) as bigint)")
+                      .replace("sum(case when segment = fold then 1 else 0 end)",
+                               "cast(sum(case when segment = fold then 1 else 0 end) as bigint)"), _HOURLY_CTE))
+def q_fold_sizes(spark, sf):
+    split = G.hourly_split(_demand_ds(spark, sf))
+    return G.fold_sizes(G.hourly_folds(split.where(F.col("role") == "train")))
+
+
+@register("last_n_at_hour", on_feat("""
+select city, date, hour, rides from (
+  select *, row_number() over (partition by city order by date desc) as r
+  from o_split where role = 'test' and hour = 18) where r <= 30""", _HOURLY_CTE))
+def q_last_n(spark, sf):
+    return G.last_n_at_hour(G.hourly_split(_demand_ds(spark, sf))).select("city", "date", "hour", "rides")
+
+
+@register("temporal_split_rides", on_feat("""
+select ride_id, case when row_number() over (order by ts, ride_id) <= floor(count(*) over () * 0.8)
+                     then 'train' else 'test' end as role from feat"""))
+def q_temporal_split(spark, sf):
+    return G.temporal_split(_feat(spark, sf).select("ride_id", "ts")).select("ride_id", "role")
+
+
+@register("time_series_folds_rides", on_feat("""
+select ride_id, cast(case when pos < n - 5 * (n // 6) then 0
+                          else floor((pos - (n - 5 * (n // 6))) / (n // 6)) + 1 end as integer) as segment
+from (select ride_id, row_number() over (order by ts, ride_id) - 1 as pos, count(*) over () as n from feat)"""))
+def q_ts_folds(spark, sf):
+    return G.time_series_folds(_feat(spark, sf).select("ride_id", "ts")).select("ride_id", "segment")
+
+
+@register("order_by_time", on_feat("select ride_id, ts, city from feat order by ts, ride_id"))
+def q_order_by_time(spark, sf):
+    return G.order_by_time(_feat(spark, sf).select("ride_id", "ts", "city"))
