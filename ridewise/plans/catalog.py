@@ -830,3 +830,378 @@ def q_ts_folds(spark, sf):
 @register("order_by_time", on_feat("select ride_id, ts, city from feat order by ts, ride_id"))
 def q_order_by_time(spark, sf):
     return G.order_by_time(_feat(spark, sf).select("ride_id", "ts", "city"))
+
+
+# ---------------------------------------------------------------------------
+# H (metrics), I (rebalancing), J (scoring) — model-free predictors so that
+# every number is checkable: demand = 7-day rolling mean (baseline: 3-day),
+# wait / surge / cancellation = the live page's rule estimates.
+# ---------------------------------------------------------------------------
+
+from ridewise.operators import metrics as H  # noqa: E402
+from ridewise.operators import rebalance as I  # noqa: E402
+from ridewise.operators import scoring as J  # noqa: E402
+
+_RULE_SQL = """
+  round_even(case weather when 'clear' then 7.5::double when 'light_rain' then 9.5::double
+                  when 'heavy_rain' then 14.0::double when 'fog' then 10.5::double end
+    * case when hour in (7,8,9,17,18,19,20) then 1.3::double else 1.0::double end
+    * case when is_festival then 1.4::double else 1.0::double end
+    * case when is_ipl_day and hour >= 21 then 1.6::double else 1.0::double end, 1) as rule_wait,
+  least(round_even(case weather when 'clear' then 0.2::double when 'light_rain' then 0.4::double
+                  when 'heavy_rain' then 0.75::double when 'fog' then 0.45::double end
+    + case when hour in (7,8,9,17,18,19,20) then 0.15::double else 0.0::double end
+    + case when is_festival then 0.2::double else 0.0::double end
+    + case when is_ipl_day and hour >= 21 then 0.3::double else 0.0::double end, 2), 1.0::double) as rule_surge_prob"""
+
+_SURGE_LABEL = ("case when {p} >= 0.8 then 'Extreme surge risk' when {p} >= 0.6 then 'High surge risk' "
+                "when {p} >= 0.4 then 'Moderate risk' else 'Normal' end")
+
+_RIDE_TEST_CTE = f"""
+o_rt as (
+  select *, {_RULE_SQL},
+         case when row_number() over (order by ts, ride_id) <= floor(count(*) over () * 0.8)
+              then 'train' else 'test' end as role
+  from feat)"""
+
+
+def _ride_rules(spark, sf):
+    enr = _feat(spark, sf)
+    return G.temporal_split(J.rule_based_estimates(enr))
+
+
+def _demand_test(spark, sf):
+    split = G.hourly_split(_demand_ds(spark, sf))
+    return split.where(F.col("role") == "test")
+
+
+@register("regression_metrics_demand", on_feat("""
+select city, round_even(avg(abs(rides - rides_roll_7d)), 3) as mae,
+       round_even(sqrt(avg((rides - rides_roll_7d) * (rides - rides_roll_7d))), 3) as rmse,
+       round_even(1 - sum((rides - rides_roll_7d) * (rides - rides_roll_7d)) / nullif(var_pop(rides) * count(rides), 0), 4) as r2,
+       round_even(avg(case when rides > 0 then abs((rides - rides_roll_7d) / rides) end) * 100, 2) as mape,
+       count(*) as n
+from (select city, cast(rides as double) as rides, rides_roll_7d from o_split where role = 'test') group by city""",
+                                                  _HOURLY_CTE))
+def q_reg_metrics_demand(spark, sf):
+    return H.regression_metrics(_demand_test(spark, sf), "rides", "rides_roll_7d", by=("city",))
+
+
+@register("improvement_over_baseline", on_feat("""
+select city, round_even(m_mae, 3) as model_mae, round_even(b_mae, 3) as baseline_mae,
+       round_even((round_even(b_mae, 3) - round_even(m_mae, 3)) / nullif(round_even(b_mae, 3), 0) * 100, 2) as improvement_pct
+from (select city, avg(abs(rides - rides_roll_7d)) as m_mae, avg(abs(rides - rides_roll_3d)) as b_mae
+      from o_split where role = 'test' group by city)""", _HOURLY_CTE))
+def q_improvement(spark, sf):
+    t = _demand_test(spark, sf)
+    m = H.regression_metrics(t, "rides", "rides_roll_7d", by=("city",)).select("city", F.col("mae").alias("model_mae"))
+    b = H.regression_metrics(t, "rides", "rides_roll_3d", by=("city",)).select("city", F.col("mae").alias("baseline_mae"))
+    return m.join(b, "city").withColumn("improvement_pct", H.improvement_over_baseline("model_mae", "baseline_mae"))
+
+
+@register("residual_histogram_demand", on_feat("""
+select g.bin, round_even(r.lo + (g.bin - 1) * (r.hi - r.lo) / 40.0, 6) as bin_lo,
+       round_even(r.lo + g.bin * (r.hi - r.lo) / 40.0, 6) as bin_hi, coalesce(c.cnt, 0) as count,
+       round_even(coalesce(c.cnt, 0) / (r.total * ((r.hi - r.lo) / 40.0)), 6) as density
+from (select cast(range as integer) as bin from range(1, 41)) g,
+     (select min(v) as lo, max(v) as hi, count(*) as total from o_res) r
+left join (select case when r2.hi = r2.lo then 1
+                       else least(cast(floor((v - r2.lo) / ((r2.hi - r2.lo) / 40.0)) as integer) + 1, 40) end as bin,
+                  count(*) as cnt
+           from o_res, (select min(v) as lo, max(v) as hi from o_res) r2 group by 1) c on g.bin = c.bin""",
+                                                  _HOURLY_CTE + """,
+o_res as (select cast(rides_roll_7d - rides as double) as v from o_split where role = 'test')"""))
+def q_residual_hist(spark, sf):
+    return H.residual_histogram(_demand_test(spark, sf), "rides", "rides_roll_7d", bins=40)
+
+
+@register("residual_mean_demand", on_feat("""
+select round_even(avg(rides_roll_7d - rides), 4) as mean_residual from o_split where role = 'test'""", _HOURLY_CTE))
+def q_residual_mean(spark, sf):
+    return H.residual_mean(_demand_test(spark, sf), "rides", "rides_roll_7d")
+
+
+@register("target_stats_demand", on_feat("""
+select city, round_even(avg(rides), 4) as mean, round_even(stddev_samp(rides), 4) as std
+from o_split where role = 'train' group by city""", _HOURLY_CTE))
+def q_target_stats(spark, sf):
+    split = G.hourly_split(_demand_ds(spark, sf)).where(F.col("role") == "train")
+    return split.groupBy("city").agg(_rn(F.avg("rides"), 4).alias("mean"), _rn(F.stddev_samp("rides"), 4).alias("std"))
+
+
+_SCALE_COLS = ["hour", "day_of_week", "month", "rides_lag_1d", "rides_lag_7d", "rides_roll_3d", "rides_roll_7d"]
+
+
+@register("scaling_stats_demand", on_feat(" union all ".join(
+    f"select '{c}' as \"column\", round_even(avg(cast({c} as double)), 6) as mean, "
+    f"round_even(stddev_pop(cast({c} as double)), 6) as std from o_split where role = 'train'" for c in _SCALE_COLS),
+    _HOURLY_CTE))
+def q_scaling_stats(spark, sf):
+    split = G.hourly_split(_demand_ds(spark, sf)).where(F.col("role") == "train")
+    return H.scaling_stats(split, _SCALE_COLS)
+
+
+@register("regression_metrics_wait", on_feat("""
+select round_even(avg(abs(y - p)), 3) as mae, round_even(sqrt(avg((y - p) * (y - p))), 3) as rmse,
+       round_even(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(y), 0), 4) as r2,
+       round_even(avg(case when y > 0 then abs((y - p) / y) end) * 100, 2) as mape, count(*) as n
+from (select wait_time_min as y, rule_wait as p from o_rt where role = 'test')""", _RIDE_TEST_CTE))
+def q_reg_metrics_wait(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test")
+    return H.regression_metrics(t, "wait_time_min", "rule_wait")
+
+
+@register("hourly_actual_vs_pred_wait", on_feat("""
+select hour, round_even(avg(wait_time_min), 4) as actual, round_even(avg(rule_wait), 4) as predicted
+from o_rt where role = 'test' group by hour""", _RIDE_TEST_CTE))
+def q_hourly_avp(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test")
+    return H.hourly_actual_vs_pred(t, "wait_time_min", "rule_wait")
+
+
+@register("classification_metrics_surge", on_feat("""
+select round_even(a.auc, 4) as auc,
+       round_even(coalesce(tp / nullif(tp + fp, 0), 0), 4) as precision,
+       round_even(coalesce(tp / nullif(tp + fn, 0), 0), 4) as recall,
+       round_even(coalesce(2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0))
+                  / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 0), 4) as f1
+from (select cast(count(*) filter (where y = 1 and p = 1) as double) as tp,
+             cast(count(*) filter (where y = 0 and p = 1) as double) as fp,
+             cast(count(*) filter (where y = 1 and p = 0) as double) as fn from o_cls),
+     (select sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)) as auc from (
+        select s, pos, neg, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as neg_below
+        from (select s, count(*) filter (where y = 1) as pos, count(*) filter (where y = 0) as neg from o_cls group by s))) a""",
+                                                     _RIDE_TEST_CTE + """,
+o_cls as (select is_high_surge as y, cast(rule_surge_prob >= 0.5 as integer) as p, rule_surge_prob as s
+          from o_rt where role = 'test')"""))
+def q_cls_metrics(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test").withColumn(
+        "pred", (F.col("rule_surge_prob") >= 0.5).cast("int"))
+    return H.classification_metrics(t, "is_high_surge", "pred", "rule_surge_prob")
+
+
+@register("confusion_matrix_surge", on_feat("""
+select tn, fp, fn, tp, round_even(tn * 100.0 / (tn + fp + fn + tp), 2) as tn_pct,
+       round_even(fp * 100.0 / (tn + fp + fn + tp), 2) as fp_pct, round_even(fn * 100.0 / (tn + fp + fn + tp), 2) as fn_pct,
+       round_even(tp * 100.0 / (tn + fp + fn + tp), 2) as tp_pct
+from (select count(*) filter (where y = 0 and p = 0) as tn, count(*) filter (where y = 0 and p = 1) as fp,
+             count(*) filter (where y = 1 and p = 0) as fn, count(*) filter (where y = 1 and p = 1) as tp
+      from (select is_high_surge as y, cast(rule_surge_prob >= 0.5 as integer) as p from o_rt where role = 'test'))""",
+                                               _RIDE_TEST_CTE))
+def q_confusion(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test").withColumn(
+        "pred", (F.col("rule_surge_prob") >= 0.5).cast("int"))
+    return H.confusion_matrix(t, "is_high_surge", "pred")
+
+
+@register("class_balance_surge", on_feat("""
+select round_even(avg(cast(is_high_surge as double)), 4) as positive_rate, count(*) as n
+from o_rt where role = 'train'""", _RIDE_TEST_CTE))
+def q_class_balance(spark, sf):
+    return H.class_balance(_ride_rules(spark, sf).where(F.col("role") == "train"), "is_high_surge")
+
+
+@register("score_histogram_by_class", on_feat("""
+select g.label, g.bin, round_even(r.lo + (g.bin - 1) * (r.hi - r.lo) / 40.0, 6) as bin_lo,
+       round_even(r.lo + g.bin * (r.hi - r.lo) / 40.0, 6) as bin_hi, coalesce(c.cnt, 0) as count,
+       round_even(coalesce(c.cnt, 0) / (r.total * ((r.hi - r.lo) / 40.0)), 6) as density
+from (select label, cast(range as integer) as bin from (select distinct label from o_sc), range(1, 41)) g
+join (select label, min(v) as lo, max(v) as hi, count(*) as total from o_sc group by label) r on g.label = r.label
+left join (select o.label, case when r2.hi = r2.lo then 1
+                       else least(cast(floor((v - r2.lo) / ((r2.hi - r2.lo) / 40.0)) as integer) + 1, 40) end as bin,
+                  count(*) as cnt
+           from o_sc o join (select label, min(v) as lo, max(v) as hi from o_sc group by label) r2 on o.label = r2.label
+           group by 1, 2) c on g.label = c.label and g.bin = c.bin""", _RIDE_TEST_CTE + """,
+o_sc as (select is_high_surge as label, rule_surge_prob as v from o_rt where role = 'test')"""))
+def q_score_hist(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test")
+    return H.score_histogram_by_class(t, "is_high_surge", "rule_surge_prob", bins=40)
+
+
+_HOURS_AVG = ", ".join(f"coalesce(avg(case when hour = {h} then rule_surge_prob end), 0.0) as h{h:02d}"
+                       for h in range(24))
+
+
+def _risk_long(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test")
+    long = I.unpivot_matrix(I.surge_risk_matrix(t, "rule_surge_prob"))
+    codes = D.code_table(_feat(spark, sf), "city", "city_code")
+    return I.decode_city(long, codes)
+
+
+_RISK_LONG_CTE = _RIDE_TEST_CTE + """,
+o_codes as (select distinct city, city_code from feat),
+o_risk as (
+  select c.city, m.city_code, m.hour, m.surge_prob from (
+    select city_code, hour, coalesce(avg(rule_surge_prob), 0.0) as surge_prob
+    from (select city_code from o_rt where role = 'test' group by city_code)
+    cross join (select cast(range as integer) as hour from range(0, 24))
+    left join (select city_code, hour, rule_surge_prob from o_rt where role = 'test') using (city_code, hour)
+    group by city_code, hour) m left join o_codes c on m.city_code = c.city_code)"""
+
+
+@register("surge_risk_matrix", on_feat(f"""
+select city_code, {_HOURS_AVG.replace('avg(case', 'round_even(avg(case').replace('end), 0.0)', 'end), 6), 0.0)')}
+from o_rt where role = 'test' group by city_code""", _RIDE_TEST_CTE))
+def q_surge_risk_matrix(spark, sf):
+    t = _ride_rules(spark, sf).where(F.col("role") == "test")
+    m = I.surge_risk_matrix(t, "rule_surge_prob")
+    return I.rounded(m, [f"h{h:02d}" for h in range(24)])
+
+
+@register("surge_risk_long", on_feat("""
+select city, city_code, hour, round_even(surge_prob, 6) as surge_prob from o_risk""", _RISK_LONG_CTE))
+def q_surge_risk_long(spark, sf):
+    return I.rounded(_risk_long(spark, sf), ["surge_prob"])
+
+
+@register("rebalancing_top10", on_feat("""
+select city, city_code, hour, round_even(surge_prob, 6) as surge_prob, city || ' ' || cast(hour as varchar) || ':00' as label
+from o_risk order by surge_prob desc, city, hour limit 10""", _RISK_LONG_CTE))
+def q_rebalancing_top10(spark, sf):
+    return I.rounded(I.rebalancing_top(_risk_long(spark, sf)), ["surge_prob"])
+
+
+@register("rule_based_estimates", on_feat(f"""
+select ride_id, rule_wait, rule_surge_prob, {_SURGE_LABEL.format(p='rule_surge_prob')} as rule_surge_label,
+       round_even(0.04::double + case when weather = 'heavy_rain' then 0.12::double else 0.0::double end
+                  + case when rule_surge_prob >= 0.6 then 0.08::double else 0.0::double end, 2) as rule_cancel_prob,
+       round_even(1.5::double + rule_surge_prob * 1.5::double, 2) as rule_demand_pressure,
+       round_even(1.0::double + rule_surge_prob * 2.5::double, 2) as rule_surge_estimate,
+       [case when rule_wait > 10 then 'High demand — pre-position fleet in ' || city else 'Normal demand conditions' end,
+        case when rule_surge_prob >= 0.5 then 'Surge alert: ' || {_SURGE_LABEL.format(p='rule_surge_prob')} || ' — activate standby pool'
+             else 'No surge action needed' end] as rule_advice
+from (select *, {_RULE_SQL} from feat)"""))
+def q_rule_based(spark, sf):
+    r = J.rule_based_estimates(_feat(spark, sf))
+    return r.select("ride_id", "rule_wait", "rule_surge_prob", "rule_surge_label", "rule_cancel_prob",
+                    "rule_demand_pressure", "rule_surge_estimate", "rule_advice")
+
+
+@register("rule_based_profile", on_feat("""
+select city, month, day_of_week, weather, is_festival, is_ipl_day, hour,
+       round_even(case weather when 'clear' then 7.5::double when 'light_rain' then 9.5::double
+                  when 'heavy_rain' then 14.0::double when 'fog' then 10.5::double end
+         * case when hour in (7,8,9,17,18,19,20) then 1.3::double when hour in (1,2,3,4) then 0.8::double else 1.0::double end
+         * case when is_festival then 1.4::double else 1.0::double end, 1) as wait_time_min,
+       round_even(least(case weather when 'clear' then 0.2::double when 'light_rain' then 0.4::double
+                  when 'heavy_rain' then 0.7::double when 'fog' then 0.45::double end
+         + case when hour in (7,8,9,17,18,19,20) then 0.15::double else 0.0::double end
+         + case when is_festival then 0.2::double else 0.0::double end, 1.0::double) * 100, 1) as surge_risk_pct
+from (select distinct city, month, day_of_week, weather, is_festival, is_ipl_day from feat),
+     (select cast(range as integer) as hour from range(0, 24))"""))
+def q_rule_profile(spark, sf):
+    return J.rule_based_profile(J.scenario_keys(_feat(spark, sf)))
+
+
+_RECS_SQL = """
+  list_filter([
+    case when w > 10 then 'Dispatch additional drivers to ' || city || ' — predicted wait '
+         || cast(cast(round_even(w, 0) as bigint) as varchar) || ' min' end,
+    case when hs then 'Surge alert (' || lbl || ') — pre-position fleet before ' || cast(hour as varchar) || ':00' end,
+    case when weather = 'heavy_rain' then 'Heavy rain: activate rain surge protocol, expect 3× cancellations' end,
+    case when is_festival then 'Festival day: deploy surge standby pool from 6 PM onwards' end,
+    case when is_ipl_day and hour >= 21 then 'Post-IPL demand spike expected — activate 150+ standby vehicles' end],
+    lambda x: x is not null)"""
+
+
+@register("recommendations", on_feat(f"""
+select ride_id, case when len(recs) = 0 then ['Demand is normal — maintain current fleet distribution'] else recs end
+         as recommendations
+from (select ride_id, {_RECS_SQL} as recs
+      from (select *, rule_wait as w, rule_surge_prob >= 0.5 as hs, {_SURGE_LABEL.format(p='rule_surge_prob')} as lbl
+            from (select *, {_RULE_SQL} from feat)))"""))
+def q_recommendations(spark, sf):
+    r = J.rule_based_estimates(_feat(spark, sf)).withColumns({
+        "_hs": F.col("rule_surge_prob") >= 0.5})
+    return r.select("ride_id", J.recommendations(wait="rule_wait", high_surge="_hs",
+                                                 label="rule_surge_label").alias("recommendations"))
+
+
+@register("recommendation_severity", on_feat(f"""
+select ride_id, list_transform(r, lambda t: case when regexp_matches(lower(t), '(urgent|extreme|critical|alert|heavy)') then 'alarm'
+                                          when regexp_matches(lower(t), '(surge|high|spike|festival)') then 'warning'
+                                          else 'ok' end) as severity
+from (select ride_id, case when len(recs) = 0 then ['Demand is normal — maintain current fleet distribution'] else recs end as r
+      from (select ride_id, {_RECS_SQL} as recs
+            from (select *, rule_wait as w, rule_surge_prob >= 0.5 as hs, {_SURGE_LABEL.format(p='rule_surge_prob')} as lbl
+                  from (select *, {_RULE_SQL} from feat))))"""))
+def q_rec_severity(spark, sf):
+    r = J.rule_based_estimates(_feat(spark, sf)).withColumn("_hs", F.col("rule_surge_prob") >= 0.5)
+    recs = J.recommendations(wait="rule_wait", high_surge="_hs", label="rule_surge_label")
+    return r.select("ride_id", J.recommendation_severity(recs).alias("severity"))
+
+
+@register("status_lights", on_feat("""
+select ride_id,
+  case when rule_surge_prob >= 0.7 then 'red' when rule_surge_prob >= 0.4 then 'amber' else 'green' end as surge_light,
+  case when rule_wait >= 12 then 'red' when rule_wait >= 8 then 'amber' else 'green' end as wait_light,
+  case when rule_wait < 6 then 'green' when rule_wait < 10 then 'amber' else 'red' end as wait_gauge,
+  case when rule_surge_prob * 100 < 40 then 'green' when rule_surge_prob * 100 < 65 then 'amber' else 'red' end as surge_gauge,
+  case when dp < 2 then 'green' when dp < 3 then 'amber' else 'red' end as pressure_gauge
+from (select *, round_even(1.5::double + rule_surge_prob * 1.5::double, 2) as dp
+      from (select *, """ + _RULE_SQL + " from feat))"))
+def q_status_lights(spark, sf):
+    r = J.status_lights(J.rule_based_estimates(_feat(spark, sf)))
+    return r.select("ride_id", "surge_light", "wait_light", "wait_gauge", "surge_gauge", "pressure_gauge")
+
+
+_SCEN_FEAT_SQL = """
+select ride_id as scenario_id, cast(floor((month - 1) / 3) + 1 as integer) as quarter,
+  round_even(cast(surge_multiplier as double) + case when hour in (7,8,9,17,18,19,20) then 0.5::double else 0.0::double end
+    + case when weather in ('light_rain', 'heavy_rain') then 0.4::double else 0.0::double end
+    + case when is_festival then 0.6::double else 0.0::double end
+    + case when is_ipl_day then 0.5::double else 0.0::double end, 2) as demand_pressure,
+  cast(coalesce(case city when 'Bengaluru' then 0 when 'Chennai' then 1 when 'Delhi NCR' then 2
+       when 'Hyderabad' then 3 when 'Mumbai' then 4 end, 2) as integer) as city_code,
+  cast(coalesce(case vehicle_type when 'auto' then 0 when 'bike_taxi' then 1 when 'economy' then 2
+       when 'premium' then 3 when 'shared' then 4 end, 2) as integer) as vehicle_code,
+  cast(coalesce(case weather when 'clear' then 0 when 'fog' then 1 when 'heavy_rain' then 2
+       when 'light_rain' then 3 end, 0) as integer) as weather_code,
+  season_code, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos
+from feat"""
+
+
+@register("build_scenario_features", on_feat(_SCEN_FEAT_SQL))
+def q_scenario_features(spark, sf):
+    f = J.build_scenario_features(J.scenarios_from_rides(_feat(spark, sf)))
+    return f.select("scenario_id", "quarter", "demand_pressure", "city_code", "vehicle_code", "weather_code",
+                    "season_code", _rn("hour_sin", 6).alias("hour_sin"), _rn("dow_cos", 6).alias("dow_cos"))
+
+
+@register("predict_all_fallback", on_feat(f"""
+select scenario_id, city, hour, weather, vehicle_type, is_festival, is_ipl_day, 7.5::double as wait_time_min,
+       0.3::double as surge_probability, false as surge_is_high, 'Normal' as surge_label,
+       0.06::double as cancel_probability, 'Low risk' as cancel_label, demand_pressure,
+       case when len(recs) = 0 then ['Demand is normal — maintain current fleet distribution'] else recs end as recommendations
+from (select *, {_RECS_SQL} as recs from (
+  select ride_id as scenario_id, city, hour, weather, vehicle_type, is_festival, is_ipl_day,
+         7.5::double as w, false as hs, 'Normal' as lbl,
+         round_even(cast(surge_multiplier as double) + case when hour in (7,8,9,17,18,19,20) then 0.5::double else 0.0::double end
+           + case when weather in ('light_rain', 'heavy_rain') then 0.4::double else 0.0::double end
+           + case when is_festival then 0.6::double else 0.0::double end
+           + case when is_ipl_day then 0.5::double else 0.0::double end, 2) as demand_pressure
+  from feat))"""))
+def q_predict_all(spark, sf):
+    r = J.predict_all(J.scenarios_from_rides(_feat(spark, sf)))
+    return r.select("scenario_id", "city", "hour", "weather", "vehicle_type", "is_festival", "is_ipl_day",
+                    "wait_time_min", F.col("surge.probability").alias("surge_probability"),
+                    F.col("surge.is_high_surge").alias("surge_is_high"), F.col("surge.label").alias("surge_label"),
+                    F.col("cancellation.probability").alias("cancel_probability"),
+                    F.col("cancellation.label").alias("cancel_label"), "demand_pressure", "recommendations")
+
+
+@register("hourly_profile_fallback", on_feat("""
+select city, month, day_of_week, weather, is_festival, is_ipl_day, hour, 7.5::double as wait_time_min,
+       0.3::double as surge_prob, 'Normal' as surge_label, 0.06::double as cancel_prob,
+       round_even(1.5::double + case when hour in (7,8,9,17,18,19,20) then 0.5::double else 0.0::double end
+           + case when weather in ('light_rain', 'heavy_rain') then 0.4::double else 0.0::double end
+           + case when is_festival then 0.6::double else 0.0::double end
+           + case when is_ipl_day then 0.5::double else 0.0::double end, 2) as demand_pressure
+from (select distinct city, month, day_of_week, weather, is_festival, is_ipl_day from feat),
+     (select cast(range as integer) as hour from range(0, 24))"""))
+def q_hourly_profile(spark, sf):
+    keys = J.scenario_keys(_feat(spark, sf))
+    p = J.hourly_profile(keys.withColumn("hour", F.lit(0)))
+    return p.select("city", "month", "day_of_week", "weather", "is_festival", "is_ipl_day", "hour",
+                    "wait_time_min", "surge_prob", "surge_label", "cancel_prob", "demand_pressure")
