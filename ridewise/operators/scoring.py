@@ -148,9 +148,10 @@ def predict_wait(feat: DataFrame, model=None, out: str = "wait_time_min") -> Dat
     """Wait in minutes: model clipped to [0.5, 60], round 1; no model → 7.5."""
     if model is None:
         return feat.withColumn(out, F.lit(C.FALLBACK_WAIT))
-    scored = model.transform(_model_frame(feat, WAIT_FEATURES).drop("prediction", "features"))
-    p = F.least(F.greatest(F.col("prediction"), F.lit(0.5)), F.lit(60.0))
-    return scored.withColumn(out, round_np(p, 1)).drop("prediction", "features")
+    pc = model.stages[-1].getPredictionCol()
+    scored = model.transform(_model_frame(feat, WAIT_FEATURES))
+    p = F.least(F.greatest(F.col(pc), F.lit(0.5)), F.lit(60.0))
+    return scored.withColumn(out, round_np(p, 1)).drop(pc, "features")
 
 
 # J4 -------------------------------------------------------------------------------
@@ -160,12 +161,13 @@ def predict_surge(feat: DataFrame, model=None, out: str = "surge") -> DataFrame:
         return feat.withColumn(out, F.struct(
             F.lit(C.FALLBACK_SURGE_PROB).alias("probability"), F.lit(False).alias("is_high_surge"),
             F.lit("Normal").alias("label"), F.lit(None).cast("double").alias("surge_estimate")))
-    scored = model.transform(_model_frame(feat, SURGE_FEATURES).drop("prediction", "features"))
+    pc = model.stages[-1].getPredictionCol()
+    scored = model.transform(_model_frame(feat, SURGE_FEATURES))
     p = _positive_prob()
     return scored.withColumn(out, F.struct(
         round_np(p, 3).alias("probability"), (p >= 0.5).alias("is_high_surge"),
         surge_label(p).alias("label"), round_np(1.0 + p * 2.5, 2).alias("surge_estimate"))
-    ).drop("prediction", "features", "rawPrediction", "probability")
+    ).drop(pc, "features", "rawPrediction", "probability")
 
 
 # J5 -------------------------------------------------------------------------------
@@ -173,11 +175,12 @@ def predict_cancel(feat: DataFrame, model=None, out: str = "cancellation") -> Da
     if model is None:
         return feat.withColumn(out, F.struct(F.lit(C.FALLBACK_CANCEL_PROB).alias("probability"),
                                              F.lit("Low risk").alias("label")))
-    scored = model.transform(_model_frame(feat, CANCEL_FEATURES).drop("prediction", "features"))
+    pc = model.stages[-1].getPredictionCol()
+    scored = model.transform(_model_frame(feat, CANCEL_FEATURES))
     p = _positive_prob()
     return scored.withColumn(out, F.struct(round_np(p, 3).alias("probability"),
                                            cancel_label(p).alias("label"))
-                             ).drop("prediction", "features", "rawPrediction", "probability")
+                             ).drop(pc, "features", "rawPrediction", "probability")
 
 
 # J8 / J9 ----------------------------------------------------------------------------

@@ -1205,3 +1205,106 @@ def q_hourly_profile(spark, sf):
     p = J.hourly_profile(keys.withColumn("hour", F.lit(0)))
     return p.select("city", "month", "day_of_week", "weather", "is_festival", "is_ipl_day", "hour",
                     "wait_time_min", "surge_prob", "surge_label", "cancel_prob", "demand_pressure")
+
+
+# ---------------------------------------------------------------------------
+# H (MLlib models), A8/A9, J3–J5, J11, J13, J14 — rows-only checks.
+# Boosting iterations are a parameter (reference default 200/150); the
+# registered queries run QUERY_ITERS to keep the check affordable.
+# ---------------------------------------------------------------------------
+
+from ridewise.operators import models as ML  # noqa: E402
+from ridewise.plans import training as T  # noqa: E402
+
+QUERY_ITERS = 10
+
+
+def _ride_split(spark, sf):
+    k = ("ride_split", spark.sparkContext.applicationId, sf)
+    if k not in _SPLITS:
+        _SPLITS[k] = T.ride_split(_feat(spark, sf))
+    return _SPLITS[k]
+
+
+_SPLITS: dict = {}
+
+
+def _model_dir(spark, sf):
+    return S.stage_path(spark, sf, "models")
+
+
+@register("gbt_demand_leaderboard")
+def q_demand_models(spark, sf):
+    return ML.leaderboard(T.train_demand(spark, _feat(spark, sf), max_iter=QUERY_ITERS))
+
+
+@register("gbt_wait_metrics")
+def q_wait_model(spark, sf):
+    met, _, _ = T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS)
+    return met
+
+
+@register("gbt_surge_metrics")
+def q_surge_model(spark, sf):
+    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_high_surge", ML.SURGE_FEATURES,
+                                   T.SURGE_GBT, max_iter=QUERY_ITERS, name="surge")
+    return met
+
+
+@register("gbt_cancel_metrics")
+def q_cancel_model(spark, sf):
+    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_cancelled", ML.CANCEL_FEATURES,
+                                   T.CANCEL_GBT, max_iter=QUERY_ITERS, name="cancellation", baseline=False)
+    return met
+
+
+@register("feature_importance_wait")
+def q_importance(spark, sf):
+    _, model, _ = T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS)
+    return ML.feature_importance(spark, model, ML.WAIT_FEATURES, k=12)
+
+
+@register("cv_scores_wait")
+def q_cv_wait(spark, sf):
+    split = _ride_split(spark, sf)
+    train = G.time_series_folds(split.where(F.col("role") == "train"))
+    cv = ML.cv_scores(train, ML.WAIT_FEATURES, lambda: ML.gbt_regressor("wait_time_min", max_iter=5, **T.WAIT_GBT),
+                      "wait_time_min", lo=0.5, hi=120.0)
+    return cv.select("fold", "mae", "rmse", "r2", "mape").unionByName(
+        ML.cv_summary(cv, "mae").select(F.lit(0).alias("fold"), F.col("mae_mean").alias("mae"),
+                                        F.col("mae_std").alias("rmse"), F.lit(None).cast("double").alias("r2"),
+                                        F.lit(None).cast("double").alias("mape")))
+
+
+@register("predict_all_models")
+def q_predict_all_models(spark, sf):
+    """Train, store (A8), reload (A9) and score every ride scenario with the models."""
+    md = _model_dir(spark, sf)
+    split = _ride_split(spark, sf)
+    T.train_wait(spark, split, max_iter=QUERY_ITERS, model_dir=md)
+    T.train_classifier(spark, split, "is_high_surge", ML.SURGE_FEATURES, T.SURGE_GBT, max_iter=QUERY_ITERS,
+                       name="surge", model_dir=md, baseline=False)
+    T.train_classifier(spark, split, "is_cancelled", ML.CANCEL_FEATURES, T.CANCEL_GBT, max_iter=QUERY_ITERS,
+                       name="cancellation", model_dir=md, baseline=False)
+    models = [ML.load_model(md, n) for n in ("wait_time", "surge", "cancellation")]
+    r = J.predict_all(J.scenarios_from_rides(_feat(spark, sf)), *models)
+    return r.select("scenario_id", "city", "hour", "wait_time_min", "surge.*", F.col("cancellation.probability")
+                    .alias("cancel_probability"), F.col("cancellation.label").alias("cancel_label"),
+                    "demand_pressure", "recommendations")
+
+
+@register("model_summary")
+def q_model_summary(spark, sf):
+    md = _model_dir(spark, sf)
+    if ML.load_model(md, "wait_time") is None:
+        T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS, model_dir=md)
+    return ML.model_summary(spark, md)
+
+
+@register("predict_demand")
+def q_predict_demand(spark, sf):
+    """Per-city demand models applied to the held-out hourly rows."""
+    enr = _feat(spark, sf)
+    _, models = T.train_demand(spark, enr, max_iter=QUERY_ITERS, return_models=True)
+    test = T.demand_split(enr).where(F.col("role") == "test")
+    return T.predict_demand(models, test).select("city", "date", "hour", "rides", "predicted_rides")
