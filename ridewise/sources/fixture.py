@@ -82,6 +82,17 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer splits than the cluster has cores.
+
+    A large table arrives in thousands of splits and is returned untouched;
+    a file with a single row group is read by one task, so it is spread by a
+    round-robin repartition before the per-row work starts.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ride records (14 columns) derived from the driver's tables.
 
@@ -90,4 +101,5 @@ def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     Catalyst and AQE decide from the scanned sizes.
     """
     tables = {t: load_table(spark, sf_dir, t) for t in _SOURCE_TABLES}
+    tables["lineitem"] = ensure_parallelism(tables["lineitem"])
     return spark.sql("with " + rides_cte("spark") + " select * from rides", **tables)
