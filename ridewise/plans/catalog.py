@@ -1308,3 +1308,81 @@ def q_predict_demand(spark, sf):
     _, models = T.train_demand(spark, enr, max_iter=QUERY_ITERS, return_models=True)
     test = T.demand_split(enr).where(F.col("role") == "test")
     return T.predict_demand(models, test).select("city", "date", "hour", "rides", "predicted_rides")
+
+
+# ---------------------------------------------------------------------------
+# A: sinks read back
+# ---------------------------------------------------------------------------
+
+from ridewise.sources import writers as WR  # noqa: E402
+
+
+@register("write_clean_csv", on_feat("""
+select ride_id, ts, city, cast(date as varchar) as date, fare_per_km, demand_pressure, surge_band,
+       hourly_ride_volume from feat"""))
+def q_write_csv(spark, sf):
+    path = S.stage_path(spark, sf, "csv_sink")
+    WR.write_clean_csv(_feat(spark, sf).select("ride_id", "ts", "city", "date", "fare_per_km", "demand_pressure",
+                                               "surge_band", "hourly_ride_volume"), path)
+    return (spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .schema("ride_id string, ts timestamp_ntz, city string, date string, fare_per_km double, "
+                    "demand_pressure double, surge_band string, hourly_ride_volume long").csv(path))
+
+
+@register("write_clean_table", on_feat("select count(*) as rows from feat"))
+def q_write_table(spark, sf):
+    n = WR.write_clean_table(_feat(spark, sf), S.stage_path(spark, sf, "table_sink"))
+    return spark.range(1).select(F.lit(n).cast("long").alias("rows"))
+
+
+@register("read_rides_clean_city", on_feat("""
+select vehicle_type, count(*) as rides, round_even(avg(fare_inr), 4) as mean_fare
+from feat where city = 'Mumbai' group by vehicle_type"""))
+def q_read_clean_city(spark, sf):
+    """A3 with partition pruning: only the city=Mumbai folder is scanned."""
+    path = S.stage_path(spark, sf, "enriched")
+    df = RD.read_rides_clean(spark, path).where(F.col("city") == "Mumbai")
+    return df.groupBy("vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
+
+
+@register("write_quality_report")
+def q_write_report(spark, sf):
+    from ridewise.plans.etl import run_on
+    from ridewise import config as C
+    out = S.stage_path(spark, sf, "etl_run")
+    res = run_on(S.raw(spark, sf), out, zones=C.fixture_zones(), write_csv=False)
+    return spark.read.text(res["report"]).select(F.get_json_object("value", "$.final_shape.rows").alias("rows"))
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming: the counter and the scorer over file streams of the
+# stored ride tables, drained with an availableNow trigger.
+# ---------------------------------------------------------------------------
+
+from ridewise.streaming import live as LV  # noqa: E402
+
+
+@register("stream_hourly_volume", on_raw("""
+select city, date_trunc('hour', ts) as hour_start, count(*) as rides from rides
+where city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad') group by 1, 2"""))
+def q_stream_volume(spark, sf):
+    S.raw(spark, sf)
+    stream = LV.read_ride_stream(spark, S.stage_path(spark, sf, "raw"))
+    return LV.run_available(LV.hourly_volume_stream(stream), mode="complete")
+
+
+@register("stream_rule_scoring", on_feat(f"""
+select ride_id as scenario_id, rule_wait, rule_surge_prob, demand_pressure from (
+  select *, {_RULE_SQL},
+         round_even(cast(surge_multiplier as double) + case when hour in (7,8,9,17,18,19,20) then 0.5::double else 0.0::double end
+           + case when weather in ('light_rain', 'heavy_rain') then 0.4::double else 0.0::double end
+           + case when is_festival then 0.6::double else 0.0::double end
+           + case when is_ipl_day then 0.5::double else 0.0::double end, 2) as demand_pressure from feat)"""))
+def q_stream_scoring(spark, sf):
+    S.enriched(spark, sf)
+    schema = J.scenarios_from_rides(_feat(spark, sf)).schema
+    req = (spark.readStream.schema(_feat(spark, sf).schema).parquet(S.stage_path(spark, sf, "enriched"))
+           .transform(J.scenarios_from_rides))
+    assert req.schema == schema
+    out = LV.run_available(LV.score_stream(req))
+    return out.select("scenario_id", "rule_wait", "rule_surge_prob", "demand_pressure")
