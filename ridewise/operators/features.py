@@ -255,9 +255,12 @@ def snap_to_step(c, step: float) -> Column:
 def inject_quality_issues(df: DataFrame, null_wait_pm: int = 20, null_rating_pm: int = 10,
                           null_zone_pm: int = 5, bad_fare_pm: int = 5, dup_pm: int = 3) -> DataFrame:
     """D32 (test-table builder): null out / corrupt a per-mille share of rows
-    chosen by hash of ride_id, and append a per-mille share as exact copies."""
-    h = F.pmod(F.xxhash64("ride_id"), F.lit(1000))
-    h2 = F.pmod(F.xxhash64(F.concat(F.col("ride_id"), F.lit("#"))), F.lit(1000))
+    chosen by a portable hash of ride_id, and append a per-mille share as
+    exact copies. The reference draws these at random; a hash makes the
+    choice reproducible on re-execution and checkable in SQL."""
+    from ridewise.functions.columns import portable_hash
+    h = F.pmod(portable_hash("ride_id"), F.lit(1000))
+    h2 = F.pmod(F.floor(portable_hash("ride_id") / 1000), F.lit(1000))
     out = df.withColumns({
         "wait_time_min": F.when(h < null_wait_pm, None).otherwise(F.col("wait_time_min")),
         "driver_rating": F.when((h >= 100) & (h < 100 + null_rating_pm), None).otherwise(F.col("driver_rating")),

@@ -1386,3 +1386,85 @@ def q_stream_scoring(spark, sf):
     assert req.schema == schema
     out = LV.run_available(LV.score_stream(req))
     return out.select("scenario_id", "rule_wait", "rule_surge_prob", "demand_pressure")
+
+
+# ---------------------------------------------------------------------------
+# Remaining single-step operators of the inventory
+# ---------------------------------------------------------------------------
+
+@register("missing_columns", on_raw("""
+select * from (values ('x')) t("column") where false"""))
+def q_missing_columns(spark, sf):
+    return Q.missing_columns(S.raw(spark, sf))
+
+
+@register("filter_valid_categories", on_clean("""
+select city, vehicle_type, weather, count(*) as rides from o_valid group by all"""))
+def q_filter_valid(spark, sf):
+    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf)))
+    return v.groupBy("city", "vehicle_type", "weather").agg(F.count(F.lit(1)).alias("rides"))
+
+
+@register("impute_zone_rows", on_clean("""
+select c.ride_id, c.pickup_zone from clean c join o_valid v on c.ride_id = v.ride_id and c.ts = v.ts
+  and c.city = v.city and c.vehicle_type = v.vehicle_type and c.distance_km = v.distance_km
+where v.pickup_zone is null"""))
+def q_impute_zone(spark, sf):
+    from ridewise import config as C
+    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf))).where(F.col("pickup_zone").isNull())
+    return CL.impute_zone(v.select("ride_id", "city", "pickup_zone"), C.fixture_zones()).select("ride_id", "pickup_zone")
+
+
+@register("impute_wait_medians", on_clean("""
+select city, vehicle_type, quantile_cont(wait_time_min, 0.5) as wait_median from o_valid group by all"""))
+def q_wait_medians(spark, sf):
+    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf)))
+    return v.groupBy("city", "vehicle_type").agg(F.median("wait_time_min").alias("wait_median"))
+
+
+@register("city_volume_p75", on_feat("""
+select city, quantile_cont(hourly_ride_volume, 0.75) as city_volume_p75 from feat group by city"""))
+def q_city_p75(spark, sf):
+    return D.city_volume_p75(D.hourly_volume_table(S.clean(spark, sf).withColumns(D.time_features())))
+
+
+@register("inject_quality_issues", on_clean("""
+select count(*) as rows, count(*) filter (where wait_time_min is null) as null_wait,
+       count(*) filter (where driver_rating is null) as null_rating,
+       count(*) filter (where pickup_zone is null) as null_zone,
+       count(*) filter (where fare_inr <= 0 or fare_inr > 5000) as bad_fare,
+       round_even(sum(coalesce(fare_inr, 0)), 2) as fare_sum
+from (
+  select * from o_inj union all select * from o_inj where h2 >= 997)""", """
+o_h as (select *, cast('0x' || substr(md5(ride_id), 1, 8) as bigint) as hv from clean),
+o_inj as (
+  select ride_id, case when hv % 1000 < 20 then null else wait_time_min end as wait_time_min,
+         case when hv % 1000 >= 100 and hv % 1000 < 110 then null else driver_rating end as driver_rating,
+         case when hv % 1000 >= 200 and hv % 1000 < 205 then null else pickup_zone end as pickup_zone,
+         case when (hv // 1000) % 1000 >= 300 and (hv // 1000) % 1000 < 305
+              then [0.0::double, 9999.0::double, -1.0::double][cast(((hv // 1000) % 1000) % 3 as integer) + 1]
+              else fare_inr end as fare_inr,
+         (hv // 1000) % 1000 as h2
+  from o_h)"""))
+def q_inject(spark, sf):
+    x = D.inject_quality_issues(S.clean(spark, sf))
+    return x.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("wait_time_min").isNull()).alias("null_wait"),
+                 F.count_if(F.col("driver_rating").isNull()).alias("null_rating"),
+                 F.count_if(F.col("pickup_zone").isNull()).alias("null_zone"),
+                 F.count_if((F.col("fare_inr") <= 0) | (F.col("fare_inr") > 5000)).alias("bad_fare"),
+                 _rn(F.sum(F.coalesce("fare_inr", F.lit(0.0))), 2).alias("fare_sum"))
+
+
+@register("read_rides_raw_csv", on_raw("select * from rides"))
+def q_read_raw_csv(spark, sf):
+    """A1/A2: the raw table written as the reference's CSV (header, `timestamp` column) and read back typed."""
+    path = S.stage_path(spark, sf, "raw_csv")
+    (S.raw(spark, sf).withColumnRenamed("ts", "timestamp").write.mode("overwrite").option("header", True)
+       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    return RD.read_rides_raw(spark, path, "csv")
+
+
+@register("cache_table", on_feat("select city, count(*) as rides from feat group by city"))
+def q_cache_table(spark, sf):
+    t = RD.cache_table(_feat(spark, sf).select("city", "ride_id"))
+    return t.groupBy("city").agg(F.count(F.lit(1)).alias("rides"))
