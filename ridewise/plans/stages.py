@@ -11,6 +11,7 @@ executor re-reads files instead of recomputing the cleaning joins.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,7 @@ from ridewise.session import checkpoint_dir
 from ridewise.sources.fixture import rides_from_tables
 
 _MEMO: dict[tuple, DataFrame] = {}
+_LOCK = threading.RLock()     # one writer per stage when queries run from several threads
 
 
 def _key(spark: SparkSession, sf_dir: str, stage: str) -> tuple:
@@ -49,28 +51,32 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     table is written once as Parquet and every raw-level job scans it.
     """
     k = _key(spark, sf_dir, "raw")
-    if k not in _MEMO:
+    with _LOCK:
+        if k in _MEMO:
+            return _MEMO[k]
         _MEMO[k] = materialise(rides_from_tables(spark, sf_dir), stage_path(spark, sf_dir, "raw"),
                                RAW_COLUMNS, partition_by=None)
-    return _MEMO[k]
+        return _MEMO[k]
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 over the fixture (its zone lists are '<city> Z0..Z14'), materialised."""
     k = _key(spark, sf_dir, "clean")
-    if k not in _MEMO:
-        df = clean_rides(raw(spark, sf_dir), zones=C.fixture_zones())
-        _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "clean"), RAW_COLUMNS)
-    return _MEMO[k]
+    with _LOCK:
+        if k not in _MEMO:
+            df = clean_rides(raw(spark, sf_dir), zones=C.fixture_zones())
+            _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "clean"), RAW_COLUMNS)
+        return _MEMO[k]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean + 29 features (the 43-column processed table), materialised."""
     k = _key(spark, sf_dir, "enriched")
-    if k not in _MEMO:
-        df = enrich(clean(spark, sf_dir))
-        _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "enriched"), RAW_COLUMNS + FEATURE_ORDER)
-    return _MEMO[k]
+    with _LOCK:
+        if k not in _MEMO:
+            df = enrich(clean(spark, sf_dir))
+            _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "enriched"), RAW_COLUMNS + FEATURE_ORDER)
+        return _MEMO[k]
 
 
 def forget(spark: SparkSession | None = None) -> None:
