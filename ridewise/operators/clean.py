@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ridewise import config as C
 from ridewise.functions.columns import clip, portable_hash
 from ridewise.functions.joins import proven_broadcast
+from ridewise.functions.lineage import cut_lineage
 
 DEDUP_KEYS = ["city", "ts", "vehicle_type", "distance_km"]
 RAW_COLUMNS = ["ride_id", "ts", "city", "pickup_zone", "vehicle_type", "wait_time_min",
@@ -133,11 +134,23 @@ def _clip_all(df: DataFrame) -> DataFrame:
               .transform(clip_wait).transform(clip_surge_rating))
 
 
+def deduped_valid(df: DataFrame, cities=None, vehicles=None, weather=None,
+                  materialise: bool = True) -> DataFrame:
+    """C1 + C2, written once (the one fact-table shuffle of the stage).
+
+    The imputation medians, the global median and the final projection all
+    read this table; materialising it keeps them from repeating the dedup
+    shuffle (each consumer prunes a different column set, so Spark could not
+    reuse the exchange).
+    """
+    v = filter_valid_categories(dedup_rides(df), cities, vehicles, weather)
+    return cut_lineage(v, "dedup_valid") if materialise else v
+
+
 def clean_rides(df: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
-                cities=None, vehicles=None, weather=None) -> DataFrame:
-    """The full cleaning chain as one lazy plan."""
-    return (df.transform(dedup_rides)
-              .transform(filter_valid_categories, cities, vehicles, weather)
+                cities=None, vehicles=None, weather=None, materialise: bool = True) -> DataFrame:
+    """Dedup + domain filter (materialised), then imputation and clipping."""
+    return (deduped_valid(df, cities, vehicles, weather, materialise)
               .transform(_impute, zones)
               .transform(_clip_all))
 
@@ -153,7 +166,8 @@ def remaining_nulls(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(null_cells(df)).cast("long").alias("remaining_nulls"))
 
 
-def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
+                    deduped: DataFrame | None = None) -> DataFrame:
     """The cleaning counters as one row.
 
     One conditional-sum pass over the imputed table (which carries the
@@ -161,7 +175,8 @@ def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None =
     before and after dedup and the remaining-null total are scalar
     subqueries over the same lazy plan.
     """
-    deduped = dedup_rides(raw)
+    if deduped is None:
+        deduped = cut_lineage(dedup_rides(raw), "dedup")
     valid = filter_valid_categories(deduped)
     marked = valid.withColumns({
         "_w0": F.col("wait_time_min").isNull(),
@@ -192,3 +207,10 @@ def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None =
         "rows_after",
         (rows_before - F.col("rows_after")).alias("rows_removed"),
     )
+
+
+def clean_with_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None):
+    """C13 and C12 sharing one materialised dedup (one fact-table shuffle for both)."""
+    deduped = cut_lineage(dedup_rides(raw), "dedup")
+    clean = filter_valid_categories(deduped).transform(_impute, zones).transform(_clip_all)
+    return clean, cleaning_report(raw, zones, deduped=deduped)

@@ -31,9 +31,9 @@ def run_on(raw: DataFrame, out_dir: str, zones: Mapping[str, Sequence[str]] | No
     spark = raw.sparkSession
     out = out_dir.rstrip("/")
     validation = Q.validation_issues(raw)
-    cleaning = CL.cleaning_report(raw, zones=zones)
+    clean, cleaning = CL.clean_with_report(raw, zones=zones)
     table = f"{out}/rides"
-    rows = W.write_clean_table(D.enrich(CL.clean_rides(raw, zones=zones)), table)
+    rows = W.write_clean_table(D.enrich(clean), table)
     enriched = spark.read.parquet(table)                       # cut lineage: start from the stored table
     if write_csv:
         W.write_clean_csv(enriched, f"{out}/rides_csv")
