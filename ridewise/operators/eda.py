@@ -263,26 +263,21 @@ CORR_TARGET_9 = ["wait_time_min", "surge_multiplier", "distance_km", "fare_inr",
 def _corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for every unordered pair, in long form (both orders).
 
-    Two passes over the table: the column means (one bounded row), then one
-    aggregate of centred cross products for all pairs — a flat list of sums
-    that stays inside whole-stage codegen, unlike dozens of separate ``corr``
-    states. Centring keeps the sums well conditioned at any row count. The
-    enriched table has no nulls (cleaning leaves none), so complete rows are
-    the pairwise-complete rows.
+    MLlib ``Correlation.corr`` over the assembled columns: one tree-aggregate
+    of outer products across partitions, returning a k × k matrix (bounded by
+    the number of columns, not rows). Rows holding a null are skipped; the
+    enriched table has none (cleaning leaves no nulls), so this equals the
+    reference's pairwise-complete correlation.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = list(columns)
     num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    means = num.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    cen = num.select(*[(F.col(c) - F.lit(means[c] if means[c] is not None else 0.0)).alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    sums = cen.agg(*[F.sum(F.col(c) * F.col(c)).alias(f"{c}|{c}") for c in cols],
-                   *[F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
-    rows = []
-    for a, b in pairs:
-        v = F.col(f"`{a}|{b}`") / F.sqrt(F.col(f"`{a}|{a}`") * F.col(f"`{b}|{b}`"))
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("r")))
-        rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("r")))
-    return sums.select(F.inline(F.array(*rows)))
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(num).select("_v")
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def corr_matrix_12(df: DataFrame) -> DataFrame:

@@ -865,9 +865,16 @@ o_rt as (
   from feat)"""
 
 
+_RULES: dict = {}
+
+
 def _ride_rules(spark, sf):
-    enr = _feat(spark, sf)
-    return G.temporal_split(J.rule_based_estimates(enr))
+    """Rule estimates on every ride with the 80/20 role; the split boundary is
+    located once per session and data folder, then reused as a literal key."""
+    k = (spark.sparkContext.applicationId, sf)
+    if k not in _RULES:
+        _RULES[k] = G.temporal_split(J.rule_based_estimates(_feat(spark, sf)))
+    return _RULES[k]
 
 
 def _demand_test(spark, sf):
