@@ -40,39 +40,54 @@ def _pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[feature_vector(features), estimator])
 
 
-def _scaled(df: DataFrame, features: Sequence[str], train: DataFrame) -> DataFrame:
-    """H2: z-score every feature with the training rows' mean and population std.
+def scaler_stats(train: DataFrame, columns: Sequence[str]) -> tuple[int, list[float], list[float]]:
+    """Row count, means and population std of ``columns`` in one pass.
 
-    One aggregate pass gives all 2·k statistics (a single bounded row).
+    MLlib ``Summarizer`` over the assembled columns: one tree-aggregate;
+    only 2·k numbers reach the driver.
     """
-    aggs = []
-    for c in features:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{len(aggs)}"), F.stddev_pop(x).alias(f"s{len(aggs) + 1}")]
-    st = list(train.agg(*aggs).first())
+    from pyspark.ml.stat import Summarizer
+    vec = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(
+        train.select(*[F.col(c).cast("double").alias(c) for c in columns])).select("_v")
+    r = vec.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_v")).alias("s")).first()["s"]
+    n = int(r["count"])
+    means = [float(x) for x in r["mean"].toArray()]
+    var_s = [float(x) for x in r["variance"].toArray()]
+    stds = [(v * (n - 1) / n) ** 0.5 if n > 1 and v > 0 else 0.0 for v in var_s]
+    return n, means, stds
+
+
+def _apply_scaling(df: DataFrame, features: Sequence[str], means, stds) -> DataFrame:
     cols = {}
-    for i, c in enumerate(features):
-        mu, sd = st[2 * i] or 0.0, st[2 * i + 1] or 0.0
+    for c, mu, sd in zip(features, means, stds):
         x = F.col(c).cast("double") - F.lit(mu)
         cols[c] = x / F.lit(sd) if sd > 0 else x * F.lit(0.0)
     return df.withColumns(cols)
 
 
+def _scaled(df: DataFrame, features: Sequence[str], train: DataFrame) -> DataFrame:
+    """H2: z-score every feature with the training rows' mean and population std."""
+    _, means, stds = scaler_stats(train, features)
+    return _apply_scaling(df, features, means, stds)
+
+
 # H3 ---------------------------------------------------------------------------------
 def ridge_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                    alpha: float = 1.0, lo: float | None = 0.0, hi: float | None = None) -> DataFrame:
     """Ridge on population-std-scaled features; predictions clipped; returns scored test rows.
 
     regParam = α·σ_pop(y)/n reproduces the closed-form ridge solution, because
-    the normal-equation solver also standardises the label.
+    the normal-equation solver also standardises the label. Count, feature
+    statistics and the label's σ come from one summary pass.
     """
-    n = train.count()
-    sy = train.agg(F.stddev_pop(F.col(label).cast("double"))).first()[0] or 1.0
+    n, means, stds = scaler_stats(train, [*features, label])
+    sy = stds[-1] or 1.0
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred",
                           regParam=alpha * sy / max(n, 1), elasticNetParam=0.0,
                           solver="normal", standardization=False)
-    model = _pipeline(features, lr).fit(_scaled(train, features, train))
-    scored = model.transform(_scaled(test, features, train))
+    k = len(features)
+    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means[:k], stds[:k]))
+    scored = model.transform(_apply_scaling(test, features, means[:k], stds[:k]))
     p = F.col("pred")
     if lo is not None:
         p = F.greatest(p, F.lit(lo))
@@ -85,12 +100,12 @@ def ridge_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], l
 def logistic_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                       c: float = 1.0, max_iter: int = 500) -> DataFrame:
     """L2 logistic regression with C = 1 (regParam = 1/(C·n)), scaled features."""
-    n = train.count()
+    n, means, stds = scaler_stats(train, features)
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter,
                             probabilityCol="probability", predictionCol="pred_d")
-    model = _pipeline(features, lr).fit(_scaled(train, features, train))
-    scored = model.transform(_scaled(test, features, train))
+    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means, stds))
+    scored = model.transform(_apply_scaling(test, features, means, stds))
     return (scored.withColumns({"score": vector_to_array("probability")[1], "pred": F.col("pred_d").cast("int")})
                   .drop("features", "rawPrediction", "probability", "pred_d"))
 

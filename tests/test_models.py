@@ -32,3 +32,27 @@ def test_model_jobs_run(spark):
     assert res.where(F.col("wait_time_min").isNull()).count() == 0
     assert res.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
     assert q["model_summary"](spark, SMALL).count() == 3
+
+
+def test_logistic_matches_newton_solution(spark):
+    rng = np.random.default_rng(11)
+    n, k = 300, 3
+    X = rng.normal(size=(n, k)) * [1.0, 2.0, 0.5]
+    logit = X @ [1.0, -0.5, 2.0] - 0.3
+    y = (rng.random(n) < 1 / (1 + np.exp(-logit))).astype(int)
+    rows = [tuple(map(float, r)) + (int(t),) for r, t in zip(X, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int")
+    got = ML.logistic_baseline(df, df, ["a", "b", "c"], "y").select("a", "score").toPandas()
+    # C = 1: minimise 0.5·|w|² + Σ logloss on population-std-scaled features, intercept free
+    Z = np.c_[(X - X.mean(0)) / X.std(0), np.ones(n)]
+    w = np.zeros(k + 1)
+    reg = np.diag([1.0] * k + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-Z @ w))
+        g = Z.T @ (p - y) + reg @ w
+        H = Z.T @ (Z * (p * (1 - p))[:, None]) + reg
+        w -= np.linalg.solve(H, g)
+    want = 1 / (1 + np.exp(-Z @ w))
+    order = np.argsort(X[:, 0])
+    got_sorted = got.sort_values("a")["score"].to_numpy()
+    assert np.allclose(got_sorted, want[order], atol=1e-3)
