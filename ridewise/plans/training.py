@@ -39,6 +39,7 @@ def train_demand(spark: SparkSession, enriched: DataFrame, max_iter: int = 200,
                  return_models: bool = False, parallel: int = 5):
     """Per city: ridge baseline and boosted trees on the hourly series."""
     ds = demand_split(enriched).persist(StorageLevel.MEMORY_AND_DISK)   # hourly table: small
+    # the validated city domain (≤ a handful of names)
     cities = cities or [r["city"] for r in ds.select("city").distinct().orderBy("city").collect()]
     feats = G.DEMAND_FEATURES
 

@@ -72,12 +72,6 @@ def rides_cte(dialect: str = "duckdb") -> str:
     return text
 
 
-def oracle(select_sql: str, extra_ctes: str = "") -> str:
-    """DuckDB oracle text: the rides CTE, optional extra CTEs, then a select."""
-    more = f",\n{extra_ctes}" if extra_ctes else ""
-    return f"with {rides_cte('duckdb')}{more}\n{select_sql}"
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
