@@ -1347,6 +1347,7 @@ select vehicle_type, count(*) as rides, round_even(avg(fare_inr), 4) as mean_far
 from feat where city = 'Mumbai' group by vehicle_type"""))
 def q_read_clean_city(spark, sf):
     """A3 with partition pruning: only the city=Mumbai folder is scanned."""
+    S.enriched(spark, sf)                                  # make sure the stored table exists
     path = S.stage_path(spark, sf, "enriched")
     df = RD.read_rides_clean(spark, path).where(F.col("city") == "Mumbai")
     return df.groupBy("vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
