@@ -1265,6 +1265,14 @@ def q_cancel_model(spark, sf):
     return met
 
 
+@register("gbt_surge_leak_free_metrics")
+def q_surge_leak_free(spark, sf):
+    """Surge classifier without demand_pressure (which contains the surge itself)."""
+    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_high_surge", ML.LEAK_FREE_SURGE_FEATURES,
+                                   T.SURGE_GBT, max_iter=QUERY_ITERS, name="surge_leak_free", baseline=False)
+    return met
+
+
 @register("feature_importance_wait")
 def q_importance(spark, sf):
     _, model, _ = T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS)
@@ -1288,11 +1296,16 @@ def q_predict_all_models(spark, sf):
     """Train, store (A8), reload (A9) and score every ride scenario with the models."""
     md = _model_dir(spark, sf)
     split = _ride_split(spark, sf)
-    T.train_wait(spark, split, max_iter=QUERY_ITERS, model_dir=md)
-    T.train_classifier(spark, split, "is_high_surge", ML.SURGE_FEATURES, T.SURGE_GBT, max_iter=QUERY_ITERS,
-                       name="surge", model_dir=md, baseline=False)
-    T.train_classifier(spark, split, "is_cancelled", ML.CANCEL_FEATURES, T.CANCEL_GBT, max_iter=QUERY_ITERS,
-                       name="cancellation", model_dir=md, baseline=False)
+    jobs = [
+        lambda: T.train_wait(spark, split, max_iter=QUERY_ITERS, model_dir=md),
+        lambda: T.train_classifier(spark, split, "is_high_surge", ML.SURGE_FEATURES, T.SURGE_GBT,
+                                   max_iter=QUERY_ITERS, name="surge", model_dir=md, baseline=False),
+        lambda: T.train_classifier(spark, split, "is_cancelled", ML.CANCEL_FEATURES, T.CANCEL_GBT,
+                                   max_iter=QUERY_ITERS, name="cancellation", model_dir=md, baseline=False),
+    ]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=3) as pool:        # three independent distributed fits
+        list(pool.map(lambda f: f(), jobs))
     models = [ML.load_model(md, n) for n in ("wait_time", "surge", "cancellation")]
     r = J.predict_all(J.scenarios_from_rides(_feat(spark, sf)), *models)
     return r.select("scenario_id", "city", "hour", "wait_time_min", "surge.*", F.col("cancellation.probability")
