@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridewise.operators.features import cyclical
 
@@ -138,30 +139,48 @@ def order_by_time(df: DataFrame) -> DataFrame:
 def _boundary_keys(df: DataFrame, positions: Sequence[int]) -> list[tuple]:
     """(ts, ride_id) of the rows at the given 0-based positions in (ts, ride_id) order.
 
-    Counting, not ranking: per-date counts (one row per day) locate the day of
-    each position, per-minute counts inside those days locate the minute, and
-    only the rows of the boundary minutes are ranked by ride_id. Returns one
-    key per position (or None past the end) — a bounded handful of values.
+    Counting, not ranking: per-day counts (one row per day) locate the day of
+    each position; per-minute counts inside those days locate the minute;
+    only the rows of the boundary minutes are ranked by ride_id. Each step
+    hands a bounded handful of values (≤ one per position) to the next as
+    literal range / equality filters, so the later scans are pushed down to
+    the Parquet reader and skip row groups outside the boundary days.
+    Returns one key per position (None past the end).
     """
+    import datetime as _dt
+
     spark = df.sparkSession
-    pos = spark.createDataFrame([(i, int(p)) for i, p in enumerate(positions)], "pid int, p long")
-    d = df.select("ts", "ride_id", F.to_date("ts").alias("_d"))
-    daily = d.groupBy("_d").agg(F.count(F.lit(1)).alias("c"))
-    daily = daily.withColumn("cb", F.sum("c").over(Window.orderBy("_d").rowsBetween(
-        Window.unboundedPreceding, -1))).fillna(0, ["cb"])          # one row per day
-    at_day = (F.broadcast(pos).join(daily, (F.col("p") >= F.col("cb")) & (F.col("p") < F.col("cb") + F.col("c")))
-              .select("pid", "p", "_d", (F.col("p") - F.col("cb")).alias("k1")))
-    days = at_day.select("_d").distinct()
-    minutes = (d.join(F.broadcast(days), "_d").groupBy("_d", "ts").agg(F.count(F.lit(1)).alias("c")))
-    minutes = minutes.withColumn("cb", F.sum("c").over(
-        Window.partitionBy("_d").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["cb"])
-    at_min = (F.broadcast(at_day).join(minutes, "_d")
+    pos = [(i, int(p)) for i, p in enumerate(positions)]
+    d = df.select("ts", "ride_id")
+    daily = d.groupBy(F.to_date("ts").alias("_d")).agg(F.count(F.lit(1)).alias("c"))
+    daily = daily.withColumn("cb", F.coalesce(F.sum("c").over(Window.orderBy("_d").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)))                      # one row per day
+    pdf = spark.createDataFrame(pos, "pid int, p long")
+    at_day = (F.broadcast(pdf).join(daily, (F.col("p") >= F.col("cb")) & (F.col("p") < F.col("cb") + F.col("c")))
+              .select("pid", "_d", (F.col("p") - F.col("cb")).alias("k1")).collect())       # ≤ len(positions)
+    if not at_day:
+        return [None] * len(positions)
+    days = sorted({r["_d"] for r in at_day})
+    in_days = None
+    for day in days:
+        lo = _dt.datetime.combine(day, _dt.time())
+        cond = (F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(lo + _dt.timedelta(days=1)))
+        in_days = cond if in_days is None else in_days | cond
+    minutes = d.where(in_days).groupBy(F.to_date("ts").alias("_d"), "ts").agg(F.count(F.lit(1)).alias("c"))
+    minutes = minutes.withColumn("cb", F.coalesce(F.sum("c").over(
+        Window.partitionBy("_d").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    adf = spark.createDataFrame([(r["pid"], r["_d"], r["k1"]) for r in at_day], "pid int, _d date, k1 long")
+    at_min = (F.broadcast(adf).join(minutes, "_d")
               .where((F.col("k1") >= F.col("cb")) & (F.col("k1") < F.col("cb") + F.col("c")))
-              .select("pid", "ts", (F.col("k1") - F.col("cb")).alias("k2")))
-    tss = at_min.select("ts").distinct()
-    ranked = (d.join(F.broadcast(tss), "ts")
+              .select("pid", "ts", (F.col("k1") - F.col("cb")).alias("k2")).collect())      # ≤ len(positions)
+    tss = sorted({r["ts"] for r in at_min})
+    ranked = (d.where(F.col("ts").isin([F.lit(t) for t in tss]))
                .withColumn("_r", F.row_number().over(Window.partitionBy("ts").orderBy("ride_id")) - 1))
-    hit = (F.broadcast(at_min).join(ranked, "ts").where(F.col("_r") == F.col("k2"))
+    mdf = spark.createDataFrame([(r["pid"], r["ts"], r["k2"]) for r in at_min],
+                                T.StructType([T.StructField("pid", T.IntegerType()),
+                                              T.StructField("ts", d.schema["ts"].dataType),
+                                              T.StructField("k2", T.LongType())]))
+    hit = (F.broadcast(mdf).join(ranked, "ts").where(F.col("_r") == F.col("k2"))
            .select("pid", "ts", "ride_id"))
     found = {r["pid"]: (r["ts"], r["ride_id"]) for r in hit.collect()}   # ≤ len(positions) rows
     return [found.get(i) for i in range(len(positions))]
