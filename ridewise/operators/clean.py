@@ -147,6 +147,13 @@ def deduped_valid(df: DataFrame, cities=None, vehicles=None, weather=None,
     return cut_lineage(v, "dedup_valid") if materialise else v
 
 
+def clean_from_deduped(deduped: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
+                       cities=None, vehicles=None, weather=None) -> DataFrame:
+    """C2–C10 over an already deduplicated (and stored) table."""
+    return (filter_valid_categories(deduped, cities, vehicles, weather)
+            .transform(_impute, zones).transform(_clip_all))
+
+
 def clean_rides(df: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
                 cities=None, vehicles=None, weather=None, materialise: bool = True) -> DataFrame:
     """Dedup + domain filter (materialised), then imputation and clipping."""

@@ -48,7 +48,7 @@ select * exclude (o_rn) from (
   select *, row_number() over (partition by city, ts, vehicle_type, distance_km order by ride_id) as o_rn
   from rides) where o_rn = 1"""))
 def q_dedup(spark, sf):
-    return CL.dedup_rides(S.raw(spark, sf))
+    return S.deduped(spark, sf)
 
 
 # ---------------------------------------------------------------------------
@@ -553,7 +553,7 @@ select (select count(*) from rides) as rows_before,
        (select count(*) from rides) - (select count(*) from clean) as rows_removed"""))
 def q_cleaning_report(spark, sf):
     from ridewise import config as C
-    return CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones())
+    return CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones(), deduped=S.deduped(spark, sf))
 
 
 @register("remaining_nulls", on_clean("""
@@ -644,7 +644,8 @@ def q_quality_report(spark, sf):
     from ridewise import config as C
     enr = _feat(spark, sf)
     return R.quality_report(enr, validation=Q.validation_issues(S.raw(spark, sf)),
-                            cleaning=CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones()),
+                            cleaning=CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones(),
+                                                        deduped=S.deduped(spark, sf)),
                             encodings=D.encoding_maps(enr))
 
 

@@ -16,7 +16,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ridewise import config as C
-from ridewise.operators.clean import RAW_COLUMNS, clean_rides
+from ridewise.operators.clean import RAW_COLUMNS, clean_from_deduped, dedup_rides
 from ridewise.operators.features import FEATURE_ORDER, enrich
 from ridewise.session import checkpoint_dir
 from ridewise.sources.fixture import rides_from_tables
@@ -59,12 +59,23 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _MEMO[k]
 
 
+def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 over the raw table, materialised: the one fact-table shuffle of the
+    cleaning stage, shared by the cleaned table and the cleaning report."""
+    k = _key(spark, sf_dir, "dedup")
+    with _LOCK:
+        if k not in _MEMO:
+            _MEMO[k] = materialise(dedup_rides(raw(spark, sf_dir)), stage_path(spark, sf_dir, "dedup"),
+                                   RAW_COLUMNS, partition_by=None)
+        return _MEMO[k]
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 over the fixture (its zone lists are '<city> Z0..Z14'), materialised."""
     k = _key(spark, sf_dir, "clean")
     with _LOCK:
         if k not in _MEMO:
-            df = clean_rides(raw(spark, sf_dir), zones=C.fixture_zones())
+            df = clean_from_deduped(deduped(spark, sf_dir), zones=C.fixture_zones())
             _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "clean"), RAW_COLUMNS)
         return _MEMO[k]
 
