@@ -83,14 +83,26 @@ def ride_split(enriched: DataFrame) -> DataFrame:
 
 
 def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = 200, model_dir: str | None = None):
-    """Wait-time regression (H3 ridge baseline, H6 boosted trees), clipped to [0.5, 120]."""
+    """Wait-time regression (H3 ridge baseline, H6 boosted trees), clipped to [0.5, 120].
+
+    The baseline and the boosted trees are independent distributed fits and
+    are submitted concurrently.
+    """
     train, test = split.where(F.col("role") == "train"), split.where(F.col("role") == "test")
     feats = ML.WAIT_FEATURES
-    base = ML.ridge_baseline(train, test, feats, "wait_time_min", lo=0.5, hi=120.0)
-    model = ML.fit(train, feats, ML.gbt_regressor("wait_time_min", max_iter=max_iter, **WAIT_GBT))
+
+    def baseline():
+        base = ML.ridge_baseline(train, test, feats, "wait_time_min", lo=0.5, hi=120.0)
+        return _row(M.regression_metrics(base, "wait_time_min", "pred"), "all", "ridge").cache()
+
+    def boosted():
+        return ML.fit(train, feats, ML.gbt_regressor("wait_time_min", max_iter=max_iter, **WAIT_GBT))
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fb, fm = pool.submit(baseline), pool.submit(boosted)
+        bmet, model = fb.result(), fm.result()
     scored = ML.score_regression(model, test, lo=0.5, hi=120.0)
     met = _row(M.regression_metrics(scored, "wait_time_min", "pred"), "all", "gbt")
-    bmet = _row(M.regression_metrics(base, "wait_time_min", "pred"), "all", "ridge")
     if model_dir:
         m = met.first().asDict()
         ML.save_model(spark, model, model_dir, "wait_time", "GBTRegressor", feats,
@@ -101,14 +113,21 @@ def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = 200, model
 def train_classifier(spark: SparkSession, split: DataFrame, label: str, features, params: dict,
                      max_iter: int = 200, name: str = "surge", model_dir: str | None = None,
                      baseline: bool = True):
-    """Boosted-tree classifier (H7/H8) with optional logistic baseline (H4)."""
+    """Boosted-tree classifier (H7/H8) with optional logistic baseline (H4), fitted concurrently."""
     train, test = split.where(F.col("role") == "train"), split.where(F.col("role") == "test")
-    model = ML.fit(train, features, ML.gbt_classifier(label, max_iter=max_iter, **params))
+
+    def logistic():
+        b = ML.logistic_baseline(train, test, features, label)
+        return _row(M.classification_metrics(b, label, "pred", "score"), "all", "logistic").cache()
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fb = pool.submit(logistic) if baseline else None
+        model = ML.fit(train, features, ML.gbt_classifier(label, max_iter=max_iter, **params))
+        bmet = fb.result() if fb else None
     scored = ML.score_classifier(model, test)
     met = _row(M.classification_metrics(scored, label, "pred", "score"), "all", "gbt")
-    if baseline:
-        b = ML.logistic_baseline(train, test, features, label)
-        met = met.unionByName(_row(M.classification_metrics(b, label, "pred", "score"), "all", "logistic"))
+    if bmet is not None:
+        met = met.unionByName(bmet)
     if model_dir:
         m = met.where(F.col("model") == "gbt").first().asDict()
         ML.save_model(spark, model, model_dir, name, "GBTClassifier", features,
