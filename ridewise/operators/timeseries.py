@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridewise.operators.features import cyclical
 
@@ -173,19 +172,42 @@ def _boundary_keys(df: DataFrame, positions: Sequence[int]) -> list[tuple]:
     at_min = (F.broadcast(adf).join(minutes, "_d")
               .where((F.col("k1") >= F.col("cb")) & (F.col("k1") < F.col("cb") + F.col("c")))
               .select("pid", "ts", (F.col("k1") - F.col("cb")).alias("k2")).collect())      # ≤ len(positions)
-    tss = sorted({r["ts"] for r in at_min})
-    ranked = (d.where(F.col("ts").isin([F.lit(t) for t in tss]))
-               .withColumn("_r", F.row_number().over(Window.partitionBy("ts").orderBy("ride_id")) - 1))
-    mdf = spark.createDataFrame([(r["pid"], r["ts"], r["k2"]) for r in at_min],
-                                T.StructType([T.StructField("pid", T.IntegerType()),
-                                              T.StructField("ts", d.schema["ts"].dataType),
-                                              T.StructField("k2", T.LongType())]))
-    hit = (F.broadcast(mdf).join(ranked, "ts").where(F.col("_r") == F.col("k2"))
-           .select("pid", "ts", "ride_id"))
-    found = {r["pid"]: (r["ts"], r["ride_id"]) for r in hit.collect()}   # ≤ len(positions) rows
+    found = {}
+    for r in at_min:                                        # ≤ len(positions) boundary minutes
+        minute_rows = d.where(F.col("ts") == F.lit(r["ts"]))
+        found[r["pid"]] = (r["ts"], _kth_ride_id(minute_rows, r["k2"]))
     return [found.get(i) for i in range(len(positions))]
 
 
+def _kth_ride_id(rows: DataFrame, k: int, max_group: int = 2_000_000) -> str:
+    """The k-th smallest ride_id (0-based) among ``rows``.
+
+    A group up to ``max_group`` rows is ranked directly. A larger one (a hot
+    minute) is narrowed first by counting rides per ride_id prefix — one more
+    character per round, at most one row per distinct character — until the
+    prefix holding the k-th id is small, so no task ever sorts the hot group.
+    """
+    prefix, n = "", None
+    while True:
+        group = rows.where(F.col("ride_id").startswith(prefix)) if prefix else rows
+        if n is None:
+            n = group.count()
+        if n <= max_group:
+            w = Window.orderBy("ride_id")                      # bounded by max_group rows
+            hit = (group.select("ride_id").withColumn("_r", F.row_number().over(w) - 1)
+                        .where(F.col("_r") == k).first())
+            return hit["ride_id"]
+        level = len(prefix) + 1
+        counts = (group.groupBy(F.substring("ride_id", 1, level).alias("p"))
+                       .agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect())   # ≤ alphabet size
+        before = 0
+        for row in counts:
+            if k < before + row["c"]:
+                prefix, n, k = row["p"], row["c"], k - before
+                break
+            before += row["c"]
+
+
 def _before(key: tuple | None) -> Column:
     """Row strictly before ``key`` in (ts, ride_id) order (None = past the end)."""
     if key is None:

@@ -116,3 +116,12 @@ def test_dedup_ties_broken_by_ride_id(spark):
     df = spark.createDataFrame(rows, "ride_id string, ts timestamp_ntz, city string, vehicle_type string, "
                                      "distance_km double")
     assert sorted(r.ride_id for r in CL.dedup_rides(df).collect()) == ["r1", "r3"]
+
+
+def test_kth_ride_id_by_prefix_narrowing(spark):
+    ids = [f"RD{a}{b}-{c}" for a in range(3) for b in range(4) for c in range(5)] + ["RD1", "RD12"]
+    df = spark.createDataFrame([(i,) for i in ids], "ride_id string")
+    want = sorted(ids)
+    for k in (0, 1, 7, 30, len(ids) - 1):
+        assert G._kth_ride_id(df, k, max_group=3) == want[k]
+        assert G._kth_ride_id(df, k) == want[k]
