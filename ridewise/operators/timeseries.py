@@ -171,15 +171,15 @@ def _boundary_keys(df: DataFrame, positions: Sequence[int]) -> list[tuple]:
     adf = spark.createDataFrame([(r["pid"], r["_d"], r["k1"]) for r in at_day], "pid int, _d date, k1 long")
     at_min = (F.broadcast(adf).join(minutes, "_d")
               .where((F.col("k1") >= F.col("cb")) & (F.col("k1") < F.col("cb") + F.col("c")))
-              .select("pid", "ts", (F.col("k1") - F.col("cb")).alias("k2")).collect())      # ≤ len(positions)
+              .select("pid", "ts", "c", (F.col("k1") - F.col("cb")).alias("k2")).collect())   # ≤ len(positions)
     found = {}
     for r in at_min:                                        # ≤ len(positions) boundary minutes
         minute_rows = d.where(F.col("ts") == F.lit(r["ts"]))
-        found[r["pid"]] = (r["ts"], _kth_ride_id(minute_rows, r["k2"]))
+        found[r["pid"]] = (r["ts"], _kth_ride_id(minute_rows, r["k2"], n=r["c"]))
     return [found.get(i) for i in range(len(positions))]
 
 
-def _kth_ride_id(rows: DataFrame, k: int, max_group: int = 2_000_000) -> str:
+def _kth_ride_id(rows: DataFrame, k: int, max_group: int = 2_000_000, n: int | None = None) -> str:
     """The k-th smallest ride_id (0-based) among ``rows``.
 
     A group up to ``max_group`` rows is ranked directly. A larger one (a hot
@@ -187,7 +187,7 @@ def _kth_ride_id(rows: DataFrame, k: int, max_group: int = 2_000_000) -> str:
     character per round, at most one row per distinct character — until the
     prefix holding the k-th id is small, so no task ever sorts the hot group.
     """
-    prefix, n = "", None
+    prefix = ""
     while True:
         group = rows.where(F.col("ride_id").startswith(prefix)) if prefix else rows
         if n is None:
