@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 # A dimension-sized side: a few MB at most when broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+_HELD: list[DataFrame] = []
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -18,10 +19,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     (sort-merge, with AQE's skew handling).
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _HELD.append(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def release_checked_sides() -> None:
+    """Unpersist the sides cached for size checks once their plans have run."""
+    while _HELD:
+        _HELD.pop().unpersist()
+
+
 def proven_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction.
 
