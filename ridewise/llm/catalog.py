@@ -2,10 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridewise.llm import op08_minhash_forest
-from ridewise.llm.common import table
+from ridewise.llm import op01_kd_shards, op02_temperature_mix, op07_byte_bpe, op08_minhash_forest
+from ridewise.llm.common import stage, table
+
+#: Production parameters.
+SHARDS = 24
+MIX_SEED = 11
+BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BPE_PATTERN = public_tokenizers.PATTERN
+
+
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = op01_kd_shards.kd_shards(table(spark, sf_dir, "documents"), n_shards=SHARDS)
+    return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op2_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, with its place in the stream."""
+    docs = table(spark, sf_dir, "documents")
+    rows = stage(docs.select("doc_id", "source", *(c.alias(n) for n, c in op02_temperature_mix.mix_columns(MIX_SEED).items())), "mix-rows")
+    plan = op02_temperature_mix.mixing_plan(rows)
+    return op02_temperature_mix.mixed(rows, plan).select("doc_id", "source", "n_tokens", "epoch", "block", F.col("key").alias("place"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = op07_byte_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_VOCABULARY, BPE_PATTERN)
+    back = op07_byte_bpe.decode_documents(ids, BPE_VOCABULARY, BPE_PATTERN)
+    return back.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,5 +62,8 @@ from sets s left join low l on l.a = s.doc_id
 """
 
 REGISTRY = {
+    "op1_kd_shards": (op1_kd_shards, None),
+    "op2_temperature_mix": (op2_temperature_mix, None),
+    "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_minhash_near_dedup": (op8_minhash_near_dedup, OP8_SQL),
 }
