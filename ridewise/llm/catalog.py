@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewise.llm import op01_kd_shards, op02_temperature_mix, op07_byte_bpe, op08_minhash_forest
+from ridewise.llm import (
+    op01_kd_shards,
+    op02_temperature_mix,
+    op05_quality_rules,
+    op07_byte_bpe,
+    op08_minhash_forest,
+    op09_chat_format,
+    op10_tiled_topk as tiled_topk,
+)
 from ridewise.llm.common import stage, table
 
 #: Production parameters.
@@ -29,6 +37,10 @@ def op2_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_temperature_mix.mixed(rows, plan).select("doc_id", "source", "n_tokens", "epoch", "block", F.col("key").alias("place"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("limits")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = op07_byte_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_VOCABULARY, BPE_PATTERN)
     back = op07_byte_bpe.decode_documents(ids, BPE_VOCABULARY, BPE_PATTERN)
@@ -61,7 +73,69 @@ select s.doc_id, cast(len(s.s) as bigint) as n_shingles, least(s.doc_id, coalesc
 from sets s left join low l on l.a = s.doc_id
 """
 
+#: A conversation whose texts look like the template's own marks.
+PROBE = ["user", "assistant"]
+PROBE_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.range(len(PROBE)).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.element_at(F.array(*map(F.lit, PROBE)), F.col("id").cast("int") + 1).alias("role"), F.lit(PROBE_TEXT).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    back = op09_chat_format.read_back(op09_chat_format.format_conversations(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP9_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+placed as (
+  select *, lag(role) over w as before, row_number() over w as n from turns
+  window w as (partition by conv_id order by turn nulls first, role, text)),
+marked as (
+  select *, before is null or before <> role as starts,
+    length(regexp_replace(text, '<(_*)\|', '<\1_|', 'g')) as text_chars,
+    length(regexp_replace(role, '<(_*)\|', '<\1_|', 'g')) as role_chars from placed)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by n) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(text_chars + case when starts then 33 + role_chars else 10 end) as bigint) as formatted_chars
+from marked group by conv_id
+"""
+
+
+TOP_K = 5
+QUERY_EVERY = 50
+
+
+def op10_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiled_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, TOP_K)
+
+
+OP10_SQL = """
+with usable as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+scored as (
+  select q.vec_id as query_id, q.r as query_row, c.vec_id, c.r,
+    cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from usable q join usable c on q.r <> c.r and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by query_row order by score desc, vec_id nulls last, r) as n from scored)
+select query_id, cast(n as integer) as rank, vec_id, score from ranked where n <= 5
+"""
+
 REGISTRY = {
+    "op5_quality_rules": (op5_quality_rules, None),
+    "op9_chat_format": (op9_chat_format, OP9_SQL),
+    "op10_tiled_topk": (op10_tiled_topk, OP10_SQL),
     "op1_kd_shards": (op1_kd_shards, None),
     "op2_temperature_mix": (op2_temperature_mix, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
