@@ -9,19 +9,23 @@ from pyspark.sql import functions as F
 from ridewise.llm import (
     op01_kd_shards,
     op02_temperature_mix,
+    op03_secret_scan,
+    op04_pairwise_quality,
     op05_quality_rules,
+    op06_backoff_langid,
     op07_byte_bpe,
     op08_minhash_forest,
     op09_chat_format,
     op10_tiled_topk as tiled_topk,
 )
-from ridewise.llm.common import stage, table
+from ridewise.llm.common import id_fold, stage, table
 
 #: Production parameters.
 SHARDS = 24
 MIX_SEED = 11
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
+SCAN_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +41,44 @@ def op2_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_temperature_mix.mixed(rows, plan).select("doc_id", "source", "n_tokens", "epoch", "block", F.col("key").alias("place"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op03_secret_scan.scan_documents(table(spark, sf_dir, "documents"), SCAN_VOCABULARY, BPE_PATTERN)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("random").alias("n_random"))
+
+
+#: Rows whose id falls in fold 0 are held out of training.
+QUALITY_FOLDS, LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 4, 2
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, label): quality labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return labels.where(id_fold("doc_id", QUALITY_FOLDS) != 0)
+
+
+def op4_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranking = op04_pairwise_quality.fit(docs, training_labels(spark, sf_dir))
+    held_out = F.coalesce(id_fold("doc_id", QUALITY_FOLDS) == 0, F.lit(False))
+    return op04_pairwise_quality.scored(docs, ranking).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_backoff_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_fold("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT, F.lit(False))
+    model = op06_backoff_langid.train(docs.where(~held_out))
+    return op06_backoff_langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05_quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("limits")
 
@@ -133,11 +175,14 @@ select query_id, cast(n as integer) as rank, vec_id, score from ranked where n <
 """
 
 REGISTRY = {
-    "op5_quality_rules": (op5_quality_rules, None),
-    "op9_chat_format": (op9_chat_format, OP9_SQL),
-    "op10_tiled_topk": (op10_tiled_topk, OP10_SQL),
     "op1_kd_shards": (op1_kd_shards, None),
     "op2_temperature_mix": (op2_temperature_mix, None),
+    "op3_secret_scan": (op3_secret_scan, None),
+    "op4_pairwise_quality": (op4_pairwise_quality, None),
+    "op5_quality_rules": (op5_quality_rules, None),
+    "op6_backoff_langid": (op6_backoff_langid, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_minhash_near_dedup": (op8_minhash_near_dedup, OP8_SQL),
+    "op9_chat_format": (op9_chat_format, OP9_SQL),
+    "op10_tiled_topk": (op10_tiled_topk, OP10_SQL),
 }

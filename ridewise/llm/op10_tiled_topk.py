@@ -41,9 +41,8 @@ def usable(vector: Column, scale: int = 256) -> Column:
 
 def _packed(frames: pd.DataFrame) -> pd.DataFrame:
     """A block of vectors as one row; ids and row numbers beside them."""
-    ids = frames["id"].astype("Int64")
-    return pd.DataFrame({"dim": [frames["dim"].iloc[0]], "block": [frames["block"].iloc[0]], "none": [ids.isna().to_numpy().tobytes()],
-                         "ids": [ids.fillna(0).to_numpy(dtype=np.int64).tobytes()], "rows": [frames["row"].to_numpy(dtype=np.int64).tobytes()],
+    return pd.DataFrame({"dim": [frames["dim"].iloc[0]], "block": [frames["block"].iloc[0]], "none": [frames["none"].to_numpy(dtype=bool).tobytes()],
+                         "ids": [frames["id"].to_numpy(dtype=np.int64).tobytes()], "rows": [frames["row"].to_numpy(dtype=np.int64).tobytes()],
                          "data": [np.stack(frames["v"].to_list()).astype(np.int64).tobytes() if frames["dim"].iloc[0] else b""]})
 
 
@@ -63,8 +62,8 @@ def _tiles(k: int):
             for t in frame.itertuples(index=False):
                 qid, qrow = np.frombuffer(t.q_ids, np.int64), np.frombuffer(t.q_rows, np.int64)
                 cid, crow, none = np.frombuffer(t.ids, np.int64), np.frombuffer(t.rows, np.int64), np.frombuffer(t.none, bool)
-                c = np.frombuffer(t.data, np.int64).reshape(len(cid), -1)
-                q = np.frombuffer(t.q_data, np.int64).reshape(len(qid), -1)
+                c = np.frombuffer(t.data, np.int64).reshape(len(cid), t.dim)
+                q = np.frombuffer(t.q_data, np.int64).reshape(len(qid), t.dim)
                 out = []
                 for a in range(0, len(qid), 256):  # bounds the tile's scores
                     scores = _scores(q[a:a + 256], c)
@@ -93,7 +92,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, block:
     are given; an empty table gives no rows.
     """
     rows = vectors.select("vec_id", "embedding", is_query.alias("is_query")).where(usable(F.col("embedding"), scale))
-    rows = stage(rows.select(F.col("vec_id").alias("id"), F.coalesce("is_query", F.lit(False)).alias("is_query"), quantised(F.col("embedding"), scale).alias("v"),
+    rows = stage(rows.select(F.coalesce("vec_id", F.lit(0)).alias("id"), F.col("vec_id").isNull().alias("none"), F.coalesce("is_query", F.lit(False)).alias("is_query"), quantised(F.col("embedding"), scale).alias("v"),
                              F.size("embedding").alias("dim"), F.monotonically_increasing_id().alias("row")), "vectors")
     n = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     shards, lanes = max(1, math.ceil(n["n"] / block)), max(1, math.ceil(n["q"] / QUERY_BLOCK))
@@ -106,7 +105,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, block:
     asked = queries.select("dim", F.col("block").alias("lane"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("data").alias("q_data"),
                            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("block"))
     cells = cands.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).join(asked.hint("merge"), ["dim", "lane", "block"])
-    lists = cells.select("ids", "rows", "none", "data", "q_ids", "q_rows", "q_data", "block").mapInPandas(
+    lists = cells.select("dim", "ids", "rows", "none", "data", "q_ids", "q_rows", "q_data", "block").mapInPandas(
         _tiles(k), "query_id long, query_row long, vec_id long, vec_row long, score long, node int")
     while True:
         lists = lists.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("int"))
