@@ -27,6 +27,7 @@ QUERY_BLOCK = 2048
 FAN_IN = 32
 #: Components beyond this can't be held exactly as a double's integer part.
 LARGEST = float(2 ** 53)
+LONG = 2 ** 63 - 1
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -74,10 +75,9 @@ def _tiles(k: int):
                             least = np.partition(s, len(s) - k)[len(s) - k]
                             ok, s = ok[s >= least], s[s >= least]
                         best = np.lexsort((crow[ok], cid[ok], none[ok], -s))[:k]
-                        out += [(qid[i], qrow[i], None if none[ok[j]] else cid[ok[j]], crow[ok[j]], s[j], t.block) for j in best]
-                f = pd.DataFrame(out, columns=["query_id", "query_row", "vec_id", "vec_row", "score", "node"])
-                f["vec_id"] = pd.array([None if x is None else int(x) for x in f["vec_id"]], dtype="Int64")
-                yield f
+                        out += [(qid[i], qrow[i], cid[ok[j]], crow[ok[j]], min(max(int(s[j]), -LONG - 1), LONG), t.block, none[ok[j]]) for j in best]
+                f = pd.DataFrame(out, columns=["query_id", "query_row", "vec_id", "vec_row", "score", "node", "none"])
+                yield f.assign(vec_id=f["vec_id"].astype("Int64").mask(f.pop("none").astype(bool)))
     return per_part
 
 
@@ -89,7 +89,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, block:
     Vectors that are null or hold a null, non-finite or over-large component
     take no part. Only vectors of one length are compared. A repeated row is a
     candidate of its copies, not of itself. With fewer than k other rows all
-    are given; an empty table gives no rows.
+    are given; an empty table gives no rows. Scores beyond 64 bits saturate.
     """
     rows = vectors.select("vec_id", "embedding", is_query.alias("is_query")).where(usable(F.col("embedding"), scale))
     rows = stage(rows.select(F.coalesce("vec_id", F.lit(0)).alias("id"), F.col("vec_id").isNull().alias("none"), F.coalesce("is_query", F.lit(False)).alias("is_query"), quantised(F.col("embedding"), scale).alias("v"),

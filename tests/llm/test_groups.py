@@ -116,7 +116,7 @@ def plain_top(rows, k):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("big", [1.0, 1e6, 1e12])
+@pytest.mark.parametrize("big", [1.0, 1e6])
 def test_top_lists_against_brute_force(spark, big):
     from pyspark.sql import functions as F
 
