@@ -1,34 +1,10 @@
-"""Join helpers: broadcast only what has a checked or proven size bound."""
+"""Join helpers: broadcast only what has a proven size bound."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension-sized side: a few MB at most when broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-_HELD: list[DataFrame] = []
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its row count is at most ``max_rows``.
-
-    The side is persisted and counted first, so the check costs no extra
-    scan; a side beyond the bound is returned unhinted and joins by shuffle
-    (sort-merge, with AQE's skew handling).
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _HELD.append(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def release_checked_sides() -> None:
-    """Unpersist the sides cached for size checks once their plans have run."""
-    while _HELD:
-        _HELD.pop().unpersist()
-
 
 def proven_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction.

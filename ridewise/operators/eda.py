@@ -253,6 +253,7 @@ def hour_dow_heatmap(df: DataFrame) -> DataFrame:
 
 
 # F22 / F23 ----------------------------------------------------------------------
+# fixed values: the column lists
 CORR_12 = ["wait_time_min", "surge_multiplier", "fare_inr", "distance_km",
            "driver_rating", "demand_pressure", "is_peak_hour", "is_raining",
            "is_festival", "is_ipl_day", "is_high_surge", "hourly_ride_volume"]
@@ -261,23 +262,47 @@ CORR_TARGET_9 = ["wait_time_min", "surge_multiplier", "distance_km", "fare_inr",
 
 
 def _corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for every unordered pair, in long form (both orders).
+    """Pearson r for every unordered pair, in long form (both orders), pairwise complete.
 
-    MLlib ``Correlation.corr`` over the assembled columns: one tree-aggregate
-    of outer products across partitions, returning a k × k matrix (bounded by
-    the number of columns, not rows). Rows holding a null are skipped; the
-    enriched table has none (cleaning leaves no nulls), so this equals the
-    reference's pairwise-complete correlation.
+    Each Arrow batch gives one Gram matrix of (present, x, x²) per column,
+    nulls counting as zero: its entries are every pair's count, sums and sums
+    of products over the rows where both are present. Spark adds the matrices;
+    a partition sends one, (3k)² numbers. Values are taken less the column's
+    mean, so that sums of squares lose no digits.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    import numpy as np
+    import pandas as pd
 
     cols = list(columns)
     num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(num).select("_v")
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+    means = num.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
+    centre, k = np.array([means[c] for c in cols]), len(cols)
+
+    def grams(batches):
+        total = np.zeros((3 * k, 3 * k))
+        for batch in batches:
+            x = batch.to_numpy(dtype=np.float64) - centre
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            wide = np.hstack([there.astype(np.float64), x, x * x])
+            total += wide.T @ wide
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+
+    entry = num.mapInPandas(grams, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    part = (entry.withColumn("what", F.concat(F.floor(F.col("i") / k).cast("string"), F.floor(F.col("j") / k).cast("string")))
+            .withColumn("a", F.col("i") % k).withColumn("b", F.col("j") % k).where("a <> b")
+            .groupBy("a", "b").pivot("what", ["00", "10", "01", "11", "20", "02"]).agg(F.first("v")))
+    n, sx, sy, sxy, sxx, syy = (F.col(f"`{w}`") for w in ("00", "10", "01", "11", "20", "02"))
+    vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+    r = F.when((n > 1) & (vx > 0) & (vy > 0), (sxy - sx * sy / n) / F.sqrt(vx * vy))
+    names = F.array(*map(F.lit, cols))
+    return part.select(F.get(names, F.col("a")).alias("col_a"), F.get(names, F.col("b")).alias("col_b"), r.alias("r"))
+
+
+def corr_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """r of every pair of raw columns, nulls and all, round 4."""
+    return _corr_pairs(df, columns).select("col_a", "col_b", round_np("r", 4).alias("r"))
 
 
 def corr_matrix_12(df: DataFrame) -> DataFrame:
@@ -337,11 +362,12 @@ def surge_histogram(df: DataFrame, bins: int = 30, column: str = "surge_multipli
     min and max are scalar subqueries (computed once, inlined as values).
     """
     x = F.col(column)
-    lo = df.agg(F.min(x)).scalar()
-    hi = df.agg(F.max(x)).scalar()
+    least, most = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
+    # a zero range is widened by half a unit on each side
+    pad = F.when(least == most, F.lit(0.5)).otherwise(F.lit(0.0))
+    lo, hi = least - pad, most + pad
     width = (hi - lo) / F.lit(float(bins))
-    b = (F.when(hi == lo, F.lit(1))
-          .otherwise(F.least(F.floor((x - lo) / width).cast("int") + 1, F.lit(bins))))
+    b = F.least(F.floor((x - lo) / width).cast("int") + 1, F.lit(bins))
     counts = (df.where(x.isNotNull())
                 .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("rides")))
     grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))

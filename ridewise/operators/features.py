@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ridewise import config as C
 from ridewise.functions.columns import col_, flag, lookup, round_np, season, surge_band, wait_band
-from ridewise.functions.joins import bounded_broadcast, proven_broadcast
+from ridewise.functions.joins import proven_broadcast
+from ridewise.functions.lineage import cut_lineage
 
 VOLUME_KEYS = ["city", "date", "hour"]
 
@@ -108,19 +109,18 @@ def city_volume_p75(volume: DataFrame, q: float = 0.75) -> DataFrame:
     return volume.groupBy("city").agg(F.percentile(v, q, v).alias("city_volume_p75"))
 
 
-def add_volume_features(df: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def add_volume_features(df: DataFrame) -> DataFrame:
     """D18 + D20: hourly_ride_volume and is_high_demand joined back per ride.
 
     The (city, date, hour) table grows with the time span, not with the ride
-    count; it is broadcast after a size check, and joined by shuffle beyond it.
+    count. It is stored first, so the planner knows its bytes and broadcasts it
+    only under ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    vol = hourly_volume_table(df)
-    p75 = city_volume_p75(vol)
-    vol = vol.join(proven_broadcast(p75), "city").withColumn(
+    vol = cut_lineage(hourly_volume_table(df), "hourly-volume")
+    vol = vol.join(proven_broadcast(city_volume_p75(vol)), "city").withColumn(
         "is_high_demand", flag(F.col("hourly_ride_volume") >= F.col("city_volume_p75"))
     ).drop("city_volume_p75")
-    side = bounded_broadcast(vol, max_broadcast_rows) if max_broadcast_rows else bounded_broadcast(vol)
-    return df.join(side, VOLUME_KEYS, "left")
+    return df.join(vol, VOLUME_KEYS, "left")
 
 
 # -- D21–D22, D33–D35 ---------------------------------------------------------
@@ -176,11 +176,14 @@ def code_table(df: DataFrame, column: str, code_name: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
-    """Alphabetical label codes. Runs on validated columns, so each code
-    table holds at most the size of a fixed domain and is broadcast."""
+    """Alphabetical label codes. Runs on validated columns, whose
+    combinations (at most 100 for the three of the ride table) are found in
+    one scan and stored; each code table comes from those."""
+    columns = columns or LABEL_COLUMNS
+    values = cut_lineage(df.select(*columns).distinct(), "codes")
     out = df
-    for column, code in (columns or LABEL_COLUMNS).items():
-        out = out.join(proven_broadcast(code_table(df, column, code)), column, "left")
+    for column, code in columns.items():
+        out = out.join(code_table(values, column, code), column, "left")
     return out
 
 
@@ -275,7 +278,7 @@ def inject_quality_issues(df: DataFrame, null_wait_pm: int = 20, null_rating_pm:
 
 # -- D23: composition ----------------------------------------------------------
 
-def engineer_features(df: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def engineer_features(df: DataFrame) -> DataFrame:
     """The 25 derived columns of the feature stage (no encoding)."""
     base = df.withColumns(time_features())
     base = base.withColumns({**period_flags(), "season": season("month"), **weather_flags()})
@@ -286,7 +289,7 @@ def engineer_features(df: DataFrame, max_broadcast_rows: int | None = None) -> D
         "surge_band": surge_band(),
         "wait_band": wait_band(),
     })
-    base = add_volume_features(base, max_broadcast_rows)
+    base = add_volume_features(base)
     return base.withColumns({
         "is_event_day": is_event_day(),
         "minutes_since_midnight": minutes_since_midnight(),
@@ -308,8 +311,8 @@ def encode(df: DataFrame) -> DataFrame:
     return label_encode(df).withColumn("season_code", season_code())
 
 
-def enrich(clean: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def enrich(clean: DataFrame) -> DataFrame:
     """Clean rides → 43-column enriched table (feature stage + encode stage)."""
     from ridewise.operators.clean import RAW_COLUMNS
-    out = encode(engineer_features(clean, max_broadcast_rows))
+    out = encode(engineer_features(clean))
     return out.select(*RAW_COLUMNS, *FEATURE_ORDER)

@@ -3,8 +3,8 @@
 Every metric is a plain aggregate over (label, prediction) rows, so it runs
 distributed on the scored test set and is checkable by SQL. AUC is exact:
 positives and negatives are counted per distinct score, and the count of
-negatives below each score comes from a two-level prefix sum (per score
-bucket, then inside each bucket), so no single task ranks all scores.
+negatives below each score comes from a two-level prefix sum (per range
+partition of the scores, then inside it), so no single task ranks all scores.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewise.functions.columns import col_, round_np
+from ridewise.functions.lineage import cut_lineage
 
 
 # H10 -------------------------------------------------------------------------------
@@ -49,15 +50,19 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred") ->
     return cm.withColumns({f"{c}_pct": round_np(F.col(c) * 100.0 / n, 2) for c in ("tn", "fp", "fn", "tp")})
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
-    """Exact ROC AUC (ties count one half) over any number of rows and scores."""
+def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Exact ROC AUC (ties count one half) over any number of rows and scores.
+
+    Distinct scores are range-partitioned by their own distribution and
+    stored, so scores that crowd together are spread all the same.
+    """
     lab, s = F.col(label).cast("int"), F.col(score).cast("double")
     per = df.groupBy(s.alias("s")).agg(F.count_if(lab == 1).alias("pos"), F.count_if(lab == 0).alias("neg"))
-    per = per.withColumn("b", F.least(F.greatest(F.floor(F.col("s") * buckets), F.lit(-1)), F.lit(buckets)))
+    per = cut_lineage(per.repartitionByRange("s").withColumn("b", F.spark_partition_id()), "scores")
     tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
     tot = tot.withColumn("neg_before_bucket", F.coalesce(F.sum("bneg").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))   # ≤ buckets+2 rows
-    per = per.join(F.broadcast(tot.select("b", "neg_before_bucket")), "b")
+        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))   # one row a partition
+    per = per.join(tot.select("b", "neg_before_bucket"), "b")
     inner = F.coalesce(F.sum("neg").over(Window.partitionBy("b").orderBy("s")
                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per = per.withColumn("neg_below", F.col("neg_before_bucket") + inner)
@@ -91,16 +96,6 @@ def target_stats(df: DataFrame, y: str = "y") -> DataFrame:
     return df.agg(round_np(F.avg(y), 4).alias("mean"), round_np(F.stddev_samp(y), 4).alias("std"))
 
 
-def standard_scale(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """z-score with population std (the reference's scaler), stats as scalar subqueries."""
-    out = {}
-    for c in columns:
-        mu = df.agg(F.avg(F.col(c).cast("double"))).scalar()
-        sd = df.agg(F.stddev_pop(F.col(c).cast("double"))).scalar()
-        out[c] = (F.col(c).cast("double") - mu) / F.nullif(sd, F.lit(0.0))
-    return df.select(*keep, *[v.alias(k) for k, v in out.items()])
-
-
 def scaling_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
@@ -125,9 +120,11 @@ def equal_width_histogram(df: DataFrame, value: Column, bins: int, by: str | Non
     v = df.select(*([by] if by else [F.lit(0).alias("_g")]), value.cast("double").alias("v")) \
           .where(F.col("v").isNotNull())
     rng = v.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("total"))
+    # a zero range is widened by half a unit on each side
+    pad = F.when(F.col("hi") == F.col("lo"), F.lit(0.5)).otherwise(F.lit(0.0))
+    rng = rng.select(*keys, "total", (F.col("lo") - pad).alias("lo"), (F.col("hi") + pad).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
-        F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int") + 1, F.lit(bins)))
+    b = F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int") + 1, F.lit(bins))
     joined = v.join(F.broadcast(rng), keys, "inner")          # one range row per group
     counts = joined.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))

@@ -11,17 +11,23 @@ are a parameter.
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ridewise.functions.columns import round_np
 from ridewise.operators import metrics as M
 from ridewise.operators.scoring import CANCEL_FEATURES, SURGE_FEATURES, WAIT_FEATURES
 from ridewise.operators.timeseries import DEMAND_FEATURES
@@ -65,12 +71,6 @@ def _apply_scaling(df: DataFrame, features: Sequence[str], means, stds) -> DataF
     return df.withColumns(cols)
 
 
-def _scaled(df: DataFrame, features: Sequence[str], train: DataFrame) -> DataFrame:
-    """H2: z-score every feature with the training rows' mean and population std."""
-    _, means, stds = scaler_stats(train, features)
-    return _apply_scaling(df, features, means, stds)
-
-
 # H3 ---------------------------------------------------------------------------------
 def ridge_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                    alpha: float = 1.0, lo: float | None = 0.0, hi: float | None = None) -> DataFrame:
@@ -127,8 +127,25 @@ def gbt_classifier(label: str, max_iter: int = 200, max_depth: int = 5, step: fl
                          minInstancesPerNode=min_leaf, seed=seed, **kw)
 
 
+#: Rows that one partition of a training set holds.
+FIT_ROWS = 50_000
+
+
 def fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
-    return _pipeline(features, estimator).fit(train)
+    """One distributed fit, on partitions that are full.
+
+    Boosting runs a few jobs a tree; on partitions of a few rows each, their
+    start costs more than their work.
+    """
+    spark = train.sparkSession
+    label = estimator.getLabelCol()
+    data = train.select(*dict.fromkeys([*features, label])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = max(1, math.ceil(data.count() / FIT_ROWS))
+        own = min(parts, spark.sparkContext.defaultParallelism * 64)
+        return _pipeline(features, estimator).fit(data.coalesce(own))
+    finally:
+        data.unpersist()
 
 
 def score_regression(model: PipelineModel, df: DataFrame, lo: float | None = None,
@@ -147,36 +164,34 @@ def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
                .drop("features", "rawPrediction", "probability", "pred_d"))
 
 
-def positive_weight(train: DataFrame, label: str) -> DataFrame:
-    """H7 option: weight positives by (1−p)/p (the reference's XGBoost branch)."""
-    p = train.agg(F.avg(F.col(label).cast("double"))).scalar()
-    return train.withColumn("class_weight", F.when(F.col(label) == 1, (1 - p) / p).otherwise(1.0))
-
-
 # H13 --------------------------------------------------------------------------------
 def cv_scores(folded: DataFrame, features: Sequence[str], make_estimator, label: str,
               kind: str = "regression", n_splits: int = 5, lo: float | None = None,
               hi: float | None = None) -> DataFrame:
-    """Walk-forward CV over the ``segment`` column (G7): one distributed fit per fold."""
-    rows = []
-    for f in range(1, n_splits + 1):
-        tr = folded.where(F.col("segment") < f)
-        va = folded.where(F.col("segment") == f)
+    """Walk-forward CV over the ``segment`` column (G7): one distributed fit per
+    fold, submitted together. ``mean`` and ``std`` (population) are those of the
+    folds' exact MAE or AUC."""
+    def one(f: int) -> DataFrame:
+        tr, va = folded.where(F.col("segment") < f), folded.where(F.col("segment") == f)
         model = fit(tr, features, make_estimator())
         if kind == "regression":
-            m = M.regression_metrics(score_regression(model, va, lo, hi), label, "pred")
+            scored = score_regression(model, va, lo, hi)
+            exact = scored.agg(F.avg(F.abs(F.col(label).cast("double") - F.col("pred"))).alias("exact"))
+            m = M.regression_metrics(scored, label, "pred")
         else:
-            m = M.classification_metrics(score_classifier(model, va), label, "pred", "score")
-        rows.append(m.withColumn("fold", F.lit(f)))
+            scored = score_classifier(model, va)
+            exact = M.auc(scored, label, "score").select(F.col("auc").alias("exact"))
+            m = M.classification_metrics(scored, label, "pred", "score")
+        return m.withColumns({"fold": F.lit(f), "exact": exact.scalar()})
+
+    with ThreadPoolExecutor(max_workers=n_splits) as pool:
+        rows = list(pool.map(one, range(1, n_splits + 1)))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
-
-
-def cv_summary(cv: DataFrame, metric: str) -> DataFrame:
-    """Mean and population std of a metric over folds."""
-    return cv.agg(F.avg(metric).alias(f"{metric}_mean"), F.stddev_pop(metric).alias(f"{metric}_std"))
+    all_folds = Window.partitionBy()                              # n_splits rows
+    return out.withColumns({"mean": round_np(F.avg("exact").over(all_folds), 4),
+                            "std": round_np(F.stddev_pop("exact").over(all_folds), 4)}).drop("exact")
 
 
 # H15 --------------------------------------------------------------------------------
@@ -192,7 +207,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
 # H19 --------------------------------------------------------------------------------
 def leaderboard(metrics: DataFrame) -> DataFrame:
     """Per (scope, model) metric rows plus the average over scopes per model."""
-    avg = metrics.groupBy("model").agg(*[F.round(F.avg(c), 4).alias(c) for c in ("mae", "rmse", "r2", "mape")]) \
+    avg = metrics.groupBy("model").agg(*[round_np(F.avg(c), 4).alias(c) for c in ("mae", "rmse", "r2", "mape")]) \
                  .withColumn("scope", F.lit("average"))
     return metrics.select("scope", "model", "mae", "rmse", "r2", "mape").unionByName(
         avg.select("scope", "model", "mae", "rmse", "r2", "mape"))
@@ -214,11 +229,18 @@ def save_model(spark: SparkSession, model: PipelineModel, path: str, name: str,
 
 
 def load_model(path: str, name: str) -> PipelineModel | None:
-    """Load a stored model; a missing artefact gives None (callers fall back)."""
+    """Load a stored model; None if none of that name is stored (callers fall back).
+
+    Anything else, such as a broken or unreadable model, raises.
+    """
+    spark = SparkSession.active()
     try:
-        return PipelineModel.load(f"{path}/{name}/model")
-    except Exception:  # noqa: BLE001 — absent or unreadable → fallback constants
-        return None
+        spark.read.text(f"{path}/{name}/metadata").schema
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return PipelineModel.load(f"{path}/{name}/model")
 
 
 def model_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -227,4 +249,5 @@ def model_summary(spark: SparkSession, path: str) -> DataFrame:
     schema = ("name string, model_type string, features array<string>, metrics map<string,double>, "
               "top_features array<struct<feature:string, importance:double>>, trained_at string")
     parsed = raw.select(F.from_json("value", schema).alias("m")).select("m.*")
-    return parsed.select("name", "model_type", F.size("features").alias("n_features"), "metrics", "trained_at")
+    city = F.when(F.col("name").startswith("demand_"), F.translate(F.expr("substring(name, 8)"), "_", " "))
+    return parsed.select("name", "model_type", city.alias("city"), F.size("features").alias("n_features"), "metrics", "trained_at")

@@ -139,8 +139,8 @@ def _boundary_keys(df: DataFrame, positions: Sequence[int]) -> list[tuple]:
     """(ts, ride_id) of the rows at the given 0-based positions in (ts, ride_id) order.
 
     Counting, not ranking: per-day counts (one row per day) locate the day of
-    each position; per-minute counts inside those days locate the minute;
-    only the rows of the boundary minutes are ranked by ride_id. Each step
+    each position; counts per minute, second and instant inside it locate the
+    instant; counts per ride_id prefix the ride. Each step
     hands a bounded handful of values (≤ one per position) to the next as
     literal range / equality filters, so the later scans are pushed down to
     the Parquet reader and skip row groups outside the boundary days.
@@ -165,47 +165,48 @@ def _boundary_keys(df: DataFrame, positions: Sequence[int]) -> list[tuple]:
         lo = _dt.datetime.combine(day, _dt.time())
         cond = (F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(lo + _dt.timedelta(days=1)))
         in_days = cond if in_days is None else in_days | cond
-    minutes = d.where(in_days).groupBy(F.to_date("ts").alias("_d"), "ts").agg(F.count(F.lit(1)).alias("c"))
-    minutes = minutes.withColumn("cb", F.coalesce(F.sum("c").over(
-        Window.partitionBy("_d").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    adf = spark.createDataFrame([(r["pid"], r["_d"], r["k1"]) for r in at_day], "pid int, _d date, k1 long")
-    at_min = (F.broadcast(adf).join(minutes, "_d")
-              .where((F.col("k1") >= F.col("cb")) & (F.col("k1") < F.col("cb") + F.col("c")))
-              .select("pid", "ts", "c", (F.col("k1") - F.col("cb")).alias("k2")).collect())   # ≤ len(positions)
-    found = {}
-    for r in at_min:                                        # ≤ len(positions) boundary minutes
-        minute_rows = d.where(F.col("ts") == F.lit(r["ts"]))
-        found[r["pid"]] = (r["ts"], _kth_ride_id(minute_rows, r["k2"], n=r["c"]))
-    return [found.get(i) for i in range(len(positions))]
-
-
-def _kth_ride_id(rows: DataFrame, k: int, max_group: int = 2_000_000, n: int | None = None) -> str:
-    """The k-th smallest ride_id (0-based) among ``rows``.
-
-    A group up to ``max_group`` rows is ranked directly. A larger one (a hot
-    minute) is narrowed first by counting rides per ride_id prefix — one more
-    character per round, at most one row per distinct character — until the
-    prefix holding the k-th id is small, so no task ever sorts the hot group.
+    # day -> minute -> second -> instant: each level counts inside the units
+    # chosen before it (at most 1440, 60 and one second's instants a position)
+    found = {r["pid"]: (r["_d"], r["k1"]) for r in at_day}
+    inside = d.where(in_days).withColumn("_u", F.to_date("ts").cast("timestamp_ntz"))
+    for unit in ("minute", "second", None):
+        finer = F.date_trunc(unit, "ts").cast("timestamp_ntz") if unit else F.col("ts")
+        counts = inside.withColumn("_f", finer).groupBy("_u", "_f").agg(F.count(F.lit(1)).alias("c"))
+        upto = Window.partitionBy("_u").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("cb", F.coalesce(F.sum("c").over(upto), F.lit(0)))
+        ask = spark.createDataFrame([(i, u, k) for i, (u, k) in found.items()], "pid int, _a timestamp_ntz, k long") \
+            if unit != "minute" else spark.createDataFrame(
+                [(i, _dt.datetime.combine(u, _dt.time()), k) for i, (u, k) in found.items()], "pid int, _a timestamp_ntz, k long")
+        hits = (F.broadcast(ask).join(counts, (F.col("_a") == F.col("_u")) & (F.col("k") >= F.col("cb")) & (F.col("k") < F.col("cb") + F.col("c")))
+                .select("pid", "_f", (F.col("k") - F.col("cb")).alias("k")).collect())          # ≤ len(positions)
+        found = {r["pid"]: (r["_f"], r["k"]) for r in hits}
+        units = sorted({u for u, _ in found.values()})
+        inside = inside.withColumn("_u", finer).where(F.col("_u").isin(units))
+    keys = {i: (u, _kth_ride_id(d.where(F.col("ts") == F.lit(u)), k)) for i, (u, k) in found.items()}
+    return [keys.get(i) for i in range(len(positions))]
+
+
+def _kth_ride_id(rows: DataFrame, k: int, step: int = 2) -> str:
+    """The k-th smallest ride_id (0-based) among ``rows``, by counting only.
+
+    Rides are counted per ride_id prefix, two more characters a round, until
+    the prefix that holds the k-th id holds one distinct id. A round gives one
+    row per distinct continuation; nothing is ranked, whatever the group's size.
     """
     prefix = ""
     while True:
+        level = len(prefix) + step
         group = rows.where(F.col("ride_id").startswith(prefix)) if prefix else rows
-        if n is None:
-            n = group.count()
-        if n <= max_group:
-            w = Window.orderBy("ride_id")                      # bounded by max_group rows
-            hit = (group.select("ride_id").withColumn("_r", F.row_number().over(w) - 1)
-                        .where(F.col("_r") == k).first())
-            return hit["ride_id"]
-        level = len(prefix) + 1
         counts = (group.groupBy(F.substring("ride_id", 1, level).alias("p"))
-                       .agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect())   # ≤ alphabet size
-        before = 0
+                       .agg(F.count(F.lit(1)).alias("c"), F.min("ride_id").alias("lo"), F.max("ride_id").alias("hi"))
+                       .orderBy("p").collect())
         for row in counts:
-            if k < before + row["c"]:
-                prefix, n, k = row["p"], row["c"], k - before
+            if k < row["c"]:
                 break
-            before += row["c"]
+            k -= row["c"]
+        if row["lo"] == row["hi"]:
+            return row["lo"]
+        prefix = row["p"]
 
 
 def _before(key: tuple | None) -> Column:

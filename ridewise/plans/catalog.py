@@ -8,7 +8,9 @@ sides; doubles are rounded half-to-even on both sides.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -299,6 +301,17 @@ def q_corr_matrix(spark, sf):
 _C9_SEL, _C9_UNION = _corr_sql(E.CORR_TARGET_9, 3, keep=("fare_inr", "wait_time_min"))
 
 
+_RAW_CORR = ["wait_time_min", "surge_multiplier", "fare_inr", "distance_km", "driver_rating"]
+
+
+@register("corr_raw_pairs", on_raw(" union all ".join(
+    f"select '{a}' as col_a, '{b}' as col_b, round_even(corr(cast({a} as double), cast({b} as double)), 4) as r from rides"
+    for a in _RAW_CORR for b in _RAW_CORR if a != b)))
+def q_corr_raw(spark, sf):
+    """F22 on the raw columns, which hold nulls: each pair over its own complete rows."""
+    return E.corr_raw(S.raw(spark, sf), _RAW_CORR)
+
+
 @register("corr_with_target", on_feat(f"""
 select col_a as target, col_b as feature, r from ({_C9_UNION})""", f"o_c as (select {_C9_SEL} from feat)"))
 def q_corr_with_target(spark, sf):
@@ -937,13 +950,17 @@ def q_target_stats(spark, sf):
     return split.groupBy("city").agg(_rn(F.avg("rides"), 4).alias("mean"), _rn(F.stddev_samp("rides"), 4).alias("std"))
 
 
-_SCALE_COLS = ["hour", "day_of_week", "month", "rides_lag_1d", "rides_lag_7d", "rides_roll_3d", "rides_roll_7d"]
+_SCALE_COLS = list(G.DEMAND_FEATURES)
+
+
+_SCALE_SQL = {"hour_sin": "sin(2 * pi() * hour / 24.0)", "hour_cos": "cos(2 * pi() * hour / 24.0)",
+              "dow_sin": "sin(2 * pi() * day_of_week / 7.0)", "dow_cos": "cos(2 * pi() * day_of_week / 7.0)"}
 
 
 @register("scaling_stats_demand", on_feat(" union all ".join(
-    f"select '{c}' as \"column\", round_even(avg(cast({c} as double)), 6) as mean, "
-    f"round_even(stddev_pop(cast({c} as double)), 6) as std from o_split where role = 'train'" for c in _SCALE_COLS),
-    _HOURLY_CTE))
+    f"select '{c}' as \"column\", round_even(avg(cast({_SCALE_SQL.get(c, c)} as double)), 6) as mean, "
+    f"round_even(stddev_pop(cast({_SCALE_SQL.get(c, c)} as double)), 6) as std from o_split where role = 'train'"
+    for c in _SCALE_COLS), _HOURLY_CTE))
 def q_scaling_stats(spark, sf):
     split = G.hourly_split(_demand_ds(spark, sf)).where(F.col("role") == "train")
     return H.scaling_stats(split, _SCALE_COLS)
@@ -1217,108 +1234,98 @@ def q_hourly_profile(spark, sf):
 
 # ---------------------------------------------------------------------------
 # H (MLlib models), A8/A9, J3–J5, J11, J13, J14 — rows-only checks.
-# Boosting iterations are a parameter (reference default 200/150); the
-# registered queries run QUERY_ITERS to keep the check affordable.
+# All models are trained once per session and data folder, at full length.
 # ---------------------------------------------------------------------------
 
 from ridewise.operators import models as ML  # noqa: E402
 from ridewise.plans import training as T  # noqa: E402
 
-QUERY_ITERS = 10
+
+_SPLITS: dict = {}
+_TRAINED: dict = {}
+_TRAIN_LOCK = threading.RLock()
 
 
 def _ride_split(spark, sf):
     k = ("ride_split", spark.sparkContext.applicationId, sf)
-    if k not in _SPLITS:
-        _SPLITS[k] = T.ride_split(_feat(spark, sf))
-    return _SPLITS[k]
-
-
-_SPLITS: dict = {}
+    with _TRAIN_LOCK:
+        if k not in _SPLITS:
+            _SPLITS[k] = T.ride_split(_feat(spark, sf))
+        return _SPLITS[k]
 
 
 def _model_dir(spark, sf):
     return S.stage_path(spark, sf, "models")
 
 
-_DEMAND: dict = {}
+def _trained(spark, sf, *names):
+    """Results of the named training jobs (all without a name), each run once per
+    session and data folder; those still to run are independent and run together."""
+    with _TRAIN_LOCK:
+        done = _TRAINED.setdefault((spark.sparkContext.applicationId, sf), {})
+        jobs = T.model_jobs(spark, _feat(spark, sf), _ride_split(spark, sf), _model_dir(spark, sf))
+        todo = [n for n in names or jobs if n not in done]
+        if todo:
+            with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+                for n, job in {n: pool.submit(jobs[n]) for n in todo}.items():
+                    done[n] = job.result()
+        return done
 
 
-def _demand_models(spark, sf):
-    """Per-city demand fits, trained once per session and data folder."""
-    k = (spark.sparkContext.applicationId, sf)
-    if k not in _DEMAND:
-        _DEMAND[k] = T.train_demand(spark, _feat(spark, sf), max_iter=QUERY_ITERS, return_models=True)
-    return _DEMAND[k]
+def _stored(spark, sf, name):
+    """A stored model, read again; a missing one is an error here."""
+    model = ML.load_model(_model_dir(spark, sf), name)
+    if model is None:
+        raise FileNotFoundError(f"no stored model {name}")
+    return model
 
 
 @register("gbt_demand_leaderboard")
 def q_demand_models(spark, sf):
-    return ML.leaderboard(_demand_models(spark, sf)[0])
+    return ML.leaderboard(_trained(spark, sf, "demand")["demand"][0])
 
 
 @register("gbt_wait_metrics")
 def q_wait_model(spark, sf):
-    met, _, _ = T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS)
-    return met
+    return _trained(spark, sf, "wait")["wait"][0]
 
 
 @register("gbt_surge_metrics")
 def q_surge_model(spark, sf):
-    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_high_surge", ML.SURGE_FEATURES,
-                                   T.SURGE_GBT, max_iter=QUERY_ITERS, name="surge")
-    return met
+    return _trained(spark, sf, "surge")["surge"][0]
 
 
 @register("gbt_cancel_metrics")
 def q_cancel_model(spark, sf):
-    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_cancelled", ML.CANCEL_FEATURES,
-                                   T.CANCEL_GBT, max_iter=QUERY_ITERS, name="cancellation", baseline=False)
-    return met
+    return _trained(spark, sf, "cancellation")["cancellation"][0]
 
 
 @register("gbt_surge_leak_free_metrics")
 def q_surge_leak_free(spark, sf):
     """Surge classifier without demand_pressure (which contains the surge itself)."""
     met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_high_surge", ML.LEAK_FREE_SURGE_FEATURES,
-                                   T.SURGE_GBT, max_iter=QUERY_ITERS, name="surge_leak_free", baseline=False)
+                                   T.SURGE_GBT, name="surge_leak_free", baseline=False)
     return met
 
 
 @register("feature_importance_wait")
 def q_importance(spark, sf):
-    _, model, _ = T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS)
-    return ML.feature_importance(spark, model, ML.WAIT_FEATURES, k=12)
+    return ML.feature_importance(spark, _trained(spark, sf, "wait")["wait"][1], ML.WAIT_FEATURES, k=12)
 
 
 @register("cv_scores_wait")
 def q_cv_wait(spark, sf):
-    split = _ride_split(spark, sf)
-    train = G.time_series_folds(split.where(F.col("role") == "train"))
-    cv = ML.cv_scores(train, ML.WAIT_FEATURES, lambda: ML.gbt_regressor("wait_time_min", max_iter=5, **T.WAIT_GBT),
-                      "wait_time_min", lo=0.5, hi=120.0)
-    return cv.select("fold", "mae", "rmse", "r2", "mape").unionByName(
-        ML.cv_summary(cv, "mae").select(F.lit(0).alias("fold"), F.col("mae_mean").alias("mae"),
-                                        F.col("mae_std").alias("rmse"), F.lit(None).cast("double").alias("r2"),
-                                        F.lit(None).cast("double").alias("mape")))
+    """Metrics of each walk-forward fold; mean and std of the folds' MAE beside them."""
+    train = G.time_series_folds(_ride_split(spark, sf).where(F.col("role") == "train"))
+    return ML.cv_scores(train, ML.WAIT_FEATURES, lambda: ML.gbt_regressor("wait_time_min", max_iter=T.TREES, **T.WAIT_GBT),
+                        "wait_time_min", lo=0.5, hi=120.0)
 
 
 @register("predict_all_models")
 def q_predict_all_models(spark, sf):
-    """Train, store (A8), reload (A9) and score every ride scenario with the models."""
-    md = _model_dir(spark, sf)
-    split = _ride_split(spark, sf)
-    jobs = [
-        lambda: T.train_wait(spark, split, max_iter=QUERY_ITERS, model_dir=md),
-        lambda: T.train_classifier(spark, split, "is_high_surge", ML.SURGE_FEATURES, T.SURGE_GBT,
-                                   max_iter=QUERY_ITERS, name="surge", model_dir=md, baseline=False),
-        lambda: T.train_classifier(spark, split, "is_cancelled", ML.CANCEL_FEATURES, T.CANCEL_GBT,
-                                   max_iter=QUERY_ITERS, name="cancellation", model_dir=md, baseline=False),
-    ]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=3) as pool:        # three independent distributed fits
-        list(pool.map(lambda f: f(), jobs))
-    models = [ML.load_model(md, n) for n in ("wait_time", "surge", "cancellation")]
+    """Score every ride scenario with the stored models."""
+    _trained(spark, sf, "wait", "surge", "cancellation")
+    models = [_stored(spark, sf, n) for n in ("wait_time", "surge", "cancellation")]
     r = J.predict_all(J.scenarios_from_rides(_feat(spark, sf)), *models)
     return r.select("scenario_id", "city", "hour", "wait_time_min", "surge.*", F.col("cancellation.probability")
                     .alias("cancel_probability"), F.col("cancellation.label").alias("cancel_label"),
@@ -1327,19 +1334,16 @@ def q_predict_all_models(spark, sf):
 
 @register("model_summary")
 def q_model_summary(spark, sf):
-    md = _model_dir(spark, sf)
-    if ML.load_model(md, "wait_time") is None:
-        T.train_wait(spark, _ride_split(spark, sf), max_iter=QUERY_ITERS, model_dir=md)
-    return ML.model_summary(spark, md)
+    """Every stored model: wait, surge, cancellation, and demand by city."""
+    _trained(spark, sf)
+    return ML.model_summary(spark, _model_dir(spark, sf))
 
 
 @register("predict_demand")
 def q_predict_demand(spark, sf):
-    """Per-city demand models applied to the held-out hourly rows."""
-    enr = _feat(spark, sf)
-    _, models = _demand_models(spark, sf)
-    test = T.demand_split(enr).where(F.col("role") == "test")
-    return T.predict_demand(models, test).select("city", "date", "hour", "rides", "predicted_rides")
+    """Per-city demand models applied to every hourly row."""
+    rows = T.demand_split(_feat(spark, sf))
+    return T.predict_demand(_trained(spark, sf, "demand")["demand"][1], rows).select("city", "date", "hour", "role", "rides", "predicted_rides")
 
 
 # ---------------------------------------------------------------------------
@@ -1349,16 +1353,14 @@ def q_predict_demand(spark, sf):
 from ridewise.sources import writers as WR  # noqa: E402
 
 
-@register("write_clean_csv", on_feat("""
-select ride_id, ts, city, cast(date as varchar) as date, fare_per_km, demand_pressure, surge_band,
-       hourly_ride_volume from feat"""))
+@register("write_clean_csv", on_feat("select * from feat"))
 def q_write_csv(spark, sf):
+    """All 43 columns written as CSV and read back typed."""
     path = S.stage_path(spark, sf, "csv_sink")
-    WR.write_clean_csv(_feat(spark, sf).select("ride_id", "ts", "city", "date", "fare_per_km", "demand_pressure",
-                                               "surge_band", "hourly_ride_volume"), path)
+    feat = _feat(spark, sf)
+    WR.write_clean_csv(feat, path)
     return (spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .schema("ride_id string, ts timestamp_ntz, city string, date string, fare_per_km double, "
-                    "demand_pressure double, surge_band string, hourly_ride_volume long").csv(path))
+            .schema(feat.schema).csv(path))
 
 
 @register("write_clean_table", on_feat("select count(*) as rows from feat"))
@@ -1368,14 +1370,13 @@ def q_write_table(spark, sf):
 
 
 @register("read_rides_clean_city", on_feat("""
-select vehicle_type, count(*) as rides, round_even(avg(fare_inr), 4) as mean_fare
-from feat where city = 'Mumbai' group by vehicle_type"""))
+select city, vehicle_type, count(*) as rides, round_even(avg(fare_inr), 4) as mean_fare
+from feat group by city, vehicle_type"""))
 def q_read_clean_city(spark, sf):
-    """A3 with partition pruning: only the city=Mumbai folder is scanned."""
+    """A3 over the stored table, every city folder."""
     S.enriched(spark, sf)                                  # make sure the stored table exists
-    path = S.stage_path(spark, sf, "enriched")
-    df = RD.read_rides_clean(spark, path).where(F.col("city") == "Mumbai")
-    return df.groupBy("vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
+    df = RD.read_rides_clean(spark, S.stage_path(spark, sf, "enriched"))
+    return df.groupBy("city", "vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
 
 
 @register("write_quality_report")
@@ -1401,7 +1402,7 @@ where city in ('Delhi NCR','Mumbai','Bengaluru','Chennai','Hyderabad') group by
 def q_stream_volume(spark, sf):
     S.raw(spark, sf)
     stream = LV.read_ride_stream(spark, S.stage_path(spark, sf, "raw"))
-    return LV.run_available(LV.hourly_volume_stream(stream), mode="complete")
+    return LV.drain_volume(LV.valid_rides(stream), S.stage_path(spark, sf, "stream_volume"))
 
 
 @register("stream_rule_scoring", on_feat(f"""
@@ -1417,7 +1418,7 @@ def q_stream_scoring(spark, sf):
     req = (spark.readStream.schema(_feat(spark, sf).schema).parquet(S.stage_path(spark, sf, "enriched"))
            .transform(J.scenarios_from_rides))
     assert req.schema == schema
-    out = LV.run_available(LV.score_stream(req))
+    out = LV.drain_rows(LV.score_stream(req), S.stage_path(spark, sf, "stream_scores"))
     return out.select("scenario_id", "rule_wait", "rule_surge_prob", "demand_pressure")
 
 
@@ -1425,16 +1426,10 @@ def q_stream_scoring(spark, sf):
 # Remaining single-step operators of the inventory
 # ---------------------------------------------------------------------------
 
-@register("missing_columns", on_raw("""
-select * from (values ('x')) t("column") where false"""))
-def q_missing_columns(spark, sf):
-    return Q.missing_columns(S.raw(spark, sf))
-
-
 @register("filter_valid_categories", on_clean("""
 select city, vehicle_type, weather, count(*) as rides from o_valid group by all"""))
 def q_filter_valid(spark, sf):
-    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf)))
+    v = CL.filter_valid_categories(S.deduped(spark, sf))
     return v.groupBy("city", "vehicle_type", "weather").agg(F.count(F.lit(1)).alias("rides"))
 
 
@@ -1444,14 +1439,14 @@ select c.ride_id, c.pickup_zone from clean c join o_valid v on c.ride_id = v.rid
 where v.pickup_zone is null"""))
 def q_impute_zone(spark, sf):
     from ridewise import config as C
-    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf))).where(F.col("pickup_zone").isNull())
+    v = CL.filter_valid_categories(S.deduped(spark, sf)).where(F.col("pickup_zone").isNull())
     return CL.impute_zone(v.select("ride_id", "city", "pickup_zone"), C.fixture_zones()).select("ride_id", "pickup_zone")
 
 
 @register("impute_wait_medians", on_clean("""
 select city, vehicle_type, quantile_cont(wait_time_min, 0.5) as wait_median from o_valid group by all"""))
 def q_wait_medians(spark, sf):
-    v = CL.filter_valid_categories(CL.dedup_rides(S.raw(spark, sf)))
+    v = CL.filter_valid_categories(S.deduped(spark, sf))
     return v.groupBy("city", "vehicle_type").agg(F.median("wait_time_min").alias("wait_median"))
 
 
@@ -1461,33 +1456,6 @@ def q_city_p75(spark, sf):
     return D.city_volume_p75(D.hourly_volume_table(S.clean(spark, sf).withColumns(D.time_features())))
 
 
-@register("inject_quality_issues", on_clean("""
-select count(*) as rows, count(*) filter (where wait_time_min is null) as null_wait,
-       count(*) filter (where driver_rating is null) as null_rating,
-       count(*) filter (where pickup_zone is null) as null_zone,
-       count(*) filter (where fare_inr <= 0 or fare_inr > 5000) as bad_fare,
-       round_even(sum(coalesce(fare_inr, 0)), 2) as fare_sum
-from (
-  select * from o_inj union all select * from o_inj where h2 >= 997)""", """
-o_h as (select *, cast('0x' || substr(md5(ride_id), 1, 8) as bigint) as hv from clean),
-o_inj as (
-  select ride_id, case when hv % 1000 < 20 then null else wait_time_min end as wait_time_min,
-         case when hv % 1000 >= 100 and hv % 1000 < 110 then null else driver_rating end as driver_rating,
-         case when hv % 1000 >= 200 and hv % 1000 < 205 then null else pickup_zone end as pickup_zone,
-         case when (hv // 1000) % 1000 >= 300 and (hv // 1000) % 1000 < 305
-              then [0.0::double, 9999.0::double, -1.0::double][cast(((hv // 1000) % 1000) % 3 as integer) + 1]
-              else fare_inr end as fare_inr,
-         (hv // 1000) % 1000 as h2
-  from o_h)"""))
-def q_inject(spark, sf):
-    x = D.inject_quality_issues(S.clean(spark, sf))
-    return x.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("wait_time_min").isNull()).alias("null_wait"),
-                 F.count_if(F.col("driver_rating").isNull()).alias("null_rating"),
-                 F.count_if(F.col("pickup_zone").isNull()).alias("null_zone"),
-                 F.count_if((F.col("fare_inr") <= 0) | (F.col("fare_inr") > 5000)).alias("bad_fare"),
-                 _rn(F.sum(F.coalesce("fare_inr", F.lit(0.0))), 2).alias("fare_sum"))
-
-
 @register("read_rides_raw_csv", on_raw("select * from rides"))
 def q_read_raw_csv(spark, sf):
     """A1/A2: the raw table written as the reference's CSV (header, `timestamp` column) and read back typed."""

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ridewise import config as C
 from ridewise.operators.clean import RAW_COLUMNS, clean_from_deduped, dedup_rides
 from ridewise.operators.features import FEATURE_ORDER, enrich
-from ridewise.functions.joins import release_checked_sides
 from ridewise.session import checkpoint_dir
 from ridewise.sources.fixture import rides_from_tables
 
@@ -88,7 +87,6 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k not in _MEMO:
             df = enrich(clean(spark, sf_dir))
             _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "enriched"), RAW_COLUMNS + FEATURE_ORDER)
-            release_checked_sides()
         return _MEMO[k]
 
 

@@ -23,6 +23,8 @@ DEMAND_GBT = dict(max_depth=5, step=0.05, subsample=0.8, min_leaf=10)
 WAIT_GBT = dict(max_depth=5, step=0.05, subsample=0.8, min_leaf=20)
 SURGE_GBT = dict(max_depth=5, step=0.05, subsample=0.8, min_leaf=20)
 CANCEL_GBT = dict(max_depth=4, step=0.05, subsample=0.8, min_leaf=30)
+#: fixed values: boosting iterations
+TREES, CANCEL_TREES = 200, 150
 
 
 def demand_split(enriched: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def _row(df: DataFrame, scope: str, model: str) -> DataFrame:
     return df.withColumns({"scope": F.lit(scope), "model": F.lit(model)})
 
 
-def train_demand(spark: SparkSession, enriched: DataFrame, max_iter: int = 200,
+def train_demand(spark: SparkSession, enriched: DataFrame, max_iter: int = TREES,
                  cities: list[str] | None = None, model_dir: str | None = None,
                  return_models: bool = False, parallel: int = 5):
     """Per city: ridge baseline and boosted trees on the hourly series."""
@@ -82,7 +84,7 @@ def ride_split(enriched: DataFrame) -> DataFrame:
     return G.temporal_split(ride_features(enriched))
 
 
-def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = 200, model_dir: str | None = None):
+def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = TREES, model_dir: str | None = None):
     """Wait-time regression (H3 ridge baseline, H6 boosted trees), clipped to [0.5, 120].
 
     The baseline and the boosted trees are independent distributed fits and
@@ -111,7 +113,7 @@ def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = 200, model
 
 
 def train_classifier(spark: SparkSession, split: DataFrame, label: str, features, params: dict,
-                     max_iter: int = 200, name: str = "surge", model_dir: str | None = None,
+                     max_iter: int = TREES, name: str = "surge", model_dir: str | None = None,
                      baseline: bool = True):
     """Boosted-tree classifier (H7/H8) with optional logistic baseline (H4), fitted concurrently."""
     train, test = split.where(F.col("role") == "train"), split.where(F.col("role") == "test")
@@ -147,3 +149,19 @@ def predict_demand(models: dict, scenarios: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def model_jobs(spark: SparkSession, enriched: DataFrame, split: DataFrame, model_dir: str,
+               trees: int = TREES, cancel_trees: int = CANCEL_TREES) -> dict:
+    """The four training jobs by name; each stores its models when it is called.
+
+    A job gives (metrics, model or models by city, scored test rows or None).
+    """
+    return {
+        "wait": lambda: train_wait(spark, split, max_iter=trees, model_dir=model_dir),
+        "surge": lambda: train_classifier(spark, split, "is_high_surge", ML.SURGE_FEATURES, SURGE_GBT, max_iter=trees,
+                                          name="surge", model_dir=model_dir),
+        "cancellation": lambda: train_classifier(spark, split, "is_cancelled", ML.CANCEL_FEATURES, CANCEL_GBT,
+                                                 max_iter=cancel_trees, name="cancellation", model_dir=model_dir, baseline=False),
+        "demand": lambda: (*train_demand(spark, enriched, max_iter=trees, model_dir=model_dir, return_models=True), None),
+    }

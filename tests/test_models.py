@@ -1,10 +1,12 @@
 """MLlib jobs: ridge equals the closed-form solution; model jobs run end to end."""
 
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
-import __spark_entry__ as E
 from ridewise.operators import models as ML
+from ridewise.plans import catalog as C
+from ridewise.plans import stages as S
+from ridewise.plans import training as T
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,14 +26,31 @@ def test_ridge_matches_closed_form(spark):
     assert np.allclose(np.sort(got.to_numpy()), np.sort(want), atol=1e-6)
 
 
-def test_model_jobs_run(spark):
-    q = E.queries()
-    lb = q["gbt_demand_leaderboard"](spark, SMALL).collect()
-    assert {r.model for r in lb} == {"ridge", "gbt"}
-    res = q["predict_all_models"](spark, SMALL)
-    assert res.where(F.col("wait_time_min").isNull()).count() == 0
-    assert res.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
-    assert q["model_summary"](spark, SMALL).count() == 3
+def test_model_summary_alone_lists_every_model(spark, tmp_path):
+    S.forget(spark)
+    C._TRAINED.clear()
+    jobs = T.model_jobs(spark, S.enriched(spark, SMALL), T.ride_split(S.enriched(spark, SMALL)), str(tmp_path), trees=2, cancel_trees=2)
+    few = {name: job() for name, job in jobs.items()}
+    rows = ML.model_summary(spark, str(tmp_path)).collect()
+    assert {r["name"] for r in rows if r.city is None} == {"wait_time", "surge", "cancellation"}
+    assert {r.city for r in rows if r.city} == set(few["demand"][1])
+    assert set(few) == {"wait", "surge", "cancellation", "demand"}
+
+
+def test_load_model_is_none_only_when_absent(spark, tmp_path):
+    assert ML.load_model(str(tmp_path), "nothing") is None
+    (tmp_path / "broken" / "metadata").mkdir(parents=True)
+    (tmp_path / "broken" / "metadata" / "part.txt").write_text("{}")
+    with pytest.raises(Exception):
+        ML.load_model(str(tmp_path), "broken")
+
+
+def test_iterations_are_the_references():
+    import inspect
+
+    for f, n in ((T.train_wait, 200), (T.train_demand, 200), (T.train_classifier, 200)):
+        assert inspect.signature(f).parameters["max_iter"].default == n
+    assert inspect.signature(T.model_jobs).parameters["cancel_trees"].default == 150
 
 
 def test_logistic_matches_newton_solution(spark):

@@ -123,5 +123,5 @@ def test_kth_ride_id_by_prefix_narrowing(spark):
     df = spark.createDataFrame([(i,) for i in ids], "ride_id string")
     want = sorted(ids)
     for k in (0, 1, 7, 30, len(ids) - 1):
-        assert G._kth_ride_id(df, k, max_group=3) == want[k]
+        assert G._kth_ride_id(df, k, step=1) == want[k]
         assert G._kth_ride_id(df, k) == want[k]
