@@ -121,6 +121,18 @@ def q_city_metric_completion(spark, sf):
     return E.city_metric(_feat(spark, sf), "Completion rate")
 
 
+@register("city_metric_median_fare", on_feat("""
+select city, round_even(quantile_cont(fare_inr, 0.5), 4) as value from feat group by city"""))
+def q_city_metric_fare(spark, sf):
+    return E.city_metric(_feat(spark, sf), "Median fare")
+
+
+@register("city_metric_mean_surge", on_feat("""
+select city, round_even(avg(surge_multiplier), 4) as value from feat group by city"""))
+def q_city_metric_surge(spark, sf):
+    return E.city_metric(_feat(spark, sf), "Mean surge")
+
+
 @register("city_share", on_feat("""
 select city, count(*) as rides, round_even(count(*) * 100.0 / sum(count(*)) over (), 2) as share_pct
 from feat group by city"""))
@@ -147,6 +159,22 @@ def q_weather_metric(spark, sf):
     return E.weather_metric(_feat(spark, sf), "Cancellation rate")
 
 
+_WEATHER_ORDER_SQL = """cast(case weather when 'clear' then 0 when 'fog' then 1 when 'light_rain' then 2
+            when 'heavy_rain' then 3 else 4 end as integer) as weather_order"""
+
+
+@register("weather_metric_median_wait", on_feat(f"""
+select weather, round_even(quantile_cont(wait_time_min, 0.5), 4) as value, {_WEATHER_ORDER_SQL} from feat group by weather"""))
+def q_weather_metric_wait(spark, sf):
+    return E.weather_metric(_feat(spark, sf), "Median wait time")
+
+
+@register("weather_metric_mean_surge", on_feat(f"""
+select weather, round_even(avg(surge_multiplier), 4) as value, {_WEATHER_ORDER_SQL} from feat group by weather"""))
+def q_weather_metric_surge(spark, sf):
+    return E.weather_metric(_feat(spark, sf), "Mean surge")
+
+
 _WEATHER_LONG = """
 o_wl as (
   select weather, round_even(quantile_cont(wait_time_min, 0.5), 4) as median_wait,
@@ -1026,6 +1054,21 @@ def q_class_balance(spark, sf):
     return H.class_balance(_ride_rules(spark, sf).where(F.col("role") == "train"), "is_high_surge")
 
 
+@register("class_balance_cancellation", on_feat("""
+select round_even(avg(1 - cast(is_completed as double)), 4) as positive_rate, count(*) as n
+from o_rt where role = 'train'""", _RIDE_TEST_CTE))
+def q_class_balance_cancel(spark, sf):
+    train = _ride_rules(spark, sf).where(F.col("role") == "train")
+    return H.class_balance(train.withColumn("is_cancelled", D.is_cancelled()), "is_cancelled")
+
+
+@register("target_stats_wait", on_feat("""
+select round_even(avg(wait_time_min), 4) as mean, round_even(stddev_samp(wait_time_min), 4) as std
+from o_rt where role = 'train'""", _RIDE_TEST_CTE))
+def q_target_stats_wait(spark, sf):
+    return H.target_stats(_ride_rules(spark, sf).where(F.col("role") == "train"), "wait_time_min")
+
+
 @register("score_histogram_by_class", on_feat("""
 select g.label, g.bin, round_even(r.lo + (g.bin - 1) * (r.hi - r.lo) / 40.0, 6) as bin_lo,
        round_even(r.lo + g.bin * (r.hi - r.lo) / 40.0, 6) as bin_hi, coalesce(c.cnt, 0) as count,
@@ -1332,6 +1375,14 @@ def q_predict_all_models(spark, sf):
                     "demand_pressure", "recommendations")
 
 
+@register("hourly_profile_models")
+def q_hourly_profile_models(spark, sf):
+    """J12 with the stored models: 24 hours of every day scenario, scored in one pass."""
+    _trained(spark, sf, "wait", "surge", "cancellation")
+    models = [_stored(spark, sf, n) for n in ("wait_time", "surge", "cancellation")]
+    return J.hourly_profile(J.scenario_keys(_feat(spark, sf)).withColumn("hour", F.lit(0)), *models)
+
+
 @register("model_summary")
 def q_model_summary(spark, sf):
     """Every stored model: wait, surge, cancellation, and demand by city."""

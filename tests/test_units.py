@@ -125,3 +125,11 @@ def test_kth_ride_id_by_prefix_narrowing(spark):
     for k in (0, 1, 7, 30, len(ids) - 1):
         assert G._kth_ride_id(df, k, step=1) == want[k]
         assert G._kth_ride_id(df, k) == want[k]
+
+
+def test_missing_columns_are_listed(spark):
+    from ridewise.operators import quality as Q
+    from ridewise.operators.clean import RAW_COLUMNS
+
+    df = spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS if c not in ("city", "ts")])
+    assert sorted(r["column"] for r in Q.missing_columns(df).collect()) == ["city", "ts"]
