@@ -43,8 +43,8 @@ def kd_leaves(rows: DataFrame, dims: list[str], n_shards: int | None = None, tar
     total = span["bytes"] or 0
     leaves = n_shards or max(1, round(total / target_bytes))
     scale = {d: (span[f"max_{d}"] - span[f"min_{d}"]) or 1.0 for d in dims} if total else {}
-    # a node is known by its first leaf
-    tree = rows.withColumns({"shard": F.lit(0), "leaves": F.lit(leaves)})
+    # a node is known by its first leaf; not a literal, on which a join would have no key
+    tree = rows.withColumns({"shard": (F.col("tie") * 0).cast("int"), "leaves": F.lit(leaves)})
     for _ in range(math.ceil(math.log2(leaves)) if total and leaves > 1 else 0):
         inner = tree.where("leaves > 1")
         widths = [((F.max(d) - F.min(d)) / F.lit(scale[d])).alias(f"width_{i}") for i, d in enumerate(dims)]
