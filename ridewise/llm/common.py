@@ -74,26 +74,33 @@ def _pieces(run: pd.DataFrame, first: bool, limit: int) -> Iterator[tuple[pd.Dat
     yield run.iloc[a:], first
 
 
-def spanning_edges(n: int, near: Callable[[int, list[int]], list[int]]) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the graph on 0..n-1.
+def star_edges(ids: list, near: Callable[[int, list[int]], list[int]]) -> list[tuple]:
+    """(smallest id, other id) for each component of the graph on 0..n-1.
 
     ``near(i, others)`` gives those of ``others`` that are linked with ``i``.
     Nodes that already hang together are never compared, so a group of copies
     costs one comparison a member.
     """
-    edges, left = [], list(range(n))
+    edges, left = [], list(range(len(ids)))
     while left:
         queue = [left.pop(0)]
+        members = list(queue)
         while queue and left:
-            i = queue.pop()
-            if hit := near(i, left):
-                edges += [(i, j) for j in hit]
+            if hit := near(queue.pop(), left):
                 queue += hit
+                members += hit
                 gone = set(hit)
                 left = [j for j in left if j not in gone]
+        if len(members) > 1:
+            low = min(ids[i] for i in members)
+            edges += [(low, ids[i]) for i in members if ids[i] != low]
     return edges
 
 
+#: Edges of a graph that one task writes, when a round of components is stored.
+EDGES_A_TASK = 250_000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as rows (a, b).
 
@@ -113,10 +120,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "large-star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))))
-        e = stage(small.distinct(), "small-star")
+        # tasks in proportion to the edges, not one for each shuffle partition
+        e = stage(small.distinct().coalesce(1 + 2 * mark[0] // EDGES_A_TASK), "stars")
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())

@@ -16,7 +16,8 @@ Candidates only say where to look. Candidate clusters of up to ``REGION``
 documents are resolved on full sets in one task each; larger ones on full sets
 in blocks of several signature orders, and whatever did not join its cluster's
 largest component is then held against all rows of the cluster, block by
-block. Only spanning links leave a task, never all pairs.
+block. A task gives its components as stars around their smallest id, never all
+pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import connected_components, runs, small_arrow_batches, spanning_edges, stage
+from ridewise.llm.common import connected_components, runs, small_arrow_batches, stage, star_edges
 
 TREES = 24
 DEPTH = 4
@@ -126,7 +127,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _loose_edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spanning edges of each region's graph of estimated similarity >= LOOSE."""
+    """Each region's components at estimated similarity >= LOOSE, as stars."""
     need = (LOOSE + (1 - LOOSE) / 256) * TREES * DEPTH
     a, b = [], []
     for run, first in runs(frames, "key", REGION):
@@ -134,9 +135,9 @@ def _loose_edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         ids = run["id"].to_numpy()
         sigs = np.frombuffer(b"".join(run["sig"]), dtype=np.uint8).reshape(len(run), -1)
-        for i, j in spanning_edges(len(run), lambda i, o: [o[x] for x in ((sigs[o] == sigs[i]).sum(axis=1) >= need).nonzero()[0]]):
-            a.append(ids[i])
-            b.append(ids[j])
+        for x, y in star_edges(ids, lambda i, o: [o[x] for x in ((sigs[o] == sigs[i]).sum(axis=1) >= need).nonzero()[0]]):
+            a.append(x)
+            b.append(y)
         if not first:  # blocks of one region hang together by their first rows
             a.append(run["leader"].iloc[0])
             b.append(ids[0])
@@ -163,15 +164,15 @@ def _linked(sets: list[np.ndarray], percent: int):
 
 
 def _exact_edges(shingle: int, percent: int, limit: int):
-    """Spanning edges on full sets of each run of one ``grp``."""
+    """The components on full sets of each run of one ``grp``, as stars."""
     def per_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run, _ in runs(frames, "grp", limit):
             if len(run) < 2:
                 continue
             ids = run["id"].to_numpy()
             sets = [shingle_set(t, shingle) for t in run["text"]]
-            if e := spanning_edges(len(run), _linked(sets, percent)):
-                yield pd.DataFrame({"a": [ids[i] for i, _ in e], "b": [ids[j] for _, j in e]})
+            if e := star_edges(ids, _linked(sets, percent)):
+                yield pd.DataFrame(e, columns=["a", "b"])
     return per_part
 
 
