@@ -234,7 +234,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     clusters = connected_components(edges).withColumnsRenamed({"node": "id", "component": "cluster"})
     sized = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    found = (texts.join(sized, "id").groupBy("id", "cluster", "size", F.xxhash64("text").alias("th"))
+    # the candidates grow with the corpus: joined by shuffle at every size
+    found = (texts.join(sized.hint("merge"), "id").groupBy("id", "cluster", "size", F.xxhash64("text").alias("th"))
              .agg(F.first("text").alias("text")))
     found = stage(found, "clusters")
     small = _sorted_parts(found.where(F.col("size") <= REGION).select(F.col("cluster").alias("grp"), "id", "text"), "grp", "id")
