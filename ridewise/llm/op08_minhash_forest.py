@@ -245,10 +245,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         links = stage(links.unionByName(_large_links(large, sigs, shingle, percent)), "links")
     comps = connected_components(links)
 
-    node = real.select("digest", "doc_id").join(reps.select("digest", "id"), "digest").select("doc_id", "id").distinct()
+    classes = reps.select("digest", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component"))
     # rows that share a doc_id but not a text are one document
-    top = node.join(comps.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(
-        F.min(F.coalesce("component", "id")).alias("component"), F.count("*").alias("texts"))
+    top = real.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("component").alias("component"))
     return feats.select("doc_id", "n_shingles").join(top, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
