@@ -690,6 +690,26 @@ def q_quality_report(spark, sf):
                             encodings=D.encoding_maps(enr))
 
 
+@register("quality_report_rows", on_feat(f"""
+select 'final_shape' as section, 'rows' as name, cast(null as varchar) as value, cast(count(*) as double) as number from feat
+union all select 'feature_distributions', feature, value, cast(count as double) from ({_DIST_UNION})
+union all select 'flag_rates', flag, null, rate from ({_FLAG_UNION})"""))
+def q_quality_report_rows(spark, sf):
+    """E6 read back: the report's shape, distributions and flag rates as rows."""
+    schema = ("final_shape struct<rows: long>, feature_distributions array<struct<feature: string, value: string, count: long>>, "
+              "flag_rates array<struct<flag: string, rate: double>>")
+    r = q_quality_report(spark, sf).select(F.from_json("report", schema).alias("r")).select("r.*")
+    none = F.lit(None).cast("string")
+    return r.select(F.inline(F.concat(
+        F.array(F.struct(F.lit("final_shape").alias("section"), F.lit("rows").alias("name"), none.alias("value"),
+                         F.col("final_shape.rows").cast("double").alias("number"))),
+        F.transform("feature_distributions", lambda x: F.struct(
+            F.lit("feature_distributions").alias("section"), x["feature"].alias("name"), x["value"].alias("value"),
+            x["count"].cast("double").alias("number"))),
+        F.transform("flag_rates", lambda x: F.struct(
+            F.lit("flag_rates").alias("section"), x["flag"].alias("name"), none.alias("value"), x["rate"].alias("number"))))))
+
+
 @register("cyclical_encode", on_feat("""
 select ride_id, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * hour / 24.0), 6) as hour_cos,
        round_even(sin(2 * pi() * day_of_week / 7.0), 6) as dow_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos
@@ -1430,7 +1450,7 @@ def q_read_clean_city(spark, sf):
     return df.groupBy("city", "vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
 
 
-@register("write_quality_report")
+@register("write_quality_report", on_feat("select cast(count(*) as varchar) as rows from feat"))
 def q_write_report(spark, sf):
     from ridewise.plans.etl import run_on
     from ridewise import config as C
