@@ -35,14 +35,15 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Rows that share a doc_id are one document: one of them stays. Rows without
     a doc_id can't be told apart by it and all stay.
     """
-    found = op08_minhash_forest.near_duplicates(docs, shingle=SHINGLE, percent=80)
-    keep = stage(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")).select(F.col("doc_id").alias("id"), "rows"), "keep")
+    found = op08_minhash_forest.near_duplicates(docs, shingle=SHINGLE, percent=80).where("doc_id is not null")
+    # the ids that go, and those of several rows, are fewer than the ids that stay
+    found = found.groupBy(F.col("doc_id").alias("id")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    other = stage(found.where("not kept or rows > 1"), "other")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    kept = rows.join(keep, F.col("row.doc_id") == F.col("id"))
-    once = kept.where("rows = 1").select("row")
-    repeated = kept.where("rows > 1").groupBy("id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row")).select("row")
-    unnamed = rows.where("row.doc_id is null")
-    return _unpacked(once.unionByName(repeated).unionByName(unnamed), docs.columns)
+    same = F.col("row.doc_id") == F.col("id")
+    once = rows.join(other, same, "left_anti")
+    repeated = rows.join(other.where("kept"), same).groupBy("id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return _unpacked(once.unionByName(repeated.select("row")), docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

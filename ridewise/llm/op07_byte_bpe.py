@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ridewise.llm.common import small_arrow_batches
 
-PIECE_CACHE = 1_200_000
+PIECE_CACHE = 400_000
 NO_PAIR = 1 << 30
 POSITION_BITS = 32
 POSITION = (1 << POSITION_BITS) - 1

@@ -41,7 +41,7 @@ BLOCK_ORDERS = 3
 #: Estimated similarity from which neighbours are candidates; 5 standard
 #: deviations under 0.8 for 96 values.
 LOOSE = 0.58
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 
 
 class _WordHashes(dict):
