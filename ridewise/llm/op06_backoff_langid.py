@@ -114,7 +114,8 @@ def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     small_arrow_batches(spark)
     known = docs.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").agg(F.count("*").alias("docs"))
+    # stored, so that the planner knows its size: no text moves for it
+    counts = stage(known.groupBy("lang").agg(F.count("*").alias("docs")), "languages")
     place = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(6)), 11) / F.lit(float(2 ** 53))
     sample = known.join(counts, "lang").where(place < F.lit(float(DOCS_PER_LANGUAGE)) / F.col("docs")).select("lang", F.col("text").cast("string").alias("text"))
 
