@@ -3,10 +3,17 @@
 Each text is measured once. Every (language, source) gets KLL quantile
 sketches of its measures; sketches merge, so those of a language, and of all
 documents, are merged from the same rows and stand in where a source or a
-language has too few documents to tell. A measure's upper limit is its upper
-quartile plus ``SPREAD`` times the quartile range, at least a floor under which
-no text is odd; mean word length has a lower limit too. The limits are joined
-back to the documents by language and source.
+language has too few documents to tell. No limit is a constant.
+
+Shares are judged as square roots, in which a count's spread does not depend on
+its size. A share's limit lies ``SPREAD`` times the range from the 0.1 to the
+0.4 quantile past the latter, so junk that fills half of a group does not move
+it far; where both are zero it is one event in a text of median size, the rate
+that such quantiles can't tell from none. A text may pass the limit by as much
+as a count of its size varies by chance. Mean word length, in which junk lies on
+both sides, has a lower and an upper limit around the narrowest band of
+``BAND`` tenths. The limits are joined back to the documents by language and
+source.
 """
 
 from __future__ import annotations
@@ -21,12 +28,14 @@ from pyspark.sql import functions as F
 
 from ridewise.llm.common import small_arrow_batches, stage
 
-#: How far past the quartiles a text may lie, in quartile ranges.
+#: How far a text may lie past its group's quantiles, in ranges between them.
 SPREAD = 6.0
-#: Upper limits are at least this.
-FLOORS = {"symbol_share": 0.10, "dup_line_share": 0.35, "repeat_share": 0.35, "word_length": 14.0}
-#: The lower limit of the mean word length is at most this.
-SHORT_WORDS = 2.5
+#: Quantiles of a share that its limit is taken from.
+LOW, MIDDLE = 0.1, 0.4
+#: Tenths of a group in the band that tells the usual word length.
+BAND = 4
+#: Standard deviations of a text's own count that it may pass a limit by.
+CHANCE = 3.0
 #: A group of fewer documents takes its language's limits, then everyone's.
 ENOUGH = 200
 
@@ -73,18 +82,26 @@ def _share(a: str, b: str) -> Column:
     return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
 
 
-MEASURES = {"symbol_share": lambda: _share("n_symbols", "word_chars"), "dup_line_share": lambda: _share("n_dup_lines", "n_lines"),
-            "repeat_share": lambda: _share("n_repeat_words", "n_words"), "word_length": lambda: _share("word_chars", "n_words")}
+#: Each share's count, what it is a share of, and how much one event counts (one repeated window is six words).
+SHARES = {"symbol_share": ("n_symbols", "word_chars", 1), "dup_line_share": ("n_dup_lines", "n_lines", 1), "repeat_share": ("n_repeat_words", "n_words", 6)}
+SIZES = ("word_chars", "n_lines", "n_words")
+MEASURES = {**{m: (lambda a=a, b=b: _share(a, b)) for m, (a, b, _) in SHARES.items()}, "word_length": lambda: _share("word_chars", "n_words")}
 
 
 def _limits(sketch: DataFrame, keys: list[str], merge: bool) -> DataFrame:
     def at(m: str, q: float) -> Column:
         return F.kll_sketch_get_quantile_double(m, F.lit(q))
     if merge:
-        sketch = sketch.groupBy(*keys).agg(F.sum("docs").alias("docs"), *(F.kll_merge_agg_double(m).alias(m) for m in MEASURES))
-    cols = [F.greatest(at(m, 0.75) + SPREAD * (at(m, 0.75) - at(m, 0.25)), F.lit(FLOORS[m])).alias(f"{m}_max") for m in MEASURES]
-    low = F.least(at("word_length", 0.25) - SPREAD * (at("word_length", 0.75) - at("word_length", 0.25)), F.lit(SHORT_WORDS)).alias("word_length_min")
-    return sketch.where(F.col("docs") >= ENOUGH if keys else F.col("docs") > 0).select(*keys, F.struct(*cols, low).alias("limits"))
+        sketch = sketch.groupBy(*keys).agg(F.sum("docs").alias("docs"), *(F.kll_merge_agg_double(m).alias(m) for m in (*MEASURES, *SIZES)))
+    cols = []
+    for m, (_, size, event) in SHARES.items():
+        middle, low = F.sqrt(at(m, MIDDLE)), F.sqrt(at(m, LOW))
+        least = F.sqrt(F.lit(float(event)) / F.greatest(at(size, 0.5), F.lit(1.0)))
+        cols.append(F.pow(F.greatest(middle + SPREAD * (middle - low), least), F.lit(2.0)).alias(f"{m}_max"))
+    tenths = [at("word_length", i / 10) for i in range(11)]
+    band = F.array_min(F.array(*(F.struct((hi - lo).alias("width"), ((hi + lo) / 2).alias("centre")) for lo, hi in zip(tenths, tenths[BAND:]))))
+    cols += [(band["centre"] + SPREAD * band["width"]).alias("word_length_max"), (band["centre"] - SPREAD * band["width"]).alias("word_length_min")]
+    return sketch.where(F.col("docs") >= ENOUGH if keys else F.col("docs") > 0).select(*keys, F.struct(*cols).alias("limits"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -92,7 +109,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     Takes doc_id, text, lang and source; others are ignored. base_failed:
     under 50 words, or over half of them in repeated 3-word windows. kept:
-    not base_failed and within the limits of the row's (lang, source). A null
+    not base_failed and within the limits of the row's (lang, source), give or
+    take the chance variation of the row's own counts. A null
     text is empty. Null lang and null source are groups like others. Repeated
     rows are measured each. An empty table gives no rows.
     """
@@ -104,15 +122,16 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # what fails the base rules says nothing about the others
     fine = rows.where(~base)
-    sketches = stage(fine.groupBy("lang_key", "source_key").agg(F.count("*").alias("docs"), *(F.kll_sketch_agg_double(m).alias(m) for m in MEASURES)), "sketches")
+    sketches = stage(fine.groupBy("lang_key", "source_key").agg(F.count("*").alias("docs"), *(F.kll_sketch_agg_double(F.col(m).cast("double")).alias(m) for m in (*MEASURES, *SIZES))), "sketches")
     own = _limits(sketches, ["lang_key", "source_key"], False).withColumnRenamed("limits", "own")
     lang = _limits(sketches, ["lang_key"], True).withColumnRenamed("limits", "of_lang")
     everyone = _limits(sketches, [], True).first()
     judged = rows.join(own, ["lang_key", "source_key"], "left").join(lang, "lang_key", "left")
     every = F.struct(*(F.lit(v).alias(k) for k, v in everyone["limits"].asDict().items())) if everyone else F.col("of_lang")
     judged = judged.withColumn("limits", F.coalesce("own", "of_lang", every))
-    within = F.col("word_length") >= F.col("limits.word_length_min")
-    for m in MEASURES:
-        within &= F.col(m) <= F.col(f"limits.{m}_max")
+    within = F.col("word_length").between(F.col("limits.word_length_min"), F.col("limits.word_length_max"))
+    for m, (count, size, event) in SHARES.items():
+        # the square root of a count varies by half
+        within &= F.sqrt(count) <= F.sqrt(F.col(f"limits.{m}_max") * F.col(size)) + CHANCE / 2 * event ** 0.5
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
                          (~base & F.coalesce(within, F.lit(False))).alias("kept"), *MEASURES, "limits")

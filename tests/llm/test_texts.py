@@ -135,6 +135,41 @@ def test_rules_tell_junk_from_labelled_documents(spark):
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.6
 
 
+def labelled(spark):
+    """sf0.1's texts with a quality label that pass the base rules: good, bad."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+    fine = [(r.text, r.quality) for r in rows.where("lang = 'en' and quality is not null").orderBy("doc_id").collect() if (m := plain_base(r.text))[0] >= 50 and 2 * m[1] <= m[0]]
+    return [t for t, q in fine if q == 1], [t for t, q in fine if q == 0]
+
+
+def plain_base(text):
+    m = rules.measure(text)
+    return m[0], m[4]
+
+
+@pytest.mark.parametrize("junk", [30, 40, 50])
+def test_rules_where_a_source_is_half_junk(spark, junk):
+    good, bad = labelled(spark)
+    rows = [(i, (bad if i % 100 < junk else good)[i % 100 * 3 + i // 100], "en", "a", i % 100 < junk) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")
+    got = rules.quality_rules(docs).join(docs.select("doc_id", "junk"), "doc_id").collect()
+    assert sum(r.kept for r in got if r.junk) / (3 * junk) < 0.05
+    assert sum(r.kept for r in got if not r.junk) / (300 - 3 * junk) > 0.97
+
+
+def test_rules_follow_the_source(spark):
+    # prose, and code with some 8 % of symbols, in one language
+    draw = random.Random(9)
+    prose, _ = labelled(spark)
+    code = [" ".join(draw.choice(["value", "index &", "count |", "result", "return", "buffer *", "size"]) + str(draw.randint(0, 999)) for _ in range(draw.randint(80, 300))) for _ in range(250)]
+    rows = [(i, t, "en", "prose") for i, t in enumerate(prose[:500])] + [(1000 + i, t, "en", "code") for i, t in enumerate(code)]
+    rows += [(2000 + i, t, "en", "prose") for i, t in enumerate(code[:50])]
+    got = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    kept = [[r.kept for r in got if r.doc_id // 1000 == k] for k in range(3)]
+    assert sum(kept[0]) > 0.99 * 500 and sum(kept[1]) > 0.99 * 250 and not any(kept[2])
+    assert len({r.limits.symbol_share_max for r in got}) == 2 and all(0 < r.limits.word_length_min < r.limits.word_length_max for r in got)
+
+
 @pytest.mark.parametrize("text", ["", None, "a a a a a", "x y z x y z", "a\na\n\n \n a\nb", "    \x85", "é " * 9, "a b c d a b c e b c d"])
 def test_measure_by_hand(text):
     assert rules.measure(text)[:5] == plain_measure(text)
