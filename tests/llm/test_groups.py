@@ -129,3 +129,19 @@ def test_top_lists_against_brute_force(spark, big):
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted([tuple(r) for r in got.collect()], key=str) == want
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 5 == 0, 5).count() == 0
+
+
+@pytest.mark.parametrize("big", [[1e14], [1e14, 1.0], [1e9, 3e13, 4e16], [1e300, 1.7e308, 1e14, 1.0]])
+def test_top_lists_of_large_components(spark, big):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(11)
+    rows = [(i, [draw.choice(big) * draw.choice([-1.0, 0.5, 0.25, 1.0, 0.0]) for _ in range(4)]) for i in range(90)]
+    least, most = -2 ** 63, 2 ** 63 - 1
+    whole = [(i, [int(x) * 256 if abs(x) > 2 ** 60 else math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole[::5]:
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), c) for c, w in whole if c != q)
+        want += [(q, n, c, min(max(-s, least), most)) for n, (s, c) in enumerate(scored[:5], 1)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0, 5, block=7)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
