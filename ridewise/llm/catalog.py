@@ -17,6 +17,9 @@ from ridewise.llm import (
     op08_minhash_forest,
     op09_chat_format,
     op10_tiled_topk as tiled_topk,
+    op11_prefix_trie,
+    op12_decontaminate,
+    op13_structure_repair,
 )
 from ridewise.llm.common import id_fold, stage, table
 
@@ -174,6 +177,185 @@ ranked as (
 select query_id, cast(n as integer) as rank, vec_id, score from ranked where n <= 5
 """
 
+
+
+CUT_EVERY, CUT_FOLDS = 100, 6
+
+
+def rebuilt_turns(turns: DataFrame) -> DataFrame:
+    """(conv_id, pos, token, chars): each conversation c begins with the first h turns of conversation c - c % 100."""
+    own = op11_prefix_trie.numbered_turns(turns)
+    h = F.pmod(F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")), F.lit(CUT_FOLDS))
+    heads = own.where((F.col("conv_id") % CUT_EVERY == 0) & (F.col("pos") < CUT_FOLDS)).withColumnRenamed("conv_id", "base")
+    all_ids = turns.where("conv_id is not null").select("conv_id").distinct()
+    begun = all_ids.withColumns({"h": h, "base": F.col("conv_id") - F.col("conv_id") % CUT_EVERY}).join(heads, "base").where("pos <= h")
+    rest = own.withColumn("h", h).where("pos > h")
+    mark = all_ids.select("conv_id", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("token"), F.lit(None).cast("int").alias("chars"))
+    return mark.unionByName(begun.select(*mark.columns)).unionByName(rest.select(*mark.columns))
+
+
+def op11_prefix_trie_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(rebuilt_turns(table(spark, sf_dir, "conversations")), "trie-turns")
+    nodes = op11_prefix_trie.prefix_trie(turns)
+    return nodes.select("conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                        "saved_tokens", "ends_sha256")
+
+
+def _crc_sql(places: str) -> str:
+    """SQL of tables up to ``crc`` (place, crc): the unsigned CRC-32 of each ASCII text in ``places``."""
+    return f"""bits(n, v, k) as (
+  select n, n, 0 from range(256) t(n)
+  union all select n, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8),
+crc_steps(place, s, c) as (
+  select place, place, cast(4294967295 as bigint) from ({places})
+  union all select place, substr(s, 2), xor(v, c >> 8) from crc_steps join bits on k = 8 and n = (xor(c, ascii(s)) & 255) where s <> ''),
+crc as (select place, xor(c, 4294967295) as crc from crc_steps where s = '')"""
+
+
+OP11_SQL = r"""
+with recursive own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+  from conversations where conv_id is not null),
+_CRC_,
+heads as (select cast(place as bigint) as conv_id, crc % 6 as h from crc),
+ids as (select conv_id, h, conv_id - conv_id % 100 as base from heads),
+rebuilt as (
+  select ids.conv_id, pos, role, text from ids join own on own.conv_id = base where pos <= h
+  union all select ids.conv_id, pos, role, text from ids join own on own.conv_id = ids.conv_id where pos > h),
+paths as (
+  select ids.conv_id, coalesce(list(md5(length(role) || ':' || role || text) order by pos) filter (where role is not null), []) as path,
+    coalesce(list(length(text) order by pos) filter (where role is not null), []) as chars
+  from ids left join rebuilt on rebuilt.conv_id = ids.conv_id group by ids.conv_id),
+members as (select conv_id, path[1:d] as node, d, case when d = 0 then 0 else chars[d] end as chars, d = len(path) as ends
+  from (select *, unnest(range(0, len(path) + 1)) as d from paths)),
+nodes as (
+  select node, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n, any_value(chars) as chars,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from members group by node),
+children as (select node[1:depth - 1] as node, count(*) as k from nodes where depth > 0 group by 1),
+full_nodes as (select n.*, coalesce(k, 0) as k from nodes n left join children c on c.node = n.node),
+below as (
+  select node[1:d] as node, sum((n - 1) * chars) as saved, count(*) filter (where k = 0) as leaves
+  from (select *, unnest(range(0, depth + 1)) as d from full_nodes) group by 1)
+select f.conv_id, cast(f.depth as bigint) as depth, p.conv_id as parent_conv_id, cast(f.n as bigint) as n_convs,
+  cast(f.k as bigint) as n_children, cast(b.leaves as bigint) as n_leaves, cast(b.saved as bigint) as saved_tokens, f.ends_sha256
+from full_nodes f join below b on b.node = f.node
+left join nodes p on f.depth > 0 and p.node = f.node[1:f.depth - 1]
+""".replace("_CRC_", _crc_sql("select distinct cast(conv_id as varchar) as place from own"))
+
+
+def op12_decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op12_decontaminate.contaminated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                                  table(spark, sf_dir, "benchmark"), spans=False)
+    hit = F.aggregate(F.zip_with("hits.firsts", "hits.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+    return found.select("row.doc_id", "hits.n_words", hit.alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+OP12_SQL = r"""
+with doc_words as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+item_words as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select item_id, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from item_words where len(w) > 0)),
+places as (
+  select r, i, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, (select distinct n from windows) where len(w) >= n)),
+found as (select r, i, n, item_id from places join windows using (n, s)),
+hit_words as (select r, count(*) as n_hit from (select distinct r, unnest(range(i, i + n)) as p from found) group by r),
+hit_items as (select r, count(item_id) as n_items, string_agg(item_id, ',' order by item_id) as items
+  from (select distinct r, item_id from found) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit_words using (r) left join hit_items using (r)
+"""
+
+
+
+DAMAGE_FOLDS = 20
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults: dropped, emptied, cut, repeated and reroled rows (null: one space)."""
+    space = F.lit(" ")
+    cols = {c: F.coalesce(F.col(c).cast("string"), space) for c in ("role", "text")}
+    place = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.pmod(F.crc32(F.encode(place, "UTF-8")), F.lit(DAMAGE_FOLDS))
+    rows = turns.select("conv_id", "turn", kind.alias("kind"), *(c.alias(n) for n, c in cols.items())).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op13_structure_repair_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = op13_structure_repair.edit_digests(op13_structure_repair.structure_edits(damaged_turns(turns)))
+    every = turns.select("conv_id").distinct().withColumn("conv", op13_structure_repair.conversation_key("conv_id"))
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, "conv", "left").select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                                                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def _way(edit: str, cost: str, after: str, piece: str | None = None) -> str:
+    said = f"list_prepend({piece}, {after}.said)" if piece else f"{after}.said"
+    return f"{{'cost': {after}.cost + {cost}, 'audit': '{edit}' || {after}.audit, 'said': {said}}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _taken(state: str, after: str, keep: dict[str, str]) -> str:
+    """SQL of the cheapest edit of a row in a state; of equal costs the least list of initials."""
+    rerole = _way("R", "3 + more", after, f"'{'assistant' if after == 'a' else 'user'}:' || text")
+    stays = " ".join(f"when left(role, 1) = '{i}' then [{_way('K', 'more', to, 'role || chr(58) || text')}, {rerole}]" for i, to in keep.items())
+    return (f"list_sort(list_prepend({_way('D', '4', state)}, case when fault in ('blank', 'duplicate') then [] {stays} else [{rerole}] end))[1] as {state}0")
+
+
+OP13_SQL = f"""
+with recursive _CRC_,
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from (select *, c.crc % 20 as kind from conversations join crc c
+    on c.place = coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')) where kind <> 0),
+seen as (select conv_id, turn, role, text, row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as again from damaged),
+turns as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, again) as pos,
+    case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank' when again then 'duplicate'
+      when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') then 'truncated' end as fault from seen),
+faults as (
+  select *, case when fault = 'truncated' then 3 else 0 end as more,
+    pos > 1 and lag(left(role, 1)) over (partition by conv_id order by pos) || left(role, 1) not in ('su', 'ua', 'au') as illegal from turns),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank,
+    count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where illegal) as illegal from faults group by conv_id),
+costs(conv_id, pos, e, s, u, a) as (
+  select conv_id, n + 1, {{'cost': 0, 'audit': '', 'said': []::varchar[]}}, {{'cost': 6, 'audit': 'II', 'said': ['user:', 'assistant:']}},
+    {{'cost': 3, 'audit': 'I', 'said': ['assistant:']}}, {{'cost': 0, 'audit': '', 'said': []::varchar[]}} from counts
+  union all
+  select conv_id, pos, {_least('e0', _way('I', '3', 'u1', "'user:'"))}, {_least('s0', _way('I', '3', 'u1', "'user:'"))}, u1,
+    {_least('a0', _way('I', '3', 'u0', "'user:'"))}
+  from (select *, {_least('u0', _way('I', '3', 'a0', "'assistant:'"))} as u1 from (
+    select f.conv_id, f.pos, {_taken('e', 'u', {'s': 's', 'u': 'u'})}, {_taken('s', 'u', {'u': 'u'})}, {_taken('u', 'a', {'a': 'a'})}, {_taken('a', 'u', {'u': 'u'})}
+    from costs c join faults f on f.conv_id is not distinct from c.conv_id and f.pos = c.pos - 1)))
+select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, cast(coalesce(e.cost, 0) as bigint) as cost, coalesce(e.audit, '') as audit,
+  sha256(coalesce(array_to_string(e.said, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) i left join counts k on k.conv_id is not distinct from i.conv_id
+left join costs c on c.conv_id is not distinct from i.conv_id and c.pos = 1
+""".replace("_CRC_", _crc_sql("select distinct coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as place from conversations"))
+
 REGISTRY = {
     "op1_kd_shards": (op1_kd_shards, None),
     "op2_temperature_mix": (op2_temperature_mix, None),
@@ -185,4 +367,7 @@ REGISTRY = {
     "op8_minhash_near_dedup": (op8_minhash_near_dedup, OP8_SQL),
     "op9_chat_format": (op9_chat_format, OP9_SQL),
     "op10_tiled_topk": (op10_tiled_topk, OP10_SQL),
+    "op11_prefix_trie": (op11_prefix_trie_nodes, OP11_SQL),
+    "op12_decontaminate": (op12_decontaminate_documents, OP12_SQL),
+    "op13_structure_repair": (op13_structure_repair_digests, OP13_SQL),
 }

@@ -25,5 +25,5 @@ def test_query_matches_oracle(spark, name):
 def test_names_and_entry():
     import __spark_entry__ as E
 
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in REGISTRY}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in REGISTRY}
     assert set(REGISTRY) | {"pipeline"} <= set(E.queries())
