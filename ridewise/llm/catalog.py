@@ -87,10 +87,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = op07_byte_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_VOCABULARY, BPE_PATTERN)
-    back = op07_byte_bpe.decode_documents(ids, BPE_VOCABULARY, BPE_PATTERN)
-    return back.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    rows = op07_byte_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_VOCABULARY, BPE_PATTERN)
+    return rows.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("token_ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

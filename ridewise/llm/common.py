@@ -12,7 +12,7 @@ from ridewise.functions.lineage import cut_lineage
 
 #: ASCII white space that separates words: space and \t \n \v \f \r, which is
 #: also what ``bytes.split()`` splits on.
-ARROW_ROWS = 500
+ARROW_ROWS, ARROW_BYTES = 500, "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_arrow_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, since a single text may be long."""
+    """Bound what one Arrow batch holds, by rows and by bytes, since a single text may be long.
+
+    The session keeps the setting: results are lazy and read it when they run.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def utf8(c: str | Column) -> Column:

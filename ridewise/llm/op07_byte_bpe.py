@@ -9,13 +9,16 @@ its left neighbour: three logarithmic updates, so a piece of n bytes takes
 O(n log n) whatever its length.
 
 Vocabularies are rank files (base64 token, rank), read once a Python worker
-from a path every executor can open. Pieces repeat, so their ids are kept in a
-bounded cache.
+from a path every executor can open. Short pieces repeat, so their ids are kept
+in a cache that is bounded by bytes and emptied when a task ends. Encoding,
+decoding and the comparison with the text are one function, so a task has one
+Python worker.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ridewise.llm.common import small_arrow_batches
 
-PIECE_CACHE = 400_000
+#: What the cache of pieces may take, what one of its entries takes beside its piece and ids, and the longest piece it holds.
+PIECE_CACHE_BYTES, ENTRY_BYTES, CACHED_CHARS = 48 << 20, 180, 64
 NO_PAIR = 1 << 30
 POSITION_BITS = 32
 POSITION = (1 << POSITION_BITS) - 1
@@ -85,15 +89,22 @@ class _Pieces(dict):
     """piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.held = ranks, 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECE_CACHE:
-            self.clear()
         raw = piece.encode("utf-8")
         whole = self.ranks.get(raw)
         ids = merge_piece(raw, self.ranks) if whole is None else [whole]
-        self[piece] = packed = pack(f"<{len(ids)}I", *ids)
+        packed = pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= CACHED_CHARS:
+            self.held += ENTRY_BYTES + len(raw) + len(packed)
+            if self.held > PIECE_CACHE_BYTES:
+                self.clear()
+            self[piece] = packed
         return packed
 
 
@@ -122,16 +133,31 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(path, pattern)
 
 
-def encoded(text: Column, path: str, pattern: str) -> Column:
-    """The text's token ids, packed as little-endian unsigned 32-bit integers; null text: none."""
+_ROUND_TRIP = "token_ids binary, decoded_sha256 string, decodes boolean"
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """struct(token_ids, decoded_sha256, decodes) of a text; null counts as the empty one.
+
+    token_ids are little-endian unsigned 32-bit integers; decoded_sha256 is the
+    digest of the bytes that they stand for, decodes says that those are the text.
+    """
+
+    @F.pandas_udf(_ROUND_TRIP)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = tokenizer(path, pattern)
-        for texts in batches:
-            yield pd.Series([own.encode(t or "") for t in texts], dtype=object)
+        try:
+            for texts in batches:
+                rows = []
+                for text in texts:
+                    ids = own.encode(text or "")
+                    back = own.decode(ids)
+                    rows.append((ids, hashlib.sha256(back).hexdigest(), back == (text or "").encode("utf-8")))
+                yield pd.DataFrame(rows, columns=["token_ids", "decoded_sha256", "decodes"])
+        finally:
+            own.pieces.clear()
 
-    return encode(text)
+    return run(text)
 
 
 def decoded(ids: Column, path: str, pattern: str) -> Column:
@@ -147,16 +173,18 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, token_ids) of every row; one pass, no shuffle.
+    """(doc_id, token_ids, decoded_sha256, decodes) of every row; one pass, no shuffle.
 
     Takes columns doc_id and text; others are ignored. A null or empty text
-    has no tokens; repeated rows and null ids stay as they are.
+    has no tokens; repeated rows and null ids stay as they are; an empty table
+    gives no rows.
     """
     small_arrow_batches(docs.sparkSession)
-    return docs.select("doc_id", encoded(F.col("text").cast("string"), path, pattern).alias("token_ids"))
+    rows = docs.select("doc_id", round_trip(F.col("text").cast("string"), path, pattern).alias("r"))
+    return rows.select("doc_id", "r.*")
 
 
 def decode_documents(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, token_ids, decoded) of rows (doc_id, token_ids)."""
+    """(doc_id, token_ids, decoded) of rows (doc_id, token_ids), the bytes themselves."""
     small_arrow_batches(rows.sparkSession)
     return rows.select("doc_id", "token_ids", decoded(F.col("token_ids"), path, pattern).alias("decoded"))
