@@ -64,10 +64,8 @@ def temperature_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes the texts: doc_id, source, n_tokens, token_ids (little-endian, unsigned, 32 bits), and whether decoding gives the text back."""
     small_arrow_batches(spark)
-    ids = docs.select("doc_id", "source", "text", op07_byte_bpe.encoded(F.col("text").cast("string"), BPE_VOCABULARY, BPE_PATTERN).alias("token_ids"))
-    back = op07_byte_bpe.decoded(F.col("token_ids"), BPE_VOCABULARY, BPE_PATTERN)
-    return ids.select("doc_id", "source", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids",
-                      (back == F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("decodes"))
+    rows = docs.select("doc_id", "source", op07_byte_bpe.round_trip(F.col("text").cast("string"), BPE_VOCABULARY, BPE_PATTERN).alias("r"))
+    return rows.select("doc_id", "source", (F.octet_length("r.token_ids") / 4).cast("long").alias("n_tokens"), "r.token_ids", "r.decodes")
 
 
 STAGES = [
