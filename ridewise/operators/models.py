@@ -1,10 +1,9 @@
-"""MLlib models (H1–H8, H13, H15, H19) and model persistence.
+"""MLlib models (H1–H8, H15, H19; H13 is in ``boosting``) and model persistence.
 
 Every model is a ``Pipeline(VectorAssembler → estimator)`` fit on a
 DataFrame, so training is distributed (tree building aggregates statistics
-over partitions). Loops exist only over bounded domains — the 5 cities of
-the per-city demand models and the 5 CV folds — and each iteration is itself
-a distributed fit. Boosting iterations default to the reference's values and
+over partitions). The one loop is over the 5 cities of the per-city demand
+models, and each iteration is itself a distributed fit. Boosting iterations default to the reference's values and
 are a parameter.
 """
 
@@ -164,36 +163,6 @@ def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
                .drop("features", "rawPrediction", "probability", "pred_d"))
 
 
-# H13 --------------------------------------------------------------------------------
-def cv_scores(folded: DataFrame, features: Sequence[str], make_estimator, label: str,
-              kind: str = "regression", n_splits: int = 5, lo: float | None = None,
-              hi: float | None = None) -> DataFrame:
-    """Walk-forward CV over the ``segment`` column (G7): one distributed fit per
-    fold, submitted together. ``mean`` and ``std`` (population) are those of the
-    folds' exact MAE or AUC."""
-    def one(f: int) -> DataFrame:
-        tr, va = folded.where(F.col("segment") < f), folded.where(F.col("segment") == f)
-        model = fit(tr, features, make_estimator())
-        if kind == "regression":
-            scored = score_regression(model, va, lo, hi)
-            exact = scored.agg(F.avg(F.abs(F.col(label).cast("double") - F.col("pred"))).alias("exact"))
-            m = M.regression_metrics(scored, label, "pred")
-        else:
-            scored = score_classifier(model, va)
-            exact = M.auc(scored, label, "score").select(F.col("auc").alias("exact"))
-            m = M.classification_metrics(scored, label, "pred", "score")
-        return m.withColumns({"fold": F.lit(f), "exact": exact.scalar()})
-
-    with ThreadPoolExecutor(max_workers=n_splits) as pool:
-        rows = list(pool.map(one, range(1, n_splits + 1)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    all_folds = Window.partitionBy()                              # n_splits rows
-    return out.withColumns({"mean": round_np(F.avg("exact").over(all_folds), 4),
-                            "std": round_np(F.stddev_pop("exact").over(all_folds), 4)}).drop("exact")
-
-
 # H15 --------------------------------------------------------------------------------
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str],
                        k: int | None = None) -> DataFrame:

@@ -1300,6 +1300,7 @@ def q_hourly_profile(spark, sf):
 # All models are trained once per session and data folder, at full length.
 # ---------------------------------------------------------------------------
 
+from ridewise.operators import boosting as B  # noqa: E402
 from ridewise.operators import models as ML  # noqa: E402
 from ridewise.plans import training as T  # noqa: E402
 
@@ -1376,12 +1377,67 @@ def q_importance(spark, sf):
     return ML.feature_importance(spark, _trained(spark, sf, "wait")["wait"][1], ML.WAIT_FEATURES, k=12)
 
 
+def _ride_folds(spark, sf):
+    """Training rides with the fold they validate."""
+    return G.time_series_folds(_ride_split(spark, sf).where(F.col("role") == "train"))
+
+
+def _demand_folds(spark, sf):
+    return G.hourly_folds(G.hourly_split(_demand_ds(spark, sf)).where(F.col("role") == "train"))
+
+
 @register("cv_scores_wait")
 def q_cv_wait(spark, sf):
-    """Metrics of each walk-forward fold; mean and std of the folds' MAE beside them."""
-    train = G.time_series_folds(_ride_split(spark, sf).where(F.col("role") == "train"))
-    return ML.cv_scores(train, ML.WAIT_FEATURES, lambda: ML.gbt_regressor("wait_time_min", max_iter=T.TREES, **T.WAIT_GBT),
-                        "wait_time_min", lo=0.5, hi=120.0)
+    """Walk-forward folds of the wait model; mean and std of the folds' MAE beside them."""
+    scored = B.walk_forward(_ride_folds(spark, sf), ML.WAIT_FEATURES, "wait_time_min", T.cv_params("wait"), id_col="ride_id")
+    return B.cv_scores(scored, lo=0.5, hi=120.0)
+
+
+@register("cv_scores_surge")
+def q_cv_surge(spark, sf):
+    """Walk-forward folds of the surge classifier: exact AUC, mean and std."""
+    scored = B.walk_forward(_ride_folds(spark, sf), ML.SURGE_FEATURES, "is_high_surge", T.cv_params("surge"), id_col="ride_id")
+    return B.cv_scores(scored, classify=True)
+
+
+@register("cv_scores_demand")
+def q_cv_demand(spark, sf):
+    """Walk-forward folds of every city's demand model, all cities and folds grown together."""
+    scored = B.walk_forward(_demand_folds(spark, sf), G.DEMAND_FEATURES, "rides", T.cv_params("demand"), group="city", id_col="date")
+    return B.cv_scores(scored, lo=0.0)
+
+
+def _cv_sql(rows: str, key: str, label: str) -> str:
+    """Walk-forward scores of the mean predictor over rows (scope, segment, y)."""
+    return f"""
+select scope, fold, round_even(avg(abs(y - pred)), 3) as mae, round_even(sqrt(avg((y - pred) * (y - pred))), 3) as rmse,
+       round_even(1 - sum((y - pred) * (y - pred)) / nullif(var_pop(y) * count(y), 0), 4) as r2,
+       round_even(avg(case when y > 0 then abs((y - pred) / y) end) * 100, 2) as mape, count(*) as n,
+       round_even(avg(avg(abs(y - pred))) over (partition by scope), 4) as mean_mae,
+       round_even(stddev_pop(avg(abs(y - pred))) over (partition by scope), 4) as std_mae,
+       round_even(avg(round_even(1 - sum((y - pred) * (y - pred)) / nullif(var_pop(y) * count(y), 0), 4)) over (partition by scope), 4) as mean_r2
+from (select {key} as scope, cast({label} as double) as y, cast(segment as integer) as fold, (
+        select avg(cast(b.{label} as double)) from ({rows}) b where b.{key} = a.{key} and b.segment < a.segment) as pred
+      from ({rows}) a where segment > 0) group by scope, fold"""
+
+
+_SEGMENT = "case when pos < n - 5 * (n // 6) then 0 else floor((pos - (n - 5 * (n // 6))) / (n // 6)) + 1 end"
+
+
+@register("cv_baseline_wait", on_feat(_cv_sql(f"""select 'all' as scope_key, wait_time_min, {_SEGMENT} as segment from (
+  select wait_time_min, row_number() over (order by ts, ride_id) - 1 as pos, count(*) over () as n
+  from (select *, row_number() over (order by ts, ride_id) as r, count(*) over () as c from feat) where r <= floor(c * 0.8))""",
+                                                 "scope_key", "wait_time_min")))
+def q_cv_baseline_wait(spark, sf):
+    """The folds and their scores over the mean predictor, which SQL can recompute."""
+    return B.cv_scores(B.walk_forward_mean(_ride_folds(spark, sf), "wait_time_min"))
+
+
+@register("cv_baseline_demand", on_feat(_cv_sql(f"""select city, rides, {_SEGMENT} as segment from (
+  select city, rides, row_number() over (partition by city order by date, hour) - 1 as pos, count(*) over (partition by city) as n
+  from o_split where role = 'train')""", "city", "rides"), _HOURLY_CTE))
+def q_cv_baseline_demand(spark, sf):
+    return B.cv_scores(B.walk_forward_mean(_demand_folds(spark, sf), "rides", "city"))
 
 
 @register("predict_all_models")

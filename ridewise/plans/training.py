@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewise.operators import metrics as M
+from ridewise.operators.boosting import Boosting
 from ridewise.operators import models as ML
 from ridewise.operators import timeseries as G
 from ridewise.operators.features import cyclical, is_cancelled
@@ -27,6 +28,12 @@ CANCEL_GBT = dict(max_depth=4, step=0.05, subsample=0.8, min_leaf=30)
 TREES, CANCEL_TREES = 200, 150
 
 
+def cv_params(name: str) -> Boosting:
+    """The parameters of a model's walk-forward folds: those of its final fit."""
+    own = {"wait": WAIT_GBT, "surge": SURGE_GBT, "demand": DEMAND_GBT}[name]
+    return Boosting(trees=TREES, classify=name == "surge", **own)
+
+
 def demand_split(enriched: DataFrame) -> DataFrame:
     """Hourly demand rows of all cities with lag features and the per-city 80/20 role."""
     return G.hourly_split(G.city_dataset(G.hourly_dataset(enriched)))
