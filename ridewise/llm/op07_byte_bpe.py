@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ridewise.llm.common import small_arrow_batches
 
 #: What the cache of pieces may take, what one of its entries takes beside its piece and ids, and the longest piece it holds.
-PIECE_CACHE_BYTES, ENTRY_BYTES, CACHED_CHARS = 48 << 20, 180, 64
+PIECE_CACHE_BYTES, ENTRY_BYTES, CACHED_CHARS = 128 << 20, 180, 64
 NO_PAIR = 1 << 30
 POSITION_BITS = 32
 POSITION = (1 << POSITION_BITS) - 1
