@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ridewise import config as C
 from ridewise.functions.columns import clip, portable_hash
 from ridewise.functions.joins import proven_broadcast
 from ridewise.functions.lineage import cut_lineage
+from ridewise.functions.quantiles import exact_quantiles
 
 DEDUP_KEYS = ["city", "ts", "vehicle_type", "distance_km"]
 RAW_COLUMNS = ["ride_id", "ts", "city", "pickup_zone", "vehicle_type", "wait_time_min",
@@ -47,36 +48,52 @@ def filter_valid_categories(df: DataFrame, cities=None, vehicles=None, weather=N
                      & F.col("weather").isin(list(weather or C.VALID_WEATHER)))
 
 
-def impute_wait_group_median(df: DataFrame, keys=("city", "vehicle_type")) -> DataFrame:
-    """Null wait → median of its (city, vehicle_type) group.
+def clean_medians(df: DataFrame, keys: Sequence[str] = ("city", "vehicle_type")) -> DataFrame:
+    """Exact medians that imputation needs: (kind, key, median), one run for all.
+
+    kind 'wait' has the (city, vehicle_type) groups, kind 'rating' the cities;
+    domains are validated before (at most 30 rows). Runs jobs.
+    """
+    rows = df.select(F.inline(F.array(
+        F.struct(F.lit("wait").alias("kind"), group_key(*keys).alias("key"), F.col("wait_time_min").cast("double").alias("v")),
+        F.struct(F.lit("rating").alias("kind"), group_key("city").alias("key"), F.col("driver_rating").cast("double").alias("v")))))
+    return exact_quantiles(rows, ["kind", "key"], [0.5]).select("kind", "key", F.col("quantile").alias("median"))
+
+
+def group_key(*columns: str):
+    """Columns of validated domains (or null) as one text."""
+    return F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in columns))
+
+
+def _joined_median(df: DataFrame, medians: DataFrame, kind: str, column: str, keys: Sequence[str]) -> DataFrame:
+    med = medians.where(F.col("kind") == kind).select(F.col("key").alias("_key"), F.col("median").alias("_median"))
+    return (df.join(proven_broadcast(med), group_key(*keys) == F.col("_key"), "left")
+              .withColumn(column, F.coalesce(column, "_median")).select(*df.columns))
+
+
+def impute_wait_group_median(df: DataFrame, keys=("city", "vehicle_type"), medians: DataFrame | None = None) -> DataFrame:
+    """Null wait → exact median of its (city, vehicle_type) group.
 
     The median table has one row per group of a validated domain (≤ 25 rows),
     so it is broadcast back; the fact table is never shuffled for this.
     """
-    keys = list(keys)
-    med = df.groupBy(*keys).agg(F.median("wait_time_min").alias("_wait_med"))
-    return (df.join(proven_broadcast(med), keys, "left")
-              .withColumn("wait_time_min", F.coalesce("wait_time_min", "_wait_med"))
-              .drop("_wait_med")
-              .select(*df.columns))
+    return _joined_median(df, clean_medians(df, keys) if medians is None else medians, "wait", "wait_time_min", list(keys))
 
 
 def impute_wait_global_median(df: DataFrame) -> DataFrame:
-    """C4: remaining null wait → median of the (already group-filled) column.
+    """C4: remaining null wait → exact median of the (already group-filled) column.
 
-    The global median is a scalar subquery: computed once, inlined as a value.
+    Where a first look finds no null, nothing is computed.
     """
-    med = df.agg(F.median("wait_time_min")).scalar()
-    return df.withColumn("wait_time_min", F.coalesce(F.col("wait_time_min"), med))
+    if not df.where("wait_time_min is null").limit(1).count():
+        return df
+    q = exact_quantiles(df.select(F.lit(0).alias("all"), F.col("wait_time_min").alias("v")), ["all"], [0.5])
+    return df.withColumn("wait_time_min", F.coalesce(F.col("wait_time_min"), q.agg(F.max("quantile")).scalar()))
 
 
-def impute_rating_city_median(df: DataFrame) -> DataFrame:
-    """Null rating → city median; a city without any rating stays null."""
-    med = df.groupBy("city").agg(F.median("driver_rating").alias("_rating_med"))
-    return (df.join(proven_broadcast(med), ["city"], "left")
-              .withColumn("driver_rating", F.coalesce("driver_rating", "_rating_med"))
-              .drop("_rating_med")
-              .select(*df.columns))
+def impute_rating_city_median(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    """Null rating → exact city median; a city without any rating stays null."""
+    return _joined_median(df, clean_medians(df) if medians is None else medians, "rating", "driver_rating", ["city"])
 
 
 def zone_map_column(zones: Mapping[str, Sequence[str]]):
@@ -123,9 +140,10 @@ def clip_surge_rating(df: DataFrame) -> DataFrame:
 
 
 def _impute(df: DataFrame, zones) -> DataFrame:
-    return (df.transform(impute_wait_group_median)
+    medians = clean_medians(df)
+    return (df.transform(impute_wait_group_median, medians=medians)
               .transform(impute_wait_global_median)
-              .transform(impute_rating_city_median)
+              .transform(impute_rating_city_median, medians)
               .transform(impute_zone, zones))
 
 
@@ -148,10 +166,33 @@ def deduped_valid(df: DataFrame, cities=None, vehicles=None, weather=None,
 
 
 def clean_from_deduped(deduped: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
-                       cities=None, vehicles=None, weather=None) -> DataFrame:
-    """C2–C10 over an already deduplicated (and stored) table."""
-    return (filter_valid_categories(deduped, cities, vehicles, weather)
-            .transform(_impute, zones).transform(_clip_all))
+                       cities=None, vehicles=None, weather=None, observation: Observation | None = None) -> DataFrame:
+    """C2–C10 over an already deduplicated (and stored) table.
+
+    ``observation`` counts what imputation and clipping change while the result
+    is written, so the report (C12) needs no pass of its own.
+    """
+    valid = filter_valid_categories(deduped, cities, vehicles, weather)
+    if observation is None:
+        return valid.transform(_impute, zones).transform(_clip_all)
+    marked = valid.withColumns({f"_{c}": F.col(c).isNull() for c in IMPUTED})
+    imputed = marked.transform(_impute, zones)
+    fare, dist, wait = F.col("fare_inr"), F.col("distance_km"), F.col("wait_time_min")
+    counted = imputed.observe(
+        observation, F.count(F.lit(1)).alias("rows_after"),
+        *(F.count_if(f"_{c}").alias(n) for c, n in IMPUTED.items()),
+        F.count_if((fare < C.FARE_MIN) | (fare > C.FARE_MAX)).alias("fare_outliers_capped"),
+        F.count_if((dist < C.DISTANCE_MIN) | (dist > C.DISTANCE_MAX)).alias("distance_outliers_capped"),
+        F.count_if(wait > C.WAIT_MAX).alias("wait_outliers_capped"),
+        # clipping keeps nulls, so those of the result are counted here too
+        F.coalesce(F.sum(null_cells(imputed, RAW_COLUMNS)), F.lit(0)).cast("long").alias("remaining_nulls"))
+    return counted.drop(*(f"_{c}" for c in IMPUTED)).transform(_clip_all)
+
+
+#: Columns with imputed values and the report's names for their counts.
+IMPUTED = {"wait_time_min": "wait_time_imputed", "driver_rating": "driver_rating_imputed", "pickup_zone": "pickup_zone_imputed"}
+REPORT_COLUMNS = ["rows_before", "duplicates_removed", "invalid_categoricals_removed", *IMPUTED.values(), "fare_outliers_capped",
+                  "distance_outliers_capped", "wait_outliers_capped", "remaining_nulls", "rows_after", "rows_removed"]
 
 
 def clean_rides(df: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
@@ -173,51 +214,22 @@ def remaining_nulls(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(null_cells(df)).cast("long").alias("remaining_nulls"))
 
 
-def cleaning_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None,
-                    deduped: DataFrame | None = None) -> DataFrame:
+def cleaning_report(raw: DataFrame, deduped: DataFrame, observed: dict[str, int]) -> DataFrame:
     """The cleaning counters as one row.
 
-    One conditional-sum pass over the imputed table (which carries the
-    pre-imputation null flags) gives every per-row counter; the row counts
-    before and after dedup and the remaining-null total are scalar
-    subqueries over the same lazy plan.
+    ``observed`` is what ``clean_from_deduped``'s observation counted while the
+    cleaned table was written; the row counts before and after dedup are counts
+    of stored tables (Parquet footers answer them).
     """
-    if deduped is None:
-        deduped = cut_lineage(dedup_rides(raw), "dedup")
-    valid = filter_valid_categories(deduped)
-    marked = valid.withColumns({
-        "_w0": F.col("wait_time_min").isNull(),
-        "_r0": F.col("driver_rating").isNull(),
-        "_z0": F.col("pickup_zone").isNull(),
-    })
-    imputed = _impute(marked, zones)
-    final = _clip_all(imputed).select(*RAW_COLUMNS)
-    fare, dist, wait = F.col("fare_inr"), F.col("distance_km"), F.col("wait_time_min")
-    rows_before = raw.agg(F.count(F.lit(1))).scalar()
-    rows_dedup = deduped.agg(F.count(F.lit(1))).scalar()
-    nulls = final.agg(F.sum(null_cells(final, RAW_COLUMNS))).scalar()
-    return imputed.agg(
-        F.count(F.lit(1)).alias("rows_after"),
-        F.count_if("_w0").alias("wait_time_imputed"),
-        F.count_if("_r0").alias("driver_rating_imputed"),
-        F.count_if("_z0").alias("pickup_zone_imputed"),
-        F.count_if((fare < C.FARE_MIN) | (fare > C.FARE_MAX)).alias("fare_outliers_capped"),
-        F.count_if((dist < C.DISTANCE_MIN) | (dist > C.DISTANCE_MAX)).alias("distance_outliers_capped"),
-        F.count_if(wait > C.WAIT_MAX).alias("wait_outliers_capped"),
-    ).select(
-        rows_before.alias("rows_before"),
-        (rows_before - rows_dedup).alias("duplicates_removed"),
-        (rows_dedup - F.col("rows_after")).alias("invalid_categoricals_removed"),
-        "wait_time_imputed", "driver_rating_imputed", "pickup_zone_imputed",
-        "fare_outliers_capped", "distance_outliers_capped", "wait_outliers_capped",
-        F.coalesce(nulls, F.lit(0)).cast("long").alias("remaining_nulls"),
-        "rows_after",
-        (rows_before - F.col("rows_after")).alias("rows_removed"),
-    )
+    rows_before, rows_dedup = (t.agg(F.count(F.lit(1))).scalar() for t in (raw, deduped))
+    seen = {c: F.lit(observed[c]).cast("long") for c in observed}
+    counters = {"rows_before": rows_before, "duplicates_removed": rows_before - rows_dedup,
+                "invalid_categoricals_removed": rows_dedup - seen["rows_after"], "rows_removed": rows_before - seen["rows_after"]}
+    return raw.sparkSession.range(1).select(*((counters | seen)[c].alias(c) for c in REPORT_COLUMNS))
 
 
 def clean_with_report(raw: DataFrame, zones: Mapping[str, Sequence[str]] | None = None):
-    """C13 and C12 sharing one materialised dedup (one fact-table shuffle for both)."""
-    deduped = cut_lineage(dedup_rides(raw), "dedup")
-    clean = filter_valid_categories(deduped).transform(_impute, zones).transform(_clip_all)
-    return clean, cleaning_report(raw, zones, deduped=deduped)
+    """C13 and C12 sharing one materialised dedup and one imputation, whose counters are observed as it is written."""
+    deduped, seen = cut_lineage(dedup_rides(raw), "dedup"), Observation()
+    clean = cut_lineage(clean_from_deduped(deduped, zones, observation=seen), "clean")
+    return clean, cleaning_report(raw, deduped, seen.get)

@@ -274,7 +274,8 @@ def _corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     import pandas as pd
 
     cols = list(columns)
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    # NaN is a missing value here, as in pandas
+    num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     means = num.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
     centre, k = np.array([means[c] for c in cols]), len(cols)
 

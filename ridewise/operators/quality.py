@@ -52,19 +52,24 @@ def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """dtype, null count, null %, distinct count (nulls excluded) per column."""
-    n = F.count(F.lit(1))
-    dc = F.approx_count_distinct if approx else F.countDistinct
-    aggs = [n.alias("_n")]
-    for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), dc(c).alias(f"{c}__distinct")]
-    wide = df.agg(*aggs)
-    types = dict(df.dtypes)
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                     F.col(f"`{c}__nulls`").cast("long").alias("null_count"),
-                     round_np(F.col(f"`{c}__nulls`") * 100.0 / F.col("_n"), 4).alias("null_pct"),
-                     F.col(f"`{c}__distinct`").cast("long").alias("distinct_count"))
-            for c in df.columns]
-    return wide.select(F.inline(F.array(*rows)))
+    types, cols = dict(df.dtypes), df.columns
+    if approx:
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for c in cols:
+            aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.approx_count_distinct(c).alias(f"{c}__distinct")]
+        per = df.agg(*aggs).select("_n", F.inline(F.array(*(F.struct(
+            F.lit(i).alias("_c"), F.col(f"`{c}__nulls`").alias("null_count"), F.col(f"`{c}__distinct`").alias("distinct_count"))
+            for i, c in enumerate(cols)))))
+    else:
+        # equal values meet on the map side first, then by (column, value): a column of few
+        # values moves few rows, one of many is spread over all tasks; no rows are expanded
+        cells = df.select(F.inline(F.array(*(F.struct(F.lit(i).alias("_c"), F.col(f"`{c}`").cast("string").alias("_v")) for i, c in enumerate(cols)))))
+        per = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k")).groupBy("_c").agg(
+            F.sum("_k").alias("_n"), F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_k"))), F.lit(0)).alias("null_count"),
+            F.count("_v").alias("distinct_count"))
+    names, kinds = (F.array(*map(F.lit, v)) for v in (cols, [types[c] for c in cols]))
+    return per.select(F.get(names, F.col("_c")).alias("column"), F.get(kinds, F.col("_c")).alias("dtype"), F.col("null_count").cast("long").alias("null_count"),
+                      round_np(F.col("null_count") * 100.0 / F.col("_n"), 4).alias("null_pct"), F.col("distinct_count").cast("long").alias("distinct_count"))
 
 
 # B5 / B6 / B7 ----------------------------------------------------------------------

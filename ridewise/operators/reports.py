@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewise.functions.columns import round_np
+from ridewise.functions.quantiles import column_quantiles
 
 STAT_COLUMNS = ["wait_time_min", "surge_multiplier", "distance_km", "fare_inr", "driver_rating",
                 "demand_pressure", "fare_per_km", "hourly_ride_volume"]
@@ -32,37 +33,40 @@ def _rows(wide: DataFrame, items: Sequence[str], fields: dict[str, str], key: st
 
 # E1 ------------------------------------------------------------------------------
 def final_stats(df: DataFrame, columns: Sequence[str] = STAT_COLUMNS, digits: int = 3) -> DataFrame:
-    """mean, median, sample std, min, max per column (round 3), one pass."""
+    """mean, exact median, sample std, min, max per column (round 3).
+
+    One aggregate; the medians come from histogram refinement, which runs jobs.
+    """
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
         aggs += [round_np(F.avg(x), digits).alias(f"{c}__mean"),
-                 round_np(F.median(x), digits).alias(f"{c}__median"),
                  round_np(F.stddev_samp(x), digits).alias(f"{c}__std"),
                  round_np(F.min(x), digits).alias(f"{c}__min"),
                  round_np(F.max(x), digits).alias(f"{c}__max")]
     fields = {f: "double" for f in ("mean", "median", "std", "min", "max")}
-    return _rows(df.agg(*aggs), columns, fields)
+    q = column_quantiles(df, columns, [0.5])
+    wide = df.agg(*aggs).withColumn("_q", q)
+    return _rows(wide.withColumns({f"{c}__median": round_np(F.col("_q")[f"{c}|0.5"], digits) for c in columns}), columns, fields)
 
 
 # E2 ------------------------------------------------------------------------------
 def describe_numeric(df: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS, digits: int = 4) -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max — exact (interpolated) quartiles."""
+    """count, mean, std, min, 25/50/75 %, max — exact (interpolated) quartiles by histogram refinement (runs jobs)."""
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [F.count(x).cast("double").alias(f"{c}__count"),
                  round_np(F.avg(x), digits).alias(f"{c}__mean"),
                  round_np(F.stddev_samp(x), digits).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    wide = df.agg(*aggs).withColumn("_q", column_quantiles(df, columns, [0.25, 0.5, 0.75]))
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
                         F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
                         F.col(f"{c}__min").alias("min"),
-                        round_np(F.col(f"{c}__q")[0], digits).alias("p25"),
-                        round_np(F.col(f"{c}__q")[1], digits).alias("p50"),
-                        round_np(F.col(f"{c}__q")[2], digits).alias("p75"),
+                        round_np(F.col("_q")[f"{c}|0.25"], digits).alias("p25"),
+                        round_np(F.col("_q")[f"{c}|0.5"], digits).alias("p50"),
+                        round_np(F.col("_q")[f"{c}|0.75"], digits).alias("p75"),
                         F.col(f"{c}__max").alias("max"))
                for c in columns]
     return wide.select(F.inline(F.array(*structs)))
@@ -77,11 +81,33 @@ def feature_distributions(df: DataFrame, columns: Sequence[str] = DIST_COLUMNS)
                 .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count")))
 
 
+def raw_summary(df: DataFrame, dimensions: Sequence[str] = ("city", "vehicle_type")) -> DataFrame:
+    """(section, name, rows, pct): rows by value of each dimension, and null cells by column; % of all rows.
+
+    GROUPING SETS over the dimensions and the whole table: one pass, one
+    exchange of partial counts. Null values of a dimension and columns without
+    nulls are left out, as in the reference's printout.
+    """
+    dims, last = list(dimensions), 2 ** len(dimensions) - 1
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in df.columns]
+    g = df.groupingSets([*([d] for d in dims), []], *dims).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("rows"), *nulls)
+
+    def row(section, name, rows):
+        return F.struct(F.lit(section).alias("section"), name.alias("name"), rows.cast("long").alias("rows"))
+
+    whole = F.array(*(row("nulls", F.lit(c), F.col(f"_null_{c}")) for c in df.columns))
+    pick = F.when(F.col("_set") == last, F.filter(whole, lambda x: x["rows"] > 0))
+    for i, d in enumerate(dims):
+        pick = pick.when(F.col("_set") == last - 2 ** (len(dims) - 1 - i), F.array(row(d, F.col(d).cast("string"), F.col("rows"))))
+    total = F.sum("rows").over(Window.partitionBy("_set"))                # a handful of rows
+    long = g.select(total.alias("_n"), pick.alias("_r")).select("_n", F.inline("_r")).where("name is not null")
+    return long.select("section", "name", "rows", round_np(F.col("rows") * 100.0 / F.col("_n"), 4).alias("pct"))
+
+
 def value_counts_share(df: DataFrame, columns: Sequence[str] = ("city", "vehicle_type")) -> DataFrame:
-    """Count and % of all rows per value (window over the small aggregate only)."""
-    counts = feature_distributions(df, columns)
-    total = F.sum("count").over(Window.partitionBy("feature"))
-    return counts.withColumn("pct", round_np(F.col("count") * 100.0 / total, 4))
+    """Count and % of all rows per value of the raw table."""
+    s = raw_summary(df, columns).where("section <> 'nulls'")
+    return s.select(F.col("section").alias("feature"), F.col("name").alias("value"), F.col("rows").alias("count"), "pct")
 
 
 # E5 ------------------------------------------------------------------------------
@@ -92,15 +118,16 @@ def flag_rates(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS, digits: int =
 
 # E7 ------------------------------------------------------------------------------
 def dataset_summary(df: DataFrame) -> DataFrame:
-    """Generator summary: key statistics of a raw ride table in one row."""
+    """Generator summary: key statistics of a raw ride table in one row (``raw_summary`` has the rest).
+
+    The exact medians come from histogram refinement, which runs jobs.
+    """
     n = F.count(F.lit(1))
     fare = F.col("fare_inr")
-    return df.agg(
+    wide = df.agg(
         n.alias("rows"),
         F.min(F.to_date("ts")).alias("first_date"),
         F.max(F.to_date("ts")).alias("last_date"),
-        round_np(F.median("fare_inr"), 4).alias("median_fare"),
-        round_np(F.median("wait_time_min"), 4).alias("median_wait"),
         round_np(F.avg("surge_multiplier"), 4).alias("mean_surge"),
         round_np(F.avg(F.col("is_completed").cast("double")) * 100, 4).alias("completion_pct"),
         F.count_if("is_festival").alias("festival_rides"),
@@ -108,7 +135,9 @@ def dataset_summary(df: DataFrame) -> DataFrame:
         F.count_if("is_ipl_day").alias("ipl_rides"),
         round_np(F.avg(F.col("is_ipl_day").cast("double")) * 100, 4).alias("ipl_pct"),
         F.count_if((fare <= 0) | (fare > 5000)).alias("outlier_fares"),
-    )
+    ).withColumn("_q", column_quantiles(df, ["fare_inr", "wait_time_min"], [0.5]))
+    return wide.withColumns({"median_fare": round_np(F.col("_q")["fare_inr|0.5"], 4),
+                             "median_wait": round_np(F.col("_q")["wait_time_min|0.5"], 4)}).drop("_q")
 
 
 # E6 ------------------------------------------------------------------------------

@@ -593,8 +593,7 @@ select (select count(*) from rides) as rows_before,
        (select count(*) from clean) as rows_after,
        (select count(*) from rides) - (select count(*) from clean) as rows_removed"""))
 def q_cleaning_report(spark, sf):
-    from ridewise import config as C
-    return CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones(), deduped=S.deduped(spark, sf))
+    return S.cleaning(spark, sf)
 
 
 @register("remaining_nulls", on_clean("""
@@ -647,12 +646,21 @@ def q_feature_distributions(spark, sf):
     return R.feature_distributions(_feat(spark, sf))
 
 
-@register("value_counts_share", on_feat("""
-select feature, value, count, round_even(count * 100.0 / sum(count) over (partition by feature), 4) as pct
-from (select 'city' as feature, city as value, count(*) as count from feat group by city
-      union all select 'vehicle_type', vehicle_type, count(*) from feat group by vehicle_type)"""))
+_DIMENSIONS = " union all ".join(f"select '{c}' as section, {c} as name, count(*) as rows from rides group by {c}" for c in ("city", "vehicle_type"))
+_SHARES = f"""select section, name, rows, round_even(rows * 100.0 / (select count(*) from rides), 4) as pct
+from ({_DIMENSIONS}) where name is not null"""
+
+
+@register("value_counts_share", on_raw(f"select section as feature, name as value, rows as count, pct from ({_SHARES})"))
 def q_value_counts_share(spark, sf):
-    return R.value_counts_share(_feat(spark, sf))
+    return R.value_counts_share(S.raw(spark, sf))
+
+
+@register("raw_summary", on_raw(f"""{_SHARES}
+union all select 'nulls', "column", null_count, round_even(null_count * 100.0 / n, 4) from ({_NULL_UNION}) where null_count > 0"""))
+def q_raw_summary(spark, sf):
+    """E7's rows by city, vehicle type and column with nulls."""
+    return R.raw_summary(S.raw(spark, sf))
 
 
 _FLAG_UNION = " union all ".join(
@@ -685,8 +693,7 @@ def q_quality_report(spark, sf):
     from ridewise import config as C
     enr = _feat(spark, sf)
     return R.quality_report(enr, validation=Q.validation_issues(S.raw(spark, sf)),
-                            cleaning=CL.cleaning_report(S.raw(spark, sf), zones=C.fixture_zones(),
-                                                        deduped=S.deduped(spark, sf)),
+                            cleaning=S.cleaning(spark, sf),
                             encodings=D.encoding_maps(enr))
 
 

@@ -13,15 +13,16 @@ from __future__ import annotations
 import hashlib
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ridewise import config as C
-from ridewise.operators.clean import RAW_COLUMNS, clean_from_deduped, dedup_rides
+from ridewise.operators.clean import RAW_COLUMNS, clean_from_deduped, cleaning_report, dedup_rides
 from ridewise.operators.features import FEATURE_ORDER, enrich
 from ridewise.session import checkpoint_dir
 from ridewise.sources.fixture import rides_from_tables
 
 _MEMO: dict[tuple, DataFrame] = {}
+_OBSERVED: dict[tuple, dict[str, int]] = {}
 _LOCK = threading.RLock()     # one writer per stage when queries run from several threads
 
 
@@ -75,11 +76,19 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = _key(spark, sf_dir, "clean")
     with _LOCK:
         if k not in _MEMO:
-            df = clean_from_deduped(deduped(spark, sf_dir), zones=C.fixture_zones())
+            seen = Observation()
+            df = clean_from_deduped(deduped(spark, sf_dir), zones=C.fixture_zones(), observation=seen)
             _MEMO[k] = materialise(df, stage_path(spark, sf_dir, "clean"), RAW_COLUMNS)
+            _OBSERVED[k] = seen.get
         return _MEMO[k]
 
 
+def cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 from the counters that were observed when the clean stage was written."""
+    clean(spark, sf_dir)
+    return cleaning_report(raw(spark, sf_dir), deduped(spark, sf_dir), _OBSERVED[_key(spark, sf_dir, "clean")])
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean + 29 features (the 43-column processed table), materialised."""
     k = _key(spark, sf_dir, "enriched")
