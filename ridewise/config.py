@@ -120,7 +120,6 @@ HOUR_DEMAND = {
     20: 1.30, 21: 1.10, 22: 0.90, 23: 0.60,
 }
 WEATHER_DEMAND = {"clear": 1.00, "light_rain": 1.35, "heavy_rain": 1.75, "fog": 1.20}
-WEATHER_WAIT = {"clear": 1.00, "light_rain": 1.25, "heavy_rain": 1.80, "fog": 1.40}
 WEEKEND_DEMAND = 0.85
 WEEKEND_EVENING_DEMAND = 1.25  # weekend and 18 <= hour <= 23
 

@@ -255,27 +255,6 @@ def snap_to_step(c, step: float) -> Column:
     return F.rint(col_(c) / F.lit(step)) * F.lit(step)
 
 
-def inject_quality_issues(df: DataFrame, null_wait_pm: int = 20, null_rating_pm: int = 10,
-                          null_zone_pm: int = 5, bad_fare_pm: int = 5, dup_pm: int = 3) -> DataFrame:
-    """D32 (test-table builder): null out / corrupt a per-mille share of rows
-    chosen by a portable hash of ride_id, and append a per-mille share as
-    exact copies. The reference draws these at random; a hash makes the
-    choice reproducible on re-execution and checkable in SQL."""
-    from ridewise.functions.columns import portable_hash
-    h = F.pmod(portable_hash("ride_id"), F.lit(1000))
-    h2 = F.pmod(F.floor(portable_hash("ride_id") / 1000), F.lit(1000))
-    out = df.withColumns({
-        "wait_time_min": F.when(h < null_wait_pm, None).otherwise(F.col("wait_time_min")),
-        "driver_rating": F.when((h >= 100) & (h < 100 + null_rating_pm), None).otherwise(F.col("driver_rating")),
-        "pickup_zone": F.when((h >= 200) & (h < 200 + null_zone_pm), None).otherwise(F.col("pickup_zone")),
-        "fare_inr": F.when((h2 >= 300) & (h2 < 300 + bad_fare_pm),
-                           F.element_at(F.array(F.lit(0.0), F.lit(9999.0), F.lit(-1.0)),
-                                        (F.pmod(h2, F.lit(3)) + 1).cast("int")))
-                    .otherwise(F.col("fare_inr")),
-    })
-    return out.unionByName(out.filter(h2 >= 1000 - dup_pm))
-
-
 # -- D23: composition ----------------------------------------------------------
 
 def engineer_features(df: DataFrame) -> DataFrame:

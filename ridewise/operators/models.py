@@ -22,17 +22,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewise.functions.columns import round_np
+from ridewise.functions.joins import proven_broadcast
 from ridewise.operators import metrics as M
 from ridewise.operators.scoring import CANCEL_FEATURES, SURGE_FEATURES, WAIT_FEATURES
 from ridewise.operators.timeseries import DEMAND_FEATURES
 
-FEATURE_LISTS = {"demand": DEMAND_FEATURES, "wait_time": WAIT_FEATURES,
-                 "surge": SURGE_FEATURES, "cancellation": CANCEL_FEATURES}
 LEAK_FREE_SURGE_FEATURES = [c for c in SURGE_FEATURES if c != "demand_pressure"]
 
 
@@ -70,6 +68,14 @@ def _apply_scaling(df: DataFrame, features: Sequence[str], means, stds) -> DataF
     return df.withColumns(cols)
 
 
+def _linear(features: Sequence[str], model) -> Column:
+    """A linear model's value as a column expression (its transform would carry the session to the tasks)."""
+    total = F.lit(float(model.intercept))
+    for c, w in zip(features, model.coefficients.toArray().tolist()):
+        total = total + F.col(c) * F.lit(w)
+    return total
+
+
 # H3 ---------------------------------------------------------------------------------
 def ridge_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                    alpha: float = 1.0, lo: float | None = 0.0, hi: float | None = None) -> DataFrame:
@@ -85,14 +91,14 @@ def ridge_baseline(train: DataFrame, test: DataFrame, features: Sequence[str], l
                           regParam=alpha * sy / max(n, 1), elasticNetParam=0.0,
                           solver="normal", standardization=False)
     k = len(features)
-    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means[:k], stds[:k]))
-    scored = model.transform(_apply_scaling(test, features, means[:k], stds[:k]))
-    p = F.col("pred")
+    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means[:k], stds[:k])).stages[-1]
+    scored = _apply_scaling(test, features, means[:k], stds[:k])
+    p = _linear(features, model)
     if lo is not None:
         p = F.greatest(p, F.lit(lo))
     if hi is not None:
         p = F.least(p, F.lit(hi))
-    return scored.withColumn("pred", p).drop("features")
+    return scored.withColumn("pred", p)
 
 
 # H4 ---------------------------------------------------------------------------------
@@ -103,10 +109,10 @@ def logistic_baseline(train: DataFrame, test: DataFrame, features: Sequence[str]
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter,
                             probabilityCol="probability", predictionCol="pred_d")
-    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means, stds))
-    scored = model.transform(_apply_scaling(test, features, means, stds))
-    return (scored.withColumns({"score": vector_to_array("probability")[1], "pred": F.col("pred_d").cast("int")})
-                  .drop("features", "rawPrediction", "probability", "pred_d"))
+    model = _pipeline(features, lr).fit(_apply_scaling(train, features, means, stds)).stages[-1]
+    score = 1 / (1 + F.exp(-_linear(features, model)))
+    scored = _apply_scaling(test, features, means, stds).withColumn("score", score)
+    return scored.withColumn("pred", (F.col("score") > 0.5).cast("int"))
 
 
 # H5–H8 ------------------------------------------------------------------------------
@@ -137,8 +143,8 @@ def fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     start costs more than their work.
     """
     spark = train.sparkSession
-    label = estimator.getLabelCol()
-    data = train.select(*dict.fromkeys([*features, label])).persist(StorageLevel.MEMORY_AND_DISK)
+    label, weight = estimator.getLabelCol(), [estimator.getWeightCol()] if estimator.isDefined("weightCol") else []
+    data = train.select(*dict.fromkeys([*features, label, *weight])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = max(1, math.ceil(data.count() / FIT_ROWS))
         own = min(parts, spark.sparkContext.defaultParallelism * 64)
@@ -164,37 +170,73 @@ def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 # H15 --------------------------------------------------------------------------------
-def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str],
-                       k: int | None = None) -> DataFrame:
+def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
     """Importances of the fitted trees by feature name, descending (bounded by #features)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(features, [float(v) for v in imp])), "feature string, importance double")
-    df = df.orderBy(F.desc("importance"), "feature")
-    return df.limit(k) if k else df
+    values = model.stages[-1].featureImportances.toArray().tolist()
+    return sorted(zip(features, map(float, values)), key=lambda fv: (-fv[1], fv[0]))
+
+
+def feature_importance(entries: DataFrame, k: int | None = None) -> DataFrame:
+    """(name, rank, feature, importance) of the stored models, the k greatest of each."""
+    items = entries.select("name", F.posexplode("importances").alias("_i", "_f"))
+    rows = items.select("name", (F.col("_i") + 1).alias("rank"), "_f.feature", "_f.importance")
+    return rows.where(F.col("rank") <= k) if k else rows
 
 
 # H19 --------------------------------------------------------------------------------
-def leaderboard(metrics: DataFrame) -> DataFrame:
-    """Per (scope, model) metric rows plus the average over scopes per model."""
-    avg = metrics.groupBy("model").agg(*[round_np(F.avg(c), 4).alias(c) for c in ("mae", "rmse", "r2", "mape")]) \
-                 .withColumn("scope", F.lit("average"))
-    return metrics.select("scope", "model", "mae", "rmse", "r2", "mape").unionByName(
-        avg.select("scope", "model", "mae", "rmse", "r2", "mape"))
+def stored_metrics(entries: DataFrame) -> DataFrame:
+    """(name, model, metrics): the held-out metrics of every stored model and of its baseline."""
+    own = entries.select("name", "city", F.lit("gbt").alias("model"), "metrics")
+    return own.unionByName(entries.where("baseline is not null").select("name", "city", F.col("baseline").alias("model"), F.col("baseline_metrics").alias("metrics")))
+
+
+def leaderboard(entries: DataFrame) -> DataFrame:
+    """Regression models and baselines by scope, the demand average over cities, and the gain over the baseline in % of MAE."""
+    rows = stored_metrics(entries)
+    scope = F.coalesce("city", "name")
+    rows = rows.where("metrics['mae'] is not null").select(scope.alias("scope"), "model", F.col("city").isNotNull().alias("_city"),
+                                                           *(F.col("metrics")[c].alias(c) for c in ("mae", "rmse", "r2", "mape")))
+    avg = rows.where("_city").groupBy("model").agg(*[round_np(F.avg(c), 4).alias(c) for c in ("mae", "rmse", "r2", "mape")]).withColumn("scope", F.lit("average"))
+    own = rows.drop("_city").unionByName(avg)
+    base = own.where("model <> 'gbt'").select("scope", F.col("mae").alias("_base"))
+    gain = F.when(F.col("model") == "gbt", M.improvement_over_baseline("mae", "_base")).alias("gain_pct")
+    return own.join(proven_broadcast(base), "scope", "left").select("scope", "model", "mae", "rmse", "r2", "mape", gain)
 
 
 # A8 / A9 / J13 -------------------------------------------------------------------------
-def save_model(spark: SparkSession, model: PipelineModel, path: str, name: str, model_type: str,
-               features: Sequence[str], metrics: dict, importances: DataFrame | None = None) -> None:
-    """MLlib model folder + a one-row JSON metadata table beside it."""
+_ENTRY = ("name string, city string, model_type string, baseline string, features array<string>, metrics map<string,double>, "
+          "baseline_metrics map<string,double>, importances array<struct<feature:string, importance:double>>, trained_at string")
+
+
+def save_model(spark: SparkSession, model: PipelineModel, path: str, name: str, model_type: str, features: Sequence[str],
+               metrics: dict, city: str | None = None, baseline: str | None = None, baseline_metrics: dict | None = None) -> None:
+    """The MLlib model folder, then its entry in the registry, a one-row JSON table beside it.
+
+    An entry says that the model is whole. It holds the held-out metrics of the
+    model and of its baseline, and all importances.
+    """
     model.write().overwrite().save(f"{path}/{name}/model")
-    top = [] if importances is None else [(r["feature"], float(r["importance"]))
-                                          for r in importances.limit(5).collect()]   # 5 rows
-    meta = {"name": name, "model_type": model_type, "features": list(features),
-            "metrics": {k: (None if v is None else float(v)) for k, v in metrics.items()},
-            "top_features": [{"feature": f, "importance": v} for f, v in top],
-            "trained_at": time.strftime("%Y-%m-%dT%H:%M:%S")}
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(
-        f"{path}/{name}/metadata")
+
+    def numbers(d):
+        return None if d is None else {k: None if v is None else float(v) for k, v in d.items()}
+
+    entry = {"name": name, "city": city, "model_type": model_type, "baseline": baseline, "features": list(features),
+             "metrics": numbers(metrics), "baseline_metrics": numbers(baseline_metrics),
+             "importances": [{"feature": f, "importance": v} for f, v in importances(model, features)],
+             "trained_at": time.strftime("%Y-%m-%dT%H:%M:%S")}
+    spark.createDataFrame([(json.dumps(entry),)], "entry string").write.mode("overwrite").text(f"{path}/{name}/metadata")
+
+
+def registry(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    """The entries of the stored models (of the named ones), one row each."""
+    try:
+        raw = spark.read.text(f"{path}/*/metadata")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _ENTRY)
+    rows = raw.select(F.from_json("value", _ENTRY).alias("m")).select("m.*")
+    return rows.where(F.col("name").isin(list(names))) if names else rows
 
 
 def load_model(path: str, name: str) -> PipelineModel | None:
@@ -213,10 +255,5 @@ def load_model(path: str, name: str) -> PipelineModel | None:
 
 
 def model_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Name, type, metrics and feature count of every stored model."""
-    raw = spark.read.text(f"{path}/*/metadata")
-    schema = ("name string, model_type string, features array<string>, metrics map<string,double>, "
-              "top_features array<struct<feature:string, importance:double>>, trained_at string")
-    parsed = raw.select(F.from_json("value", schema).alias("m")).select("m.*")
-    city = F.when(F.col("name").startswith("demand_"), F.translate(F.expr("substring(name, 8)"), "_", " "))
-    return parsed.select("name", "model_type", city.alias("city"), F.size("features").alias("n_features"), "metrics", "trained_at")
+    """Name, type, city, metrics, baseline and feature count of every stored model."""
+    return registry(spark, path).select("name", "model_type", "city", F.size("features").alias("n_features"), "metrics", "baseline", "baseline_metrics", "trained_at")

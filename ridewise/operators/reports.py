@@ -165,6 +165,31 @@ def quality_report(enriched: DataFrame, validation: DataFrame | None = None,
     if cleaning is not None:
         parts["cleaning"] = _as_array(cleaning)
     if encodings is not None:
-        parts["encodings"] = _as_array(encodings)
+        parts["encodings"] = _as_array(encodings.select("column", F.explode("codes").alias("value", "code")))
     return shape.select(F.current_timestamp().cast("string").alias("generated_at"),
                         F.to_json(F.struct(*[v.alias(k) for k, v in parts.items()])).alias("report"))
+
+
+def report_rows(report: DataFrame, column: str = "report") -> DataFrame:
+    """(section, item, field, number): every section of a stored JSON report as rows.
+
+    The text is parsed as VARIANT. A section is an object or a list of them;
+    an object's texts name the item ('key=text', by key, joined with ';'), and
+    each of its numbers is a row (one row without field if it has none). A list
+    of texts gives their places, from 0.
+    """
+    top = report.select(F.parse_json(column).alias("_v"))
+    sections = top.select(F.explode(F.map_entries(F.variant_get("_v", "$", "map<string,variant>"))).alias("_s")).select(
+        F.col("_s.key").alias("section"), F.col("_s.value").alias("_v"))
+    listed = F.schema_of_variant("_v").startswith("ARRAY")
+    parts = F.when(listed, F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.array("_v"))
+    parts = sections.select("section", F.posexplode(parts).alias("_pos", "_v"))
+    pairs = F.array_sort(F.transform(F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")), lambda e: F.struct(
+        e["key"].alias("key"), F.schema_of_variant(e["value"]).alias("kind"), F.try_variant_get(e["value"], "$", "string").alias("text"))))
+    parts = parts.withColumn("_o", F.schema_of_variant("_v").startswith("OBJECT")).withColumn("_p", F.when(F.col("_o"), pairs))
+    texts = F.filter("_p", lambda e: e["kind"] == "STRING")
+    item = F.when(F.col("_o"), F.array_join(F.transform(texts, lambda e: F.concat(e["key"], F.lit("="), e["text"])), ";")).otherwise(F.try_variant_get("_v", "$", "string"))
+    place = F.array(F.struct(F.lit("position").alias("field"), F.col("_pos").cast("double").alias("number")))
+    numbers = F.transform(F.filter("_p", lambda e: e["kind"] != "STRING"), lambda e: F.struct(e["key"].alias("field"), e["text"].cast("double").alias("number")))
+    rows = parts.select("section", item.alias("item"), F.when(F.col("_o"), numbers).otherwise(place).alias("_n"))
+    return rows.select("section", "item", F.explode_outer("_n").alias("_n")).select("section", "item", "_n.field", "_n.number")

@@ -29,8 +29,8 @@ RULE_BASE_SURGE = {"clear": 0.2, "light_rain": 0.4, "heavy_rain": 0.75, "fog": 0
 PROFILE_BASE_SURGE = {"clear": 0.2, "light_rain": 0.4, "heavy_rain": 0.7, "fog": 0.45}
 
 # Recommendation texts and severity keywords.
-REC_DISPATCH = "Dispatch additional drivers to {city} — predicted wait {wait} min"
-REC_SURGE = "Surge alert ({label}) — pre-position fleet before {hour}:00"
+REC_DISPATCH = "Dispatch additional drivers to %s — predicted wait %s min"
+REC_SURGE = "Surge alert (%s) — pre-position fleet before %s:00"
 REC_RAIN = "Heavy rain: activate rain surge protocol, expect 3× cancellations"
 REC_FESTIVAL = "Festival day: deploy surge standby pool from 6 PM onwards"
 REC_IPL = "Post-IPL demand spike expected — activate 150+ standby vehicles"
@@ -95,6 +95,8 @@ def build_scenario_features(df: DataFrame) -> DataFrame:
     h, d, m, w = F.col("hour"), F.col("day_of_week"), F.col("month"), F.col("weather")
     two_pi = 2 * math.pi
     season_code = lookup(season(m), C.SEASON_CODES, C.UNKNOWN_SEASON_CODE)
+    lags = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(C.DEFAULT_LAG))) if c in df.columns else F.lit(float(C.DEFAULT_LAG))
+            for c in ("rides_lag_1d", "rides_lag_7d", "rides_roll_3d", "rides_roll_7d")}
     return df.withColumns({
         "quarter": (F.floor((m - 1) / 3) + 1).cast("int"),
         "is_peak_hour": flag(_peak(h)),
@@ -114,18 +116,10 @@ def build_scenario_features(df: DataFrame) -> DataFrame:
         "hour_cos": F.cos(F.lit(two_pi) * h / 24.0),
         "dow_sin": F.sin(F.lit(two_pi) * d / 7.0),
         "dow_cos": F.cos(F.lit(two_pi) * d / 7.0),
-        "rides_lag_1d": F.lit(float(C.DEFAULT_LAG)),
-        "rides_lag_7d": F.lit(float(C.DEFAULT_LAG)),
-        "rides_roll_3d": F.lit(float(C.DEFAULT_LAG)),
-        "rides_roll_7d": F.lit(float(C.DEFAULT_LAG)),
+        **lags,
     })
 
 
-def _model_frame(df: DataFrame, features: list[str]) -> DataFrame:
-    """Feature columns as the models saw them (VectorAssembler reads booleans as 0/1)."""
-    return df
-
-
 # J4 / J5 label logic ------------------------------------------------------------------
 def surge_label(prob) -> Column:
     p = col_(prob)
@@ -143,15 +137,32 @@ def _positive_prob(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 
 
+def wait_result(pred) -> Column:
+    """Minutes clipped to [0.5, 60], round 1."""
+    return round_np(F.least(F.greatest(col_(pred), F.lit(0.5)), F.lit(60.0)), 1)
+
+
+def surge_result(prob) -> Column:
+    """struct(probability, is_high_surge, label, surge_estimate); threshold and label on the unrounded probability."""
+    p = col_(prob)
+    return F.struct(round_np(p, 3).alias("probability"), (p >= 0.5).alias("is_high_surge"),
+                    surge_label(p).alias("label"), round_np(1.0 + p * 2.5, 2).alias("surge_estimate"))
+
+
+def cancel_result(prob) -> Column:
+    """struct(probability, label); label on the unrounded probability."""
+    p = col_(prob)
+    return F.struct(round_np(p, 3).alias("probability"), cancel_label(p).alias("label"))
+
+
 # J3 -------------------------------------------------------------------------------
 def predict_wait(feat: DataFrame, model=None, out: str = "wait_time_min") -> DataFrame:
     """Wait in minutes: model clipped to [0.5, 60], round 1; no model → 7.5."""
     if model is None:
         return feat.withColumn(out, F.lit(C.FALLBACK_WAIT))
     pc = model.stages[-1].getPredictionCol()
-    scored = model.transform(_model_frame(feat, WAIT_FEATURES))
-    p = F.least(F.greatest(F.col(pc), F.lit(0.5)), F.lit(60.0))
-    return scored.withColumn(out, round_np(p, 1)).drop(pc, "features")
+    scored = model.transform(feat)
+    return scored.withColumn(out, wait_result(pc)).drop(pc, "features")
 
 
 # J4 -------------------------------------------------------------------------------
@@ -162,12 +173,8 @@ def predict_surge(feat: DataFrame, model=None, out: str = "surge") -> DataFrame:
             F.lit(C.FALLBACK_SURGE_PROB).alias("probability"), F.lit(False).alias("is_high_surge"),
             F.lit("Normal").alias("label"), F.lit(None).cast("double").alias("surge_estimate")))
     pc = model.stages[-1].getPredictionCol()
-    scored = model.transform(_model_frame(feat, SURGE_FEATURES))
-    p = _positive_prob()
-    return scored.withColumn(out, F.struct(
-        round_np(p, 3).alias("probability"), (p >= 0.5).alias("is_high_surge"),
-        surge_label(p).alias("label"), round_np(1.0 + p * 2.5, 2).alias("surge_estimate"))
-    ).drop(pc, "features", "rawPrediction", "probability")
+    scored = model.transform(feat)
+    return scored.withColumn(out, surge_result(_positive_prob())).drop(pc, "features", "rawPrediction", "probability")
 
 
 # J5 -------------------------------------------------------------------------------
@@ -176,11 +183,8 @@ def predict_cancel(feat: DataFrame, model=None, out: str = "cancellation") -> Da
         return feat.withColumn(out, F.struct(F.lit(C.FALLBACK_CANCEL_PROB).alias("probability"),
                                              F.lit("Low risk").alias("label")))
     pc = model.stages[-1].getPredictionCol()
-    scored = model.transform(_model_frame(feat, CANCEL_FEATURES))
-    p = _positive_prob()
-    return scored.withColumn(out, F.struct(round_np(p, 3).alias("probability"),
-                                           cancel_label(p).alias("label"))
-                             ).drop(pc, "features", "rawPrediction", "probability")
+    scored = model.transform(feat)
+    return scored.withColumn(out, cancel_result(_positive_prob())).drop(pc, "features", "rawPrediction", "probability")
 
 
 # J8 / J9 ----------------------------------------------------------------------------
@@ -191,11 +195,8 @@ def recommendations(city="city", wait="wait_time_min", high_surge="surge.is_high
     w = col_(wait)
     wait_txt = F.rint(w).cast("long").cast("string")       # '{:.0f}' rounds half to even
     recs = F.array(
-        F.when(w > 10, F.concat(F.lit("Dispatch additional drivers to "), col_(city),
-                                F.lit(" — predicted wait "), wait_txt, F.lit(" min"))),
-        F.when(F.coalesce(col_(high_surge), F.lit(False)),
-               F.concat(F.lit("Surge alert ("), col_(label), F.lit(") — pre-position fleet before "),
-                        col_(hour).cast("string"), F.lit(":00"))),
+        F.when(w > 10, F.format_string(REC_DISPATCH, col_(city), wait_txt)),
+        F.when(F.coalesce(col_(high_surge), F.lit(False)), F.format_string(REC_SURGE, col_(label), col_(hour).cast("string"))),
         F.when(col_(weather) == "heavy_rain", F.lit(REC_RAIN)),
         F.when(col_(festival), F.lit(REC_FESTIVAL)),
         F.when(col_(ipl) & (col_(hour) >= 21), F.lit(REC_IPL)),
@@ -276,6 +277,30 @@ def status_lights(df: DataFrame, prob="rule_surge_prob", wait="rule_wait",
     })
 
 
+# J14 --------------------------------------------------------------------------------
+def predict_demand(requests: DataFrame, models: dict, out: str = "predicted_rides") -> DataFrame:
+    """Rides for each request from its city's model, never below 0; a city without model gives null.
+
+    Requests take the service defaults (lags and rolling means of 15 where not
+    given). The feature vector is built once; every city's trees score the row
+    in the one scan and the row's city picks, so no city is a scan of its own.
+    """
+    feat = build_scenario_features(requests)
+    if not models:
+        return feat.withColumn(out, F.lit(None).cast("double"))
+    names = sorted(models)
+    scored, columns = models[names[0]].stages[0].transform(feat), {}
+    for i, city in enumerate(names):
+        trees = models[city].stages[-1]
+        columns[city] = f"_rides_{i}"
+        scored = trees.copy({trees.predictionCol: columns[city]}).transform(scored)
+    pick = F.when(F.col("city") == names[0], F.col(columns[names[0]]))
+    for city in names[1:]:
+        pick = pick.when(F.col("city") == city, F.col(columns[city]))
+    kept = [c for c in feat.columns]
+    return scored.select(*kept, F.when(pick.isNotNull(), F.greatest(pick, F.lit(0.0))).alias(out))
+
+
 # J11 / J12 --------------------------------------------------------------------------
 def predict_all(scenarios: DataFrame, wait_model=None, surge_model=None, cancel_model=None) -> DataFrame:
     """One nested result row per scenario (models optional → service fallbacks).

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridewise import config as C
 from ridewise.operators import clean as CL
 from ridewise.operators import eda as E
 from ridewise.operators import features as D
@@ -234,15 +235,29 @@ _EVENT = ("case when is_festival then 'Festival day' when is_ipl_day then 'IPL m
           "else 'Normal day' end")
 
 
-@register("event_impact", on_feat(f"""
-select event_type, round_even(avg(wait_time_min), 4) as mean_value,
+def _event_sql(metric):
+    return on_feat(f"""
+select event_type, round_even(avg({metric}), 4) as mean_value,
        cast(case event_type when 'Normal day' then 0 when 'IPL match day' then 1
             when 'Festival day' then 2 else 3 end as integer) as event_order
-from (select {_EVENT} as event_type, wait_time_min from feat) group by event_type"""))
+from (select {_EVENT} as event_type, {metric} from feat) group by event_type""")
+
+
+@register("event_impact", _event_sql("wait_time_min"))
 def q_event_impact(spark, sf):
     return E.event_impact(_feat(spark, sf))
 
 
+@register("event_impact_surge", _event_sql("surge_multiplier"))
+def q_event_impact_surge(spark, sf):
+    return E.event_impact(_feat(spark, sf), "surge_multiplier")
+
+
+@register("event_impact_fare", _event_sql("fare_inr"))
+def q_event_impact_fare(spark, sf):
+    return E.event_impact(_feat(spark, sf), "fare_inr")
+
+
 @register("event_lift", on_feat(f"""
 select metric, round_even(n, 4) as normal_value, round_even(f, 4) as festival_value,
        round_even((f / nullif(n, 0) - 1) * 100, 2) as lift_pct
@@ -572,7 +587,7 @@ def q_quality_verdict(spark, sf):
     return Q.quality_verdict(Q.quality_checks(S.raw(spark, sf)))
 
 
-@register("cleaning_report", on_clean("""
+_CLEANING_SELECT = """
 select (select count(*) from rides) as rows_before,
        (select count(*) from rides) - (select count(*) from o_dedup) as duplicates_removed,
        (select count(*) from o_dedup) - (select count(*) from o_valid) as invalid_categoricals_removed,
@@ -591,7 +606,10 @@ select (select count(*) from rides) as rows_before,
              + count(*) filter (where is_festival is null) + count(*) filter (where is_ipl_day is null) from clean)
          as remaining_nulls,
        (select count(*) from clean) as rows_after,
-       (select count(*) from rides) - (select count(*) from clean) as rows_removed"""))
+       (select count(*) from rides) - (select count(*) from clean) as rows_removed"""
+
+
+@register("cleaning_report", on_clean(_CLEANING_SELECT))
 def q_cleaning_report(spark, sf):
     return S.cleaning(spark, sf)
 
@@ -690,33 +708,12 @@ def q_dataset_summary(spark, sf):
 
 @register("quality_report")
 def q_quality_report(spark, sf):
-    from ridewise import config as C
     enr = _feat(spark, sf)
     return R.quality_report(enr, validation=Q.validation_issues(S.raw(spark, sf)),
                             cleaning=S.cleaning(spark, sf),
                             encodings=D.encoding_maps(enr))
 
 
-@register("quality_report_rows", on_feat(f"""
-select 'final_shape' as section, 'rows' as name, cast(null as varchar) as value, cast(count(*) as double) as number from feat
-union all select 'feature_distributions', feature, value, cast(count as double) from ({_DIST_UNION})
-union all select 'flag_rates', flag, null, rate from ({_FLAG_UNION})"""))
-def q_quality_report_rows(spark, sf):
-    """E6 read back: the report's shape, distributions and flag rates as rows."""
-    schema = ("final_shape struct<rows: long>, feature_distributions array<struct<feature: string, value: string, count: long>>, "
-              "flag_rates array<struct<flag: string, rate: double>>")
-    r = q_quality_report(spark, sf).select(F.from_json("report", schema).alias("r")).select("r.*")
-    none = F.lit(None).cast("string")
-    return r.select(F.inline(F.concat(
-        F.array(F.struct(F.lit("final_shape").alias("section"), F.lit("rows").alias("name"), none.alias("value"),
-                         F.col("final_shape.rows").cast("double").alias("number"))),
-        F.transform("feature_distributions", lambda x: F.struct(
-            F.lit("feature_distributions").alias("section"), x["feature"].alias("name"), x["value"].alias("value"),
-            x["count"].cast("double").alias("number"))),
-        F.transform("flag_rates", lambda x: F.struct(
-            F.lit("flag_rates").alias("section"), x["flag"].alias("name"), none.alias("value"), x["rate"].alias("number"))))))
-
-
 @register("cyclical_encode", on_feat("""
 select ride_id, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * hour / 24.0), 6) as hour_cos,
        round_even(sin(2 * pi() * day_of_week / 7.0), 6) as dow_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos
@@ -1242,7 +1239,12 @@ def q_status_lights(spark, sf):
 
 
 _SCEN_FEAT_SQL = """
-select ride_id as scenario_id, cast(floor((month - 1) / 3) + 1 as integer) as quarter,
+select ride_id as scenario_id, hour, day_of_week, month, cast(floor((month - 1) / 3) + 1 as integer) as quarter,
+  cast(hour in (7,8,9,17,18,19,20) as integer) as is_peak_hour, cast(day_of_week >= 5 as integer) as is_weekend,
+  cast(hour in (22,23,0,1,2,3,4) as integer) as is_night, cast(weather in ('light_rain', 'heavy_rain') as integer) as is_raining,
+  cast(weather = 'heavy_rain' as integer) as is_heavy_rain, cast(weather = 'fog' as integer) as is_fog,
+  cast(is_festival as integer) as is_festival_i, cast(is_ipl_day as integer) as is_ipl_day_i,
+  cast(surge_multiplier as double) as surge_multiplier, cast(hourly_ride_volume as double) as hourly_ride_volume,
   round_even(cast(surge_multiplier as double) + case when hour in (7,8,9,17,18,19,20) then 0.5::double else 0.0::double end
     + case when weather in ('light_rain', 'heavy_rain') then 0.4::double else 0.0::double end
     + case when is_festival then 0.6::double else 0.0::double end
@@ -1253,15 +1255,35 @@ select ride_id as scenario_id, cast(floor((month - 1) / 3) + 1 as integer) as qu
        when 'premium' then 3 when 'shared' then 4 end, 2) as integer) as vehicle_code,
   cast(coalesce(case weather when 'clear' then 0 when 'fog' then 1 when 'heavy_rain' then 2
        when 'light_rain' then 3 end, 0) as integer) as weather_code,
-  season_code, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos
+  season_code, round_even(sin(2 * pi() * hour / 24.0), 6) as hour_sin, round_even(cos(2 * pi() * hour / 24.0), 6) as hour_cos,
+  round_even(sin(2 * pi() * day_of_week / 7.0), 6) as dow_sin, round_even(cos(2 * pi() * day_of_week / 7.0), 6) as dow_cos,
+  15.0::double as rides_lag_1d, 15.0::double as rides_lag_7d, 15.0::double as rides_roll_3d, 15.0::double as rides_roll_7d
 from feat"""
 
 
 @register("build_scenario_features", on_feat(_SCEN_FEAT_SQL))
 def q_scenario_features(spark, sf):
+    """The whole feature row of every request, defaults included."""
     f = J.build_scenario_features(J.scenarios_from_rides(_feat(spark, sf)))
-    return f.select("scenario_id", "quarter", "demand_pressure", "city_code", "vehicle_code", "weather_code",
-                    "season_code", _rn("hour_sin", 6).alias("hour_sin"), _rn("dow_cos", 6).alias("dow_cos"))
+    waves = ("hour_sin", "hour_cos", "dow_sin", "dow_cos")
+    return f.select("scenario_id", "hour", "day_of_week", "month", "quarter", "is_peak_hour", "is_weekend", "is_night", "is_raining", "is_heavy_rain",
+                    "is_fog", "is_festival_i", "is_ipl_day_i", "surge_multiplier", "hourly_ride_volume", "demand_pressure", "city_code", "vehicle_code",
+                    "weather_code", "season_code", *(_rn(c, 6).alias(c) for c in waves), "rides_lag_1d", "rides_lag_7d", "rides_roll_3d", "rides_roll_7d")
+
+
+@register("model_result_labels", on_feat(f"""
+select ride_id, round_even(least(greatest(wait_time_min * 1.7::double - 1, 0.5), 60), 1) as wait_time_min,
+  round_even(p, 3) as surge_probability, p >= 0.5 as surge_is_high, {_SURGE_LABEL.format(p='p')} as surge_label,
+  round_even(1.0::double + p * 2.5::double, 2) as surge_estimate, round_even(c, 3) as cancel_probability,
+  case when c >= 0.2 then 'High cancellation risk' when c >= 0.12 then 'Moderate risk' else 'Low risk' end as cancel_label
+from (select *, least(cast(fare_inr as double) / 400, 1.0::double) as p, cast(wait_time_min as double) / 70 as c from feat)"""))
+def q_model_result_labels(spark, sf):
+    """J3-J5 behind the trees: clip, rounding, thresholds and labels over given predictions (unrounded)."""
+    given = _feat(spark, sf).select("ride_id", (F.col("wait_time_min") * 1.7 - 1).alias("w"),
+                                    F.least(F.col("fare_inr").cast("double") / 400, F.lit(1.0)).alias("p"), (F.col("wait_time_min").cast("double") / 70).alias("c"))
+    r = given.select("ride_id", J.wait_result("w").alias("wait_time_min"), J.surge_result("p").alias("s"), J.cancel_result("c").alias("k"))
+    return r.select("ride_id", "wait_time_min", F.col("s.probability").alias("surge_probability"), F.col("s.is_high_surge").alias("surge_is_high"),
+                    F.col("s.label").alias("surge_label"), "s.surge_estimate", F.col("k.probability").alias("cancel_probability"), F.col("k.label").alias("cancel_label"))
 
 
 @register("predict_all_fallback", on_feat(f"""
@@ -1313,9 +1335,12 @@ from ridewise.plans import training as T  # noqa: E402
 
 
 _SPLITS: dict = {}
-_TRAINED: dict = {}
 _TRAIN_LOCK = threading.RLock()
 
+#: Training jobs and the models each stores (demand: one a city).
+_STORES = {"wait": ["wait_time"], "surge": ["surge"], "cancellation": ["cancellation"],
+           "demand": [f"demand_{c.replace(' ', '_')}" for c in C.VALID_CITIES]}
+
 
 def _ride_split(spark, sf):
     k = ("ride_split", spark.sparkContext.applicationId, sf)
@@ -1325,50 +1350,56 @@ def _ride_split(spark, sf):
         return _SPLITS[k]
 
 
-def _model_dir(spark, sf):
-    return S.stage_path(spark, sf, "models")
+def _entries(spark, sf, *jobs):
+    """Registry entries of the named training jobs' models (of all without a name).
 
-
-def _trained(spark, sf, *names):
-    """Results of the named training jobs (all without a name), each run once per
-    session and data folder; those still to run are independent and run together."""
+    Entries are read from the shared folder; a job runs only where one of its
+    models has no entry there. Jobs still to run are independent and run together.
+    """
+    path, jobs = S.model_path(spark, sf), jobs or tuple(_STORES)
+    wanted = [m for j in jobs for m in _STORES[j]]
     with _TRAIN_LOCK:
-        done = _TRAINED.setdefault((spark.sparkContext.applicationId, sf), {})
-        jobs = T.model_jobs(spark, _feat(spark, sf), _ride_split(spark, sf), _model_dir(spark, sf))
-        todo = [n for n in names or jobs if n not in done]
+        there = {r["name"] for r in ML.registry(spark, path, wanted).select("name").collect()}       # a few names
+        todo = [j for j in jobs if not there.issuperset(_STORES[j])]
         if todo:
+            run = T.model_jobs(spark, _feat(spark, sf), _ride_split(spark, sf), path)
             with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-                for n, job in {n: pool.submit(jobs[n]) for n in todo}.items():
-                    done[n] = job.result()
-        return done
+                for job in [pool.submit(run[n]) for n in todo]:
+                    job.result()
+    return ML.registry(spark, path, wanted)
 
 
 def _stored(spark, sf, name):
     """A stored model, read again; a missing one is an error here."""
-    model = ML.load_model(_model_dir(spark, sf), name)
+    model = ML.load_model(S.model_path(spark, sf), name)
     if model is None:
         raise FileNotFoundError(f"no stored model {name}")
     return model
 
 
+def _metric_rows(entries, *metrics):
+    rows = ML.stored_metrics(entries)
+    return rows.select(*(F.col("metrics")[m].cast("long" if m == "n" else "double").alias(m) for m in metrics), F.lit("all").alias("scope"), "model")
+
+
 @register("gbt_demand_leaderboard")
 def q_demand_models(spark, sf):
-    return ML.leaderboard(_trained(spark, sf, "demand")["demand"][0])
+    return ML.leaderboard(_entries(spark, sf, "demand"))
 
 
 @register("gbt_wait_metrics")
 def q_wait_model(spark, sf):
-    return _trained(spark, sf, "wait")["wait"][0]
+    return _metric_rows(_entries(spark, sf, "wait"), "mae", "rmse", "r2", "mape", "n")
 
 
 @register("gbt_surge_metrics")
 def q_surge_model(spark, sf):
-    return _trained(spark, sf, "surge")["surge"][0]
+    return _metric_rows(_entries(spark, sf, "surge"), "auc", "precision", "recall", "f1")
 
 
 @register("gbt_cancel_metrics")
 def q_cancel_model(spark, sf):
-    return _trained(spark, sf, "cancellation")["cancellation"][0]
+    return _metric_rows(_entries(spark, sf, "cancellation"), "auc", "precision", "recall", "f1")
 
 
 @register("gbt_surge_leak_free_metrics")
@@ -1379,9 +1410,44 @@ def q_surge_leak_free(spark, sf):
     return met
 
 
+@register("gbt_surge_weighted_metrics")
+def q_surge_weighted(spark, sf):
+    """H7 with the class weight, without the leaking feature (with it every model is perfect)."""
+    met, _, _ = T.train_classifier(spark, _ride_split(spark, sf), "is_high_surge", ML.LEAK_FREE_SURGE_FEATURES,
+                                   T.SURGE_GBT, name="surge_weighted", baseline=False, balanced=True)
+    return met
+
+
+@register("class_weight_surge", on_feat("""
+select label, round_even(case when label = 1 then (1 - p) / p else 1.0::double end, 6) as class_weight, count(*) as rows
+from (select is_high_surge as label, avg(cast(is_high_surge as double)) over () as p from o_rt where role = 'train') group by label, p""", _RIDE_TEST_CTE))
+def q_class_weight(spark, sf):
+    train = T.class_weighted(_ride_split(spark, sf).where(F.col("role") == "train"), "is_high_surge")
+    return train.groupBy(F.col("is_high_surge").alias("label"), _rn("class_weight", 6).alias("class_weight")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("model_leaderboard")
+def q_leaderboard(spark, sf):
+    """H19 over the regressors: demand by city and on average, wait; gain over the baseline."""
+    return ML.leaderboard(_entries(spark, sf))
+
+
+@register("classifier_leaderboard")
+def q_classifier_leaderboard(spark, sf):
+    """H19 over the classifiers: surge with its baseline, cancellation."""
+    rows = ML.stored_metrics(_entries(spark, sf, "surge", "cancellation"))
+    return rows.select("name", "model", *(F.col("metrics")[m].alias(m) for m in ("auc", "precision", "recall", "f1")))
+
+
 @register("feature_importance_wait")
 def q_importance(spark, sf):
-    return ML.feature_importance(spark, _trained(spark, sf, "wait")["wait"][1], ML.WAIT_FEATURES, k=12)
+    return ML.feature_importance(_entries(spark, sf, "wait"), k=12).select("feature", "importance")
+
+
+@register("feature_importances")
+def q_importances(spark, sf):
+    """H15 for every stored model: wait, surge, cancellation, demand by city."""
+    return ML.feature_importance(_entries(spark, sf))
 
 
 def _ride_folds(spark, sf):
@@ -1450,7 +1516,7 @@ def q_cv_baseline_demand(spark, sf):
 @register("predict_all_models")
 def q_predict_all_models(spark, sf):
     """Score every ride scenario with the stored models."""
-    _trained(spark, sf, "wait", "surge", "cancellation")
+    _entries(spark, sf, "wait", "surge", "cancellation")
     models = [_stored(spark, sf, n) for n in ("wait_time", "surge", "cancellation")]
     r = J.predict_all(J.scenarios_from_rides(_feat(spark, sf)), *models)
     return r.select("scenario_id", "city", "hour", "wait_time_min", "surge.*", F.col("cancellation.probability")
@@ -1461,7 +1527,7 @@ def q_predict_all_models(spark, sf):
 @register("hourly_profile_models")
 def q_hourly_profile_models(spark, sf):
     """J12 with the stored models: 24 hours of every day scenario, scored in one pass."""
-    _trained(spark, sf, "wait", "surge", "cancellation")
+    _entries(spark, sf, "wait", "surge", "cancellation")
     models = [_stored(spark, sf, n) for n in ("wait_time", "surge", "cancellation")]
     return J.hourly_profile(J.scenario_keys(_feat(spark, sf)).withColumn("hour", F.lit(0)), *models)
 
@@ -1469,15 +1535,16 @@ def q_hourly_profile_models(spark, sf):
 @register("model_summary")
 def q_model_summary(spark, sf):
     """Every stored model: wait, surge, cancellation, and demand by city."""
-    _trained(spark, sf)
-    return ML.model_summary(spark, _model_dir(spark, sf))
+    _entries(spark, sf)
+    return ML.model_summary(spark, S.model_path(spark, sf))
 
 
 @register("predict_demand")
 def q_predict_demand(spark, sf):
-    """Per-city demand models applied to every hourly row."""
-    rows = T.demand_split(_feat(spark, sf))
-    return T.predict_demand(_trained(spark, sf, "demand")["demand"][1], rows).select("city", "date", "hour", "role", "rides", "predicted_rides")
+    """Rides for every request (one a ride) from its city's model, in one scan."""
+    cities = _entries(spark, sf, "demand").select("name", "city").collect()                 # a row a city
+    models = {r["city"]: _stored(spark, sf, r["name"]) for r in cities}
+    return J.predict_demand(J.scenarios_from_rides(_feat(spark, sf)), models).select("scenario_id", "city", "hour", "predicted_rides")
 
 
 # ---------------------------------------------------------------------------
@@ -1497,10 +1564,13 @@ def q_write_csv(spark, sf):
             .schema(feat.schema).csv(path))
 
 
-@register("write_clean_table", on_feat("select count(*) as rows from feat"))
+@register("write_clean_table", on_feat("select * from feat"))
 def q_write_table(spark, sf):
-    n = WR.write_clean_table(_feat(spark, sf), S.stage_path(spark, sf, "table_sink"))
-    return spark.range(1).select(F.lit(n).cast("long").alias("rows"))
+    """The catalog table, dropped and created anew, read back whole."""
+    feat = _feat(spark, sf)
+    name = S.table_name(spark, sf, "rides")
+    WR.write_clean_table(feat, name)
+    return RD.read_rides_clean(spark, name).select(*feat.columns)
 
 
 @register("read_rides_clean_city", on_feat("""
@@ -1513,13 +1583,51 @@ def q_read_clean_city(spark, sf):
     return df.groupBy("city", "vehicle_type").agg(F.count(F.lit(1)).alias("rides"), _rn(F.avg("fare_inr"), 4).alias("mean_fare"))
 
 
-@register("write_quality_report", on_feat("select cast(count(*) as varchar) as rows from feat"))
+_ISSUES = " union all ".join(
+    f"select distinct 'column={c};issue=invalid_value' || coalesce(';value=' || {c}, '') as item, cast(null as varchar) as field, cast(null as double) as number "
+    f"from rides where not coalesce({c} in ({', '.join(repr(v) for v in valid)}), false)"
+    for c, valid in (("city", C.VALID_CITIES), ("vehicle_type", C.VALID_VEHICLE_TYPES), ("weather", C.VALID_WEATHER)))
+_OUTLIERS = " union all ".join(
+    f"select 'column={c};issue=outliers_before_cleaning', 'count', cast(count(*) filter (where {cond}) as double) from rides"
+    for c, cond in (("fare_inr", "fare_inr < 10 or fare_inr > 5000"), ("distance_km", "distance_km < 0.5 or distance_km > 80"), ("wait_time_min", "wait_time_min > 120")))
+_CODES = " union all ".join(f"select distinct 'column={c};value=' || {c} as item, 'code' as field, cast({k} as double) as number from feat"
+                            for c, k in (("city", "city_code"), ("vehicle_type", "vehicle_code"), ("weather", "weather_code")))
+_SEASONS = ", ".join(f"('column=season;value={k}', 'code', {v}.0::double)" for k, v in C.SEASON_CODES.items())
+_COLUMNS = ", ".join(f"('{c}', 'position', {i}.0::double)" for i, c in enumerate(CL.RAW_COLUMNS + D.FEATURE_ORDER))
+_CLEANING = ", ".join(f"cast({c} as double) as {c}" for c in CL.REPORT_COLUMNS)
+
+#: Every section of the report but the time stamp, as rows (section, item, field, number).
+_REPORT_SQL = on_feat(f"""
+select 'final_shape' as section, '' as item, 'rows' as field, cast(count(*) as double) as number from feat
+union all select 'final_shape', '', 'columns', {len(CL.RAW_COLUMNS + D.FEATURE_ORDER)}
+union all select 'date_range', 'end=' || max(cast(ts as date)) || ';start=' || min(cast(ts as date)), null, null from feat
+union all select 'final_columns', * from (values {_COLUMNS})
+union all select 'final_stats', 'column=' || "column", field, number from (unpivot ({_STAT_UNION}) on mean, median, std, min, max into name field value number)
+union all select 'feature_distributions', 'feature=' || feature || ';value=' || value, 'count', cast(count as double) from ({_DIST_UNION})
+union all select 'flag_rates', 'flag=' || flag, 'rate', rate from ({_FLAG_UNION})
+union all select 'validation', * from ({_ISSUES})
+union all select 'validation', 'column=' || "column" || ';issue=nulls_before_cleaning', 'count', cast(null_count as double) from ({_NULL_UNION}) where null_count > 0
+union all select 'validation', * from ({_OUTLIERS})
+union all select 'validation', 'issue=duplicates_before_cleaning', 'count', cast(coalesce(sum(c - 1), 0) as double)
+  from (select count(*) as c from rides group by city, ts, vehicle_type, distance_km)
+union all select 'cleaning', '', field, number from (unpivot (select {_CLEANING} from ({_CLEANING_SELECT})) on columns(*) into name field value number)
+union all select 'encodings', * from ({_CODES})
+union all select 'encodings', * from (values {_SEASONS})""")
+
+
+@register("quality_report_rows", _REPORT_SQL)
+def q_quality_report_rows(spark, sf):
+    """E6 read back: all sections of the report."""
+    return R.report_rows(q_quality_report(spark, sf))
+
+
+@register("write_quality_report", _REPORT_SQL)
 def q_write_report(spark, sf):
+    """The whole batch ETL, and the report file it wrote read back."""
     from ridewise.plans.etl import run_on
-    from ridewise import config as C
     out = S.stage_path(spark, sf, "etl_run")
     res = run_on(S.raw(spark, sf), out, zones=C.fixture_zones(), write_csv=False)
-    return spark.read.text(res["report"]).select(F.get_json_object("value", "$.final_shape.rows").alias("rows"))
+    return R.report_rows(spark.read.text(res["report"]), "value")
 
 
 # ---------------------------------------------------------------------------
@@ -1572,7 +1680,6 @@ select c.ride_id, c.pickup_zone from clean c join o_valid v on c.ride_id = v.rid
   and c.city = v.city and c.vehicle_type = v.vehicle_type and c.distance_km = v.distance_km
 where v.pickup_zone is null"""))
 def q_impute_zone(spark, sf):
-    from ridewise import config as C
     v = CL.filter_valid_categories(S.deduped(spark, sf)).where(F.col("pickup_zone").isNull())
     return CL.impute_zone(v.select("ride_id", "city", "pickup_zone"), C.fixture_zones()).select("ride_id", "pickup_zone")
 

@@ -34,7 +34,7 @@ def run_on(raw: DataFrame, out_dir: str, zones: Mapping[str, Sequence[str]] | No
     clean, cleaning = CL.clean_with_report(raw, zones=zones)
     table = f"{out}/rides"
     rows = W.write_clean_table(D.enrich(clean), table)
-    enriched = spark.read.parquet(table)                       # cut lineage: start from the stored table
+    enriched = spark.read.parquet(table).select(*CL.RAW_COLUMNS, *D.FEATURE_ORDER)      # cut lineage: start from the stored table
     if write_csv:
         W.write_clean_csv(enriched, f"{out}/rides_csv")
     report = R.quality_report(enriched, validation=validation, cleaning=cleaning,

@@ -14,6 +14,7 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ridewise import config as C
 from ridewise.operators.clean import RAW_COLUMNS, clean_from_deduped, cleaning_report, dedup_rides
@@ -22,6 +23,7 @@ from ridewise.session import checkpoint_dir
 from ridewise.sources.fixture import rides_from_tables
 
 _MEMO: dict[tuple, DataFrame] = {}
+_PATHS: dict[tuple, str] = {}
 _OBSERVED: dict[tuple, dict[str, int]] = {}
 _LOCK = threading.RLock()     # one writer per stage when queries run from several threads
 
@@ -36,6 +38,27 @@ def stage_path(spark: SparkSession, sf_dir: str, stage: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/ridewise/{app}/{tag}/{stage}"
 
 
+def table_name(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A catalog table's name that no other data folder or application uses."""
+    tag = hashlib.sha1(f"{str(sf_dir).rstrip('/')} {spark.sparkContext.applicationId}".encode()).hexdigest()[:12]
+    return f"ridewise_{name}_{tag}"
+
+
+def model_path(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of stored models: the same in every session over the same rides.
+
+    Its name holds the number of rides and the exclusive-or of their hashes, so
+    models of other data are not taken for these.
+    """
+    k = _key(spark, sf_dir, "models")
+    with _LOCK:
+        if k not in _PATHS:
+            rides = enriched(spark, sf_dir)
+            n, mark = rides.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*rides.columns))).first()
+            _PATHS[k] = f"{checkpoint_dir(spark).rstrip('/')}/ridewise/models/{n}-{(mark or 0) & (2 ** 64 - 1):016x}"
+        return _PATHS[k]
+
+
 def materialise(df: DataFrame, path: str, columns: list[str], partition_by: str | None = "city") -> DataFrame:
     """Write a stage as Parquet and return the scan of it (columns in ``columns`` order)."""
     w = df.write.mode("overwrite")

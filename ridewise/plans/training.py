@@ -58,14 +58,11 @@ def train_demand(spark: SparkSession, enriched: DataFrame, max_iter: int = TREES
         base = ML.ridge_baseline(train, test, feats, "rides", lo=0.0)
         model = ML.fit(train, feats, ML.gbt_regressor("rides", max_iter=max_iter, **DEMAND_GBT))
         scored = ML.score_regression(model, test, lo=0.0)
-        met = M.regression_metrics(scored, "rides", "pred")
+        met, bmet = M.regression_metrics(scored, "rides", "pred"), M.regression_metrics(base, "rides", "pred")
         if model_dir:
-            m = met.first().asDict()
-            ML.save_model(spark, model, model_dir, f"demand_{city.replace(' ', '_')}", "GBTRegressor",
-                          feats, {k: m[k] for k in ("mae", "rmse", "r2", "mape")},
-                          ML.feature_importance(spark, model, feats))
-        return city, model, [_row(M.regression_metrics(base, "rides", "pred"), city, "ridge"),
-                             _row(met, city, "gbt")]
+            ML.save_model(spark, model, model_dir, f"demand_{city.replace(' ', '_')}", "GBTRegressor", feats,
+                          met.first().asDict(), city, "ridge", bmet.first().asDict())
+        return city, model, [_row(bmet, city, "ridge"), _row(met, city, "gbt")]
 
     # One distributed fit per city (a bounded domain); the fits are submitted
     # concurrently so their small stages share the cluster instead of queueing.
@@ -73,6 +70,8 @@ def train_demand(spark: SparkSession, enriched: DataFrame, max_iter: int = TREES
         done = list(pool.map(one_city, cities))
     rows = [r for _, _, rs in done for r in rs]
     models = {c: m for c, m, _ in done}
+    if model_dir:
+        ds.unpersist()
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -102,7 +101,7 @@ def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = TREES, mod
 
     def baseline():
         base = ML.ridge_baseline(train, test, feats, "wait_time_min", lo=0.5, hi=120.0)
-        return _row(M.regression_metrics(base, "wait_time_min", "pred"), "all", "ridge").cache()
+        return _row(M.regression_metrics(base, "wait_time_min", "pred"), "all", "ridge")
 
     def boosted():
         return ML.fit(train, feats, ML.gbt_regressor("wait_time_min", max_iter=max_iter, **WAIT_GBT))
@@ -113,21 +112,26 @@ def train_wait(spark: SparkSession, split: DataFrame, max_iter: int = TREES, mod
     scored = ML.score_regression(model, test, lo=0.5, hi=120.0)
     met = _row(M.regression_metrics(scored, "wait_time_min", "pred"), "all", "gbt")
     if model_dir:
-        m = met.first().asDict()
-        ML.save_model(spark, model, model_dir, "wait_time", "GBTRegressor", feats,
-                      {k: m[k] for k in ("mae", "rmse", "r2", "mape")}, ML.feature_importance(spark, model, feats))
+        own, base = (x.drop("scope", "model").first().asDict() for x in (met, bmet))
+        ML.save_model(spark, model, model_dir, "wait_time", "GBTRegressor", feats, own, None, "ridge", base)
     return met.unionByName(bmet), model, scored
 
 
 def train_classifier(spark: SparkSession, split: DataFrame, label: str, features, params: dict,
                      max_iter: int = TREES, name: str = "surge", model_dir: str | None = None,
-                     baseline: bool = True):
-    """Boosted-tree classifier (H7/H8) with optional logistic baseline (H4), fitted concurrently."""
+                     baseline: bool = True, balanced: bool = False):
+    """Boosted-tree classifier (H7/H8) with optional logistic baseline (H4), fitted concurrently.
+
+    ``balanced`` weights the positive rows by (1 - p) / p, p their share of the
+    training rows.
+    """
     train, test = split.where(F.col("role") == "train"), split.where(F.col("role") == "test")
+    if balanced:
+        train, params = class_weighted(train, label), params | {"weight_col": "class_weight"}
 
     def logistic():
         b = ML.logistic_baseline(train, test, features, label)
-        return _row(M.classification_metrics(b, label, "pred", "score"), "all", "logistic").cache()
+        return _row(M.classification_metrics(b, label, "pred", "score"), "all", "logistic")
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         fb = pool.submit(logistic) if baseline else None
@@ -138,24 +142,16 @@ def train_classifier(spark: SparkSession, split: DataFrame, label: str, features
     if bmet is not None:
         met = met.unionByName(bmet)
     if model_dir:
-        m = met.where(F.col("model") == "gbt").first().asDict()
-        ML.save_model(spark, model, model_dir, name, "GBTClassifier", features,
-                      {k: m[k] for k in ("auc", "precision", "recall", "f1")},
-                      ML.feature_importance(spark, model, features))
+        by_model = {r["model"]: {k: r[k] for k in ("auc", "precision", "recall", "f1")} for r in met.collect()}      # at most two rows
+        ML.save_model(spark, model, model_dir, name, "GBTClassifier", features, by_model["gbt"], None,
+                      "logistic" if baseline else None, by_model.get("logistic"))
     return met, model, scored
 
 
-def predict_demand(models: dict, scenarios: DataFrame) -> DataFrame:
-    """Rides per scenario from its city's model, never below 0."""
-    parts = []
-    for city, model in models.items():
-        s = scenarios.where(F.col("city") == city)
-        parts.append(model.transform(s).withColumn("predicted_rides", F.greatest(F.col("pred"), F.lit(0.0)))
-                     .drop("features", "pred"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def class_weighted(train: DataFrame, label: str) -> DataFrame:
+    """H7: column ``class_weight``: (1 - p) / p for positive rows, 1 for the others; p from one aggregate."""
+    positive = train.agg(F.avg(F.col(label).cast("double"))).scalar()
+    return train.withColumn("class_weight", F.when(F.col(label) == 1, (1 - positive) / positive).otherwise(F.lit(1.0)))
 
 
 def model_jobs(spark: SparkSession, enriched: DataFrame, split: DataFrame, model_dir: str,

@@ -17,7 +17,7 @@ def _csv_schema() -> T.StructType:
 
 
 def read_rides_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A1: typed scan of raw rides — CSV with header (the reference's format) or Parquet.
+    """A1, A2: typed scan of raw rides — CSV with header (the reference's format) or Parquet.
 
     The schema is declared, never inferred, so the scan is a single pass and
     Parquet gets column pruning and filter pushdown.
@@ -32,11 +32,6 @@ def read_rides_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFram
     return df.select(*[F.col(f.name).cast(f.dataType) for f in RIDE_SCHEMA.fields])
 
 
-def read_rides_for_checks(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A2: the validator's scan — same typed reader (no inference)."""
-    return read_rides_raw(spark, path, fmt)
-
-
 def read_rides_clean(spark: SparkSession, path_or_table: str) -> DataFrame:
     """A3: processed rides from a Parquet folder or a catalog table.
 

@@ -21,17 +21,3 @@ RIDE_SCHEMA = T.StructType([
 
 # The reference names the time column `timestamp`; the build uses `ts`.
 SOURCE_TIME_COLUMN = "timestamp"
-
-SCENARIO_SCHEMA = T.StructType([
-    T.StructField("scenario_id", T.LongType(), True),
-    T.StructField("city", T.StringType(), True),
-    T.StructField("hour", T.IntegerType(), True),
-    T.StructField("day_of_week", T.IntegerType(), True),
-    T.StructField("month", T.IntegerType(), True),
-    T.StructField("weather", T.StringType(), True),
-    T.StructField("vehicle_type", T.StringType(), True),
-    T.StructField("is_festival", T.BooleanType(), True),
-    T.StructField("is_ipl_day", T.BooleanType(), True),
-    T.StructField("surge_multiplier", T.DoubleType(), True),
-    T.StructField("hourly_ride_volume", T.DoubleType(), True),
-])

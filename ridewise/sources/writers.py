@@ -19,14 +19,15 @@ def write_clean_table(df: DataFrame, target: str, partition_by: str = "city") ->
     """Replace the processed table and return its row count.
 
     ``target`` is a folder (Parquet, partitioned by city so per-city reads
-    prune directories) or a catalog table name (``saveAsTable``).
+    prune directories) or the name of a catalog table, which is dropped and
+    created in the session catalog's warehouse.
     """
-    w = df.write.mode("overwrite").partitionBy(partition_by)
     spark = df.sparkSession
     if "/" in target or target.startswith("file:"):
-        w.parquet(target)
+        df.write.mode("overwrite").partitionBy(partition_by).parquet(target)
         return spark.read.parquet(target).count()
-    w.saveAsTable(target)
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    df.write.partitionBy(partition_by).saveAsTable(target)
     return spark.table(target).count()
 
 

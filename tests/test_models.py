@@ -2,11 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ridewise.operators import models as ML
+from ridewise.operators import scoring as J
 from ridewise.plans import catalog as C
 from ridewise.plans import stages as S
 from ridewise.plans import training as T
+from ridewise.sources import writers as WR
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,15 +29,78 @@ def test_ridge_matches_closed_form(spark):
     assert np.allclose(np.sort(got.to_numpy()), np.sort(want), atol=1e-6)
 
 
-def test_model_summary_alone_lists_every_model(spark, tmp_path):
-    S.forget(spark)
-    C._TRAINED.clear()
-    jobs = T.model_jobs(spark, S.enriched(spark, SMALL), T.ride_split(S.enriched(spark, SMALL)), str(tmp_path), trees=2, cancel_trees=2)
-    few = {name: job() for name, job in jobs.items()}
-    rows = ML.model_summary(spark, str(tmp_path)).collect()
+@pytest.fixture(scope="module")
+def few(spark, tmp_path_factory):
+    """All training jobs with few trees, and the folder they store into."""
+    path = str(tmp_path_factory.mktemp("models"))
+    jobs = T.model_jobs(spark, S.enriched(spark, SMALL), T.ride_split(S.enriched(spark, SMALL)), path, trees=2, cancel_trees=2)
+    return {name: job() for name, job in jobs.items()}, path
+
+
+def test_registry_answers_from_stored_files_alone(spark, few, monkeypatch):
+    done, path = few
+    fresh = spark.newSession()                                  # knows nothing of the training session
+    rows = ML.model_summary(fresh, path).collect()
     assert {r["name"] for r in rows if r.city is None} == {"wait_time", "surge", "cancellation"}
-    assert {r.city for r in rows if r.city} == set(few["demand"][1])
-    assert set(few) == {"wait", "surge", "cancellation", "demand"}
+    assert {r.city for r in rows if r.city} == set(done["demand"][1])
+    assert set(done) == {"wait", "surge", "cancellation", "demand"}
+    assert all(r.baseline_metrics for r in rows if r.name != "cancellation")
+    # no training where every model has an entry
+    monkeypatch.setattr(S, "model_path", lambda *_: path)
+    monkeypatch.setattr(T, "model_jobs", lambda *_: pytest.fail("trained again"))
+    board = {(r.scope, r.model): r for r in C.q_leaderboard(spark, SMALL).collect()}
+    wait = {r["model"]: r for r in done["wait"][0].collect()}
+    assert board["wait_time", "gbt"].mae == wait["gbt"].mae and board["wait_time", "ridge"].mae == wait["ridge"].mae
+    assert board["wait_time", "gbt"].gain_pct == pytest.approx((wait["ridge"].mae - wait["gbt"].mae) / wait["ridge"].mae * 100, abs=0.006)
+    assert {s for s, _ in board} == set(done["demand"][1]) | {"average", "wait_time"}
+    top = C.q_importances(spark, SMALL).toPandas()
+    assert set(top.name) == {r["name"] for r in rows}
+    assert (top.groupby("name").importance.sum().round(6) == 1).all()
+    assert [r.asDict() for r in C.q_wait_model(spark, SMALL).orderBy("model").collect()] == [r.asDict() for r in done["wait"][0].orderBy("model").collect()]
+
+
+def test_requests_are_scored_by_their_citys_model(spark, few):
+    done, _ = few
+    models = done["demand"][1]
+    asked = J.scenarios_from_rides(S.enriched(spark, SMALL)).withColumn("rides_lag_1d", F.when(F.col("hour") > 12, 40.0))
+    got = J.predict_demand(asked, models)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    got = {r.scenario_id: r for r in got.collect()}
+    assert len(got) == asked.count() and min(r.predicted_rides for r in got.values()) >= 0
+    for city, model in models.items():
+        for r in ML.score_regression(model, J.build_scenario_features(asked.where(F.col("city") == city)), lo=0.0).collect():
+            assert got[r.scenario_id].predicted_rides == pytest.approx(r.pred)
+    assert J.predict_demand(asked.limit(3).withColumn("city", F.lit("Nowhere")), models).where("predicted_rides is not null").count() == 0
+
+
+def test_class_weight_acts_like_copies(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 8, (400, 2)).astype(float)
+    y = (x[:, 0] + rng.normal(size=400) > 7).astype(int)
+    rows = [(*map(float, v), int(t), i) for i, (v, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, y int, id int").coalesce(1)
+    weighted = T.class_weighted(df, "y")
+    p = y.mean()
+    assert {round(r.class_weight, 9) for r in weighted.where("y = 1").collect()} == {round((1 - p) / p, 9)}
+    whole = weighted.withColumn("class_weight", F.when(F.col("y") == 1, 4.0).otherwise(1.0))
+    copies = df.withColumn("k", F.explode(F.when(F.col("y") == 1, F.sequence(F.lit(1), F.lit(4))).otherwise(F.array(F.lit(1)))))
+
+    def scores(data, **kw):
+        model = ML.fit(data, ["a", "b"], ML.gbt_classifier("y", max_iter=3, max_depth=2, subsample=1.0, min_leaf=1, **kw))
+        return [r.score for r in ML.score_classifier(model, df).orderBy("id").collect()]
+
+    assert np.allclose(scores(whole, weight_col="class_weight"), scores(copies), atol=1e-6)
+    assert not np.allclose(scores(whole, weight_col="class_weight"), scores(df), atol=1e-3)
+
+
+def test_catalog_table_is_replaced(spark):
+    feat = S.enriched(spark, SMALL)
+    name = S.table_name(spark, SMALL, "replaced")
+    assert WR.write_clean_table(feat, name) == feat.count()
+    assert WR.write_clean_table(feat.where("city = 'Mumbai'"), name) == feat.where("city = 'Mumbai'").count()
+    assert [r.city for r in spark.table(name).select("city").distinct().collect()] == ["Mumbai"]
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_load_model_is_none_only_when_absent(spark, tmp_path):
