@@ -5,20 +5,33 @@ several aggregates and a final projection: without it every consumer would
 repeat the shuffle that produced it. The Parquet copy is re-read with column
 pruning, so the aggregates scan only the columns they need, and a lost
 executor re-reads files instead of recomputing the shuffle.
+
+Copies are named by application; ``discard`` removes one that nothing reads any
+more, ``session.clear_work`` all of an application's.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ridewise.session import checkpoint_dir
+from ridewise.session import checkpoint_dir, delete_folder
 
 
-def cut_lineage(df: DataFrame, label: str = "work") -> DataFrame:
+def store(df: DataFrame, label: str = "work") -> tuple[DataFrame, str]:
+    """A stored copy of ``df``, and its folder."""
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{checkpoint_dir(spark).rstrip('/')}/ridewise/work/{app}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).select(*df.columns)
+    return spark.read.parquet(path).select(*df.columns), path
+
+
+def cut_lineage(df: DataFrame, label: str = "work") -> DataFrame:
+    return store(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a copy that ``store`` made and nothing reads any more."""
+    delete_folder(spark, path)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ridewise.functions.columns import round_np
 from ridewise.functions.joins import proven_broadcast
-from ridewise.functions.lineage import cut_lineage
+from ridewise.functions.lineage import cut_lineage, discard, store
 from ridewise.operators import metrics as M
 from ridewise.session import checkpoint_dir
 
@@ -265,7 +265,7 @@ def walk_forward(rows: DataFrame, features: Sequence[str], label: str, params: B
     schema = "scope string, fold int, y double, pred double"
     if not names:
         return spark.createDataFrame([], schema)
-    packed = cut_lineage(data.mapInPandas(_packer(list(features), names, [edges[n] for n in names]), _BLOCK), "binned")
+    packed, copy = store(data.mapInPandas(_packer(list(features), names, [edges[n] for n in names]), _BLOCK), "binned")
     k, folds, groups = len(features), n_splits, len(names)
     blocks = packed.rdd.map(lambda r: Block(*r, k, folds)).persist(StorageLevel.MEMORY_AND_DISK)
     start = _starts(blocks, groups, folds, params.classify)
@@ -299,6 +299,7 @@ def walk_forward(rows: DataFrame, features: Sequence[str], label: str, params: B
     finally:
         for old in held:
             old.unpersist()
+        discard(spark, copy)
 
 
 # -- results -----------------------------------------------------------------------------

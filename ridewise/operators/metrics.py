@@ -54,7 +54,7 @@ def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact ROC AUC (ties count one half) over any number of rows and scores.
 
     Distinct scores are range-partitioned by their own distribution and
-    stored, so scores that crowd together are spread all the same.
+    stored (at the call: it runs jobs), so scores that crowd together are spread all the same.
     """
     lab, s = F.col(label).cast("int"), F.col(score).cast("double")
     per = df.groupBy(s.alias("s")).agg(F.count_if(lab == 1).alias("pos"), F.count_if(lab == 0).alias("neg"))

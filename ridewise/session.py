@@ -55,3 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that its path names (a shared store on a cluster)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete this application's stages and work copies; stored models stay."""
+    root, app = f"{checkpoint_dir(spark).rstrip('/')}/ridewise", spark.sparkContext.applicationId
+    for path in (f"{root}/work/{app}", f"{root}/{app}"):
+        delete_folder(spark, path)

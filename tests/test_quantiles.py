@@ -23,7 +23,10 @@ def formatted(df):
     return out.getvalue()
 
 
-def test_quantiles_equal_percentile(spark):
+@pytest.mark.parametrize("local", [Q.LOCAL_ROWS, 0])
+def test_quantiles_equal_percentile(spark, monkeypatch, local):
+    """With ranges as values in the plan, and stored."""
+    monkeypatch.setattr(Q, "LOCAL_ROWS", local)
     rng = np.random.default_rng(5)
     rows = [("a", float(v)) for v in rng.normal(size=5000)] + [("b", float(v)) for v in rng.integers(0, 9, 3000)] + [("c", 1.5)]
     rows += [(None, float(v)) for v in (3, 1, 2, 2)] + [("d", None), ("e", float("nan")), ("e", 4.0), ("f", 1e300), ("f", -1e300), ("f", 5e-324), ("f", 0.0)]
