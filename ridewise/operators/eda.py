@@ -73,22 +73,15 @@ def city_stats(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 # F6 ---------------------------------------------------------------------------
-CITY_METRICS = {
-    "Median wait time": ("wait_time_min", "median"),
-    "Median fare": ("fare_inr", "median"),
-    "Mean surge": ("surge_multiplier", "mean"),
-    "Completion rate": ("is_completed", "mean"),
-}
-
-
 def _metric(column: str, how: str, approx: bool = False) -> Column:
     if how == "median":
         return _median(column, approx)
-    return F.avg(F.col(column).cast("double"))
+    mean = F.avg(F.col(column).cast("double"))
+    return {"mean": mean, "missing_pct": (1 - mean) * 100}[how]
 
 
-def city_metric(df: DataFrame, metric: str = "Median wait time", approx: bool = False) -> DataFrame:
-    column, how = CITY_METRICS[metric]
+def city_metric(df: DataFrame, column: str = "wait_time_min", how: str = "median", approx: bool = False) -> DataFrame:
+    """The column's median, mean or (for a flag) ``missing_pct``, 100 x (1 - mean), by city, greatest first."""
     return (df.groupBy("city").agg(round_np(_metric(column, how, approx), 4).alias("value"))
               .orderBy(F.desc("value"), "city"))
 
@@ -110,15 +103,9 @@ def weather_stats(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 # F9 ---------------------------------------------------------------------------
-WEATHER_METRICS = {
-    "Median wait time": lambda: _median("wait_time_min"),
-    "Mean surge": lambda: F.avg("surge_multiplier"),
-    "Cancellation rate": lambda: (1 - _share(F.col("is_completed"))) * 100,
-}
-
-
-def weather_metric(df: DataFrame, metric: str = "Median wait time") -> DataFrame:
-    return (df.groupBy("weather").agg(round_np(WEATHER_METRICS[metric](), 4).alias("value"))
+def weather_metric(df: DataFrame, column: str = "wait_time_min", how: str = "median", approx: bool = False) -> DataFrame:
+    """As ``city_metric`` by weather, in the order of the weather domain."""
+    return (df.groupBy("weather").agg(round_np(_metric(column, how, approx), 4).alias("value"))
               .withColumn("weather_order", ordinal("weather", C.WEATHER_ORDER))
               .orderBy("weather_order"))
 

@@ -239,6 +239,36 @@ def registry(spark: SparkSession, path: str, names: Sequence[str] | None = None)
     return rows.where(F.col("name").isin(list(names))) if names else rows
 
 
+def store_folds(scores: DataFrame, path: str, name: str) -> None:
+    """Put a model's walk-forward scores (``boosting.cv_scores``) into the registry."""
+    scores.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}/folds")            # a row a scope and fold
+
+
+def stored_folds(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}/{name}/folds")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def model_registry(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame:
+    """(name, metric, value, baseline_value, cv_mean, cv_std): MAE or AUC of every entry, fold figures where stored."""
+    metric = F.when(F.col("metrics")["mae"].isNotNull(), "mae").otherwise("auc")
+    rows = entries.select("name", "city", metric.alias("metric"), "metrics", "baseline_metrics").select(
+        "name", F.coalesce("city", "name").alias("scope"), "metric", F.element_at("metrics", F.col("metric")).alias("value"),
+        F.try_element_at("baseline_metrics", F.col("metric")).alias("baseline_value"))
+    folds = [f.select((F.lit(name) if name != "demand" else F.col("scope")).alias("scope"), F.col(f"mean_{m}").alias("cv_mean"), F.col(f"std_{m}").alias("cv_std")).distinct()
+             for name, m in (("wait_time", "mae"), ("surge", "auc"), ("demand", "mae")) if (f := stored_folds(spark, path, name)) is not None]
+    if not folds:
+        return rows.drop("scope").withColumns({c: F.lit(None).cast("double") for c in ("cv_mean", "cv_std")})
+    every = folds[0]
+    for f in folds[1:]:
+        every = every.unionByName(f)
+    return rows.join(every, "scope", "left").drop("scope")
+
+
 def load_model(path: str, name: str) -> PipelineModel | None:
     """Load a stored model; None if none of that name is stored (callers fall back).
 

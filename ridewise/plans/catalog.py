@@ -113,25 +113,25 @@ def q_busiest_hour(spark, sf):
 @register("city_metric_median_wait", on_feat("""
 select city, round_even(quantile_cont(wait_time_min, 0.5), 4) as value from feat group by city"""))
 def q_city_metric_wait(spark, sf):
-    return E.city_metric(_feat(spark, sf), "Median wait time")
+    return E.city_metric(_feat(spark, sf), "wait_time_min", "median")
 
 
 @register("city_metric_completion", on_feat("""
 select city, round_even(avg(cast(is_completed as double)), 4) as value from feat group by city"""))
 def q_city_metric_completion(spark, sf):
-    return E.city_metric(_feat(spark, sf), "Completion rate")
+    return E.city_metric(_feat(spark, sf), "is_completed", "mean")
 
 
 @register("city_metric_median_fare", on_feat("""
 select city, round_even(quantile_cont(fare_inr, 0.5), 4) as value from feat group by city"""))
 def q_city_metric_fare(spark, sf):
-    return E.city_metric(_feat(spark, sf), "Median fare")
+    return E.city_metric(_feat(spark, sf), "fare_inr", "median")
 
 
 @register("city_metric_mean_surge", on_feat("""
 select city, round_even(avg(surge_multiplier), 4) as value from feat group by city"""))
 def q_city_metric_surge(spark, sf):
-    return E.city_metric(_feat(spark, sf), "Mean surge")
+    return E.city_metric(_feat(spark, sf), "surge_multiplier", "mean")
 
 
 @register("city_share", on_feat("""
@@ -157,7 +157,7 @@ select weather, round_even((1 - avg(cast(is_completed as double))) * 100, 4) as
             when 'heavy_rain' then 3 else 4 end as integer) as weather_order
 from feat group by weather"""))
 def q_weather_metric(spark, sf):
-    return E.weather_metric(_feat(spark, sf), "Cancellation rate")
+    return E.weather_metric(_feat(spark, sf), "is_completed", "missing_pct")
 
 
 _WEATHER_ORDER_SQL = """cast(case weather when 'clear' then 0 when 'fog' then 1 when 'light_rain' then 2
@@ -167,13 +167,13 @@ _WEATHER_ORDER_SQL = """cast(case weather when 'clear' then 0 when 'fog' then 1
 @register("weather_metric_median_wait", on_feat(f"""
 select weather, round_even(quantile_cont(wait_time_min, 0.5), 4) as value, {_WEATHER_ORDER_SQL} from feat group by weather"""))
 def q_weather_metric_wait(spark, sf):
-    return E.weather_metric(_feat(spark, sf), "Median wait time")
+    return E.weather_metric(_feat(spark, sf), "wait_time_min", "median")
 
 
 @register("weather_metric_mean_surge", on_feat(f"""
 select weather, round_even(avg(surge_multiplier), 4) as value, {_WEATHER_ORDER_SQL} from feat group by weather"""))
 def q_weather_metric_surge(spark, sf):
-    return E.weather_metric(_feat(spark, sf), "Mean surge")
+    return E.weather_metric(_feat(spark, sf), "surge_multiplier", "mean")
 
 
 _WEATHER_LONG = """
@@ -1459,25 +1459,36 @@ def _demand_folds(spark, sf):
     return G.hourly_folds(G.hourly_split(_demand_ds(spark, sf)).where(F.col("role") == "train"))
 
 
+def _validated(spark, sf, name, make):
+    """A model's walk-forward scores from the registry; where they are not stored yet, ``make`` computes them."""
+    path = S.model_path(spark, sf)
+    with _TRAIN_LOCK:
+        scores = ML.stored_folds(spark, path, name)
+        if scores is None:
+            ML.store_folds(make(), path, name)
+            scores = ML.stored_folds(spark, path, name)
+    return scores
+
+
 @register("cv_scores_wait")
 def q_cv_wait(spark, sf):
     """Walk-forward folds of the wait model; mean and std of the folds' MAE beside them."""
-    scored = B.walk_forward(_ride_folds(spark, sf), ML.WAIT_FEATURES, "wait_time_min", T.cv_params("wait"), id_col="ride_id")
-    return B.cv_scores(scored, lo=0.5, hi=120.0)
+    return _validated(spark, sf, "wait_time", lambda: B.cv_scores(
+        B.walk_forward(_ride_folds(spark, sf), ML.WAIT_FEATURES, "wait_time_min", T.cv_params("wait"), id_col="ride_id"), lo=0.5, hi=120.0))
 
 
 @register("cv_scores_surge")
 def q_cv_surge(spark, sf):
     """Walk-forward folds of the surge classifier: exact AUC, mean and std."""
-    scored = B.walk_forward(_ride_folds(spark, sf), ML.SURGE_FEATURES, "is_high_surge", T.cv_params("surge"), id_col="ride_id")
-    return B.cv_scores(scored, classify=True)
+    return _validated(spark, sf, "surge", lambda: B.cv_scores(
+        B.walk_forward(_ride_folds(spark, sf), ML.SURGE_FEATURES, "is_high_surge", T.cv_params("surge"), id_col="ride_id"), classify=True))
 
 
 @register("cv_scores_demand")
 def q_cv_demand(spark, sf):
     """Walk-forward folds of every city's demand model, all cities and folds grown together."""
-    scored = B.walk_forward(_demand_folds(spark, sf), G.DEMAND_FEATURES, "rides", T.cv_params("demand"), group="city", id_col="date")
-    return B.cv_scores(scored, lo=0.0)
+    return _validated(spark, sf, "demand", lambda: B.cv_scores(
+        B.walk_forward(_demand_folds(spark, sf), G.DEMAND_FEATURES, "rides", T.cv_params("demand"), group="city", id_col="date"), lo=0.0))
 
 
 def _cv_sql(rows: str, key: str, label: str) -> str:
@@ -1539,6 +1550,15 @@ def q_model_summary(spark, sf):
     return ML.model_summary(spark, S.model_path(spark, sf))
 
 
+@register("model_registry")
+def q_model_registry(spark, sf):
+    """Every stored model with its main metric, its baseline's and the mean and std over the folds.
+
+    Fold figures are those that the cv_scores queries have stored by now (null before).
+    """
+    return ML.model_registry(spark, S.model_path(spark, sf), _entries(spark, sf))
+
+
 @register("predict_demand")
 def q_predict_demand(spark, sf):
     """Rides for every request (one a ride) from its city's model, in one scan."""

@@ -59,6 +59,19 @@ def test_registry_answers_from_stored_files_alone(spark, few, monkeypatch):
     assert [r.asDict() for r in C.q_wait_model(spark, SMALL).orderBy("model").collect()] == [r.asDict() for r in done["wait"][0].orderBy("model").collect()]
 
 
+def test_registry_takes_fold_figures_where_stored(spark, few, monkeypatch):
+    _, path = few
+    monkeypatch.setattr(S, "model_path", lambda *_: path)
+    before = {r.name: r for r in C.q_model_registry(spark, SMALL).collect()}
+    assert all(r.cv_mean is None for r in before.values()) and before["surge"].metric == "auc" and before["wait_time"].baseline_value > 0
+    ML.store_folds(spark.createDataFrame([("all", 1, 2.0, 0.5), ("all", 2, 2.0, 0.5)], "scope string, fold int, mean_mae double, std_mae double"), path, "wait_time")
+    ML.store_folds(spark.createDataFrame([("Mumbai", 1, 3.0, 0.1)], "scope string, fold int, mean_mae double, std_mae double"), path, "demand")
+    after = {r.name: r for r in C.q_model_registry(spark, SMALL).collect()}
+    assert after.keys() == before.keys() and (after["wait_time"].cv_mean, after["wait_time"].cv_std) == (2.0, 0.5)
+    assert after["demand_Mumbai"].cv_mean == 3.0 and after["demand_Chennai"].cv_mean is None
+    assert C.q_cv_wait(spark, SMALL).count() == 2                # the stored folds, not computed again
+
+
 def test_requests_are_scored_by_their_citys_model(spark, few):
     done, _ = few
     models = done["demand"][1]
