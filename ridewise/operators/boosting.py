@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,8 @@ from ridewise.session import checkpoint_dir
 
 #: Bins a feature, rows a block, trees between two checkpoints of the rows' scores.
 BINS, BLOCK_ROWS, CHECKPOINT_TREES = 32, 1 << 17, 50
+#: Rows that make a task worth its start, which every level of every tree pays.
+TASK_ROWS = 1 << 14
 #: Partial sums merged at once before they reach the driver.
 MERGE_DEPTH = 2
 
@@ -55,8 +58,8 @@ class Boosting:
 
 # -- binning -----------------------------------------------------------------------
 
-def bin_edges(rows: DataFrame, features: Sequence[str], group: str) -> dict:
-    """{group: a list of ascending cut values for each feature}: quantiles, one aggregate.
+def bin_edges(rows: DataFrame, features: Sequence[str], group: str) -> tuple[dict, int]:
+    """{group: a list of ascending cut values for each feature}, from quantiles, and the number of rows.
 
     Between two cuts lie equal shares of a group's rows; a feature of fewer than
     BINS values has one bin a value. Groups are a validated domain (cities).
@@ -67,10 +70,11 @@ def bin_edges(rows: DataFrame, features: Sequence[str], group: str) -> dict:
     distinct = long.distinct()
     few = distinct.groupBy(group, "feature").agg(F.count("*").alias("n")).where(F.col("n") <= BINS).drop("n")
     values = distinct.join(few, [group, "feature"]).groupBy(group, "feature").agg(F.sort_array(F.collect_set("v")).alias("values"))
-    out = {r[0]: [sorted(set(r[1 + i] or ())) for i in range(len(features))] for r in rows.groupBy(group).agg(*cuts).collect()}
+    found = rows.groupBy(group).agg(*cuts, F.count(F.lit(1)).alias("n")).collect()
+    out = {r[0]: [sorted(set(r[1 + i] or ())) for i in range(len(features))] for r in found}
     for r in values.collect():                      # at most groups x features rows of BINS values
         out[r[0]][r["feature"]] = r["values"][:-1]
-    return out
+    return out, sum(r["n"] for r in found)
 
 
 _BLOCK = "grp int, block long, x binary, y binary, w binary, segment binary"
@@ -260,12 +264,13 @@ def walk_forward(rows: DataFrame, features: Sequence[str], label: str, params: B
         (F.col(group) if group else F.lit("all")).alias("grp"), *(F.col(c).cast("double").alias(c) for c in features),
         F.col(label).cast("double").alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
         F.col("segment").cast("int").alias("segment"), F.xxhash64(id_col or label).alias("id"))
-    edges = bin_edges(data, features, "grp")
+    edges, n = bin_edges(data, features, "grp")
     names = sorted(edges)
     schema = "scope string, fold int, y double, pred double"
     if not names:
         return spark.createDataFrame([], schema)
-    packed, copy = store(data.mapInPandas(_packer(list(features), names, [edges[n] for n in names]), _BLOCK), "binned")
+    tasks = max(min(ceil(n / TASK_ROWS), spark.sparkContext.defaultParallelism), ceil(n / BLOCK_ROWS))
+    packed, copy = store(data.coalesce(tasks).mapInPandas(_packer(list(features), names, [edges[n] for n in names]), _BLOCK), "binned")
     k, folds, groups = len(features), n_splits, len(names)
     blocks = packed.rdd.map(lambda r: Block(*r, k, folds)).persist(StorageLevel.MEMORY_AND_DISK)
     start = _starts(blocks, groups, folds, params.classify)

@@ -1356,7 +1356,7 @@ def _entries(spark, sf, *jobs):
     Entries are read from the shared folder; a job runs only where one of its
     models has no entry there. Jobs still to run are independent and run together.
     """
-    path, jobs = S.model_path(spark, sf), jobs or tuple(_STORES)
+    path, jobs = S.model_path(spark, sf, T.PARAMETERS), jobs or tuple(_STORES)
     wanted = [m for j in jobs for m in _STORES[j]]
     with _TRAIN_LOCK:
         there = {r["name"] for r in ML.registry(spark, path, wanted).select("name").collect()}       # a few names
@@ -1371,7 +1371,7 @@ def _entries(spark, sf, *jobs):
 
 def _stored(spark, sf, name):
     """A stored model, read again; a missing one is an error here."""
-    model = ML.load_model(S.model_path(spark, sf), name)
+    model = ML.load_model(S.model_path(spark, sf, T.PARAMETERS), name)
     if model is None:
         raise FileNotFoundError(f"no stored model {name}")
     return model
@@ -1461,7 +1461,7 @@ def _demand_folds(spark, sf):
 
 def _validated(spark, sf, name, make):
     """A model's walk-forward scores from the registry; where they are not stored yet, ``make`` computes them."""
-    path = S.model_path(spark, sf)
+    path = S.model_path(spark, sf, T.PARAMETERS)
     with _TRAIN_LOCK:
         scores = ML.stored_folds(spark, path, name)
         if scores is None:
@@ -1547,7 +1547,7 @@ def q_hourly_profile_models(spark, sf):
 def q_model_summary(spark, sf):
     """Every stored model: wait, surge, cancellation, and demand by city."""
     _entries(spark, sf)
-    return ML.model_summary(spark, S.model_path(spark, sf))
+    return ML.model_summary(spark, S.model_path(spark, sf, T.PARAMETERS))
 
 
 @register("model_registry")
@@ -1556,7 +1556,7 @@ def q_model_registry(spark, sf):
 
     Fold figures are those that the cv_scores queries have stored by now (null before).
     """
-    return ML.model_registry(spark, S.model_path(spark, sf), _entries(spark, sf))
+    return ML.model_registry(spark, S.model_path(spark, sf, T.PARAMETERS), _entries(spark, sf))
 
 
 @register("predict_demand")

@@ -44,18 +44,19 @@ def table_name(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"ridewise_{name}_{tag}"
 
 
-def model_path(spark: SparkSession, sf_dir: str) -> str:
+def model_path(spark: SparkSession, sf_dir: str, parameters: str) -> str:
     """The folder of stored models: the same in every session over the same rides.
 
-    Its name holds the number of rides and the exclusive-or of their hashes, so
-    models of other data are not taken for these.
+    Its name holds the number of rides, the exclusive-or of their hashes and the
+    digest of the training parameters, so models of other data or other
+    parameters are not taken for these.
     """
     k = _key(spark, sf_dir, "models")
     with _LOCK:
         if k not in _PATHS:
             rides = enriched(spark, sf_dir)
             n, mark = rides.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*rides.columns))).first()
-            _PATHS[k] = f"{checkpoint_dir(spark).rstrip('/')}/ridewise/models/{n}-{(mark or 0) & (2 ** 64 - 1):016x}"
+            _PATHS[k] = f"{checkpoint_dir(spark).rstrip('/')}/ridewise/models/{n}-{(mark or 0) & (2 ** 64 - 1):016x}-{parameters}"
         return _PATHS[k]
 
 

@@ -8,6 +8,7 @@ every fit starts from a Parquet scan, not from the cleaning lineage.
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewise.operators import metrics as M
-from ridewise.operators.boosting import Boosting
+from ridewise.operators.boosting import BINS, TASK_ROWS, Boosting
 from ridewise.operators import models as ML
 from ridewise.operators import timeseries as G
 from ridewise.operators.features import cyclical, is_cancelled
@@ -26,6 +27,10 @@ SURGE_GBT = dict(max_depth=5, step=0.05, subsample=0.8, min_leaf=20)
 CANCEL_GBT = dict(max_depth=4, step=0.05, subsample=0.8, min_leaf=30)
 #: fixed values: boosting iterations
 TREES, CANCEL_TREES = 200, 150
+#: Digest of everything that decides what a training job stores.
+PARAMETERS = hashlib.sha1(repr((
+    DEMAND_GBT, WAIT_GBT, SURGE_GBT, CANCEL_GBT, TREES, CANCEL_TREES, BINS, TASK_ROWS,
+    G.DEMAND_FEATURES, ML.WAIT_FEATURES, ML.SURGE_FEATURES, ML.CANCEL_FEATURES)).encode()).hexdigest()[:12]
 
 
 def cv_params(name: str) -> Boosting:

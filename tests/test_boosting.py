@@ -83,7 +83,7 @@ def test_weights_act_like_copies(spark):
 def test_bins_of_many_values_nulls_and_no_rows(spark):
     rows = [(i, None if i % 50 == 0 else float(i), float(i % 7), i * 6 // 2000) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, a double, y double, segment int")
-    edges = B.bin_edges(df.select(F.lit("all").alias("grp"), "a"), ["a"], "grp")["all"][0]
+    edges = B.bin_edges(df.select(F.lit("all").alias("grp"), "a"), ["a"], "grp")[0]["all"][0]
     assert 25 <= len(edges) < B.BINS and edges == sorted(edges)
     p = B.Boosting(trees=2, subsample=0.8)
     got = B.walk_forward(df.withColumn("scope", F.lit(1)), ["a"], "y", p, id_col="id")
