@@ -27,10 +27,19 @@ TOLERANCE = 0.0005
 BUCKET_ROWS = 20_000
 
 
-def text_code(c: str) -> Column:
-    """A string's first seven bytes as a number that sorts like them (null: -1)."""
-    head = F.rpad(F.substring(utf8(c), 1, 7), 7, F.lit(b"\0"))
-    return F.when(F.col(c).isNull(), F.lit(-1)).otherwise(F.conv(F.hex(head), 16, 10).cast("long"))
+def value_ranks(docs: DataFrame, c: str) -> DataFrame:
+    """(c, rank) of the distinct values of a column that are not null, dense from 1 in their order.
+
+    The values are sorted by ranges and numbered within each, so no task holds
+    them all: what a window sees is a count a range.
+    """
+    values = docs.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c)
+    placed = stage(values.select(c, F.monotonically_increasing_id().alias("at")), "kd-values")
+    # an id is its range's number above 33 bits of place in the range
+    placed = placed.select(c, F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return placed.join(parts, "part").select(c, (F.col("base") + F.col("place") + 1).alias("rank"))
 
 
 def kd_leaves(rows: DataFrame, dims: list[str], n_shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
@@ -87,16 +96,21 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
     """(doc_id, size, text_crc32, shard, slot) of every row of ``docs``.
 
     Takes doc_id, text, lang and source; others are ignored. The dimensions
-    are size, language, source and id. size is the text's UTF-8 bytes plus 8;
+    are size, language, source (as ranks of their distinct values) and id. size is the text's UTF-8 bytes plus 8;
     a null text has none and the checksum of the empty text. Null metadata is
     the least value of its dimension. Repeated rows are rows like others. An
     empty table gives no rows; with fewer rows than shards, some are empty.
     """
     tag = F.monotonically_increasing_id()
     slim = docs.select("doc_id", (F.octet_length(utf8("text")) + F.lit(8)).cast("long").alias("size"), F.crc32(utf8("text")).alias("text_crc32"),
-                       text_code("lang").alias("dim_lang"), text_code("source").alias("dim_source"),
+                       F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
                        # two bits less, so that differences can't overflow
                        F.coalesce(F.shiftright("doc_id", 2), F.lit(-(1 << 61))).alias("dim_id"), hash_key("doc_id", tag).alias("tie"))
+    named = docs.select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
+    for c in ("lang", "source"):
+        ranks = stage(value_ranks(named, c), "kd-ranks").withColumnRenamed("rank", f"rank_{c}")
+        # the planner broadcasts the ranks if their file is small, and deals hot values anew if not
+        slim = slim.join(ranks, c, "left").withColumn(f"dim_{c}", F.coalesce(f"rank_{c}", F.lit(0).cast("long"))).drop(f"rank_{c}", c)
     slim = stage(slim, "kd-rows")
     tree = kd_leaves(slim, ["size", "dim_lang", "dim_source", "dim_id"], n_shards, target_bytes)
     n = slim.count()
