@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import stage
+from ridewise.llm.common import stage, utf8
 from ridewise.llm.weighted_cut import hash_key, weighted_cuts
 
 #: A source may be repeated this often (epochs).
@@ -31,7 +31,9 @@ MAX_EPOCHS = 2.0
 BLOCKS = 64
 #: Buckets of one epoch of a source; a block takes whole buckets.
 BUCKET_BITS = 9
-WORD = r"[^\x20\x09-\x0D]+"
+#: UTF-8 bytes a token, by which tokens are told from bytes. Under byte_bpe_50k English has 2.6, German, French
+#: and Spanish 2.2 to 2.5, Japanese 2.2, code and URLs 2.0; only the ratios between sources matter.
+BYTES_A_TOKEN = 2.5
 
 
 @dataclass
@@ -50,8 +52,8 @@ def source_key(c: str = "source") -> Column:
 
 
 def mix_columns(seed: int) -> dict[str, Column]:
-    """What a row of documents brings: source key, tokens (words), permutation base."""
-    return {"grp": source_key(), "n_tokens": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"),
+    """What a row of documents brings: source key, tokens (from its bytes, so that no script needs spaces), permutation base."""
+    return {"grp": source_key(), "n_tokens": F.ceil(F.octet_length(utf8("text")) / F.lit(BYTES_A_TOKEN)).cast("long"),
             "base": F.xxhash64("doc_id", "text", F.lit(seed))}
 
 

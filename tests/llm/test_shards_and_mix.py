@@ -39,6 +39,21 @@ def test_identical_rows_are_split(spark):
     assert len(got) == 5 and max(got.values()) - min(got.values()) <= 2
 
 
+def test_ranks_of_values(spark):
+    names = [f"https://example.com/{i * 7919 % 500:04d}/é" for i in range(500)] + ["", "https:/", "Z", "日本"]
+    docs = spark.createDataFrame([(n,) for n in names * 2 + [None]], "source string").repartition(7)
+    got = {r.source: r["rank"] for r in op01_kd_shards.value_ranks(docs, "source").collect()}
+    assert got == {n: i for i, n in enumerate(sorted(set(names), key=str.encode), 1)}
+    assert op01_kd_shards.value_ranks(docs.limit(0), "source").count() == 0
+
+
+def test_long_names_with_one_beginning_are_told_apart(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit("en").alias("lang"),
+                                    F.concat(F.lit("https://"), F.when(F.col("id") % 2 == 0, "a").otherwise("b"), F.lit(".example.com")).alias("source"))
+    rows = op01_kd_shards.kd_shards(docs, n_shards=2).collect()
+    assert {(r.doc_id % 2, r.shard) for r in rows} == {(0, 0), (1, 1)}
+
+
 def test_shards_of_odd_and_no_rows(odd_docs, no_docs):
     rows = op01_kd_shards.kd_shards(odd_docs, n_shards=24).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.shard < 24 and r.slot >= 0 for r in rows)
@@ -92,6 +107,43 @@ def test_entropy_target_and_budget(spark):
     assert all(abs(tokens[s] - want[s]) <= 10 for s in want)
 
 
+def plain_budgets(sizes, max_epochs):
+    """Epochs of each source, from token sums, by bisection of alpha in plain floats."""
+    lo, hi = 0.0, 1.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        rate = [t ** (mid - 1) for t in sizes.values()]
+        lo, hi = (lo, mid) if max(rate) / min(rate) <= max_epochs else (mid, hi)
+    least = min(t ** (hi - 1) for t in sizes.values())
+    return {s: t ** (hi - 1) / least for s, t in sizes.items()}
+
+
+def test_mix_query_against_a_plain_mix(spark):
+    got = REGISTRY["op2_temperature_mix"][0](spark, SF).collect()
+    size = {r.doc_id: -(-len((r.text or "").encode()) * 2 // 5) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    source = {r.doc_id: r.source for r in got}
+    sums = Counter()
+    for d, n in size.items():
+        sums[source[d]] += n
+    taken = Counter()
+    for r in got:
+        assert r.n_tokens == size[r.doc_id]
+        taken[r.source] += r.n_tokens
+    most = Counter()
+    for d, n in size.items():
+        most[source[d]] = max(most[source[d]], n)
+    # a budget is missed by a part of one document at most
+    for s, epochs in plain_budgets(sums, op02_temperature_mix.MAX_EPOCHS).items():
+        assert abs(taken[s] - epochs * sums[s]) <= most[s] + 1e-3 * sums[s]
+
+
+def test_scripts_without_spaces_weigh_by_their_tokens(spark):
+    rows = [(i, "日本語のテキストを書く" * 20, "ja") for i in range(200)] + [(1000 + i, "a short line of words " * 10, "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("doc_id", *(c.alias(n) for n, c in op02_temperature_mix.mix_columns(1).items()))
+    tokens = {r.grp: r.t for r in docs.groupBy("grp").agg(F.sum("n_tokens").alias("t")).collect()}
+    assert tokens["=ja"] == 200 * 264 and tokens["=en"] == 200 * 88
+
+
 def test_mix_query_keeps_every_document(spark):
     rows = REGISTRY["op2_temperature_mix"][0](spark, SF)
     ids = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
