@@ -2,18 +2,22 @@
 
 Each text is measured once. Every (language, source) gets KLL quantile
 sketches of its measures; sketches merge, so those of a language, and of all
-documents, are merged from the same rows and stand in where a source or a
-language has too few documents to tell. No limit is a constant.
+documents, are merged from the same rows. A group's limits are drawn towards
+those of its language, and these towards everyone's, by as many rows as
+``PRIOR`` against its own; there is no size from which a group counts. No limit
+is a constant.
 
 Shares are judged as square roots, in which a count's spread does not depend on
-its size. A share's limit lies ``SPREAD`` times the range from the 0.1 to the
-0.4 quantile past the latter, so junk that fills half of a group does not move
-it far; where both are zero it is one event in a text of median size, the rate
-that such quantiles can't tell from none. A text may pass the limit by as much
-as a count of its size varies by chance. Mean word length, in which junk lies on
-both sides, has a lower and an upper limit around the narrowest band of
-``BAND`` tenths. The limits are joined back to the documents by language and
-source.
+its size. A share's limit is the quantile that is reached from the ``FROM``
+quantile upwards to ``UPTO`` in steps no wider than the chance variation of a
+text of median size: junk lies past a gap, so the walk ends before it, also
+where junk fills half of a group. The limit is at least one event in a text of
+median size, the rate that quantiles of zero can't tell from none. A text may
+pass the limit by as much as a count of its size varies by chance. Mean word
+length, in which junk lies on both sides, has a lower and an upper limit around
+the narrowest band of ``BAND`` tenths, which is at least as wide as a mean over
+the words of a median text varies by chance (copies of one text make it
+narrower). The limits are joined back to the documents by language and source.
 """
 
 from __future__ import annotations
@@ -28,16 +32,16 @@ from pyspark.sql import functions as F
 
 from ridewise.llm.common import small_arrow_batches, stage
 
-#: How far a text may lie past its group's quantiles, in ranges between them.
+#: How far a mean word length may lie from its group's band, in widths of it.
 SPREAD = 6.0
-#: Quantiles of a share that its limit is taken from.
-LOW, MIDDLE = 0.1, 0.4
+#: Quantiles of a share between which its limit lies, and the steps of the walk.
+FROM, UPTO, STEPS = 0.4, 0.98, 29
 #: Tenths of a group in the band that tells the usual word length.
 BAND = 4
 #: Standard deviations of a text's own count that it may pass a limit by.
 CHANCE = 3.0
-#: A group of fewer documents takes its language's limits, then everyone's.
-ENOUGH = 200
+#: Rows that the limits of a group's parent weigh as much as.
+PRIOR = 10
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 
@@ -89,19 +93,35 @@ MEASURES = {**{m: (lambda a=a, b=b: _share(a, b)) for m, (a, b, _) in SHARES.ite
 
 
 def _limits(sketch: DataFrame, keys: list[str], merge: bool) -> DataFrame:
+    """(keys, docs, limits) of each group on its own; limits of shares are square roots."""
     def at(m: str, q: float) -> Column:
         return F.kll_sketch_get_quantile_double(m, F.lit(q))
+
     if merge:
         sketch = sketch.groupBy(*keys).agg(F.sum("docs").alias("docs"), *(F.kll_merge_agg_double(m).alias(m) for m in (*MEASURES, *SIZES)))
     cols = []
     for m, (_, size, event) in SHARES.items():
-        middle, low = F.sqrt(at(m, MIDDLE)), F.sqrt(at(m, LOW))
-        least = F.sqrt(F.lit(float(event)) / F.greatest(at(size, 0.5), F.lit(1.0)))
-        cols.append(F.pow(F.greatest(middle + SPREAD * (middle - low), least), F.lit(2.0)).alias(f"{m}_max"))
+        median = F.greatest(at(size, 0.5), F.lit(1.0))
+        step = F.lit(CHANCE / 2 * event ** 0.5) / F.sqrt(median)
+        walk = [F.sqrt(at(m, FROM + (UPTO - FROM) * i / STEPS)) for i in range(STEPS + 1)]
+        start = F.struct(walk[0].alias("at"), F.lit(True).alias("goes"))
+        reach = F.aggregate(F.array(*walk), start, lambda a, x: F.struct(
+            F.when(a["goes"] & (x - a["at"] <= step), x).otherwise(a["at"]).alias("at"), (a["goes"] & (x - a["at"] <= step)).alias("goes")))["at"]
+        cols.append(F.greatest(reach, F.sqrt(F.lit(float(event)) / median)).alias(f"{m}_max"))
     tenths = [at("word_length", i / 10) for i in range(11)]
     band = F.array_min(F.array(*(F.struct((hi - lo).alias("width"), ((hi + lo) / 2).alias("centre")) for lo, hi in zip(tenths, tenths[BAND:]))))
-    cols += [(band["centre"] + SPREAD * band["width"]).alias("word_length_max"), (band["centre"] - SPREAD * band["width"]).alias("word_length_min")]
-    return sketch.where(F.col("docs") >= ENOUGH if keys else F.col("docs") > 0).select(*keys, F.struct(*cols).alias("limits"))
+    # a word's length varies by about half of the mean
+    width = F.greatest(band["width"], band["centre"] / 2 / F.sqrt(F.greatest(at("n_words", 0.5), F.lit(1.0))))
+    cols += [(band["centre"] + SPREAD * width).alias("word_length_max"), (band["centre"] - SPREAD * width).alias("word_length_min")]
+    return sketch.where("docs > 0").select(*keys, "docs", F.struct(*cols).alias("limits"))
+
+
+LIMITS = (*(f"{m}_max" for m in SHARES), "word_length_max", "word_length_min")
+
+
+def _drawn(own: Column, docs: Column, parent: Column) -> Column:
+    """Limits of a group of ``docs`` rows, drawn towards its parent's."""
+    return F.struct(*(((docs * own[x] + PRIOR * parent[x]) / (docs + PRIOR)).alias(x) for x in LIMITS))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -123,15 +143,16 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     # what fails the base rules says nothing about the others
     fine = rows.where(~base)
     sketches = stage(fine.groupBy("lang_key", "source_key").agg(F.count("*").alias("docs"), *(F.kll_sketch_agg_double(F.col(m).cast("double")).alias(m) for m in (*MEASURES, *SIZES))), "sketches")
-    own = _limits(sketches, ["lang_key", "source_key"], False).withColumnRenamed("limits", "own")
-    lang = _limits(sketches, ["lang_key"], True).withColumnRenamed("limits", "of_lang")
     everyone = _limits(sketches, [], True).first()
-    judged = rows.join(own, ["lang_key", "source_key"], "left").join(lang, "lang_key", "left")
-    every = F.struct(*(F.lit(v).alias(k) for k, v in everyone["limits"].asDict().items())) if everyone else F.col("of_lang")
-    judged = judged.withColumn("limits", F.coalesce("own", "of_lang", every))
+    every = F.struct(*(F.lit(everyone["limits"][x] if everyone else None).cast("double").alias(x) for x in LIMITS))
+    lang = _limits(sketches, ["lang_key"], True).select("lang_key", _drawn(F.col("limits"), F.col("docs"), every).alias("of_lang"))
+    own = _limits(sketches, ["lang_key", "source_key"], False).join(lang, "lang_key").select(
+        "lang_key", "source_key", _drawn(F.col("limits"), F.col("docs"), F.col("of_lang")).alias("limits"))
+    # a group without limits has only rows that fail the base rules
+    judged = rows.join(stage(own, "limits"), ["lang_key", "source_key"], "left")
     within = F.col("word_length").between(F.col("limits.word_length_min"), F.col("limits.word_length_max"))
     for m, (count, size, event) in SHARES.items():
         # the square root of a count varies by half
-        within &= F.sqrt(count) <= F.sqrt(F.col(f"limits.{m}_max") * F.col(size)) + CHANCE / 2 * event ** 0.5
+        within &= F.sqrt(count) <= F.col(f"limits.{m}_max") * F.sqrt(size) + CHANCE / 2 * event ** 0.5
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
                          (~base & F.coalesce(within, F.lit(False))).alias("kept"), *MEASURES, "limits")
