@@ -9,15 +9,18 @@ are neighbours that share at least ``DEPTH`` leading values of some order; a
 pair of similarity 0.8 is missed by all 24 orders with probability 3e-6.
 
 Depth adapts to the region: a region (one prefix) of at most ``REGION`` rows
-is searched whole, a denser one is dealt over the cluster by its deeper
-signature order and searched in blocks of sorted neighbours.
+is searched whole; a denser one is sorted by the rest of its own order, so that
+rows of a longer common prefix are neighbours, dealt over the cluster, and
+searched in blocks of neighbours. Each tree goes on by values of its own, so
+what one misses another may find. Every block hangs on its region's first row.
 
 Candidates only say where to look. Candidate clusters of up to ``REGION``
 documents are resolved on full sets in one task each; larger ones on full sets
-in blocks of several signature orders, and whatever did not join its cluster's
-largest component is then held against all rows of the cluster, block by
-block. A task gives its components as stars around their smallest id, never all
-pairs.
+in blocks of several signature orders. Whatever did not join its cluster's
+largest component is then held against those rows of the cluster that share one
+of its rarest shingles: so many of them that a linked row can't lack them all.
+Where a shingle of those is common, against all rows, block by block. A task
+gives its components as stars around their smallest id, never all pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewise.llm.common import connected_components, runs, small_arrow_batches, stage, star_edges
@@ -41,6 +44,8 @@ BLOCK_ORDERS = 3
 #: Estimated similarity from which neighbours are candidates; 5 standard
 #: deviations under 0.8 for 96 values.
 LOOSE = 0.58
+#: A shingle in more rows of a cluster than this does not narrow a search.
+RARE = 32
 WORD_CACHE = 150_000
 
 
@@ -126,19 +131,20 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
         per_batch, "doc_id long, n_shingles long, digest binary, keys array<long>, sig binary")
 
 
-def _loose_edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each region's components at estimated similarity >= LOOSE, as stars."""
+def _loose_edges(frames: Iterator[pd.DataFrame], hangs: bool = False) -> Iterator[pd.DataFrame]:
+    """Components at estimated similarity >= LOOSE of each region, or block of one, as stars.
+
+    hangs: link each block's first row with the region's first.
+    """
     need = (LOOSE + (1 - LOOSE) / 256) * TREES * DEPTH
     a, b = [], []
-    for run, first in runs(frames, "key", REGION):
-        if len(run) < 2:
-            continue
+    for run, _ in runs(frames, "key", REGION):
         ids = run["id"].to_numpy()
         sigs = np.frombuffer(b"".join(run["sig"]), dtype=np.uint8).reshape(len(run), -1)
         for x, y in star_edges(ids, lambda i, o: [o[x] for x in ((sigs[o] == sigs[i]).sum(axis=1) >= need).nonzero()[0]]):
             a.append(x)
             b.append(y)
-        if not first:  # blocks of one region hang together by their first rows
+        if hangs:
             a.append(run["leader"].iloc[0])
             b.append(ids[0])
         if len(a) > 20_000:
@@ -198,6 +204,15 @@ def _rest_edges(shingle: int, percent: int):
     return per_part
 
 
+def _shingles(shingle: int):
+    """The rows with their shingles in place of the text."""
+    def per_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            sets = [shingle_set(t, shingle).view(np.int64) for t in f["text"]]
+            yield f.drop(columns="text").assign(n=[len(s) for s in sets], xs=sets)
+    return per_part
+
+
 def _sorted_parts(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *order)
 
@@ -218,7 +233,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     real = feats.where("digest is not null and doc_id is not null")
     reps = stage(real.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "classes")
 
-    entries = reps.select("id", F.explode("keys").alias("key"))
+    entries = reps.select("id", F.posexplode("keys").alias("tree", "key"))
     dense = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
     regions = stage(entries.join(dense, "key"), "regions")
     sigs = reps.select("id", "sig").join(regions.select("id").distinct(), "id", "left_semi")
@@ -226,10 +241,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     parts = _sorted_parts(rows.where(F.col("n") <= REGION), "key")
     edges = parts.select("key", "id", "leader", "sig").mapInPandas(_loose_edges, "a long, b long")
     if regions.where(F.col("n") > REGION).limit(1).count():
-        hot = rows.where(F.col("n") > REGION).repartitionByRange(_shuffles(spark), "key", "sig", "id").sortWithinPartitions("key", "sig", "id")
-        hot = hot.select("key", "id", "leader", "sig").mapInPandas(_loose_edges, "a long, b long")
-        lead = regions.where(F.col("n") > REGION).select(F.col("leader").alias("a"), F.col("leader").alias("b"))
-        edges = edges.unionByName(hot).unionByName(lead)
+        # a region goes on by the values that follow its prefix in its tree's order
+        n = TREES * DEPTH
+        order = F.concat(F.substring("sig", F.col("tree") * DEPTH + 1, F.lit(n)), F.substring("sig", F.lit(1), F.col("tree") * DEPTH))
+        hot = rows.where(F.col("n") > REGION).withColumn("order", order)
+        hot = hot.repartitionByRange(_shuffles(spark), "key", "order", "id").sortWithinPartitions("key", "order", "id")
+        hot = hot.select("key", "id", "leader", "sig").mapInPandas(lambda frames: _loose_edges(frames, hangs=True), "a long, b long")
+        edges = edges.unionByName(hot)
 
     clusters = connected_components(edges).withColumnsRenamed({"node": "id", "component": "cluster"})
     sized = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
@@ -273,14 +291,57 @@ def _large_links(large: DataFrame, sigs: DataFrame, shingle: int, percent: int)
              .withColumn("component", F.coalesce("component", "id")))
     size = state.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     main = size.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("total"))
-    state = stage(state.join(main.select("cluster", F.col("m.component").alias("main"), "total"), "cluster"), "blocks")
-    rest = state.where("component != main")
-    chunks = rest.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / REGION).cast("int").alias("chunks"))
-    blocks = F.ceil(F.col("total") / REGION).cast("int")
-    keys = ["cluster", "id", "component", "text"]
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    a = rest.join(chunks, "cluster").select(*keys, F.pmod(F.xxhash64("id", "text"), "chunks").alias("chunk"), spread(blocks).alias("block"), F.lit(True).alias("rest"))
-    b = state.join(chunks, "cluster").select(*keys, spread(F.col("chunks")).alias("chunk"), F.pmod(F.xxhash64("id", "text"), blocks).alias("block"), F.lit(False).alias("rest"))
-    met = a.unionByName(b).withColumn("grp", F.xxhash64("cluster", "chunk", "block"))
-    more = _sorted_parts(met.select("grp", "id", "component", "text", "rest"), "grp", "rest", "id").mapInPandas(_rest_edges(shingle, percent), "a long, b long")
+    state = stage(state.join(main.select("cluster", F.col("m.component").alias("main"), "total"), "cluster")
+                  .withColumn("rest", F.col("component") != F.col("main")).drop("main"), "blocks")
+    if not state.where("rest").limit(1).count():
+        return links
+    pairs, broad = _partners(state, shingle, percent)
+    unit, keys = ["cluster", "id", "th"], ["id", "component", "text"]
+    own = F.xxhash64(F.lit("unit"), *unit).alias("grp")
+    met = pairs.select(*unit).distinct().join(state, unit).select(own, *keys, F.lit(True).alias("rest"))
+    other = pairs.select(own, "cluster", F.col("to_id").alias("id"), F.col("to_th").alias("th")).join(state, unit)
+    met = met.unionByName(other.select("grp", *keys, F.lit(False).alias("rest")))
+    if broad.limit(1).count():
+        rest = state.join(broad, unit, "left_semi")
+        chunks = rest.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / REGION).cast("int").alias("chunks"))
+        blocks = F.ceil(F.col("total") / REGION).cast("int")
+        spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        # both sides hash the same types
+        grp = F.xxhash64("cluster", F.col("chunk").cast("long"), F.col("block").cast("long")).alias("grp")
+        a = rest.join(chunks, "cluster").select("cluster", *keys, F.pmod(F.xxhash64("id", "text"), "chunks").alias("chunk"), spread(blocks).alias("block"))
+        b = state.join(chunks, "cluster").select("cluster", *keys, spread(F.col("chunks")).alias("chunk"), F.pmod(F.xxhash64("id", "text"), blocks).alias("block"))
+        met = met.unionByName(a.select(grp, *keys, F.lit(True).alias("rest"))).unionByName(b.select(grp, *keys, F.lit(False).alias("rest")))
+    more = _sorted_parts(met, "grp", "rest", "id").mapInPandas(_rest_edges(shingle, percent), "a long, b long")
     return links.unionByName(more)
+
+
+def _partners(state: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Where the links of the rows with ``rest`` can be: (cluster, id, th, to_id, to_th), and (cluster, id, th) of those to hold against all.
+
+    A row linked with one of n shingles has all but n - ceil(n * percent / 100)
+    of them, so it has one of any more; taken are those that are in the fewest
+    rest rows. Rows with one that over RARE rows have, and rows of over REGION
+    partners, are left to the caller.
+    """
+    unit = ["cluster", "id", "th"]
+    touched = state.join(state.where("rest").select("cluster").distinct(), "cluster", "left_semi")
+    sets = stage(touched.select(*unit, "component", "rest", "text").mapInPandas(
+        _shingles(shingle), "cluster long, id long, th long, component long, rest boolean, n long, xs array<long>"), "shingles")
+    each = sets.select(*unit, "component", "rest", "n", F.explode("xs").alias("x"))
+    often = each.where("rest").groupBy("cluster", "x").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy(*unit).orderBy("f", "x"))
+    first = each.where("rest").join(often, ["cluster", "x"]).withColumn("r", rank)
+    first = stage(first.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select(*unit, "component", "n", "x"), "rarest")
+    having = stage(each.join(first.select("cluster", "x").distinct(), ["cluster", "x"], "left_semi"), "having")
+    wide = having.groupBy("cluster", "x").agg(F.count("*").alias("rows")).where(F.col("rows") > RARE).select("cluster", "x")
+    wide = stage(wide, "wide")
+    to = having.select("cluster", "x", F.col("id").alias("to_id"), F.col("th").alias("to_th"), F.col("component").alias("to_component"),
+                       F.col("rest").alias("to_rest"), F.col("n").alias("to_n"))
+    fits = 100 * F.least("n", "to_n") >= percent * F.greatest("n", "to_n")
+    # of two rest rows the one of the smaller id looks for the other
+    once = ~F.col("to_rest") | (F.col("id") < F.col("to_id"))
+    pairs = first.join(wide, ["cluster", "x"], "left_anti").join(to, ["cluster", "x"]).where((F.col("component") != F.col("to_component")) & fits & once)
+    pairs = stage(pairs.select(*unit, "to_id", "to_th").distinct(), "partners")
+    many = pairs.groupBy(*unit).agg(F.count("*").alias("n")).where(F.col("n") > REGION).select(*unit)
+    broad = stage(first.join(wide, ["cluster", "x"], "left_semi").select(*unit).unionByName(many).distinct(), "broad")
+    return pairs.join(broad, unit, "left_anti"), broad

@@ -62,6 +62,33 @@ def test_components_against_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def passage_docs(draw, n, pairs):
+    """n documents of one passage (70 %) and words of their own; near copies of the first ``pairs``."""
+    passage = " ".join(f"s{i}" for i in range(140))
+    own = [" ".join(f"u{draw.randrange(10 ** 8)}" for _ in range(60)) for _ in range(n)]
+    return [passage + " " + o for o in own] + [passage + " " + o + " end" for o in own[:pairs]]
+
+
+def test_documents_of_one_passage_against_brute_force(spark):
+    texts = passage_docs(random.Random(13), 700, 25)
+    docs = dict(enumerate(texts, 1))
+    rows = forest.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), shingle=5, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain_components(docs, 5, 80)
+
+
+def test_rare_shingles_narrow_the_search(spark):
+    texts = passage_docs(random.Random(14), 2000, 20)
+    rows = [(1, i, i, i, True, t) for i, t in enumerate(texts)]
+    state = spark.createDataFrame(rows, "cluster long, id long, th long, component long, rest boolean, text string")
+    pairs, broad = forest._partners(state, 5, 80)
+    # a text of a common passage is held against its near copy, not against all
+    assert {(r.id, r.to_id) for r in pairs.collect()} == {(i, 2000 + i) for i in range(20)} and broad.count() == 0
+    # where the rarest shingles are common, all of the cluster is
+    same = spark.createDataFrame([(1, i, i, i, True, texts[0]) for i in range(40)], state.schema)
+    pairs, broad = forest._partners(same, 5, 80)
+    assert pairs.count() == 0 and broad.count() == 40
+
+
 def test_near_duplicates_of_odd_and_no_rows(odd_docs, no_docs):
     rows = forest.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
