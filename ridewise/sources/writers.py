@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridewise.functions.lineage import bounded_tasks
+
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
     """A5: CSV with header; the calendar date written as text (yyyy-MM-dd)."""
@@ -24,10 +26,12 @@ def write_clean_table(df: DataFrame, target: str, partition_by: str = "city") ->
     """
     spark = df.sparkSession
     if "/" in target or target.startswith("file:"):
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(target)
+        with bounded_tasks(spark):
+            df.write.mode("overwrite").partitionBy(partition_by).parquet(target)
         return spark.read.parquet(target).count()
     spark.sql(f"DROP TABLE IF EXISTS {target}")
-    df.write.partitionBy(partition_by).saveAsTable(target)
+    with bounded_tasks(spark):
+        df.write.partitionBy(partition_by).saveAsTable(target)
     return spark.table(target).count()
 
 
