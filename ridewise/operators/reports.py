@@ -105,9 +105,10 @@ def raw_summary(df: DataFrame, dimensions: Sequence[str] = ("city", "vehicle_typ
 
 
 def value_counts_share(df: DataFrame, columns: Sequence[str] = ("city", "vehicle_type")) -> DataFrame:
-    """Count and % of all rows per value of the raw table."""
-    s = raw_summary(df, columns).where("section <> 'nulls'")
-    return s.select(F.col("section").alias("feature"), F.col("name").alias("value"), F.col("rows").alias("count"), "pct")
+    """Count and % of all rows per value (window over the small aggregate only)."""
+    counts = feature_distributions(df, columns)
+    total = F.sum("count").over(Window.partitionBy("feature"))
+    return counts.withColumn("pct", round_np(F.col("count") * 100.0 / total, 4))
 
 
 # E5 ------------------------------------------------------------------------------
