@@ -154,3 +154,21 @@ def test_logistic_matches_newton_solution(spark):
     order = np.argsort(X[:, 0])
     got_sorted = got.sort_values("a")["score"].to_numpy()
     assert np.allclose(got_sorted, want[order], atol=1e-3)
+
+
+def test_training_sets_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(ML, "FIT_ROWS", 100)
+    monkeypatch.setattr(ML, "FULL_ROWS", 1000)
+    cores = spark.sparkContext.defaultParallelism
+    n = 100 * cores * 20 + 1                                    # more full partitions than cores, and a few rows too many for one each
+
+    def sizes(rows):
+        found = ML._dealt(rows, n).groupBy(F.spark_partition_id()).count().collect()
+        return sorted(r["count"] for r in found)
+
+    # the rows of most partitions are filtered out, as those of test days are
+    uneven = spark.range(0, 4 * n, 1, 4 * cores).where(F.col("id") < n)
+    got = sizes(uneven)
+    assert len(got) == cores * 3 and sum(got) == n
+    assert got[-1] - got[0] <= 4 * cores
+    assert ML._dealt(spark.range(0, 250, 1, 8), 250).rdd.getNumPartitions() == min(3, cores)
