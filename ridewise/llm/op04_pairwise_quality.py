@@ -8,8 +8,9 @@ strength is w f; the threshold is the quantile of the training strengths under
 which the share of label 0 lies. A score is the logistic of the strength's
 distance to that threshold, set so that the threshold scores 0.3.
 
-The fit runs in MLlib on at most about ``PAIR_DOCS`` documents a label, chosen
-by a hash of the id; features and scores cover every document.
+The fit runs in MLlib on every labelled document: they are numbered in buckets
+of their ids' hash, paired by a join on the number, and the threshold is found
+by counting, so no task and not the driver holds a label's documents.
 """
 
 from __future__ import annotations
@@ -23,18 +24,20 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewise.llm.common import small_arrow_batches, stage
 
-#: Bound of the training sample: documents of one label, on average.
-PAIR_DOCS = 4000
 #: Documents of the other label that each training document is held against.
 RIVALS = 8
 #: The score at the threshold.
 AT_THRESHOLD = 0.3
 REGULARISATION = 1e-3
+#: Documents that one bucket of the numbering holds, on average, and pairs that a task of the fit reads.
+BUCKET_DOCS, TASK_PAIRS = 50_000, 100_000
+#: Parts in which a round of the threshold's search counts strengths, and rows that it gathers at the end.
+PARTS, FEW_ROWS = 1024, 4096
 
 _SYMBOLS = re.compile(r"[#$%&*@^~=+\\/<>{}\[\]_]")
 _MARKS = re.compile(r"[!?]")
@@ -90,31 +93,28 @@ class Ranking:
 def fit(docs: DataFrame, labels: DataFrame) -> Ranking | None:
     """Rank from texts (doc_id, text) and labels (doc_id, label); None without both labels.
 
-    Labels other than 0 and 1 are none. The sample keeps each label's ids
-    whose hash falls under PAIR_DOCS / their number, all if there are fewer;
-    it is broadcast, its size being so bounded. Rows that share an id count
-    once.
+    Labels other than 0 and 1 are none. Every labelled document is held against
+    RIVALS of the other label, or all if there are fewer. Rows that share an id
+    count once.
     """
     small_arrow_batches(docs.sparkSession)
     known = labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    part = F.when(F.col("label") == 1, F.lit(PAIR_DOCS / counts[1])).otherwise(F.lit(PAIR_DOCS / counts[0]))
-    place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(4)), 11) / F.lit(float(2 ** 53))
-    chosen = known.where(place < part).distinct()
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # dealt out by id at any size: the texts are shuffled once, for the join and for the rows that share an id
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known.distinct().hint("merge"), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    sample = stage(texts.select("doc_id", "label", features(F.col("text")).alias("f")), "training")
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    training = stage(texts.select("doc_id", "label", features(F.col("text")).alias("f")), "training")
+    sizes = {r["label"]: r["count"] for r in training.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
-    # rank 0.. in each label by hash; document i of label 1 meets RIVALS of label 0 from i * RIVALS on
+    # rank 0.. in each label by hash; document i of the larger label meets RIVALS of the other from i * RIVALS on
     few = min(sizes.values())
     many = max(sizes.values())
     big = max(sizes, key=sizes.get)
     rivals = min(RIVALS, few)
-    numbered = sample.select("label", "f", F.row_number().over(_order()).alias("i"))
+    numbered = _numbered(training, sum(sizes.values()))
     lots = numbered.where(F.col("label") == big).select(F.col("f").alias("f_big"), F.explode(F.sequence(F.lit(0), F.lit(rivals - 1))).alias("r"), "i")
     lots = lots.select("f_big", F.pmod(F.col("i") * rivals + F.col("r"), F.lit(few)).alias("j"), ((F.col("i") + F.col("r")) % 2).alias("turn"))
     some = numbered.where(F.col("label") != big).select(F.col("f").alias("f_few"), (F.col("i") - 1).alias("j"))
@@ -123,27 +123,67 @@ def fit(docs: DataFrame, labels: DataFrame) -> Ranking | None:
     # half of the pairs are told from the loser's side, so that both outcomes occur
     pairs = lots.join(some, "j").select(
         F.when(F.col("turn") == 1, better).otherwise(F.transform(better, lambda x: -x)).alias("d"), F.col("turn").cast("double").alias("won"))
-    pairs = stage(pairs.select(array_to_vector("d").alias("features"), "won"), "pairs").coalesce(max(1, min(8, many * rivals // 5000)))
+    tasks = max(1, min(8, many * rivals // 5000), many * rivals // TASK_PAIRS)
+    pairs = stage(pairs.select(array_to_vector("d").alias("features"), "won"), "pairs").coalesce(tasks)
     model = LogisticRegression(featuresCol="features", labelCol="won", fitIntercept=False, standardization=False,
                                regParam=REGULARISATION, maxIter=60).fit(pairs.cache())
     pairs.unpersist()
-    weights = tuple(float(x) for x in model.coefficients)
-    ranking = Ranking(weights, 0.0)
-    # the quantile among all training strengths, each label weighted to its true size
-    share = counts[0] / (counts[0] + counts[1])
-    weight = F.when(F.col("label") == 1, F.lit(counts[1] / sizes[1])).otherwise(F.lit(counts[0] / sizes[0]))
-    ordered = sample.select(ranking.strength(F.col("f")).alias("s"), weight.alias("w")).orderBy("s").collect()
-    below, total = 0.0, sum(r["w"] for r in ordered)
-    for a, b in zip(ordered, ordered[1:]):
-        below += a["w"]
-        if below >= share * total:
-            return Ranking(weights, (a["s"] + b["s"]) / 2)
-    return ranking
-
-
-def _order():
-    from pyspark.sql import Window
-    return Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
+    ranking = Ranking(tuple(float(x) for x in model.coefficients), 0.0)
+    # the quantile among all training strengths, each label weighted to the number of its rows
+    weight = {label: counts[label] / sizes[label] for label in (0, 1)}
+    strengths = stage(training.select(ranking.strength(F.col("f")).alias("s"), "label"), "strengths")
+    at = _middle(strengths, weight, counts[0] / (counts[0] + counts[1]) * sum(weight[k] * sizes[k] for k in (0, 1)))
+    return ranking if at is None else Ranking(ranking.weights, at)
+
+
+def _numbered(rows: DataFrame, n: int) -> DataFrame:
+    """(label, f, i): ``i`` counts each label's documents from 1 on, by the hash of their ids.
+
+    Ranks are taken in buckets of the hash; a bucket's first number is the count
+    of the smaller ones, from a table of a row a label and bucket.
+    """
+    place = F.xxhash64("doc_id", F.lit(5))
+    bits = max(0, (n // BUCKET_DOCS).bit_length())
+    bucketed = rows.withColumns({"place": place, "bucket": F.shiftright(place, 64 - bits) if bits else F.lit(0).cast("long")})
+    before = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = bucketed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    rank = F.row_number().over(Window.partitionBy("label", "bucket").orderBy("place", "doc_id"))
+    return bucketed.withColumn("rank", rank).join(first, ["label", "bucket"]).select("label", "f", (F.col("first") + F.col("rank")).alias("i"))
+
+
+def _middle(rows: DataFrame, weight: dict[int, float], target: float) -> float | None:
+    """The middle between the row that brings the weight up to ``target``, in order of ``s``, and the next row; None if there is none.
+
+    rows: (s, label). The range that holds the place is cut into PARTS until it
+    holds few rows or one value; a round counts, and gathers a row a part.
+    """
+    label = {k: F.count_if(F.col("label") == k).alias(f"n{k}") for k in (0, 1)}
+    lo, hi, n = rows.agg(F.min("s"), F.max("s"), F.count("s")).first()
+    below, inside = 0.0, rows
+    while n > FEW_ROWS and lo < hi:
+        part = F.least(F.floor((F.col("s") - lo) / F.lit(hi - lo) * PARTS), F.lit(PARTS - 1)).alias("part")
+        parts = inside.groupBy(part).agg(*label.values(), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("part").collect()
+        for p in parts:
+            own = weight[0] * p["n0"] + weight[1] * p["n1"]
+            if below + own >= target:
+                break
+            below += own
+        else:
+            return None
+        lo, hi, n = p["lo"], p["hi"], p["n0"] + p["n1"]
+        inside = rows.where(F.col("s").between(lo, hi))
+    # at most FEW_ROWS rows, or two: one value's counts by label
+    groups = inside.groupBy("s", "label").count().orderBy("s", "label").collect()
+    for g, after in zip(groups, [*groups[1:], None]):
+        w = weight[g["label"]]
+        if below + w * g["count"] >= target:
+            if below + w * (g["count"] - 1) >= target:
+                return g["s"]
+            above = after["s"] if after else rows.where(F.col("s") > hi).agg(F.min("s")).first()[0]
+            return None if above is None else (g["s"] + above) / 2
+        below += w * g["count"]
+    return None
 
 
 def scored(docs: DataFrame, ranking: Ranking | None, text: str | Column = "text") -> DataFrame:

@@ -13,6 +13,7 @@ from collections import Counter
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ridewise.llm import op03_secret_scan as secrets
@@ -159,6 +160,46 @@ def test_quality_of_odd_and_no_rows(spark, odd_docs, no_docs):
     assert quality.scored(no_docs.select("doc_id", "text"), None).count() == 0
 
 
+def test_quality_is_learnt_from_every_label(spark, monkeypatch):
+    staged = {}
+    keep = quality.stage
+    monkeypatch.setattr(quality, "stage", lambda df, label: staged.setdefault(label, keep(df, label)))
+    monkeypatch.setattr(quality, "BUCKET_DOCS", 500)
+    docs = spark.range(11_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 11 < 5, F.concat(F.lit("!! ## BUY "), F.col("id")))
+                                      .otherwise(F.concat(F.lit("a plain line of text, number "), F.col("id"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 11 >= 5).cast("int").alias("label"))
+    ranking = quality.fit(docs, labels)
+    # all 5,000 and 6,000 documents of a label, each of the larger one against RIVALS others
+    assert {r.label: r["count"] for r in staged["training"].groupBy("label").count().collect()} == {0: 5000, 1: 6000}
+    assert staged["pairs"].count() == 6000 * quality.RIVALS
+    scored = quality.scored(docs, ranking).join(labels, "doc_id").where("predicted <> label").count()
+    assert scored <= 2
+    got = quality._numbered(staged["training"].withColumn("f", F.col("doc_id")), 11_000)
+    want = staged["training"].select("label", F.col("doc_id").alias("f"), F.row_number().over(
+        Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")).cast("long").alias("i"))
+    assert got.exceptAll(want).count() == 0 and got.count() == 11_000
+
+
+@pytest.mark.parametrize("few, parts", [(2, 5), (10_000, 16)])
+def test_quality_threshold_found_by_counting(spark, monkeypatch, few, parts):
+    monkeypatch.setattr(quality, "FEW_ROWS", few)
+    monkeypatch.setattr(quality, "PARTS", parts)
+    rng = random.Random(few)
+    for values in ([rng.gauss(0, 3) for _ in range(24)], [rng.choice([-1.5, 0.0, 0.25]) for _ in range(24)], [2.0] * 9):
+        rows = sorted((v, rng.randrange(2)) for v in values)
+        df = spark.createDataFrame(rows, "s double, label int")
+        for weight in ({0: 1.0, 1: 1.0}, {0: 2.0, 1: 0.5}):
+            total = sum(weight[k] for _, k in rows)
+            for target in (total * 0.3, total):
+                below, want = 0.0, None
+                for (a, k), (b, _) in zip(rows, rows[1:]):
+                    below += weight[k]
+                    if below >= target:
+                        want = (a + b) / 2
+                        break
+                assert quality._middle(df, weight, target) == want
+
+
 def plain_measure(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     seen, dup = set(), 0
