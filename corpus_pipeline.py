@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ridewise.llm import op02_temperature_mix, op03_secret_scan, op04_pairwise_quality, op07_byte_bpe, op08_minhash_forest
 from ridewise.llm.catalog import BPE_PATTERN, BPE_VOCABULARY, MIX_SEED, SCAN_VOCABULARY, training_labels
-from ridewise.llm.common import small_arrow_batches, stage, table
+from ridewise.llm.common import shuffled, small_arrow_batches, stage, table
 
 #: Words a shingle of the near-duplicate stage.
 SHINGLE = 5
@@ -41,8 +41,8 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     other = stage(found.where("not kept or rows > 1"), "other")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     same = F.col("row.doc_id") == F.col("id")
-    once = rows.join(other, same, "left_anti")
-    repeated = rows.join(other.where("kept"), same).groupBy("id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    once = rows.join(shuffled(other), same, "left_anti")
+    repeated = rows.join(shuffled(other.where("kept")), same).groupBy("id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     return _unpacked(once.unionByName(repeated.select("row")), docs.columns)
 
 

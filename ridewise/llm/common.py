@@ -24,6 +24,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return cut_lineage(df, f"llm-{label}")
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """One side of a join between tables that grow with the corpus: dealt out by key at every size, never broadcast.
+
+    Spark sizes an exploded or compressed table by its file, far under what a broadcast of it takes on the driver.
+    """
+    return df.hint("merge")
+
+
 def small_arrow_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, by rows and by bytes, since a single text may be long.
 
@@ -123,9 +131,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = tuple(mark)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(shuffled(low), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))))
         # tasks in proportion to the edges, not one for each shuffle partition
         e = stage(small.distinct().coalesce(1 + 2 * mark[0] // EDGES_A_TASK), "stars")

@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import small_arrow_batches, stage
+from ridewise.llm.common import shuffled, small_arrow_batches, stage
 
 #: Documents of the other label that each training document is held against.
 RIVALS = 8
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Ranking | None:
     if len(counts) < 2:
         return None
     # dealt out by id at any size: the texts are shuffled once, for the join and for the rows that share an id
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known.distinct().hint("merge"), "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(shuffled(known.distinct()), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     training = stage(texts.select("doc_id", "label", features(F.col("text")).alias("f")), "training")
     sizes = {r["label"]: r["count"] for r in training.groupBy("label").count().collect()}
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Ranking | None:
     sign = F.lit(1.0 if big == 1 else -1.0)
     better = F.zip_with("f_big", "f_few", lambda a, b: (a - b) * sign)
     # half of the pairs are told from the loser's side, so that both outcomes occur
-    pairs = lots.join(some, "j").select(
+    pairs = lots.join(shuffled(some), "j").select(
         F.when(F.col("turn") == 1, better).otherwise(F.transform(better, lambda x: -x)).alias("d"), F.col("turn").cast("double").alias("won"))
     tasks = max(1, min(8, many * rivals // 5000), many * rivals // TASK_PAIRS)
     pairs = stage(pairs.select(array_to_vector("d").alias("features"), "won"), "pairs").coalesce(tasks)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import connected_components, runs, small_arrow_batches, stage, star_edges
+from ridewise.llm.common import connected_components, runs, shuffled, small_arrow_batches, stage, star_edges
 
 TREES = 24
 DEPTH = 4
@@ -235,9 +235,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     entries = reps.select("id", F.posexplode("keys").alias("tree", "key"))
     dense = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
-    regions = stage(entries.join(dense, "key"), "regions")
-    sigs = reps.select("id", "sig").join(regions.select("id").distinct(), "id", "left_semi")
-    rows = regions.join(sigs, "id")
+    regions = stage(entries.join(shuffled(dense), "key"), "regions")
+    sigs = reps.select("id", "sig").join(shuffled(regions.select("id").distinct()), "id", "left_semi")
+    rows = regions.join(shuffled(sigs), "id")
     parts = _sorted_parts(rows.where(F.col("n") <= REGION), "key")
     edges = parts.select("key", "id", "leader", "sig").mapInPandas(_loose_edges, "a long, b long")
     if regions.where(F.col("n") > REGION).limit(1).count():
@@ -250,10 +250,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         edges = edges.unionByName(hot)
 
     clusters = connected_components(edges).withColumnsRenamed({"node": "id", "component": "cluster"})
-    sized = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
+    sized = clusters.join(shuffled(clusters.groupBy("cluster").agg(F.count("*").alias("size"))), "cluster")
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    # the candidates grow with the corpus: joined by shuffle at every size
-    found = (texts.join(sized.hint("merge"), "id").groupBy("id", "cluster", "size", F.xxhash64("text").alias("th"))
+    found = (texts.join(shuffled(sized), "id").groupBy("id", "cluster", "size", F.xxhash64("text").alias("th"))
              .agg(F.first("text").alias("text")))
     found = stage(found, "clusters")
     small = _sorted_parts(found.where(F.col("size") <= REGION).select(F.col("cluster").alias("grp"), "id", "text"), "grp", "id")
@@ -263,11 +262,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         links = stage(links.unionByName(_large_links(large, sigs, shingle, percent)), "links")
     comps = connected_components(links)
 
-    classes = reps.select("digest", "id").join(comps.withColumnRenamed("node", "id"), "id", "left").select(
+    classes = reps.select("digest", "id").join(shuffled(comps.withColumnRenamed("node", "id")), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
     # rows that share a doc_id but not a text are one document
-    top = real.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("component").alias("component"))
-    return feats.select("doc_id", "n_shingles").join(top, "doc_id", "left").select(
+    top = real.select("doc_id", "digest").join(shuffled(classes), "digest").groupBy("doc_id").agg(F.min("component").alias("component"))
+    return feats.select("doc_id", "n_shingles").join(shuffled(top), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
 
@@ -279,7 +278,7 @@ def _shuffles(spark) -> int:
 def _large_links(large: DataFrame, sigs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links within clusters of over REGION documents, on full sets."""
     spark = large.sparkSession
-    turned = large.join(sigs, "id")
+    turned = large.join(shuffled(sigs), "id")
     n = TREES * DEPTH
     orders = F.array(*(F.concat(F.substring("sig", i + 1, n), F.substring("sig", 1, i)) for i in range(0, n, n // BLOCK_ORDERS)))
     dealt = (turned.select("cluster", "id", "text", F.posexplode(orders).alias("turn", "order"))
@@ -287,7 +286,7 @@ def _large_links(large: DataFrame, sigs: DataFrame, shingle: int, percent: int)
              .repartitionByRange(_shuffles(spark), "grp", "order", "id").sortWithinPartitions("grp", "order", "id"))
     links = stage(dealt.select("grp", "id", "text").mapInPandas(_exact_edges(shingle, percent, REGION), "a long, b long"), "block-links")
     comps = connected_components(links)
-    state = (large.join(comps.withColumnRenamed("node", "id"), "id", "left")
+    state = (large.join(shuffled(comps.withColumnRenamed("node", "id")), "id", "left")
              .withColumn("component", F.coalesce("component", "id")))
     size = state.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     main = size.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("total"))
@@ -298,11 +297,11 @@ def _large_links(large: DataFrame, sigs: DataFrame, shingle: int, percent: int)
     pairs, broad = _partners(state, shingle, percent)
     unit, keys = ["cluster", "id", "th"], ["id", "component", "text"]
     own = F.xxhash64(F.lit("unit"), *unit).alias("grp")
-    met = pairs.select(*unit).distinct().join(state, unit).select(own, *keys, F.lit(True).alias("rest"))
-    other = pairs.select(own, "cluster", F.col("to_id").alias("id"), F.col("to_th").alias("th")).join(state, unit)
+    met = pairs.select(*unit).distinct().join(shuffled(state), unit).select(own, *keys, F.lit(True).alias("rest"))
+    other = pairs.select(own, "cluster", F.col("to_id").alias("id"), F.col("to_th").alias("th")).join(shuffled(state), unit)
     met = met.unionByName(other.select("grp", *keys, F.lit(False).alias("rest")))
     if broad.limit(1).count():
-        rest = state.join(broad, unit, "left_semi")
+        rest = state.join(shuffled(broad), unit, "left_semi")
         chunks = rest.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / REGION).cast("int").alias("chunks"))
         blocks = F.ceil(F.col("total") / REGION).cast("int")
         spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
@@ -330,9 +329,9 @@ def _partners(state: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     each = sets.select(*unit, "component", "rest", "n", F.explode("xs").alias("x"))
     often = each.where("rest").groupBy("cluster", "x").agg(F.count("*").alias("f"))
     rank = F.row_number().over(Window.partitionBy(*unit).orderBy("f", "x"))
-    first = each.where("rest").join(often, ["cluster", "x"]).withColumn("r", rank)
+    first = each.where("rest").join(shuffled(often), ["cluster", "x"]).withColumn("r", rank)
     first = stage(first.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select(*unit, "component", "n", "x"), "rarest")
-    having = stage(each.join(first.select("cluster", "x").distinct(), ["cluster", "x"], "left_semi"), "having")
+    having = stage(each.join(shuffled(first.select("cluster", "x").distinct()), ["cluster", "x"], "left_semi"), "having")
     wide = having.groupBy("cluster", "x").agg(F.count("*").alias("rows")).where(F.col("rows") > RARE).select("cluster", "x")
     wide = stage(wide, "wide")
     to = having.select("cluster", "x", F.col("id").alias("to_id"), F.col("th").alias("to_th"), F.col("component").alias("to_component"),
@@ -340,8 +339,8 @@ def _partners(state: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     fits = 100 * F.least("n", "to_n") >= percent * F.greatest("n", "to_n")
     # of two rest rows the one of the smaller id looks for the other
     once = ~F.col("to_rest") | (F.col("id") < F.col("to_id"))
-    pairs = first.join(wide, ["cluster", "x"], "left_anti").join(to, ["cluster", "x"]).where((F.col("component") != F.col("to_component")) & fits & once)
+    pairs = first.join(shuffled(wide), ["cluster", "x"], "left_anti").join(shuffled(to), ["cluster", "x"]).where((F.col("component") != F.col("to_component")) & fits & once)
     pairs = stage(pairs.select(*unit, "to_id", "to_th").distinct(), "partners")
     many = pairs.groupBy(*unit).agg(F.count("*").alias("n")).where(F.col("n") > REGION).select(*unit)
-    broad = stage(first.join(wide, ["cluster", "x"], "left_semi").select(*unit).unionByName(many).distinct(), "broad")
-    return pairs.join(broad, unit, "left_anti"), broad
+    broad = stage(first.join(shuffled(wide), ["cluster", "x"], "left_semi").select(*unit).unionByName(many).distinct(), "broad")
+    return pairs.join(shuffled(broad), unit, "left_anti"), broad
